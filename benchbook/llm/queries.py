@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchbook.llm import byte_bpe, exact_dedup, packing, sharding, token_counts
+from benchbook.llm import byte_bpe, exact_dedup, fingerprints, language, licenses, packing, sharding, simhash, token_counts, warc
 from benchbook.llm.common import table
 
 
@@ -20,13 +20,39 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_byte_bpe, op5_sharding, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op2_packing, op3_byte_bpe, op4_simhash, op5_sharding,
+        op6_licenses, op7_warc, op8_fingerprints, op9_language, op10_token_counts,
+    )
+}
 ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
