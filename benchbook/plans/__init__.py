@@ -1,6 +1,6 @@
 """The registry of queries with their SQL."""
 
-from benchbook.plans import search_queries  # noqa: F401
+from benchbook.plans import search_queries, text_queries  # noqa: F401
 from benchbook.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
