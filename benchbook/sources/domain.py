@@ -111,7 +111,7 @@ class Domain:
         """One batch per order: court, status, request and finish time, heartbeat, counters, actor."""
         k = F.col("o_orderkey")
         status = (
-            F.when(k % 9 == 0, "QUEUED").when(k % 9 == 1, "RUNNING").when(k % 9 == 2, "CANCELLED").when(k % 9 == 3, "RATE_LIMITED").when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "FAILED").otherwise("SOURCE_ERROR")
+            F.when(k % 9 == 0, "QUEUED").when(k % 9 == 1, "RUNNING").when(k % 9 == 2, "CANCELLED").when(k % 9 == 3, "RATE_LIMITED").when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "FAILED").otherwise("SOURCE_BLOCKED")
         )
         days = (k % 30).cast("int")
         asked = F.expr("timestamp_ntz '2024-01-01 00:00:00'") + F.make_dt_interval(days, (k % 24).cast("int"), (k % 60).cast("int"))
@@ -148,7 +148,7 @@ CTES = {
     "history": "SELECT event_id entry_id, user_id, event_type || ' ' || regexp_extract(props, '([0-9]+)', 1) query, ts created_at FROM events",
     "items": "SELECT l_suppkey batch_id, l_orderkey || '/' || l_linenumber item_key, l_orderkey case_id, l_partkey part_id, CASE l_returnflag WHEN 'A' THEN 'DONE' WHEN 'R' THEN 'FAILED' ELSE 'PENDING' END status, l_linestatus flag, l_linenumber \"position\", l_shipdate AS \"at\" FROM lineitem",
     "batches": """SELECT o_orderkey batch_id, CAST(c_nationkey AS BIGINT) court_id,
-        CASE WHEN o_orderkey % 9 = 0 THEN 'QUEUED' WHEN o_orderkey % 9 = 1 THEN 'RUNNING' WHEN o_orderkey % 9 = 2 THEN 'CANCELLED' WHEN o_orderkey % 9 = 3 THEN 'RATE_LIMITED' WHEN o_orderstatus = 'F' THEN 'COMPLETED' WHEN o_orderstatus = 'O' THEN 'FAILED' ELSE 'SOURCE_ERROR' END status,
+        CASE WHEN o_orderkey % 9 = 0 THEN 'QUEUED' WHEN o_orderkey % 9 = 1 THEN 'RUNNING' WHEN o_orderkey % 9 = 2 THEN 'CANCELLED' WHEN o_orderkey % 9 = 3 THEN 'RATE_LIMITED' WHEN o_orderstatus = 'F' THEN 'COMPLETED' WHEN o_orderstatus = 'O' THEN 'FAILED' ELSE 'SOURCE_BLOCKED' END status,
         asked requested_at, CASE WHEN o_orderkey % 9 > 3 THEN asked + to_minutes(CAST(o_orderkey % 500 AS INTEGER)) END finished_at, CASE WHEN o_orderkey % 9 = 1 THEN asked + to_minutes(CAST(o_orderkey % 7 AS INTEGER)) END heartbeat_at,
         CAST(o_orderkey % 50 AS INTEGER) promoted, CASE WHEN o_orderkey % 6 <> 0 THEN o_custkey % 10 END started_by, o_orderkey % 4 = 0 cancel_requested, o_orderkey % 3 = 0 discovered,
         CAST(o_orderdate AS DATE) from_date, CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INTEGER) AS DATE) to_date
