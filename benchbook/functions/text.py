@@ -21,6 +21,11 @@ def group(c: Column, pattern: str, n: int) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, n), F.lit(""))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once, however often use refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def squeeze(c: Column) -> Column:
     return F.trim(R(c, r"\s+", " "))
 
@@ -227,16 +232,22 @@ def _act_aliases() -> Column:
 
 def resolve_act(raw: Column) -> Column:
     """struct(act_name, short_code, act_year): exact alias, else the first alias that contains the name or is in it, else title case."""
+    aliases = _act_aliases()
+
+    def found(x: Column) -> Column:
+        own = F.when(F.length(x["cleaned"]) > 2, title(x["cleaned"])).otherwise("Special Act")
+        name = F.when(x["text"] == "", "Unknown Act").otherwise(F.coalesce(x["hit"]["name"], own))
+        return F.struct(name.alias("act_name"), F.when(x["text"] != "", x["hit"]["code"]).alias("short_code"), F.when(x["text"] != "", x["hit"]["year"]).alias("act_year"))
+
+    def looked_up(x: Column) -> Column:
+        exact = F.get(F.filter(aliases, lambda a: a["alias"] == x["key"]), F.lit(0))
+        near = F.get(F.filter(aliases, lambda a: F.contains(x["key"], a["alias"]) | F.contains(a["alias"], x["key"])), F.lit(0))
+        return F.struct(x["text"].alias("text"), x["cleaned"].alias("cleaned"), F.coalesce(exact, near).alias("hit"))
+
     text = F.trim(full(raw))
     cleaned = F.trim(R(text, r"(?i)^(?:of\s+the|of|under|with|in)\s+", ""))
-    key = F.lower(cleaned)
-    aliases = _act_aliases()
-    exact = F.get(F.filter(aliases, lambda a: a["alias"] == key), F.lit(0))
-    near = F.get(F.filter(aliases, lambda a: F.contains(key, a["alias"]) | F.contains(a["alias"], key)), F.lit(0))
-    hit = F.coalesce(exact, near)
-    own = F.when(F.length(cleaned) > 2, title(cleaned)).otherwise("Special Act")
-    name = F.when(text == "", "Unknown Act").otherwise(F.coalesce(hit["name"], own))
-    return F.struct(name.alias("act_name"), F.when(text != "", hit["code"]).alias("short_code"), F.when(text != "", hit["year"]).alias("act_year"))
+    start = let(F.struct(text.alias("text"), cleaned.alias("cleaned")), lambda x: F.struct(x["text"].alias("text"), x["cleaned"].alias("cleaned"), F.lower(x["cleaned"]).alias("key")))
+    return let(let(start, looked_up), found)
 
 
 # --- judgments --------------------------------------------------------------------------------
@@ -302,6 +313,11 @@ def split_paragraphs(text: Column) -> Column:
         return F.struct(F.when(fits, state["next"] + 1).otherwise(state["next"]).alias("next"), grown.cast(kind).alias("found"))
 
     found = F.aggregate(F.arrays_zip(numbers.alias("numbers"), marks.alias("marks"), pieces.alias("pieces")), start, step)["found"]
+    return let(found, _numbered)
+
+
+def _numbered(found: Column) -> Column:
+    kind = "array<struct<number:int,text:string>>"
     trimmed = F.filter(F.transform(found, lambda p: F.struct(p["number"].alias("number"), R(p["text"], r"^\s+|\s+$", "").alias("text"))), lambda p: p["text"] != "")
     return F.when(F.size(found) >= 3, trimmed).otherwise(F.array().cast(kind))
 
@@ -332,21 +348,18 @@ def outcome(sentence: Column) -> Column:
 def disposition(text: Column) -> Column:
     """struct(disposition_raw, disposition_category): the last telling sentence of the last 2, 4, 8 paragraphs, or,
     if there are no numbered ones, of the last 800, 1500, 2500 characters."""
-    paragraphs = split_paragraphs(text)
     kind = "array<struct<disposition_raw:string,disposition_category:string>>"
 
     def told(window: Column) -> Column:
         marked = F.transform(F.reverse(split_sentences(squeeze(window))), lambda s: F.struct(s.alias("disposition_raw"), outcome(s).alias("disposition_category")))
         return F.filter(marked, lambda m: m["disposition_category"].isNotNull()).cast(kind)
 
-    def last(n: int) -> Column:
-        return F.array_join(F.transform(F.slice(paragraphs, F.greatest(F.size(paragraphs) - n + 1, F.lit(1)), n), lambda p: p["text"]), " ")
+    def windows(paragraphs: Column) -> Column:
+        last = lambda n: F.array_join(F.transform(F.slice(paragraphs, F.greatest(F.size(paragraphs) - n + 1, F.lit(1)), n), lambda p: p["text"]), " ")
+        return F.array(*[F.when(F.size(paragraphs) > 0, last(n)).otherwise(F.right(full(text), F.lit(c))) for n, c in ((2, 800), (4, 1500), (8, 2500))])
 
-    whole = full(text)
-    numbered = F.size(paragraphs) > 0
-    windows = F.array(*[F.when(numbered, last(n)).otherwise(F.right(whole, F.lit(c))) for n, c in ((2, 800), (4, 1500), (8, 2500))])
-    first = F.get(F.flatten(F.transform(windows, told)), F.lit(0))
-    return F.struct(first["disposition_raw"].alias("disposition_raw"), first["disposition_category"].alias("disposition_category"))
+    found = F.flatten(F.transform(let(split_paragraphs(text), windows), told))
+    return let(found, lambda f: F.struct(F.get(f, F.lit(0))["disposition_raw"].alias("disposition_raw"), F.get(f, F.lit(0))["disposition_category"].alias("disposition_category")))
 
 
 def extract_provisions(text: Column, most: int = 30) -> Column:
@@ -355,8 +368,7 @@ def extract_provisions(text: Column, most: int = 30) -> Column:
     named = F.filter(F.arrays_zip(numbers.alias("number"), F.transform(acts, squeeze).alias("act")), lambda x: (x["act"] != "") & ~x["act"].rlike(v.GENERIC_ACT))
 
     def entry(x: Column) -> Column:
-        act = resolve_act(x["act"])
-        return F.struct(act["act_name"].alias("act_name"), act["short_code"].alias("short_code"), act["act_year"].alias("act_year"), F.trim(x["number"]).alias("section_number"))
+        return let(resolve_act(x["act"]), lambda act: F.struct(act["act_name"].alias("act_name"), act["short_code"].alias("short_code"), act["act_year"].alias("act_year"), F.trim(x["number"]).alias("section_number")))
 
     return F.slice(F.array_distinct(F.transform(named, entry)), 1, most)
 
