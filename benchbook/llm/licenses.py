@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from benchbook.llm.common import materialize
+
 GRAM = 2
 #: Diagonals up to this far apart belong to one span: words put in or left out.
 NEIGHBOUR = 2
@@ -61,7 +63,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notice
 
     key = ["doc_id", "text_hash", "template", "label", "is_base", "t_words"]
     # On one diagonal a template fits between diagonal and diagonal + t_words, so votes there are one span.
-    votes = hits.groupBy(*key, "diagonal").agg(F.collect_set("tpos").alias("tpos"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    # Written once: phrases and notices both read it, and exploding all bigrams is the dear part.
+    votes = materialize(hits.groupBy(*key, "diagonal").agg(F.collect_set("tpos").alias("tpos"), F.min("pos").alias("first"), F.max("pos").alias("last")))
     whole = votes.where("is_base and size(tpos) = t_words - 1").select(*key, "first", F.lit(1.0).alias("covered"), (F.col("last") + 1).alias("last"))
 
     line = Window.partitionBy(*key).orderBy("diagonal")
