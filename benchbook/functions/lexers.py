@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,7 +59,6 @@ class English(Lexer):
         return stem(word)
 
     def column(self, text: Column) -> Column:
-        import pandas as pd
 
         stop = self.stop
 
