@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from benchbook.functions.text import classify_category
+from benchbook.functions.vocabulary import CATEGORIES
 from benchbook.operators.search import Search, SearchRequest, members
 from benchbook.sources.domain import Domain
 
@@ -108,6 +110,16 @@ def provisions_json(d: Domain, cases: DataFrame) -> DataFrame:
     return pairs.groupBy("case_id").agg(F.to_json(F.array_sort(F.collect_set(F.struct("act_name", F.col("section_number").alias("section"))))).alias("provisions"))
 
 
+def category_names(cases: DataFrame) -> DataFrame:
+    """case_id, category_names: categories found in case numbers, numbered as a dimension, and joined back by id."""
+    found = cases.select("case_id", classify_category(F.col("case_number")).alias("c")).select("case_id", "c.category_code", "c.category_name")
+    codes = F.array(*[F.lit(code) for _, code, _ in CATEGORIES])
+    held = found.select("case_id", F.when(F.col("category_code").isNotNull(), F.array(F.array_position(codes, F.col("category_code")))).otherwise(F.array().cast("array<bigint>")).alias("categories"))
+    dim = found.where("category_code is not null").select(F.array_position(codes, F.col("category_code")).alias("category_id"), F.col("category_name").alias("name")).distinct()
+    names = members(held, "categories", F.broadcast(dim), "category_id").groupBy("case_id").agg(F.array_join(F.array_sort(F.collect_set("name")), ";").alias("category_names"))
+    return cases.select("case_id").join(names, "case_id", "left").select("case_id", F.coalesce("category_names", F.lit("")).alias("category_names"))
+
+
 def blob_url(base: Column, container: Column, name: Column) -> Column:
     """base/container/name; null if a part is null or empty."""
     whole = (base != "") & (container != "") & (name != "")

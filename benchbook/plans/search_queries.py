@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from benchbook.functions.lexers import English
 from benchbook.operators import facets
 from benchbook.operators.search import Search, SearchRequest, detail, view
 from benchbook.plans.registry import query
@@ -103,6 +104,30 @@ _dim("bench_names", "case_bench", "judge_id", "judges", "full_name", "bench")
 _dim("act_names", "case_acts", "act_id", "acts", "act_name", "acts")
 _dim("ministry_names", "case_ministries", "ministry_id", "ministries", "name", "ministries")
 query("industry_names", "SELECT case_id, name industry_names FROM cases JOIN industries USING (industry_id)")(lambda d: view(d, d.cases()).select("case_id", "industry_names"))
+@query("category_names", "SELECT case_id, coalesce(CASE case_id % 4 WHEN 0 THEN 'Civil Appeal' WHEN 1 THEN 'Criminal Appeal' WHEN 2 THEN 'Special Leave Petition (Civil)' END, '') category_names FROM cases")
+def category_names(d: Domain) -> DataFrame:
+    """Categories are a dimension made of the case numbers; cases hold its ids."""
+    return facets.category_names(d.cases())
+
+
+@query("array_agg", "SELECT act_name, string_agg(DISTINCT section_number, ';' ORDER BY section_number) sections FROM sections JOIN acts USING (act_id) GROUP BY act_name")
+def array_agg(d: Domain) -> DataFrame:
+    named = d.sections().join(F.broadcast(d.acts()), "act_id")
+    return named.groupBy("act_name").agg(F.array_join(F.array_sort(F.collect_set("section_number")), ";").alias("sections"))
+
+
+@query("jsonb_agg", "SELECT court_id, '[' || string_agg('{\"status\":\"' || status || '\",\"n\":' || n || '}', ',' ORDER BY status) || ']' counts FROM (SELECT court_id, status, count(*) n FROM batches GROUP BY ALL) x GROUP BY court_id")
+def jsonb_agg(d: Domain) -> DataFrame:
+    per = d.batches().groupBy("court_id", "status").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("court_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("counts"))
+
+
+@query("fts_english")
+def fts_english(d: Domain) -> DataFrame:
+    """Stems match other forms of a word; stop words are left out of texts and queries."""
+    return Search(d, English()).matched(SearchRequest.of({"any": ["civil appeals", "no such words"]})).select("case_id")
+
+
 query("provisions_json", "SELECT case_id, '[' || string_agg('{\"act_name\":\"' || act_name || '\",\"section\":\"' || section_number || '\"}', ',' ORDER BY act_name, section_number) || ']' provisions FROM (SELECT DISTINCT case_id, act_name, section_number FROM case_sections JOIN sections USING (section_id) JOIN acts USING (act_id)) x GROUP BY case_id")(
     lambda d: facets.provisions_json(d, d.cases())
 )
