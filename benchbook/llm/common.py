@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch, so that a batch of very long texts still fits a Python worker.
 BATCH_ROWS = 512
@@ -17,6 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Stands for a null id on the way through Python, where a column with nulls would turn into floats.
+NO_ID = -(2**63)
+
+
+def ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id (long, nulls as NO_ID) and text (string) of docs, whatever other columns there are."""
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def with_null_ids(df: DataFrame) -> DataFrame:
+    """df with NO_ID in doc_id turned back into null."""
+    return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
@@ -41,3 +56,19 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Ids that without() broadcasts at most; 8 bytes each.
+BROADCAST_IDS = 1_000_000
+
+
+def without(rows: DataFrame, ids: DataFrame, id_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """rows whose id isn't in ids (one column, id; longs). Rows with a null id stay.
+
+    ids are written first and counted: up to broadcast_ids they are broadcast and rows stay where they
+    are; beyond that both sides are shuffled.
+    """
+    ids = materialize(ids.select(F.col("id").cast("long").alias("__id")).where("__id is not null").distinct())
+    few = ids.limit(broadcast_ids + 1).count() <= broadcast_ids
+    ids = F.broadcast(ids) if few else ids.hint("merge")
+    return rows.join(ids, F.col(id_col).cast("long") == F.col("__id"), "left_anti")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from benchbook.llm.common import without
+
 #: What doesn't count when texts are compared.
 BLANK = r"[\x20\x09-\x0D]+"
 
@@ -44,9 +46,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows of docs that exact_dedup keeps, with all their columns. Rows without an id stay, and so does an id one of whose rows is kept."""
+    gone = exact_dedup(docs, id_col, text_col).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept")
+    return without(docs, gone.select(F.col("doc_id").alias("id")), id_col)
 
 
 ORACLE_SQL = r"""

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import materialize
+from benchbook.llm.common import ids_and_texts, materialize, with_null_ids, without
 from benchbook.llm.components import connected_components
 
 SHINGLE = 3
@@ -48,7 +48,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t, words) for t in batch["text"]], dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": found})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, "doc_id long, fp long")
+    return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, "doc_id long, fp long"))
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -149,6 +149,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with all its columns. Rows without id stay."""
-    dropped = near_dedup(docs, id_col, text_col).where("component_id <> doc_id").select(F.col("doc_id").alias("__dropped_id")).distinct()
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__dropped_id"), "left_anti")
+    """The document with the smallest id of each component, with all its columns. Rows without id stay, and so does an id one of whose rows is its component's smallest."""
+    gone = near_dedup(docs, id_col, text_col).groupBy("doc_id").agg(F.bool_or(F.col("component_id") == F.col("doc_id")).alias("kept")).where("not kept")
+    return without(docs, gone.select(F.col("doc_id").alias("id")), id_col)
