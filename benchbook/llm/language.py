@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from benchbook.llm.common import ids_and_texts, with_null_ids
+
 #: Bound of the labelled sample that the filter is fitted on: rows per language (those with the least
 #: hash of the id) of at most so many characters. Longer labelled rows aren't needed to learn from.
 SAMPLE_PER_LANGUAGE = 400
@@ -102,19 +104,27 @@ class Filter:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> Filter:
     """Fits the filter on a bounded sample of labelled rows: rows with text and a language, at most rows per language.
 
-    The sample is drawn by Spark (a limited sort per language) and is all that reaches the driver. Rows without
+    Counts per language come first; then one scan draws the sample by a hash of the id, and it is all that
+    reaches the driver: about 1.5 * rows texts of at most chars characters for each of at most 64 languages. Rows without
     text or language are skipped. Without labelled rows the filter knows no language and predicts `und`.
     """
     good = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("doc_id")).where(
         f"lang is not null and text is not null and length(text) <= {int(chars)}"
     )
-    counts = {r["lang"]: r["count"] for r in good.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(65).collect()}
+    counts = {r["lang"]: r["count"] for r in good.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()}
+    if not counts:
+        return Filter.of({}, UNKNOWN)
+    # Each language's share of its rows is set so that half as many again as needed are drawn; the rest is cut here.
+    shares = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, (1.5 * rows + 20) / n))])
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")), F.lit(2**31))
+    some = good.withColumn("draw", draw).where(F.col("draw") < F.element_at(shares, F.col("lang")) * 2**31).toPandas()
+    some = some.sort_values(["draw", "doc_id"], kind="stable")
     found: dict[str, np.ndarray] = {}
     for name in counts:
-        some = good.where(F.col("lang") == name).orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit"))).limit(rows).select("text").toPandas()["text"]
-        seen, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(grams, some)]), return_counts=True)
+        texts = some.loc[some["lang"] == name, "text"].head(rows)
+        seen, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(grams, texts)]), return_counts=True)
         found[name] = seen[np.argsort(-times, kind="stable")[:GRAMS_PER_LANGUAGE]]
-    return Filter.of(found, default=max(counts, key=counts.get) if counts else UNKNOWN)
+    return Filter.of(found, default=max(counts, key=counts.get))
 
 
 def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,7 +141,7 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
             found = [own.predict(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, SCHEMA)
+    return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, SCHEMA))
 
 
 def held_out(doc_id) -> F.Column:
@@ -146,7 +156,15 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """Rows of docs whose language is known with a score above least; rejects null texts and texts without letters."""
-    model = fit(docs.where(~held_out(F.col("doc_id"))))
-    good = predict(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > least)).select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(good, F.col("doc_id").cast("long") == F.col("__kept_id"), "left_semi")
+    """Rows of docs whose language is known with a score above least; rejects null texts and texts without letters.
+
+    The filter is a column, so rows with all their columns stay where they are: no shuffle.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out(F.col("doc_id")))))
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        found = [model.value.predict(t) for t in texts]
+        return pd.Series([name != UNKNOWN and score > least for name, score in found], dtype=bool)
+
+    return docs.where(known(F.col("text").cast("string")))
