@@ -8,9 +8,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from benchbook.llm import tokenizers_ as tok
+from benchbook.llm.common import ids_and_texts, with_null_ids
 
 #: Texts up to this many characters are leaves of the tree.
 LEAF = 16_384
@@ -69,10 +69,6 @@ def decode_tree(ids: list[int], encoding, leaf: int = LEAF) -> bytes:
     return decode_tree(ids[:middle], encoding, leaf) + decode_tree(ids[middle:], encoding, leaf)
 
 
-def _selected(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-
-
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = tok.BYTE_BPE_RANKS, leaf: int = LEAF) -> DataFrame:
     """Per document its ids and the bytes that they decode to: doc_id, ids, decoded. One pass, no shuffle.
 
@@ -86,7 +82,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             ids = [encode_tree(t or "", encoding, leaf) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids, "decoded": [decode_tree(i, encoding, leaf) for i in ids]})
 
-    return _selected(docs, id_col, text_col).mapInPandas(run, SCHEMA)
+    return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, SCHEMA))
 
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -106,4 +102,4 @@ def encode_decode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 rows.append((doc, len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(decode_tree(ids, encoding, leaf)).hexdigest()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
 
-    return _selected(docs, id_col, text_col).mapInPandas(run, DIGEST_SCHEMA)
+    return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, DIGEST_SCHEMA))

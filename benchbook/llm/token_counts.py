@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,10 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchbook.llm import tokenizers_ as tok
+from benchbook.llm.common import ids_and_texts, with_null_ids
 
-#: Rows of the sample that the frequent table is counted on, and the table's entries. Both only
+#: Rows of the sample that the frequent table is counted on, their length, and the table's entries. They only
 #: concern speed: a pre-token that isn't in the table is encoded.
 SAMPLE_ROWS = 2_000
+SAMPLE_CHARS = 20_000
 TABLE_ENTRIES = 65_536
 #: Pre-tokens that a worker remembers beyond the table.
 CACHE_ENTRIES = 500_000
@@ -22,15 +25,22 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
+def byte_characters() -> dict[int, int]:
+    """Bytes to the characters that stand for them in a byte-level vocabulary: printable ones for themselves, the others from 256 on."""
+    others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
 class Lengths(dict):
-    """Pre-token to number of tokens; a miss is encoded and remembered, up to a bound."""
+    """Pre-token to number of tokens; a miss goes to the library's BPE model and is remembered, up to a bound."""
 
     def __init__(self, table: dict[str, int], path: str, entries: int = CACHE_ENTRIES):
         super().__init__(table)
         self.path, self.most = path, len(table) + entries
+        self.model, self.characters = tok.library(path).model, byte_characters()
 
     def __missing__(self, word: str) -> int:
-        n = len(tok.library(self.path).encode(word, add_special_tokens=False).ids)
+        n = len(self.model.tokenize(word.encode().decode("latin-1").translate(self.characters)))
         if len(self) < self.most:
             self[word] = n
         return n
@@ -44,12 +54,17 @@ def count(text: str, lengths: Lengths, find, special: tuple[str, ...]) -> int:
 
 
 def frequent(docs: DataFrame, path: str, text_col: str, rows: int = SAMPLE_ROWS, entries: int = TABLE_ENTRIES) -> dict[str, int]:
-    """Token lengths of the most frequent pre-tokens of a bounded sample of rows."""
-    few = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").limit(rows)
-    words = few.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([a-zß-ž]+|[!-/:-@\[-`{-~]+)"), 1)).alias("word"))
-    top = words.where(F.length("word") <= 32).groupBy("word").count().orderBy(F.desc("count"), "word").limit(entries).toPandas()["word"]
+    """Token lengths of the most frequent pre-tokens of the first rows that Spark finds, texts of up to SAMPLE_CHARS characters.
+
+    The bounded sample is taken partition after partition, without a shuffle, and counted here.
+    """
+    some = docs.select(F.col(text_col).cast("string").alias("text")).where(F.length("text") <= SAMPLE_CHARS).limit(rows).toPandas()["text"]
+    seen: Counter[str] = Counter()
+    for text in some:
+        if tok.PLAIN.fullmatch(text):
+            seen.update(re.findall(PRE_TOKEN, text.lower()))
     library = tok.library(path)
-    return {w: len(library.encode(w, add_special_tokens=False).ids) for w in top if tok.PLAIN.fullmatch(w)}
+    return {w: len(library.encode(w, add_special_tokens=False).ids) for w, _ in seen.most_common(entries)}
 
 
 def token_counts(
@@ -70,4 +85,4 @@ def token_counts(
             counts = [count(t, lengths, find, special) for t in texts]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": counts, "over_limit": [n > limit for n in counts]})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, SCHEMA)
+    return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, SCHEMA))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from functools import lru_cache
 
@@ -42,4 +43,6 @@ def library(path: str):
 
 @lru_cache(maxsize=4)
 def special_strings(path: str) -> tuple[str, ...]:
-    return tuple(t.content for t in library(path).get_added_tokens_decoder().values())
+    """Strings of special tokens, read from the file; the library, which takes much memory, is opened only for texts that need it."""
+    with open(path, encoding="utf-8") as file:
+        return tuple(t["content"] for t in json.load(file)["added_tokens"])

@@ -207,7 +207,11 @@ NAMES = [c.split()[0] for c in RECORDS.split(", ")]
 
 
 def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of all archives below folder, validated: RECORDS. Spark lists the files; a task reads whole archives."""
+    """The records of all archives below folder, validated: RECORDS.
+
+    Spark lists the files and deals them to tasks by size, so what a task holds at once is bounded by
+    spark.sql.files.maxPartitionBytes (or one archive).
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -222,7 +226,6 @@ def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
                         rows = []
                 yield pd.DataFrame(rows, columns=NAMES).astype({"refers_to": "Int64"})
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     return files.mapInPandas(run, RECORDS)
 
 

@@ -127,3 +127,15 @@ def test_special_strings_are_handled_as_by_default():
 @pytest.mark.parametrize("text", ["İstanbul", "Σίσυφος", "é", "½ ² ª"])
 def test_unusual_texts_go_to_the_library(text):
     assert not tok.PLAIN.fullmatch(text)
+
+
+def test_null_ids_leave_large_ids_whole(spark):
+    from benchbook.llm import fingerprints, language, simhash
+
+    big = 2**60 + 1
+    docs = spark.createDataFrame([(big, "one text here"), (None, "another text"), (big + 1, None)], "doc_id long, text string").coalesce(1)
+    for df in (
+        packing.pack(docs), byte_bpe.encode_decode_digests(docs), token_counts.token_counts(docs), simhash.fingerprints(docs), fingerprints.edited_fingerprints(docs),
+        language.predict(docs, language.fit(docs.withColumn("lang", packing.F.lit("en")))),
+    ):
+        assert {r["doc_id"] for r in df.collect()} == {big, None, big + 1}
