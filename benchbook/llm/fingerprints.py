@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import materialize
+from benchbook.llm.common import ids_and_texts, materialize, with_null_ids
 
 K, S = 16, 8
 #: Hashes that a fingerprint keeps: the least of all anchors' hashes, a fair sample of the set.
@@ -66,8 +66,12 @@ def sketch(text: str, k: int = K, s: int = S, kept: int = KEPT) -> np.ndarray:
     return np.unique(found)[:kept]
 
 
+def packed(found: np.ndarray) -> bytes:
+    return found.astype(">u4").tobytes()
+
+
 def said(found: np.ndarray) -> str:
-    return found.astype(">u4").tobytes().hex()
+    return packed(found).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
@@ -87,7 +91,7 @@ def syncmer_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 at, hashes = anchors(text or "", k, s)
                 yield pd.DataFrame({"doc_id": pd.array([doc] * len(at), dtype="Int64"), "position": at, "anchor": hashes.view(np.int64)})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, "doc_id long, position long, anchor long")
+    return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, "doc_id long, position long, anchor long"))
 
 
 def positional_matches(left: DataFrame, right: DataFrame, least: int = 3) -> DataFrame:
@@ -101,18 +105,21 @@ def positional_matches(left: DataFrame, right: DataFrame, least: int = 3) -> Dat
     return mine.join(other, "anchor").groupBy("left_id", "right_id", (F.col("q") - F.col("p")).alias("shift")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Columns as the tasks make them; digests and fingerprints are bytes until the result names them in hexadecimal.
+SCHEMA = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
+HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
 def _row(doc, text: str, own: np.ndarray, follower: str, after: np.ndarray) -> tuple:
     half = len(text) // 2
     edited = text[: len(text) - half] + follower[:half]
     changed = own if edited == text else sketch(edited)
-    return doc, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), said(own), said(changed), likeness(own, changed), likeness(own, after)
+    return doc, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).digest(), packed(own), packed(changed), likeness(own, changed), likeness(own, after)
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text: SCHEMA.
+    """Fingerprints of every text and of its edited text: NAMES, with the columns HEX in lower-case hexadecimal.
 
     The edited text has the last floor(n/2) code points replaced by the first as many (or all) of the
     next document in descending order of the id; after the last comes the first. Rows are dealt into
@@ -122,8 +129,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null text: as empty (fingerprint '', likeness of two empty ones 1). Null ids: last in the order.
     Equal ids: in the order of their texts. One row only: it is its own next. Empty table: no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    rows = ids_and_texts(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    order = [F.col("doc_id").desc(), F.col("text")]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, order[0]).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
     wide = f"range int, edge string, text string, {SCHEMA}"
@@ -155,9 +162,9 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ends = edges.where("edge = 'last'").join(follow.select(F.col("before").alias("range"), "follower"), "range")
 
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
         for batch in batches:
             out = [_row(None if pd.isna(d) else int(d), t, sketch(t), f, sketch(f)) for d, t, f in zip(batch["doc_id"], batch["text"], batch["follower"], strict=True)]
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=NAMES).astype({"doc_id": "Int64"})
 
-    return found.where("edge is null").select([c.split()[0] for c in SCHEMA.split(", ")]).union(ends.mapInPandas(close, SCHEMA))
+    whole = found.where("edge is null").select(NAMES).union(ends.mapInPandas(close, SCHEMA))
+    return with_null_ids(whole).withColumns({c: F.lower(F.hex(c)) for c in HEX})
