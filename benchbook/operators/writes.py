@@ -20,8 +20,8 @@ def numbered(new: DataFrame, order: list[str], start: DataFrame, id_name: str) -
     sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__range", "__before")
     return (
-        local.join(F.broadcast(before), "__range").crossJoin(F.broadcast(start.select(F.col("top").alias("__top"))))
-        .withColumn(id_name, F.coalesce("__top", F.lit(0)) + F.col("__before") + F.col("__place")).drop("__range", "__place", "__before", "__top")
+        local.withColumn("__one", F.lit(1)).join(F.broadcast(before), "__range").join(F.broadcast(start.select(F.lit(1).alias("__one"), F.col("top").alias("__top"))), "__one")
+        .withColumn(id_name, F.coalesce("__top", F.lit(0)) + F.col("__before") + F.col("__place")).drop("__one", "__range", "__place", "__before", "__top")
     )
 
 

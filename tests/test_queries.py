@@ -1,5 +1,7 @@
 """Every registered query with SQL equals DuckDB's result on the same tables, whatever the order of rows."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import duckdb
 import numpy as np
 import pandas as pd
@@ -34,9 +36,16 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module")
+def found(spark):
+    """Results of all queries with SQL, a few at a time: most of a small query's time is planning."""
+    with ThreadPoolExecutor(4) as pool:
+        yield {n: pool.submit(lambda n=n: QUERIES[n](spark, DATA).toPandas()) for n in sorted(ORACLE_SQL)}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
-def test_equals_sql(spark, duck, name):
-    mine, theirs = QUERIES[name](spark, DATA).toPandas(), duck.sql(ORACLE_SQL[name]).df()
+def test_equals_sql(duck, found, name):
+    mine, theirs = found[name].result(), duck.sql(ORACLE_SQL[name]).df()
     assert sorted(mine.columns) == sorted(theirs.columns)
     assert rows(mine) == rows(theirs)
 
