@@ -36,8 +36,8 @@ def shard_by_bytes(
 
     The key is the text's hash, so equal texts share a range and, as a rule, a shard. A sample of
     about sample_rows rows, drawn with a chance in proportion to their size, gives the boundaries of
-    shards * ranges_per_shard ranges at quantiles of its weight. A range that turns out overfull (a
-    group of copies, a very long text) is cut into parts by the hash of the id. Range totals, a table
+    shards * ranges_per_shard ranges at quantiles of its weight. A range that turns out overfull is cut
+    into parts by the hash of the key, and a key that alone is overfull (a large group of copies) by the id. Range totals, a table
     of bounded size, are laid end to end and each range goes to the shard where its middle falls;
     that makes shards differ by about a range (1/ranges_per_shard of a shard) or by one text that is
     larger. Slots number a shard's rows from 0: rows of earlier ranges, then the place in the range.
@@ -64,7 +64,11 @@ def shard_by_bytes(
     # At most one row per range reaches the driver's plan: ranges is a parameter, not a data size.
     mean = max(1.0, total / ranges)
     parts = ranged.groupBy("range").agg(F.sum("size").alias("bytes")).select("range", F.greatest(F.ceil(F.col("bytes") / F.lit(OVERFULL * mean)), F.lit(1)).cast("long").alias("parts"))
-    cut = ranged.join(F.broadcast(parts), "range").withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("doc_id", "key"), F.col("parts"))).otherwise(F.lit(0)))
+    # Parts follow the key, so that equal texts stay together; only keys that alone overfill a range (at most
+    # ranges / OVERFULL of them) are cut by the id.
+    hot = keyed.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > F.lit(OVERFULL * mean)).select("key", F.lit(True).alias("hot"))
+    grain = F.when(F.col("hot"), F.xxhash64("doc_id", "key")).otherwise(F.xxhash64("key", F.lit("part")))
+    cut = ranged.join(F.broadcast(parts), "range").join(F.broadcast(hot), "key", "left").withColumn("part", F.when(F.col("parts") > 1, F.pmod(grain, F.col("parts"))).otherwise(F.lit(0)))
     sums = cut.groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     line = Window.orderBy("range", "part")
     before = F.sum("bytes").over(line.rowsBetween(Window.unboundedPreceding, -1))
