@@ -301,18 +301,21 @@ def split_paragraphs(text: Column) -> Column:
     numbers = F.regexp_extract_all(full(text), F.lit(v.PARAGRAPH), 1)
     marks = F.regexp_extract_all(full(text), F.lit(v.PARAGRAPH), 0)
     pieces = F.slice(F.split(full(text), v.PARAGRAPH), 2, F.greatest(F.size(numbers), F.lit(1)))
-    kind = "array<struct<number:int,text:string>>"
-    start = F.struct(F.lit(1).alias("next"), F.array().cast(kind).alias("found"))
 
-    def step(state: Column, x: Column) -> Column:
-        found, number = state["found"], x["numbers"].cast("int")
-        last = F.element_at(found, F.size(found))
-        more = F.concat(F.slice(found, 1, F.size(found) - 1), F.array(F.struct(last["number"].alias("number"), F.concat(last["text"], x["marks"], x["pieces"]).alias("text"))))
-        fits = number == state["next"]
-        grown = F.when(fits, F.concat(found, F.array(F.struct(number.alias("number"), x["pieces"].alias("text"))))).when(F.size(found) > 0, more).otherwise(found)
-        return F.struct(F.when(fits, state["next"] + 1).otherwise(state["next"]).alias("next"), grown.cast(kind).alias("found"))
+    def step(at: Column, x: Column) -> Column:
+        return F.when(x["numbers"].cast("int") == F.size(at) + 1, F.concat(at, F.array(x["i"]))).otherwise(at)
+
+    def cut(parts: Column) -> Column:
+        # The fold keeps places only; each text is joined once, from its slice.
+        places = F.aggregate(parts, F.array().cast("array<int>"), step)
+        return let(places, lambda at: F.transform(at, lambda a, k: joined(parts, a, F.coalesce(F.get(at, k + 1), F.size(parts) + 1), k)))
+
+    def joined(parts: Column, a: Column, b: Column, k: Column) -> Column:
+        rest = F.array_join(F.transform(F.slice(parts, a + 1, b - a - 1), lambda x: F.concat(x["marks"], x["pieces"])), "")
+        return F.struct((k + 1).alias("number"), F.concat(F.element_at(parts, a)["pieces"], rest).alias("text"))
 
-    found = F.aggregate(F.arrays_zip(numbers.alias("numbers"), marks.alias("marks"), pieces.alias("pieces")), start, step)["found"]
+    zipped = F.arrays_zip(numbers.alias("numbers"), marks.alias("marks"), pieces.alias("pieces"))
+    found = let(F.transform(zipped, lambda x, i: F.struct(x["numbers"].alias("numbers"), x["marks"].alias("marks"), x["pieces"].alias("pieces"), (i + 1).alias("i"))), cut)
     return let(found, _numbered)
 
 
@@ -325,16 +328,24 @@ def _numbered(found: Column) -> Column:
 def split_sentences(text: Column) -> Column:
     """Sentences: a full stop before a capital or the end closes one, unless an abbreviation stands before it."""
     short = _listed(v.ABBREVIATIONS)
-    start = F.struct(F.lit("").alias("open"), F.array().cast("array<string>").alias("done"))
+    # Whether a fragment goes on shows in its own last word, so the ends are found first and each sentence is joined once.
+    goes_on = lambda f: F.array_contains(short, F.lower(F.regexp_extract(f, r"([A-Za-z']+)\s*$", 1)))
+    marked = F.transform(F.split(full(text), v.SENTENCE_END), lambda f: F.struct(F.rtrim(f).alias("f"), goes_on(f).alias("on")))
+
+    def joined(parts: Column, a: Column, n: Column) -> Column:
+        return F.trim(F.array_join(F.transform(F.slice(parts, a, n), lambda p: p["f"]), ". "))
+
+    def cut(parts: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: ~F.element_at(parts, i)["on"])
+        return let(ends, lambda e: sentences(parts, e))
 
-    def step(state: Column, fragment: Column) -> Column:
-        held = F.trim(F.when(state["open"] != "", F.concat(state["open"], F.lit(". "), fragment)).otherwise(fragment))
-        word = F.lower(F.regexp_extract(held, r"([A-Za-z']+)\s*$", 1))
-        goes_on = F.array_contains(short, word)
-        return F.struct(F.when(goes_on, held).otherwise("").alias("open"), F.when(goes_on, state["done"]).otherwise(F.concat(state["done"], F.array(F.concat(held, F.lit("."))))).alias("done"))
+    def sentences(parts: Column, ends: Column) -> Column:
+        before = lambda k: F.when(k > 0, F.get(ends, k - 1)).otherwise(0)
+        done = F.transform(ends, lambda e, k: F.concat(joined(parts, before(k) + 1, e - before(k)), F.lit(".")))
+        last = before(F.size(ends))
+        return F.concat(done, F.array(joined(parts, last + 1, F.size(parts) - last)))
 
-    end = F.aggregate(F.split(full(text), v.SENTENCE_END), start, step)
-    return F.filter(F.concat(end["done"], F.array(F.trim(end["open"]))), lambda s: ~s.isin("", "."))
+    return F.filter(let(marked, cut), lambda s: ~s.isin("", "."))
 
 
 def outcome(sentence: Column) -> Column:

@@ -148,7 +148,7 @@ def judgments(d: Domain) -> DataFrame:
         pick("\nJ U D G M E N T\n", "\nORDER\n", "\n"), F.lit("FACTS OF THE CASE:\nThe suit was filed. "),
     )
     body = F.concat(
-        F.lit("\n1. "), F.substring(F.regexp_replace(F.col("text"), "\n", " "), 1, 4000), F.lit(" See (2024) 1 SCC 234 and 2023 INSC "), k.cast("string"), F.lit(".\n2. "),
+        F.lit("\n1. "), F.regexp_replace(F.col("text"), "\n", " "), F.lit(" See (2024) 1 SCC 234 and 2023 INSC "), k.cast("string"), F.lit(".\n2. "),
         pick("Under Section 302 of the Indian Penal Code and article 21 of the Constitution the claim fails.", "Section 138 of the NI Act, and rule 5 of the said Rules apply."), F.lit("\n7\n3. "),
         pick("The appeal is, accordingly, allowed. Pending applications, if any, stand disposed of.", "The High Court allowed the revision. The petition in SLP (CIVIL) NO. 6 is dismissed.", "List the matter for hearing.", "We allow this appeal partly."),
         F.lit("\nDigitally signed by\nA B\nSignature Not Verified\nConclusion .......... 42\n"),
@@ -185,7 +185,7 @@ of_judgments("conclusion", lambda c: text.section_after(c, v.CONCLUSION_HEADING)
 of_judgments("split_paragraphs", text.split_paragraphs)
 of_judgments("strip_ocr_noise", text.strip_ocr_noise)
 of_spans("artifact_spans", lambda c, s: spans.artifact_spans(s), *spans.ARTIFACTS.values())
-of_judgments("build_excerpt", lambda c: text.build_excerpt(c, 2000, 500, 800))
+of_judgments("build_excerpt", text.build_excerpt)
 of_judgments("connected_matters", text.connected_matters)
 of_spans("citation_candidates", spans.citation_candidates, *spans.CITATIONS)
 
