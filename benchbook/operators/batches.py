@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,20 +116,64 @@ TRANSITIONS = {
 }
 
 
+STATES = ("NEW", "RUNNING", *dict.fromkeys(x for come, to in TRANSITIONS.values() for x in (*come, to) if x not in ("NEW", "RUNNING")))
+
+
+def _transition_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (batch_id, kind, place) in order to one row per run of a batch: per starting state the end and the number of events that fit."""
+    moves: dict[str | None, list[int | None]] = {kind: [STATES.index(to) if s in come else None for s in STATES] for kind, (come, to) in TRANSITIONS.items()}
+    moves["HEARTBEAT"] = [i if s == "RUNNING" else None for i, s in enumerate(STATES)]
+    stays: list[int | None] = [None] * len(STATES)
+    key, first, ends, applied, n, done, types = None, None, [], [], 0, [], None
+    names = ["batch_id", "place", "ends", "applied", "n"]
+
+    def out() -> pa.RecordBatch:
+        kinds = (types, pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
+
+    for batch in batches:
+        types = batch.schema.field("batch_id").type
+        for b, kind, place in zip(*(batch.column(c).to_pylist() for c in ("batch_id", "kind", "place")), strict=True):
+            if first is None or b != key:
+                if first is not None:
+                    done.append((key, first, ends, applied, n))
+                key, first, ends, applied, n = b, place, list(range(len(STATES))), [0] * len(STATES), 0
+            n += 1
+            move = moves.get(kind, stays)
+            for start, now in enumerate(ends):
+                to = move[now]
+                if to is not None:
+                    ends[start] = to
+                    applied[start] += 1
+        if len(done) >= 10_000:
+            yield out()
+            done = []
+    if first is not None:
+        done.append((key, first, ends, applied, n))
+    if done:
+        yield out()
+
+
 def fold_states(events: DataFrame) -> DataFrame:
     """batch_id, state, applied, ignored: each batch's events in order through the state machine; events that don't fit are ignored.
 
-    A batch's events are sorted and folded in one expression; they are few (a batch starts, beats, ends).
+    Events are ranged by batch and time, so a batch with many events lies over several tasks. Each task
+    folds its run of a batch, one event after another, into a map from every starting state to its end and
+    the number of events that fit; the few maps of a batch are then applied in order. No batch's events are held together.
     """
-    ordered = events.where("kind <> 'LOG'").groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("at", "log_id", "kind"))).alias("events"))
-    start = F.struct(F.lit("NEW").alias("state"), F.lit(0).alias("applied"), F.lit(0).alias("ignored"))
-
-    def step(s: Column, e: Column) -> Column:
-        new = F.coalesce(*[F.when((e["kind"] == kind) & s["state"].isin(*come), F.lit(to)) for kind, (come, to) in TRANSITIONS.items()], F.when((e["kind"] == "HEARTBEAT") & (s["state"] == "RUNNING"), F.lit("RUNNING")))
-        fits = new.isNotNull()
-        return F.struct(F.coalesce(new, s["state"]).alias("state"), F.when(fits, s["applied"] + 1).otherwise(s["applied"]).alias("applied"), F.when(fits, s["ignored"]).otherwise(s["ignored"] + 1).alias("ignored"))
-
-    return ordered.select("batch_id", F.aggregate("events", start, step).alias("end")).select("batch_id", "end.*")
+    kind = events.schema["batch_id"].dataType.simpleString()
+    ordered = events.where("kind <> 'LOG'").select("batch_id", "kind", "at", "log_id").repartitionByRange("batch_id", "at", "log_id").sortWithinPartitions("batch_id", "at", "log_id")
+    placed = ordered.select("batch_id", "kind", F.monotonically_increasing_id().alias("place"))
+    maps = placed.mapInArrow(_transition_maps, f"batch_id {kind}, place long, ends array<int>, applied array<long>, n long")
+    joined = maps.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("place", "ends", "applied", "n"))).alias("maps"))
+    start = F.struct(F.lit(0).alias("state"), F.lit(0).cast("long").alias("applied"), F.lit(0).cast("long").alias("ignored"))
+
+    def step(s: Column, m: Column) -> Column:
+        fits = F.get(m["applied"], s["state"])
+        return F.struct(F.get(m["ends"], s["state"]).alias("state"), (s["applied"] + fits).alias("applied"), (s["ignored"] + m["n"] - fits).alias("ignored"))
+
+    end = joined.select("batch_id", F.aggregate("maps", start, step).alias("end"))
+    return end.select("batch_id", F.get(F.array(*[F.lit(x) for x in STATES]), F.col("end.state")).alias("state"), F.col("end.applied").cast("int").alias("applied"), F.col("end.ignored").cast("int").alias("ignored"))
 
 
 def failure_stop(items: DataFrame, run: int = FAILURE_RUN) -> DataFrame:

@@ -55,6 +55,9 @@ STATE = "state string, last timestamp"
 OUT = "batch_id long, state string, last_seen timestamp"
 
 
+MOVES = ("STARTED", "COMPLETED", "FAILED")
+
+
 def _advance(state: str, kind: str) -> str:
     if kind == "STARTED" and state in ("NEW", "QUEUED"):
         return "RUNNING"
@@ -71,9 +74,14 @@ def _states(limit_ms: int) -> Callable:
             yield pd.DataFrame({"batch_id": [key[0]], "state": ["STALE" if old == "RUNNING" else old], "last_seen": [last]})
             return
         now, last = state.get if state.exists else ("NEW", pd.Timestamp(0))
-        events = pd.concat(list(frames)).sort_values(["at", "log_id"])
-        for kind, seen in zip(events["kind"], events["at"], strict=True):
-            now, last = _advance(now, kind), max(last, seen)
+        # Heartbeats only move the last sight; of each frame no more than the events that may change the state are held.
+        told = []
+        for frame in frames:
+            last = max(last, frame["at"].max())
+            told.append(frame.loc[frame["kind"].isin(MOVES), ["at", "log_id", "kind"]])
+        events = pd.concat(told).sort_values(["at", "log_id"])
+        for kind in events["kind"]:
+            now = _advance(now, kind)
         state.update((now, last))
         state.setTimeoutTimestamp(int(last.timestamp() * 1000) + limit_ms)
         yield pd.DataFrame({"batch_id": [key[0]], "state": [now], "last_seen": [last]})

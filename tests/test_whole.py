@@ -1,10 +1,13 @@
 """Queries read whole texts and tables: what stands late in a text, comes late in a stream, or sits in a large group counts."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from benchbook.functions import spans, text
 from benchbook.functions import vocabulary as v
+from benchbook.operators import batches
 from benchbook.plans import text_queries
 
 
@@ -26,3 +29,29 @@ def test_judgments_hold_what_stands_late_in_a_text(spark):
     assert "420" in [p["section_number"] for p in own["p"]] and own["n"] > 4000 and own["mode"] == "long"
     marked = made.withColumn("s", spans.match_spans(F.col("text"), *spans.CITATIONS)).select(spans.citation_candidates(F.col("text"), F.col("s"))).first()[0]
     assert "(2011) 7 SCC 77" in [c["raw_citation"] for c in marked]
+
+
+def by_hand(kinds):
+    state, applied, ignored = "NEW", 0, 0
+    for k in kinds:
+        come, to = batches.TRANSITIONS.get(k, ((), None)) if k != "HEARTBEAT" else (("RUNNING",), "RUNNING")
+        state, applied, ignored = (to, applied + 1, ignored) if state in come else (state, applied, ignored + 1)
+    return state, applied, ignored
+
+
+def test_a_large_batch_of_events_is_folded_in_pieces(spark):
+    rng = random.Random(3)
+    kinds = [*batches.TRANSITIONS, "HEARTBEAT", "UNKNOWN"]
+    made = [(7 if rng.random() < 0.5 else rng.randrange(300), i, rng.choice(kinds), rng.randrange(2000)) for i in range(6000)]
+    events = spark.createDataFrame(made, "batch_id long, log_id long, kind string, s long").withColumn("at", F.col("s").cast("timestamp")).repartition(3)
+    want = {}
+    for b, _, k, _ in sorted(made, key=lambda r: (r[3], r[1])):
+        want.setdefault(b, []).append(k)
+    folded = batches.fold_states(events)
+    assert {r["batch_id"]: (r["state"], r["applied"], r["ignored"]) for r in folded.collect()} == {b: by_hand(k) for b, k in want.items()}
+    # Only maps of runs are collected, never a batch's events.
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("collect_list(struct(place") < plan.index("MapInArrow") and plan.count("collect_list") == 1
+    placed = spark.createDataFrame([(1, "STARTED", 0), (1, "FAILED", 1), (2, "RESUMED", 2)], "batch_id long, kind string, place long").coalesce(1)
+    maps = placed.mapInArrow(batches._transition_maps, "batch_id long, place long, ends array<int>, applied array<long>, n long").collect()
+    assert [(r["batch_id"], r["place"], batches.STATES[r["ends"][0]], r["applied"][0], r["n"]) for r in maps] == [(1, 0, "FAILED", 2, 2), (2, 2, "NEW", 0, 1)]
