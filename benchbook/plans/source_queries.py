@@ -96,8 +96,8 @@ def cases_daily_stream(d: Domain) -> DataFrame:
 @query("state_machine_stream")
 def state_machine_stream(d: Domain) -> DataFrame:
     kind = F.element_at(F.create_map(*[F.lit(x) for x in ("signup", "STARTED", "view", "HEARTBEAT", "error", "FAILED", "purchase", "COMPLETED")]), F.col("event_type"))
-    events = logs.events_stream(d.spark, d.sf_dir).withColumn("kind", kind).where("kind is not null").select("batch_id", "log_id", "kind", "at")
-    return logs.final(logs.run_available(logs.batch_states(events), "update"), ["batch_id"])
+    events = logs.log_lines(d.raw("events")).withColumn("kind", kind).where("kind is not null").select("batch_id", "log_id", "kind", "at")
+    return logs.final(logs.replay(events, logs.batch_states), ["batch_id"])
 
 
 def folded(d: Domain) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Streams over logs and events: tail, daily counts, stale batches, state machine. Each equals its batch twin on all data."""
+"""Streams over logs and events: tail, daily counts, stale batches, state machine. Each equals its batch twin on all data;
+the state machine needs events in the order of time, which replay() gives."""
 
 from __future__ import annotations
 
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from benchbook.operators.batches import QUEUED_MINUTES, RUNNING_MINUTES
-from benchbook.sources.landing import shared_folder
+from benchbook.sources.landing import land, shared_folder
 
 
-def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Runs a stream over everything that is there now; the rows that it wrote to the shared folder."""
+def run_available(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+    """Runs a stream over everything that is there now; the rows that it wrote to the shared folder. With the folder of a
+    run before it goes on from there."""
     spark = stream.sparkSession
-    folder = shared_folder(spark)
+    folder = folder or shared_folder(spark)
 
     def write(batch: DataFrame, number: int) -> None:
         # A batch that is run again after a failure overwrites its own folder.
@@ -27,6 +29,33 @@ def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema.add("batch", "long")).parquet(f"{folder}/rows")
 
 
+#: Rows of a replayed piece, about; what one micro-batch takes.
+REPLAY_ROWS = 2_000_000
+
+
+def replay(events: DataFrame, use: Callable[[DataFrame], DataFrame], mode: str = "update", rows: int = REPLAY_ROWS) -> DataFrame:
+    """Runs use() as a stream over a whole table in the order of `at`, however its files are cut; the rows that it wrote.
+
+    The table is cut at quantiles of the time. A piece lands only when the stream has taken the one before, so each
+    piece is one micro-batch, and none holds a row older than the piece before. Rows without a time come first.
+    """
+    spark = events.sparkSession
+    source, folder = shared_folder(spark), shared_folder(spark)
+    pieces = max(1, -(-events.count() // rows))
+    micros = F.unix_micros(F.col("at").cast("timestamp"))
+    cuts = sorted(set(events.agg(F.percentile_approx(micros, [i / pieces for i in range(1, pieces)], 100 * pieces)).first()[0] or [])) if pieces > 1 else []
+    out = None
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        inside = micros.isNull() if low is None else micros > low
+        if low is None:
+            inside = inside | (micros <= high if high is not None else F.lit(True))
+        elif high is not None:
+            inside = inside & (micros <= high)
+        land(events.where(inside), source)
+        out = run_available(use(spark.readStream.schema(events.schema).parquet(source)), mode, folder)
+    return out
+
+
 def final(changes: DataFrame, key: list[str]) -> DataFrame:
     """Of an update stream's rows the last per key."""
     values = [c for c in changes.columns if c not in (*key, "batch")]
@@ -36,7 +65,10 @@ def final(changes: DataFrame, key: list[str]) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream, as log lines: batch_id, log_id, event_type, at, details."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{sf_dir}/events.parquet*")
+    return log_lines(spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{sf_dir}/events.parquet*"))
+
+
+def log_lines(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("user_id").alias("batch_id"), F.col("event_id").alias("log_id"), "event_type", F.col("ts").cast("timestamp").alias("at"), F.col("props").alias("details"))
 
 
@@ -45,9 +77,11 @@ def tail(lines: DataFrame, cursor: int = -1) -> DataFrame:
     return lines.where(F.col("log_id") > cursor)
 
 
-def daily(lines: DataFrame, late: str = "2 days") -> DataFrame:
-    """day_start, n: lines per day in India, in a tumbling window with a watermark; late lines up to the bound still count."""
-    shifted = lines.withColumn("local", F.col("at") + F.expr("interval 5 hours 30 minutes")).withWatermark("local", late)
+def daily(lines: DataFrame, late: str | None = None) -> DataFrame:
+    """day, n: lines per day in India, in a tumbling window. Every line counts, however late, and the state is one row
+    per day; with a bound (late) days behind it are closed and lines that come after that are lost."""
+    shifted = lines.withColumn("local", F.col("at") + F.expr("interval 5 hours 30 minutes"))
+    shifted = shifted.withWatermark("local", late) if late else shifted
     return shifted.groupBy(F.window("local", "1 day")).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").cast("date").alias("day"), "n")
 
 
@@ -69,8 +103,9 @@ def _advance(state: str, kind: str) -> str:
 def _states(limit_ms: int) -> Callable:
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
+            # The state stays without a timer, so that a batch that is heard of again goes on from it.
             old, last = state.get
-            state.remove()
+            state.update((old, last))
             yield pd.DataFrame({"batch_id": [key[0]], "state": ["STALE" if old == "RUNNING" else old], "last_seen": [last]})
             return
         now, last = state.get if state.exists else ("NEW", pd.Timestamp(0))
@@ -91,9 +126,10 @@ def _states(limit_ms: int) -> Callable:
 
 def batch_states(events: DataFrame, late: str = "1 hour", minutes: int = RUNNING_MINUTES) -> DataFrame:
     """batch_id, state, last_seen per batch as events come (batch_id, log_id, kind, at); a running batch that is silent for so
-    long in event time is told as STALE. State per batch is two values."""
+    long in event time is told as STALE. State per batch is two values. Events must come in about the order of time: those
+    older than the watermark are lost, and micro-batches are applied as they come; replay() puts a whole table in order."""
     marked = events.withWatermark("at", late)
     return marked.groupBy("batch_id").applyInPandasWithState(_states(minutes * 60_000), OUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
-__all__ = ["QUEUED_MINUTES", "batch_states", "daily", "events_stream", "final", "run_available", "tail"]
+__all__ = ["QUEUED_MINUTES", "batch_states", "daily", "events_stream", "final", "log_lines", "replay", "run_available", "tail"]

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from benchbook.functions import spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.operators import batches
-from benchbook.plans import text_queries
+from benchbook.plans import QUERIES, text_queries
+from benchbook.plans.source_queries import folded
+from benchbook.sources.domain import Domain
+from benchbook.streaming import logs
+from tests.conftest import DATA
 
 
 class OneCase:
@@ -55,3 +59,15 @@ def test_a_large_batch_of_events_is_folded_in_pieces(spark):
     placed = spark.createDataFrame([(1, "STARTED", 0), (1, "FAILED", 1), (2, "RESUMED", 2)], "batch_id long, kind string, place long").coalesce(1)
     maps = placed.mapInArrow(batches._transition_maps, "batch_id long, place long, ends array<int>, applied array<long>, n long").collect()
     assert [(r["batch_id"], r["place"], batches.STATES[r["ends"][0]], r["applied"][0], r["n"]) for r in maps] == [(1, 0, "FAILED", 2, 2), (2, 2, "NEW", 0, 1)]
+
+
+def test_streams_over_many_files_of_shuffled_times(spark, tmp_path, monkeypatch):
+    given = spark.read.parquet(f"{DATA}/events.parquet")
+    given.repartition(11, F.xxhash64("event_id")).write.parquet(str(tmp_path / "events.parquet"))
+    days = {r["day"]: r["n"] for r in QUERIES["cases_daily_stream"](spark, str(tmp_path)).collect()}
+    shifted = given.select((F.col("ts") + F.expr("interval 330 minutes")).cast("date").alias("day"))
+    assert days == {r["day"]: r["count"] for r in shifted.groupBy("day").count().collect()}
+    monkeypatch.setattr(logs.replay, "__defaults__", ("update", 400))
+    batch = {r["batch_id"]: r["state"] for r in folded(Domain(spark, str(tmp_path))).collect()}
+    stream = {r["batch_id"]: r["state"] for r in QUERIES["state_machine_stream"](spark, str(tmp_path)).collect()}
+    assert set(stream) == set(batch) and all(stream[k] == batch[k] or (stream[k], batch[k]) == ("STALE", "RUNNING") for k in batch)
