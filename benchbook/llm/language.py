@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from benchbook.llm.common import ids_and_texts, with_null_ids
 
 #: Bound of the labelled sample that the filter is fitted on: rows per language (those with the least
-#: hash of the id) of at most so many characters. Longer labelled rows aren't needed to learn from.
+#: hash of the id) of at most so many characters. Languages with fewer such rows are learnt from pieces of longer ones too.
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE_CHARS = 20_000
 #: n-gram length, most frequent n-grams that a language puts into the filter, slots and probes.
@@ -21,6 +21,8 @@ GRAM = 4
 GRAMS_PER_LANGUAGE = 4_000
 SLOTS = 1 << 18
 PROBES = 3
+#: Languages in one mask; more languages take more masks.
+MASK = 64
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
 SCHEMA = "doc_id long, lang_pred string, score double"
@@ -53,9 +55,13 @@ def _letters(codes: np.ndarray) -> np.ndarray:
     return _TABLE[codes]
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
 @dataclass
 class Filter:
-    """slots[i]: bitmask of the languages that set slot i. rates: each language's chance of a false positive."""
+    """slots[m, i]: bitmask of those of languages 64 * m and on that set slot i. rates: each language's chance of a false positive."""
 
     languages: list[str]
     slots: np.ndarray
@@ -72,26 +78,24 @@ class Filter:
     @classmethod
     def of(cls, found: dict[str, np.ndarray], default: str, slots: int = SLOTS) -> Filter:
         languages = sorted(found)
-        if len(languages) > 64:
-            raise ValueError("a mask holds 64 languages")
-        table = np.zeros(slots, np.uint64)
-        for bit, name in enumerate(languages):
+        table = np.zeros((-(-len(languages) // MASK), slots), np.uint64)
+        for n, name in enumerate(languages):
             for at in cls._at(found[name], slots):
-                table[at] |= np.uint64(1) << np.uint64(bit)
-        fill = np.array([np.count_nonzero(table & (np.uint64(1) << np.uint64(b))) / slots for b in range(len(languages))])
+                table[n // MASK, at] |= np.uint64(1) << np.uint64(n % MASK)
+        fill = np.array([np.count_nonzero(table[n // MASK] & (np.uint64(1) << np.uint64(n % MASK))) / slots for n in range(len(languages))])
         return cls(languages, table, fill**PROBES, default)
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         """Per language the n-grams that it contains, less those expected to be false positives."""
-        masks = np.full(len(hashes), ~np.uint64(0))
-        for at in self._at(hashes, len(self.slots)):
-            masks &= self.slots[at]
-        hits = np.array([np.count_nonzero(masks & (np.uint64(1) << np.uint64(b))) for b in range(len(self.languages))], dtype=float)
+        masks = np.full((len(self.slots), len(hashes)), ~np.uint64(0))
+        for at in self._at(hashes, self.slots.shape[1]):
+            masks &= self.slots[:, at]
+        hits = np.array([np.count_nonzero(masks[n // MASK] & (np.uint64(1) << np.uint64(n % MASK))) for n in range(len(self.languages))], dtype=float)
         return np.maximum(0, (hits - len(hashes) * self.rates) / (1 - self.rates))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language that contains most n-grams, and the share of the n-grams that it contains."""
-        if not text or not any(map(str.isalpha, text)):
+        if not has_letter(text):
             return UNKNOWN, 0.0
         hashes = grams(text)
         counts = self.counts(hashes)
@@ -104,27 +108,33 @@ class Filter:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> Filter:
     """Fits the filter on a bounded sample of labelled rows: rows with text and a language, at most rows per language.
 
-    Counts per language come first; then one scan draws the sample by a hash of the id, and it is all that
-    reaches the driver: about 1.5 * rows texts of at most chars characters for each of at most 64 languages. Rows without
-    text or language are skipped. Without labelled rows the filter knows no language and predicts `und`.
+    Counts per language come first; then a scan for every 64 languages draws the sample by a hash of the id, and it is
+    all that reaches the driver at a time: about 1.5 * rows texts of at most chars characters for each. Longer texts are
+    left out, but where a language has too few rows without them they stand for a piece of chars characters. No
+    language is left out. Rows without text or language are skipped. Without labelled rows the filter knows no
+    language and predicts `und`.
     """
-    good = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("doc_id")).where(
-        f"lang is not null and text is not null and length(text) <= {int(chars)}"
-    )
-    counts = {r["lang"]: r["count"] for r in good.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()}
+    good = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("doc_id")).where("lang is not null and text is not null")
+    short = F.length("text") <= int(chars)
+    counts = {r["lang"]: (r["n"], r["short"]) for r in good.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(short).alias("short")).orderBy(F.desc("n"), "lang").collect()}
     if not counts:
         return Filter.of({}, UNKNOWN)
-    # Each language's share of its rows is set so that half as many again as needed are drawn; the rest is cut here.
-    shares = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, (1.5 * rows + 20) / n))])
+    drawn_from = {name: some if some >= rows else n for name, (n, some) in counts.items()}
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")), F.lit(2**31))
-    some = good.withColumn("draw", draw).where(F.col("draw") < F.element_at(shares, F.col("lang")) * 2**31).toPandas()
-    some = some.sort_values(["draw", "doc_id"], kind="stable")
-    found: dict[str, np.ndarray] = {}
-    for name in counts:
-        texts = some.loc[some["lang"] == name, "text"].head(rows)
-        seen, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(grams, texts)]), return_counts=True)
-        found[name] = seen[np.argsort(-times, kind="stable")[:GRAMS_PER_LANGUAGE]]
-    return Filter.of(found, default=max(counts, key=counts.get))
+    start = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("piece")), F.greatest(F.length("text") - int(chars) + 1, F.lit(1))).cast("int") + 1
+    piece = F.when(short, F.col("text")).otherwise(F.substring("text", start, F.lit(int(chars))))
+    names, found = list(counts), {}
+    for group in (names[i : i + MASK] for i in range(0, len(names), MASK)):
+        # Each language's share of its rows is set so that half as many again as needed are drawn; the rest is cut here.
+        shares = F.create_map(*[F.lit(x) for name in group for x in (name, min(1.0, (1.5 * rows + 20) / drawn_from[name]))])
+        few = F.col("lang").isin(*[name for name in group if counts[name][1] < rows])
+        drawn = good.where(F.col("lang").isin(*group) & (short | few)).withColumn("draw", draw).where(F.col("draw") < F.element_at(shares, F.col("lang")) * 2**31)
+        some = drawn.select("lang", piece.alias("text"), "doc_id", "draw").toPandas().sort_values(["draw", "doc_id"], kind="stable")
+        for name in group:
+            texts = some.loc[some["lang"] == name, "text"].head(rows)
+            seen, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(grams, texts)]), return_counts=True)
+            found[name] = seen[np.argsort(-times, kind="stable")[:GRAMS_PER_LANGUAGE]]
+    return Filter.of(found, default=names[0])
 
 
 def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,7 +166,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """Rows of docs whose language is known with a score above least; rejects null texts and texts without letters.
+    """Rows of docs with a letter whose language has a score of at least least; by default only null texts and texts
+    without a letter are rejected. A text of unknown n-grams has a language (the most frequent one) with score 0.
 
     The filter is a column, so rows with all their columns stay where they are: no shuffle.
     """
@@ -165,6 +176,6 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
         found = [model.value.predict(t) for t in texts]
-        return pd.Series([name != UNKNOWN and score > least for name, score in found], dtype=bool)
+        return pd.Series([has_letter(t) and score >= least for t, (_, score) in zip(texts, found, strict=True)], dtype=bool)
 
     return docs.where(known(F.col("text").cast("string")))
