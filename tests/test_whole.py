@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from benchbook.functions import spans, text
 from benchbook.functions import vocabulary as v
-from benchbook.operators import batches
+from benchbook.operators import batches, entities
 from benchbook.plans import QUERIES, text_queries
 from benchbook.plans.source_queries import folded
 from benchbook.sources.domain import Domain
@@ -71,3 +71,18 @@ def test_streams_over_many_files_of_shuffled_times(spark, tmp_path, monkeypatch)
     batch = {r["batch_id"]: r["state"] for r in folded(Domain(spark, str(tmp_path))).collect()}
     stream = {r["batch_id"]: r["state"] for r in QUERIES["state_machine_stream"](spark, str(tmp_path)).collect()}
     assert set(stream) == set(batch) and all(stream[k] == batch[k] or (stream[k], batch[k]) == ("STALE", "RUNNING") for k in batch)
+
+
+def test_statutes_of_one_name_meet(spark):
+    sentences = [
+        (1, 0, "Section 5 of the Wakf Boards Act applies."), (1, 1, "Section 6 of the Bakf Boards Act too."), (2, 0, "Section 302 of the IPC applies."), (2, 1, "Section 34 of the Indian Penal Code too."),
+        (3, 0, "Section 7 of the Arms Act holds."), (3, 1, "The Constitution is supreme."), (3, 2, "Section 9 fails."), (3, 3, "The Arms Act is old."), (3, 4, "But article 21 holds."),
+    ]
+    frame = spark.createDataFrame(sentences, "case_id int, sentence int, text string")
+    got = sorted((r["case_id"], r["provision"], r["statute"]) for r in entities.paired_provisions(entities.entity_spans(frame)).collect())
+    assert got == [
+        (1, "Section 5", "Wakf Boards Act"), (1, "Section 6", "Wakf Boards Act"), (2, "Section 302", "Indian Penal Code"), (2, "Section 34", "Indian Penal Code"),
+        (3, "Section 7", "Arms Act"), (3, "Section 9", "Arms Act"), (3, "article 21", "Constitution"),
+    ]
+    spelt = spark.createDataFrame([(1, 0, 0, "STATUTE", "The Police Act"), (1, 1, 0, "STATUTE", "Police Act"), (1, 2, 0, "STATUTE", "Forest Act")], "case_id int, sentence int, start int, label string, text string")
+    assert {r["text"]: r["statute"] for r in entities.canonical_statutes(spelt).collect()} == {"The Police Act": "The Police Act", "Police Act": "The Police Act", "Forest Act": "Forest Act"}
