@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import without
+from benchbook.llm.common import BROADCAST_IDS, materialize, without
 
 #: What doesn't count when texts are compared.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -16,13 +16,18 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, "")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_hashes: int = BROADCAST_IDS
+) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Texts are equal if their normalised bytes are: the group key is the 128-bit hash with the text
-    behind it, so rows that merely share a hash land in different groups. The aggregation combines
-    on the map side, where all copies in a partition become one row; no task gathers a group. The
-    decisions return to the rows by a join on hash and digest whose larger side Spark can split.
+    Rows are grouped by the 128-bit hash of their normalised text. A hash of one row is a class of its
+    own, so its text never travels. Where a hash repeats, the bytes are compared: the texts behind
+    such hashes are grouped by hash and text, so rows that merely share a hash land in different
+    classes. That aggregation combines on the map side, where all copies in a partition become one
+    row; no task gathers a group. Up to broadcast_hashes repeated hashes pick their rows in place;
+    beyond that they are joined with the rows by the hash. The classes return to the rows by hash
+    and digest, a join whose larger side Spark can split.
 
     Of equal texts the longest original (in code points) stays, then the smallest id.
     Null text: equal to the empty text. Null id: sorts last. Rows that repeat an id are one document
@@ -31,17 +36,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select(
         "doc_id", F.coalesce(F.char_length("text"), F.lit(0)).alias("n"), normalised(F.col("text")).alias("norm")
     )
-    # One number orders the rows of a group, so that a hash aggregate can hold it.
-    order = -F.col("n").cast("decimal(10,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.coalesce("doc_id", F.lit(2**63 - 1)).cast("decimal(20,0)")
-    classes = (
-        texts.withColumn("hash", F.md5("norm"))
-        .groupBy("hash", "norm")
-        .agg(F.min_by("doc_id", order).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("hash", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
+    hashed = texts.withColumn("hash", F.unhex(F.md5("norm")))
+    # Digests once, in a table of some sixty bytes a row; all that follows reads it.
+    rows = materialize(hashed.select("doc_id", "n", "hash", F.unhex(F.sha2("norm", 256)).alias("digest")))
+    # One number orders the rows of a group, so that a hash aggregate can hold it: ids span less than 2 * 10**19.
+    order = -F.col("n").cast("decimal(10,0)") * F.lit("1" + "0" * 20).cast("decimal(21,0)") + F.coalesce("doc_id", F.lit(2**63 - 1)).cast("decimal(20,0)")
+    best = [F.min_by("doc_id", order).alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
+    sizes = materialize(rows.groupBy("hash").agg(*best, F.first("digest").alias("digest")))
+    repeated = sizes.where("group_size > 1").select("hash")
+    few = repeated.limit(broadcast_hashes + 1).count() <= broadcast_hashes
+    compared = hashed.join(F.broadcast(repeated) if few else repeated, "hash", "left_semi").groupBy("hash", "norm").agg(*best)
+    classes = sizes.where("group_size = 1").select("hash", "digest", "keep_id", "group_size").unionByName(
+        compared.select("hash", F.unhex(F.sha2("norm", 256)).alias("digest"), "keep_id", "group_size")
     )
-    rows = texts.select("doc_id", F.md5("norm").alias("hash"), F.sha2("norm", 256).alias("text_sha256"))
-    return rows.join(classes, ["hash", "text_sha256"]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+    return rows.join(classes, ["hash", "digest"]).select(
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 

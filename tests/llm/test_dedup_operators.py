@@ -32,6 +32,23 @@ def test_exact_dedup_repeats_ties_and_empty(spark):
     assert [r[0] for r in rows(kept, "doc_id")] == [2, 6, 7, 8, 9, 10, 11, 12, 13, 14]
 
 
+def test_exact_dedup_orders_ids_at_both_ends_of_long(spark):
+    far = 9 * 10**18
+    texts = [(far, "a b c"), (-far, "abc "), (2**63 - 1, "x y"), (-(2**63), "xy "), (None, "q"), (None, "q "), (-5, "q"), (None, "only")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for broadcast in (1_000_000, 0):
+        found = sorted(tuple(r)[:4] for r in exact_dedup.exact_dedup(docs, broadcast_hashes=broadcast).collect() if r["doc_id"] is not None)
+        assert found == [(-(2**63), -(2**63), 2, True), (-far, far, 2, False), (-5, None, 3, False), (far, far, 2, True), (2**63 - 1, -(2**63), 2, False)]
+        nulls = sorted(tuple(r)[1:4] for r in exact_dedup.exact_dedup(docs, broadcast_hashes=broadcast).collect() if r["doc_id"] is None)
+        assert nulls == [(None, 1, True), (None, 3, True), (None, 3, True)]
+
+
+def test_exact_dedup_tells_texts_of_one_hash_apart(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b "), (4, "c")], "doc_id long, text string")
+    monkeypatch.setattr(exact_dedup.F, "md5", lambda c: exact_dedup.F.lit("00" * 16))
+    assert rows(exact_dedup.exact_dedup(docs), "doc_id", "keep_id", "group_size", "kept") == [(1, 1, 1, True), (2, 3, 2, False), (3, 3, 2, True), (4, 4, 1, True)]
+
+
 def brute_fingerprint(text, n=3):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
