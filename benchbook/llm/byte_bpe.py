@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from benchbook.llm import tokenizers_ as tok
 from benchbook.llm.common import ids_and_texts, with_null_ids
 
-#: Texts up to this many characters are leaves of the tree.
-LEAF = 16_384
+#: Stretches up to this many characters are leaves of the tree; in decoding stretches of a quarter as many ids,
+#: since an id stands for about four characters. Nearly every document is longer, so it goes through the tree.
+LEAF = 256
 #: First reach of the window on either side of a seam, in characters; it doubles until it suffices.
-REACH = 64
+REACH = 16
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
 #: No match of the split pattern spans a place between a non-blank and a blank, and no look-ahead
 #: of a match that ends there passes it. So what stands before and after is encoded independently
@@ -28,6 +29,7 @@ def join(text: str, left: list[int], middle: int, right: list[int], encoding, st
 
     The window reaches from the last safe seam before middle to the first after it, and grows until
     both exist or a side is used up. Ids outside it can't change; those inside are encoded anew.
+    A text without any blank has no seams: it is encoded again at each of its log n levels.
     """
     lo = hi = middle
     while True:
@@ -61,9 +63,9 @@ def encode_tree(text: str, encoding, leaf: int = LEAF, start: int = 0, end: int
     return join(text, encode_tree(text, encoding, leaf, start, middle), middle, encode_tree(text, encoding, leaf, middle, end), encoding, start, end)
 
 
-def decode_tree(ids: list[int], encoding, leaf: int = LEAF) -> bytes:
-    """Bytes of the ids: concatenation is the monoid's product, so leaves are decoded apart and laid end to end."""
-    if len(ids) <= leaf:
+def decode_tree(ids: list[int], encoding, leaf: int = LEAF // 4) -> bytes:
+    """Bytes of the ids: concatenation is the monoid's product, so halves are decoded apart and laid end to end."""
+    if len(ids) <= max(leaf, 1):
         return encoding.decode_bytes(ids)
     middle = len(ids) // 2
     return decode_tree(ids[:middle], encoding, leaf) + decode_tree(ids[middle:], encoding, leaf)
@@ -80,7 +82,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         encoding = tok.ranked(ranks)
         for batch in batches:
             ids = [encode_tree(t or "", encoding, leaf) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids, "decoded": [decode_tree(i, encoding, leaf) for i in ids]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids, "decoded": [decode_tree(i, encoding, leaf // 4) for i in ids]})
 
     return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, SCHEMA))
 
@@ -99,7 +101,7 @@ def encode_decode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = encode_tree(text or "", encoding, leaf)
                 said = " ".join(map(names.__getitem__, ids)).encode()
-                rows.append((doc, len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(decode_tree(ids, encoding, leaf)).hexdigest()))
+                rows.append((doc, len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(decode_tree(ids, encoding, leaf // 4)).hexdigest()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
 
     return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, DIGEST_SCHEMA))

@@ -51,7 +51,7 @@ def test_packing_of_any_lengths(lengths):
 
 
 def test_sum_of_squares_takes_the_least_change():
-    packer = packing.SumOfSquares(16)
+    packer = packing.SumOfSquares(16, grain=1)
     rng = np.random.default_rng(1)
     for size in rng.integers(1, 16, 400):
         before = packer.counts.copy()
@@ -67,6 +67,42 @@ def test_sum_of_squares_takes_the_least_change():
         assert int((packer.counts[1:16] ** 2).sum()) == min(allowed)
 
 
+@given(st.lists(st.integers(1, 3000), max_size=80), st.sampled_from([1, 16, 64, 1024]))
+@settings(deadline=None, max_examples=60)
+def test_packing_at_any_grain(lengths, grain):
+    ids = {i: np.arange(n, dtype="<u4") for i, n in enumerate(lengths)}
+    names = [c.split()[0] for c in packing.SCHEMA.split(", ")]
+    found = [dict(zip(names, r, strict=True)) for r in packing.pack_partition(iter(ids.items()), 1024, 3, grain)]
+    check_pieces(found, ids)
+    fills = [sum(r["length"] for r in found if r["sequence_id"] == s) for s in {r["sequence_id"] for r in found}]
+    assert sum(f < 1024 for f in fills) == bin(sum(lengths) % 1024).count("1")
+
+
+def test_most_remainders_stay_where_the_method_put_them(monkeypatch):
+    rng, opened = np.random.default_rng(2), []
+    real = packing.topped_up
+    monkeypatch.setattr(packing, "topped_up", lambda windows, capacity: real(opened.append(sum(len(w[1]) for w in windows)) or windows, capacity))
+    docs = [(i, np.zeros(int(n), dtype="<u4")) for i, n in enumerate(rng.lognormal(6, 1, 4000).astype(int) + 1)]
+    assert len(list(packing.pack_partition(iter(docs), 1024, 0))) > 4000
+    assert opened[0] < 0.08 * len(docs)
+
+
+def test_topping_up_leaves_the_fullest_alone():
+    piece = lambda doc, n: (doc, 0, np.zeros(n, dtype="<u4"), n)
+    windows = [(900, [piece(1, 900)]), (600, [piece(2, 400), piece(3, 200)]), (100, [piece(4, 100)]), (60, [piece(5, 60)])]
+    found = [[(p[0], len(p[2])) for p in w] for w in packing.topped_up(windows, 1024)]
+    # 1660 ids: one full window, then 512, 64, 32, 16, 8 and 4 of those that are left.
+    assert found[0] == [(1, 900), (5, 60), (4, 64)]
+    assert [sum(n for _, n in w) for w in found] == [1024, 512, 64, 32, 16, 8, 4]
+    assert {d: sum(n for w in found for e, n in w if e == d) for d in range(1, 6)} == {1: 900, 2: 400, 3: 200, 4: 100, 5: 60}
+
+
+def test_packing_of_repeated_rows(spark):
+    docs = documents(spark, repeat=(1, 12)).coalesce(1)
+    found = packing.pack(docs).where("doc_id in (1, 12)").groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in found} == {i: 2 * (len(library_ids(dict(TEXTS)[i])) + 1) for i in (1, 12)}
+
+
 def test_byte_bpe_against_the_library(spark):
     encoding = tok.ranked(tok.BYTE_BPE_RANKS)
     found = {r["doc_id"]: r for r in byte_bpe.encode_decode_digests(documents(spark), leaf=100).collect()}
@@ -77,6 +113,7 @@ def test_byte_bpe_against_the_library(spark):
         assert found[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert found[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
     assert byte_bpe.encode_decode_digests(empty(spark)).count() == 0
+    assert len(set(rows(byte_bpe.encode_decode_digests(documents(spark, repeat=(1,))).where("doc_id = 1"), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))) == 1
 
 
 @given(st.text(alphabet=st.sampled_from(list("ab 'sreltdvmTß日́\n\t \x1c\x85 12!?😀")), max_size=120), st.integers(1, 9))
