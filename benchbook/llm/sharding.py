@@ -11,8 +11,10 @@ from benchbook.llm.common import materialize
 SAMPLE_ROWS = 16_384
 #: Ranges per shard; a range is the grain in which bytes are dealt.
 RANGES_PER_SHARD = 128
-#: A range over this multiple of the mean is cut into parts.
+#: A range over this multiple of the mean, of bytes or of rows, is cut into parts.
 OVERFULL = 2.0
+#: Rows of a part at most, about: what one task sorts to number them.
+PART_ROWS = 1_000_000
 
 
 def range_of(key: Column, bounds: list[int]) -> Column:
@@ -30,17 +32,18 @@ def range_of(key: Column, bounds: list[int]) -> Column:
 
 def shard_by_bytes(
     docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-    sample_rows: int = SAMPLE_ROWS, ranges_per_shard: int = RANGES_PER_SHARD,
+    sample_rows: int = SAMPLE_ROWS, ranges_per_shard: int = RANGES_PER_SHARD, part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Deals all rows to shards of nearly equal bytes: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     The key is the text's hash, so equal texts share a range and, as a rule, a shard. A sample of
     about sample_rows rows, drawn with a chance in proportion to their size, gives the boundaries of
-    shards * ranges_per_shard ranges at quantiles of its weight. A range that turns out overfull is cut
-    into parts by the hash of the key, and a key that alone is overfull (a large group of copies) by the id. Range totals, a table
-    of bounded size, are laid end to end and each range goes to the shard where its middle falls;
-    that makes shards differ by about a range (1/ranges_per_shard of a shard) or by one text that is
-    larger. Slots number a shard's rows from 0: rows of earlier ranges, then the place in the range.
+    shards * ranges_per_shard ranges at quantiles of its weight. A range that turns out overfull, in bytes or in
+    rows (a third of all texts may be empty), is cut into parts by the hash of the key, and a key that
+    alone is overfull (a large group of copies) by the id. No part has many more than part_rows rows, so
+    parts grow with the table and the tasks that number rows don't. Totals of the parts are laid end
+    to end and each goes to the shard where its middle falls; that makes shards differ by about a
+    range (1/ranges_per_shard of a shard) or by one text that is larger. Slots number a shard's rows from 0: rows of earlier ranges, then the place in the range.
 
     size is the UTF-8 length plus 1. Null text: size 1, crc32 0. Rows that repeat are rows of their
     own. Null id: kept. Empty table: no rows.
@@ -51,7 +54,8 @@ def shard_by_bytes(
             "doc_id", (F.octet_length("text") + 1).cast("long").alias("size"), F.crc32("text").alias("text_crc32"), F.xxhash64("text").alias("key")
         )
     )
-    total = keyed.agg(F.sum("size")).first()[0] or 0
+    total, n_rows = keyed.agg(F.sum("size"), F.count(F.lit(1))).first()
+    total = total or 0
     # The chance is size / (total / sample_rows); u is a fixed number in [0, 1) for the row.
     share = F.col("size") * F.lit(float(sample_rows) / max(total, 1))
     u = F.pmod(F.xxhash64("doc_id", "key", F.lit("draw")), F.lit(2**31)) / F.lit(float(2**31))
@@ -61,15 +65,16 @@ def shard_by_bytes(
     bounds = sorted({int(x) for x in cuts})
     ranged = keyed.withColumn("range", range_of(F.col("key"), bounds))
 
-    # At most one row per range reaches the driver's plan: ranges is a parameter, not a data size.
-    mean = max(1.0, total / ranges)
-    parts = ranged.groupBy("range").agg(F.sum("size").alias("bytes")).select("range", F.greatest(F.ceil(F.col("bytes") / F.lit(OVERFULL * mean)), F.lit(1)).cast("long").alias("parts"))
-    # Parts follow the key, so that equal texts stay together; only keys that alone overfill a range (at most
-    # ranges / OVERFULL of them) are cut by the id.
-    hot = keyed.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > F.lit(OVERFULL * mean)).select("key", F.lit(True).alias("hot"))
+    # At most one row per range is broadcast: ranges is a parameter, not a data size.
+    most_bytes, most_rows = OVERFULL * max(1.0, total / ranges), min(OVERFULL * max(1.0, n_rows / ranges), part_rows)
+    sized = [F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")]
+    share = F.greatest(F.ceil(F.col("bytes") / F.lit(most_bytes)), F.ceil(F.col("rows") / F.lit(float(most_rows))))
+    parts = ranged.groupBy("range").agg(*sized).select("range", share.cast("long").alias("parts"))
+    # Parts follow the key, so that equal texts stay together; only keys that alone overfill a part are cut by the id.
+    hot = keyed.groupBy("key").agg(*sized).where((F.col("bytes") > F.lit(most_bytes)) | (F.col("rows") > F.lit(most_rows))).select("key", F.lit(True).alias("hot"))
     grain = F.when(F.col("hot"), F.xxhash64("doc_id", "key")).otherwise(F.xxhash64("key", F.lit("part")))
     cut = ranged.join(F.broadcast(parts), "range").join(F.broadcast(hot), "key", "left").withColumn("part", F.when(F.col("parts") > 1, F.pmod(grain, F.col("parts"))).otherwise(F.lit(0)))
-    sums = cut.groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    sums = cut.groupBy("range", "part").agg(*sized)
     line = Window.orderBy("range", "part")
     before = F.sum("bytes").over(line.rowsBetween(Window.unboundedPreceding, -1))
     middle = F.coalesce(before, F.lit(0)) + F.col("bytes") / 2

@@ -22,6 +22,33 @@ def test_sharding_law(spark):
     assert all(r["size"] == len(text[r["doc_id"]].encode()) + 1 and r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode()) for r in found)
 
 
+def test_sharding_cuts_a_hot_key_by_rows(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "if(id % 3 = 0, null, concat('text ', repeat('w', cast(id % 90 as int)), id)) as text")
+    found = sharding.shard_by_bytes(docs, part_rows=100).collect()
+    assert sum(r["size"] == 1 for r in found) == 1334
+    for s in range(8):
+        assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(sum(r["shard"] == s for r in found)))
+    sizes = [sum(r["size"] for r in found if r["shard"] == s) for s in range(8)]
+    assert max(sizes) - min(sizes) < 0.05 * max(sizes)
+
+
+def test_sharding_against_a_second_way(spark):
+    """Ranges, parts and shards computed again from the rows, without Spark: whole texts in one range, ranges in order, slots by range, key and id."""
+    docs = spark.createDataFrame([(i, f"text {i % 700} " * (i % 40)) for i in range(2000)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in sharding.shard_by_bytes(docs, shards=4, ranges_per_shard=8, sample_rows=500).collect()}
+    keys = {r["doc_id"]: r["k"] for r in docs.selectExpr("doc_id", "xxhash64(text) as k").collect()}
+    # Shards follow the order of the keys, but for keys that alone overfill a part, and slots follow it within a shard.
+    by_key = {}
+    for i, k in keys.items():
+        by_key.setdefault(k, set()).add(found[i]["shard"])
+    whole = [(k, s) for k, s in sorted(by_key.items()) if len(s) == 1]
+    shards = [min(s) for _, s in whole]
+    assert sum(a > b for a, b in zip(shards, shards[1:], strict=False)) <= 8 and len(whole) > 0.98 * len(by_key)
+    total = sum(r["size"] for r in found.values())
+    for s in range(4):
+        assert abs(sum(r["size"] for r in found.values() if r["shard"] == s) - total / 4) < total / 16
+
+
 def test_sharding_edges(spark):
     assert sharding.shard_by_bytes(empty(spark)).count() == 0
     found = sharding.shard_by_bytes(documents(spark, repeat=(5, 12))).collect()
