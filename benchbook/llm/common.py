@@ -58,17 +58,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Ids that without() broadcasts at most; 8 bytes each.
+#: Ids that without() and within() broadcast at most; 8 bytes each.
 BROADCAST_IDS = 1_000_000
 
 
-def without(rows: DataFrame, ids: DataFrame, id_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """rows whose id isn't in ids (one column, id; longs). Rows with a null id stay.
-
-    ids are written first and counted: up to broadcast_ids they are broadcast and rows stay where they
-    are; beyond that both sides are shuffled.
-    """
+def _picked(rows: DataFrame, ids: DataFrame, id_col: str, how: str, broadcast_ids: int) -> DataFrame:
+    """rows joined to ids (one column, id; longs). ids are written first and counted: up to broadcast_ids they are
+    broadcast and rows stay where they are; beyond that both sides are shuffled."""
     ids = materialize(ids.select(F.col("id").cast("long").alias("__id")).where("__id is not null").distinct())
     few = ids.limit(broadcast_ids + 1).count() <= broadcast_ids
     ids = F.broadcast(ids) if few else ids.hint("merge")
-    return rows.join(ids, F.col(id_col).cast("long") == F.col("__id"), "left_anti")
+    return rows.join(ids, F.col(id_col).cast("long") == F.col("__id"), how)
+
+
+def without(rows: DataFrame, ids: DataFrame, id_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """rows whose id isn't in ids. Rows with a null id stay."""
+    return _picked(rows, ids, id_col, "left_anti", broadcast_ids)
+
+
+def within(rows: DataFrame, ids: DataFrame, id_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """rows whose id is in ids."""
+    return _picked(rows, ids, id_col, "left_semi", broadcast_ids)

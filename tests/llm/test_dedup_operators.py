@@ -79,7 +79,15 @@ def test_simhash_against_brute_force(spark):
     want = sorted([(i, f"{prints[i]:016x}", roots[i]) for i in [*prints, 3]])
     assert found == want
     assert simhash.near_dedup(empty(spark)).count() == 0
-    assert simhash.keep_one(documents(spark)).columns == documents(spark).columns
+
+
+def test_two_bit_links_against_all_pairs_of_real_fingerprints(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prints = np.unique(np.array([r["fp"] for r in simhash.fingerprints(docs).collect()], np.int64))
+    far = np.bitwise_count(prints[:, None].view(np.uint64) ^ prints[None].view(np.uint64))
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(far <= 2), strict=True) if i < j}
+    nodes = spark.createDataFrame([(n, int(p)) for n, p in enumerate(prints)], "node long, fp long")
+    assert {(min(r), max(r)) for r in simhash.near_links(nodes).collect()} == want
 
 
 @pytest.mark.parametrize("pairwise", [2, 48])
@@ -124,6 +132,83 @@ def test_runs_over_batches():
         assert sorted(x for r in runs if r[4] for x in r[3]) == list(range(10, 130))
 
 
+def brute_shingles(text, n=5):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def brute_similar(texts, least=0.8):
+    """Smallest id of each id's group of texts connected by a Jaccard similarity of five-word shingles of at least `least`."""
+    sets = {i: brute_shingles(t) for i, t in texts.items()}
+    root = {i: i for i in texts}
+    links = [(i, j) for i in sets for j in sets if i < j and (len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]))]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            if root[i] != root[j]:
+                root[i] = root[j] = min(root[i], root[j])
+                changed = True
+    return root
+
+
+def near_copies(groups=12, copies=9, length=300, seed=3):
+    """Texts in groups of copies with some words changed, so that similarities lie on both sides of 0.8."""
+    rng, texts = random.Random(seed), {}
+    for g in range(groups):
+        base = [f"w{rng.randrange(4000)}" for _ in range(length)]
+        for c in range(copies):
+            words = list(base)
+            for _ in range(c):
+                words[rng.randrange(length)] = f"x{rng.randrange(10**6)}"
+            texts[1000 * c + g] = " ".join(words)
+    return texts
+
+
+def test_keep_one_against_brute_force(spark):
+    texts = near_copies() | {90_000 + i: t for i, t in TEXTS} | {95_000: "word word", 95_001: "WORD  word"}
+    roots = brute_similar(texts)
+    docs = spark.createDataFrame([*texts.items(), (None, texts[0]), (95_000, "word word")], "doc_id long, text string").repartition(3)
+    kept = [r["doc_id"] for r in simhash.keep_one(docs).collect()]
+    want = {i for i in texts if roots[i] == i}
+    assert len(texts) - len(want) > 60 and kept.count(None) == 1 and kept.count(95_000) == 2
+    # No clean document goes; of the others fingerprints may miss a few.
+    assert want <= set(kept) and len(set(kept) - {None} - want) <= 0.05 * (len(texts) - len(want))
+    assert simhash.keep_one(documents(spark, repeat=(3,))).columns == documents(spark).columns
+    assert simhash.keep_one(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("block", [4, 64, 1000])
+def test_runs_of_any_length_are_spanned(block):
+    rng = np.random.default_rng(1)
+    centres = rng.integers(0, 2**62, size=(5, 2))
+    fps, nodes = [], []
+    for n in range(300):
+        f = centres[n % 5].copy()
+        for _ in range(n % 4):
+            f[rng.integers(2)] ^= np.int64(1) << np.int64(rng.integers(62))
+        fps.append(f)
+        nodes.append(n)
+    fps = np.array(fps).view(np.uint64)
+    links = list(simhash._linked_run(fps, np.array(nodes), 8, block))
+    assert all(i % 5 == j % 5 for i, j in links) and 295 <= len(links) < 2 * 300
+    root = list(range(300))
+    for _ in root:
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    assert len(set(root)) == 5
+
+
+def test_wide_fingerprint_against_brute_force():
+    for _, text in TEXTS:
+        found = simhash.wide_fingerprint(text, 6, 21)
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")) if w]
+        hashes = [int.from_bytes(xxhash.xxh3_128_digest(" ".join(words[i : i + 2]).encode(), 42), "big") for i in range(max(1, len(words) - 1))] if words else []
+        bits = [2 * sum(h >> (127 - b) & 1 for h in hashes) > len(hashes) for b in range(126)]
+        assert list(found) == [sum(bits[21 * s + i] << i for i in range(21)) for s in range(6)]
+
+
 def test_components_of_chain_star_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     found = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
