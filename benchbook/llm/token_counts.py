@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 from benchbook.llm import tokenizers_ as tok
 from benchbook.llm.common import ids_and_texts, with_null_ids
 
-#: Rows of the sample that the frequent table is counted on, their length, and the table's entries. They only
-#: concern speed: a pre-token that isn't in the table is encoded.
-SAMPLE_ROWS = 2_000
-SAMPLE_CHARS = 20_000
+#: Entries of the table of frequent pre-tokens, entries that a task sends in for it, and pre-tokens that a task counts
+#: at a time. They only concern speed: a pre-token that isn't in the table is encoded.
 TABLE_ENTRIES = 65_536
+TASK_ENTRIES = 16_384
+COUNTED = 1_000_000
 #: Pre-tokens that a worker remembers beyond the table.
 CACHE_ENTRIES = 500_000
 #: The file's split pattern, for plain characters in lower case.
@@ -34,10 +35,13 @@ def byte_characters() -> dict[int, int]:
 class Lengths(dict):
     """Pre-token to number of tokens; a miss goes to the library's BPE model and is remembered, up to a bound."""
 
-    def __init__(self, table: dict[str, int], path: str, entries: int = CACHE_ENTRIES):
-        super().__init__(table)
-        self.path, self.most = path, len(table) + entries
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self.path, self.most = path, entries
         self.model, self.characters = tok.library(path).model, byte_characters()
+        self.bytes = {chr(c): b for b, c in ({b: b for b in range(256)} | self.characters).items()}
+        self.find, self.special = re.compile(PRE_TOKEN).findall, tok.special_strings(path)
+        self.split = re.compile("|".join(map(re.escape, self.special)) or r"(?!)").split
 
     def __missing__(self, word: str) -> int:
         n = len(self.model.tokenize(word.encode().decode("latin-1").translate(self.characters)))
@@ -45,32 +49,63 @@ class Lengths(dict):
             self[word] = n
         return n
 
+    def learn(self, table: dict[str, int]) -> None:
+        """Adds a table of frequent pre-tokens, unless it is in already."""
+        if not self.keys() >= table.keys():
+            self.update(table)
+            self.most = max(self.most, len(table) + CACHE_ENTRIES)
 
-def count(text: str, lengths: Lengths, find, special: tuple[str, ...]) -> int:
-    """Tokens of a text. A text with other than plain characters or with special strings goes to the library whole."""
-    if tok.PLAIN.fullmatch(text) and not any(s in text for s in special):
-        return sum(map(lengths.__getitem__, find(text.lower())))
-    return len(tok.library(lengths.path).encode(text, add_special_tokens=False).ids)
+    def words(self, text: str) -> tuple[int, list[str]]:
+        """The special strings in a text, which are a token each, and the pre-tokens of all else.
 
+        Texts of plain characters are split by PRE_TOKEN, others by the file's own normaliser and pre-tokenizer.
+        """
+        if tok.PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return 0, self.find(text.lower())
+        library, parts = tok.library(self.path), self.split(text)
+        pieces = [p for part in parts for p, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(part))]
+        return len(parts) - 1, [bytes(map(self.bytes.__getitem__, p)).decode() for p in pieces]
 
-def frequent(docs: DataFrame, path: str, text_col: str, rows: int = SAMPLE_ROWS, entries: int = TABLE_ENTRIES) -> dict[str, int]:
-    """Token lengths of the most frequent pre-tokens of the first rows that Spark finds, texts of up to SAMPLE_CHARS characters.
+    def count(self, text: str) -> int:
+        special, words = self.words(text)
+        return special + sum(map(self.__getitem__, words))
 
-    The bounded sample is taken partition after partition, without a shuffle, and counted here.
+
+@lru_cache(maxsize=2)
+def of_worker(path: str) -> Lengths:
+    """One cache for a worker process, however many tasks it runs."""
+    return Lengths(path)
+
+
+def frequent(docs: DataFrame, path: str, text_col: str, entries: int = TABLE_ENTRIES) -> dict[str, int]:
+    """Token lengths of the most frequent pre-tokens of all rows.
+
+    Each task counts its own pre-tokens and sends in the most frequent ones with their counts; these few rows are
+    all that is shuffled. The table is of bounded size.
     """
-    some = docs.select(F.col(text_col).cast("string").alias("text")).where(F.length("text") <= SAMPLE_CHARS).limit(rows).toPandas()["text"]
-    seen: Counter[str] = Counter()
-    for text in some:
-        if tok.PLAIN.fullmatch(text):
-            seen.update(re.findall(PRE_TOKEN, text.lower()))
-    library = tok.library(path)
-    return {w: len(library.encode(w, add_special_tokens=False).ids) for w, _ in seen.most_common(entries)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lengths, seen = of_worker(path), Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                seen.update(lengths.words(text or "")[1])
+            if len(seen) > COUNTED:
+                seen = Counter(dict(seen.most_common(COUNTED // 2)))
+        best = seen.most_common(TASK_ENTRIES)
+        yield pd.DataFrame({"word": [w for w, _ in best], "n": [n for _, n in best]}).astype({"word": object, "n": "int64"})
+
+    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    lengths = Lengths(path)
+    return {r["word"]: lengths[r["word"]] for r in counts.orderBy(F.desc("n"), "word").limit(entries).collect()}
 
 
 def token_counts(
     docs: DataFrame, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = tok.WORD_BPE_JSON
 ) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_tokens as the tokenizers library counts them, over_limit. One pass, no shuffle.
+    """Per document: doc_id, n_bytes, n_tokens as the tokenizers library counts them, over_limit.
+
+    Two passes over the texts, one for the table of frequent pre-tokens; no text and no pre-token beyond
+    that table's candidates is shuffled.
 
     Null text: 0 bytes, 0 tokens. Null id: kept. Repeated rows: a row each. Strings of special tokens
     inside a text count as the library's default has it (one token). Empty table: no rows.
@@ -78,11 +113,11 @@ def token_counts(
     table = docs.sparkSession.sparkContext.broadcast(frequent(docs, tokenizer, text_col))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lengths, find = Lengths(table.value, tokenizer), re.compile(PRE_TOKEN).findall
-        special = tok.special_strings(tokenizer)
+        lengths = of_worker(tokenizer)
+        lengths.learn(table.value)
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
-            counts = [count(t, lengths, find, special) for t in texts]
+            counts = [lengths.count(t) for t in texts]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": counts, "over_limit": [n > limit for n in counts]})
 
     return with_null_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(run, SCHEMA))

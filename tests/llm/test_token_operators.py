@@ -142,11 +142,20 @@ def test_token_counts_against_the_library(spark):
 @given(st.text(alphabet=st.characters(max_codepoint=0x17F), max_size=60))
 @settings(deadline=None, max_examples=300)
 def test_counts_of_any_latin_text(text):
-    import re
+    assert token_counts.Lengths(tok.WORD_BPE_JSON).count(text) == len(tok.library(tok.WORD_BPE_JSON).encode(text, add_special_tokens=False).ids)
 
-    lengths = token_counts.Lengths({}, tok.WORD_BPE_JSON)
-    n = token_counts.count(text, lengths, re.compile(token_counts.PRE_TOKEN).findall, tok.special_strings(tok.WORD_BPE_JSON))
-    assert n == len(tok.library(tok.WORD_BPE_JSON).encode(text, add_special_tokens=False).ids)
+
+@given(st.lists(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(["<|endoftext|>", "<|startoftext|>", "'s", "é", "İ", "Σ", "\u00a0", "日"])), max_size=40).map("".join))
+@settings(deadline=None, max_examples=300)
+def test_counts_of_any_text(text):
+    assert token_counts.Lengths(tok.WORD_BPE_JSON).count(text) == len(tok.library(tok.WORD_BPE_JSON).encode(text, add_special_tokens=False).ids)
+
+
+def test_the_table_holds_the_most_frequent_words_of_all_rows(spark):
+    docs = spark.createDataFrame([(i, "the cat sat on the mat " * 3 + f"word{i} Σίσυφος" if i < 90 else "zebra") for i in range(100)], "doc_id long, text string").repartition(5)
+    found = token_counts.frequent(docs, tok.WORD_BPE_JSON, "text", entries=8)
+    assert list(found)[:1] == ["the"] and {"cat", "sat", "on", "mat"} <= set(found) and "σίσυφος" in found
+    assert all(n == len(tok.library(tok.WORD_BPE_JSON).encode(w, add_special_tokens=False).ids) for w, n in found.items())
 
 
 @given(st.text(alphabet=st.characters(max_codepoint=0x17F), max_size=60))
