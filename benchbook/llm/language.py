@@ -7,12 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from benchbook.llm.common import ids_and_texts, with_null_ids
 
-#: Bound of the labelled sample that the filter is fitted on: rows per language (those with the least
+#: Bound of the labelled sample that the filter is fitted on: rows per language (drawn by a
 #: hash of the id) of at most so many characters. Languages with fewer such rows are learnt from pieces of longer ones too.
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE_CHARS = 20_000
@@ -106,35 +106,39 @@ class Filter:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> Filter:
-    """Fits the filter on a bounded sample of labelled rows: rows with text and a language, at most rows per language.
-
-    Counts per language come first; then a scan for every 64 languages draws the sample by a hash of the id, and it is
-    all that reaches the driver at a time: about 1.5 * rows texts of at most chars characters for each. Longer texts are
-    left out, but where a language has too few rows without them they stand for a piece of chars characters. No
-    language is left out. Rows without text or language are skipped. Without labelled rows the filter knows no
-    language and predicts `und`.
+    """Fits the filter on a bounded sample of labelled rows: rows with text and a language, about `rows` per language.
+
+    Counts per language come first; then one scan draws the sample by a hash of the id, each language with
+    a share of its own. Longer texts than chars characters are left out, but where a language has too few
+    rows without them they stand for a piece of that length. n-grams are counted in the tasks and summed by
+    Spark; what reaches the driver is the most frequent ones of each language, 16 bytes for each. No
+    language is left out. Rows without text or language are skipped. Without labelled rows the filter
+    knows no language and predicts `und`.
     """
-    good = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("doc_id")).where("lang is not null and text is not null")
+    good = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc_id")).where("lang is not null and text is not null")
     short = F.length("text") <= int(chars)
     counts = {r["lang"]: (r["n"], r["short"]) for r in good.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(short).alias("short")).orderBy(F.desc("n"), "lang").collect()}
     if not counts:
         return Filter.of({}, UNKNOWN)
-    drawn_from = {name: some if some >= rows else n for name, (n, some) in counts.items()}
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")), F.lit(2**31))
+    spark = labelled.sparkSession
+    shares = spark.createDataFrame([(name, min(1.0, rows / (some if some >= rows else n)), some < rows) for name, (n, some) in counts.items()], "lang string, share double, few boolean")
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")), F.lit(2**31)) / F.lit(float(2**31))
     start = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("piece")), F.greatest(F.length("text") - int(chars) + 1, F.lit(1))).cast("int") + 1
     piece = F.when(short, F.col("text")).otherwise(F.substring("text", start, F.lit(int(chars))))
-    names, found = list(counts), {}
-    for group in (names[i : i + MASK] for i in range(0, len(names), MASK)):
-        # Each language's share of its rows is set so that half as many again as needed are drawn; the rest is cut here.
-        shares = F.create_map(*[F.lit(x) for name in group for x in (name, min(1.0, (1.5 * rows + 20) / drawn_from[name]))])
-        few = F.col("lang").isin(*[name for name in group if counts[name][1] < rows])
-        drawn = good.where(F.col("lang").isin(*group) & (short | few)).withColumn("draw", draw).where(F.col("draw") < F.element_at(shares, F.col("lang")) * 2**31)
-        some = drawn.select("lang", piece.alias("text"), "doc_id", "draw").toPandas().sort_values(["draw", "doc_id"], kind="stable")
-        for name in group:
-            texts = some.loc[some["lang"] == name, "text"].head(rows)
-            seen, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(grams, texts)]), return_counts=True)
-            found[name] = seen[np.argsort(-times, kind="stable")[:GRAMS_PER_LANGUAGE]]
-    return Filter.of(found, default=names[0])
+    # A row per language: a table as small as the model itself.
+    drawn = good.join(F.broadcast(shares), "lang").where((short | F.col("few")) & (draw < F.col("share"))).select("lang", piece.alias("text"))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, texts in batch.groupby("lang")["text"]:
+                seen, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(grams, texts)]), return_counts=True)
+                yield pd.DataFrame({"lang": name, "gram": seen.view(np.int64), "n": times})
+
+    sums = drawn.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    best = sums.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= GRAMS_PER_LANGUAGE)
+    top = best.select("lang", "gram").toPandas()
+    found = {name: np.zeros(0, np.uint64) for name in counts} | {name: part.to_numpy().view(np.uint64) for name, part in top.groupby("lang")["gram"]}
+    return Filter.of(found, default=next(iter(counts)))
 
 
 def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,17 +169,17 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
+def keep_known(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Rows of docs with a letter whose language has a score of at least least; by default only null texts and texts
     without a letter are rejected. A text of unknown n-grams has a language (the most frequent one) with score 0.
 
     The filter is a column, so rows with all their columns stay where they are: no shuffle.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out(F.col("doc_id")))))
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out(F.col(id_col))), text_col, lang_col, id_col))
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
         found = [model.value.predict(t) for t in texts]
         return pd.Series([has_letter(t) and score >= least for t, (_, score) in zip(texts, found, strict=True)], dtype=bool)
 
-    return docs.where(known(F.col("text").cast("string")))
+    return docs.where(known(F.col(text_col).cast("string")))
