@@ -4,18 +4,25 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
+import re
 import struct
+import uuid
 from collections.abc import Iterator
+from itertools import chain, islice
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import shared_dir
+from benchbook.llm.common import NO_ID, shared_dir
 
 #: Magic number of the leading skippable frame that holds the dictionary.
 DICT_MAGIC = 0x184D2A5D
+#: Magic number of any skippable frame, but for its last four bits.
+SKIPPABLE = 0x184D2A50
 ZSTD_MAGIC = 0xFD2FB528
 #: Records of an archive whose payloads its dictionary is trained on, and the dictionary's bytes.
 TRAIN_RECORDS = 128
@@ -35,47 +42,75 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str, payload: bytes | None, size: int, sha1: str, refers_to: int | None) -> bytes:
-    """A response record with its payload, or a revisit record with the HTTP header only."""
+def record(page_id: int | None, url: str, payload: bytes | None, size: int, sha1: str, refers_to: int | None) -> bytes:
+    """A response record with its payload, or a revisit record with the HTTP header only. Without page_id its id is a UUID."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload if refers_to is None else b"")
     url = "".join(c for c in url if c >= " ")
+    name = f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {sha1}')}" if page_id is None else f"{PREFIX}{page_id}"
     head = [
-        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{PREFIX}{page_id}>", f"WARC-Target-URI: {url}", f"WARC-Date: {DATE}",
+        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{name}>", f"WARC-Target-URI: {url}", f"WARC-Date: {DATE}",
         f"WARC-Payload-Digest: sha1:{sha1}", f"WARC-Block-Digest: sha1:{digest(block)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{PREFIX}{refers_to}>"]
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def _fields(lines: list[str]) -> dict[str, str]:
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+
+
+def _page(name: str | None) -> int | None:
+    """The page id of a record id that this module wrote; null for any other."""
+    number = (name or "").strip("<>").removeprefix(PREFIX)
+    return int(number) if name and PREFIX in name and re.fullmatch(r"-?\d{1,19}", number) else None
+
+
+def _sha1_is(said: str | None, data: bytes) -> bool:
+    """Whether a digest field agrees; one that is absent or of another algorithm can't disagree."""
+    return not (said or "").lower().startswith("sha1:") or said[5:].upper() == digest(data)
 
 
 def parse(data: bytes) -> dict:
-    """Type, ids, URI, digest, payload (None for a revisit) and its length, of a whole record; BadArchive if it isn't valid."""
+    """The fields NAMES of a whole record; BadArchive if it isn't valid.
+
+    Of HTTP records the payload is what follows the HTTP header, of all others the block. A revisit has no payload;
+    its length is the one that its HTTP header tells. Digests are checked where they are given, and told in any case.
+    Records of all types are read; page_id and refers_to are null unless this module named the record.
+    """
     head, sep, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+    lines = head.decode("utf-8", "replace").split("\r\n")
     if not sep or lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise BadArchive("no WARC header")
-    fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    fields = _fields(lines[1:])
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if not fields.get(name):
             raise BadArchive(f"{name} is missing")
-    length = fields["content-length"]
-    if not length.isdigit() or len(rest) != int(length) + 4 or rest[-4:] != b"\r\n\r\n":
+    length, kind = fields["content-length"], fields["warc-type"].lower()
+    if not re.fullmatch("[0-9]+", length) or len(rest) != int(length) + 4 or rest[-4:] != b"\r\n\r\n":
         raise BadArchive("the block's length is wrong")
     block = rest[:-4]
-    if fields.get("warc-block-digest", f"sha1:{digest(block)}") != f"sha1:{digest(block)}":
+    if not _sha1_is(fields.get("warc-block-digest"), block):
         raise BadArchive("the block's digest is wrong")
-    http, sep, payload = block.partition(b"\r\n\r\n")
-    said = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in http.decode().split("\r\n")[1:])}
-    kind, size = fields["warc-type"], int(said.get("content-length", len(payload)))
-    if kind == "response" and (size != len(payload) or fields["warc-payload-digest"] != f"sha1:{digest(payload)}"):
-        raise BadArchive("the payload's length or digest is wrong")
-    if kind == "revisit" and not fields.get("warc-refers-to"):
-        raise BadArchive("a revisit refers to nothing")
-    number = lambda v: int(v.strip("<>").removeprefix(PREFIX)) if v else None
+    payload, size = block, len(block)
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        http, sep, payload = block.partition(b"\r\n\r\n")
+        said = _fields(http.decode("utf-8", "replace").split("\r\n")[1:]).get("content-length", "")
+        size = int(said) if re.fullmatch("[0-9]+", said) else len(payload)
+        if kind == "response" and size != len(payload) and "warc-truncated" not in fields:
+            raise BadArchive("the payload's length is wrong")
+    if kind == "revisit":
+        if not (fields.get("warc-refers-to") or fields.get("warc-refers-to-target-uri") or fields.get("warc-payload-digest")):
+            raise BadArchive("a revisit refers to nothing")
+        payload = None
+    elif not _sha1_is(fields.get("warc-payload-digest"), payload):
+        raise BadArchive("the payload's digest is wrong")
+    told = fields.get("warc-payload-digest", "")
+    own = told[5:] if told.lower().startswith("sha1:") else told or (digest(payload) if payload is not None else None)
     return {
-        "page_id": number(fields["warc-record-id"]), "url": fields.get("warc-target-uri", ""), "record_type": kind, "payload": payload if kind == "response" else None,
-        "payload_bytes": size, "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha1:"), "refers_to": number(fields.get("warc-refers-to")),
+        "record_id": fields["warc-record-id"].strip("<>"), "page_id": _page(fields["warc-record-id"]), "url": fields.get("warc-target-uri", "").strip("<>"), "record_type": kind, "payload": payload,
+        "payload_bytes": size if payload is None else len(payload), "payload_digest": own, "refers_to": _page(fields.get("warc-refers-to")), "error": None,
     }
 
 
@@ -97,161 +132,185 @@ def archive(records: list[bytes], shared: bytes) -> bytes:
     return struct.pack("<II", DICT_MAGIC, len(shared)) + shared + b"".join(map(pack.compress, records))
 
 
-def read(data: bytes) -> Iterator[bytes]:
-    """The records of an archive, each the content of exactly one frame. A dictionary that is itself compressed is unpacked."""
+def read(source: bytes | BinaryIO) -> Iterator[bytes]:
+    """The records of an archive, each the content of exactly one frame.
+
+    A dictionary in the leading skippable frame is loaded, unpacked if it is compressed itself; any other
+    skippable frame is passed over. What is neither raises BadArchive. An archive is read in pieces.
+    """
     import zstandard
 
-    shared, at = None, 0
-    if len(data) >= 8 and struct.unpack_from("<I", data)[0] == DICT_MAGIC:
-        size = struct.unpack_from("<I", data, 4)[0]
-        at = 8 + size
-        if len(data) < at:
-            raise BadArchive("the dictionary is cut off")
-        shared = data[8:at]
-        if shared[:4] == struct.pack("<I", ZSTD_MAGIC):
-            shared = zstandard.ZstdDecompressor().decompress(shared)
-    pack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(shared) if shared else None)
-    view = memoryview(data)
-    while at < len(data):
-        frame = pack.decompressobj()
-        parts, step = [], 1 << 16
+    stream = io.BytesIO(source) if isinstance(source, bytes) else source
+    pack, data, at, first = zstandard.ZstdDecompressor(), b"", 0, True
+
+    def have(n: int) -> bool:
+        nonlocal data, at
+        while len(data) - at < n and (more := stream.read(max(n, 1 << 20))):
+            data, at = data[at:] + more, 0
+        return len(data) - at >= n
+
+    while have(1):
+        magic = struct.unpack_from("<I", data, at)[0] if have(4) else -1
+        if magic & 0xFFFFFFF0 == SKIPPABLE:
+            size = struct.unpack_from("<I", data, at + 4)[0] if have(8) else 1 << 40
+            if not have(8 + size):
+                raise BadArchive("a skippable frame is cut off")
+            if first and magic == DICT_MAGIC:
+                shared = data[at + 8 : at + 8 + size]
+                try:
+                    if shared[:4] == struct.pack("<I", ZSTD_MAGIC):
+                        shared = zstandard.ZstdDecompressor().decompress(shared)
+                    pack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(shared) if shared else None)
+                except zstandard.ZstdError as e:
+                    raise BadArchive(f"the dictionary is damaged: {e}") from e
+            at, first = at + 8 + size, False
+            continue
+        if magic != ZSTD_MAGIC:
+            raise BadArchive("no frame")
+        first, frame, parts = False, pack.decompressobj(), []
         while not frame.eof:
-            if at >= len(data):
+            if not have(1):
                 raise BadArchive("a frame is cut off")
-            chunk = view[at : at + step]
-            parts.append(frame.decompress(chunk))
+            chunk = data[at : at + (1 << 14)]
+            try:
+                parts.append(frame.decompress(chunk))
+            except zstandard.ZstdError as e:
+                raise BadArchive(f"a frame is damaged: {e}") from e
             at += len(chunk)
         at -= len(frame.unused_data)
         yield b"".join(parts)
 
 
-def _filesystem(folder: str):
-    """File system and path of a folder of the cluster's shared storage, as an executor reaches it."""
+def _filesystem(uri: str):
+    """File system and path of a place in the cluster's shared storage, as an executor reaches it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder)
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
 
 
 WRITTEN = "archive string, records long, bytes long"
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes response and revisit records of pages (page_id, url, html, refers_to) as archives below folder.
+    """Writes response and revisit records of pages (page_id, url, html, refers_to) as archives in folder.
 
-    Each task writes its own archives, named by its partition, under a name of the attempt first and
-    renamed when whole, so that a rerun task replaces them by equal ones. Returns a row per archive.
+    Returns the manifest, a row per archive: its URI, records and bytes. An archive's name holds the
+    attempt's number, so attempts of one task never write one file. What counts is the manifest that
+    Spark commits: archives of attempts that failed or came second aren't in it. Each archive begins with
+    a dictionary trained on its own first payloads. At most one archive is held in memory.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
         context = TaskContext.get()
         place, path = _filesystem(folder)
         place.create_dir(path, recursive=True)
-        held: list[tuple[bytes, bytes]] = []
-        shared, packer, parts, size, n, number, rows = None, None, [], 0, 0, 0, []
-
-        def flush() -> None:
-            nonlocal parts, size, n, number
-            name = f"pages-{context.partitionId():06d}-{number:05d}.warc.zst"
-            part = f"{path}/_{name}.{context.taskAttemptId()}"
-            with place.open_output_stream(part) as out:
+        number, rows = 0, []
+
+        def flush(packed: list[bytes], shared: bytes) -> None:
+            nonlocal number
+            name = f"pages-{context.partitionId():06d}-{number:05d}-{context.taskAttemptId()}.warc.zst"
+            with place.open_output_stream(f"{path}/{name}", compression=None) as out:
                 out.write(struct.pack("<II", DICT_MAGIC, len(shared)) + shared)
-                for p in parts:
+                for p in packed:
                     out.write(p)
-            place.move(part, f"{path}/{name}")
-            rows.append((name, n, size))
-            parts, size, n, number = [], 0, 0, number + 1
+            rows.append((f"{folder}/{name}", len(packed), sum(map(len, packed))))
+            number += 1
+
+        def records() -> Iterator[tuple[bytes, bytes]]:
+            for batch in batches:
+                for page, url, html, refers in zip(batch["page_id"], batch["url"], batch["html"], batch["refers_to"], strict=True):
+                    payload = (html or "").encode("utf-8", "surrogatepass")
+                    page, refers = (None if x == NO_ID else int(x) for x in (page, refers))
+                    yield record(page, url or "", payload, len(payload), digest(payload), refers), payload if refers is None else b""
+
+        source = records()
+        while held := list(islice(source, TRAIN_RECORDS)):
+            shared = dictionary([p for _, p in held if p])
+            packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared), write_content_size=True, write_checksum=True)
+            packed, size = [], 0
+            for data, _ in chain(held, source):
+                packed.append(packer.compress(data))
+                size += len(packed[-1])
+                if size >= ARCHIVE_BYTES and len(packed) >= len(held):
+                    break
+            flush(packed, shared)
+        yield pd.DataFrame(rows, columns=["archive", "records", "bytes"])
 
-        def begin() -> None:
-            nonlocal shared, packer
-            import zstandard
+    known = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(NO_ID)).alias(c)
+    return pages.select(known("page_id"), "url", "html", known("refers_to")).mapInPandas(run, WRITTEN)
 
-            shared = dictionary([h[1] for h in held if h[1]])
-            packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared), write_content_size=True, write_checksum=True)
 
-        def add(data: bytes) -> None:
-            nonlocal size, n
-            parts.append(packer.compress(data))
-            size += len(parts[-1])
-            n += 1
-            if size >= ARCHIVE_BYTES:
-                flush()
+RECORDS = "archive string, record_id string, page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long, error string"
+NAMES = [c.split()[0] for c in RECORDS.split(", ")]
+DAMAGED = "damaged"
 
-        for batch in batches:
-            for page, url, html, refers in zip(batch["page_id"], batch["url"], batch["html"], batch["refers_to"], strict=True):
-                payload = (html or "").encode("utf-8", "surrogatepass")
-                refers = None if pd.isna(refers) else int(refers)
-                data = record(int(page), url or "", payload, len(payload), digest(payload), refers)
-                if packer is None:
-                    held.append((data, payload if refers is None else b""))
-                    if len(held) < TRAIN_RECORDS:
-                        continue
-                    begin()
-                    for kept, _ in held:
-                        add(kept)
-                    held = []
-                else:
-                    add(data)
-        if held:
-            begin()
-            for kept, _ in held:
-                add(kept)
-        if n:
-            flush()
-        yield pd.DataFrame(rows, columns=["archive", "records", "bytes"])
 
-    return pages.select("page_id", "url", "html", "refers_to").mapInPandas(run, WRITTEN)
+def archives_in(spark: SparkSession, folder: str) -> DataFrame:
+    """archive, bytes: all archives in a folder, listed by Spark. For folders that have no manifest."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    return files.select(F.col("path").alias("archive"), F.col("length").alias("bytes"))
 
 
-RECORDS = "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long"
-NAMES = [c.split()[0] for c in RECORDS.split(", ")]
+def records_of(archive: str, stream: BinaryIO, with_payload: bool = True) -> Iterator[tuple]:
+    """A row NAMES per record. A record that isn't valid, or the rest of a damaged archive, is one row of type DAMAGED."""
+    blank = dict.fromkeys(NAMES) | {"archive": archive, "record_type": DAMAGED}
+    try:
+        for content in read(stream):
+            try:
+                found = blank | parse(content)
+            except BadArchive as e:
+                found = blank | {"error": str(e)}
+            yield tuple(None if k == "payload" and not with_payload else found[k] for k in NAMES)
+    except BadArchive as e:
+        yield tuple((blank | {"error": str(e)})[k] for k in NAMES)
 
 
-def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of all archives below folder, validated: RECORDS.
+def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
+    """The records of the archives that a table names (archive: URI), as RECORDS; nothing else in their folder is looked at.
 
-    Spark lists the files and deals them to tasks by size, so what a task holds at once is bounded by
-    spark.sql.files.maxPartitionBytes (or one archive).
+    The names are dealt to tasks; each task streams its archives, so it holds a record at a time and a batch of rows.
+    A damaged record or archive gives a row of type `damaged` that names it and tells why.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kinds = {"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"}
         for batch in batches:
-            for data in batch["content"]:
-                rows = []
-                for content in read(bytes(data)):
-                    found = parse(content)
-                    rows.append(tuple(found[k] if k != "payload" or with_payload else None for k in NAMES))
-                    if len(rows) >= 256:
-                        yield pd.DataFrame(rows, columns=NAMES).astype({"refers_to": "Int64"})
-                        rows = []
-                yield pd.DataFrame(rows, columns=NAMES).astype({"refers_to": "Int64"})
+            for archive in batch["archive"]:
+                place, path = _filesystem(archive)
+                with place.open_input_stream(path, compression=None) as stream:
+                    rows = records_of(archive, stream, with_payload)
+                    while some := list(islice(rows, 256)):
+                        yield pd.DataFrame({n: pd.Series([r[i] for r in some], dtype=kinds.get(n, object)) for i, n in enumerate(NAMES)})
 
-    return files.mapInPandas(run, RECORDS)
+    spread = archives.select("archive").repartition(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")), "archive")
+    return spread.mapInPandas(run, RECORDS)
 
 
 def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """pages with refers_to: of equal payloads of at least least_bytes bytes, the smallest page_id; null for itself and smaller ones.
 
     The smallest id per digest is aggregated with partial sums; pages join it by the digest, on which
-    Spark can split a hot payload. Rows with a null page_id name no page and are left out.
+    Spark can split a hot payload. A row without page_id revisits the smallest id of its payload, if there is one.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).where("page_id is not null")
-    keyed = rows.withColumn("key", F.sha2("html", 256))
-    first = keyed.where(F.octet_length("html") >= least_bytes).groupBy("key").agg(F.min("page_id").alias("first"))
-    return keyed.join(first, "key", "left").select("page_id", "url", "html", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    keyed = rows.withColumn("key", F.unhex(F.sha2("html", 256)))
+    first = keyed.where((F.octet_length("html") >= least_bytes) & F.col("page_id").isNotNull()).groupBy("key").agg(F.min("page_id").alias("first"))
+    later = F.col("page_id").isNull() | (F.col("first") < F.col("page_id"))
+    return keyed.join(first, "key", "left").select("page_id", "url", "html", F.when(later, F.col("first")).alias("refers_to"))
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, least_bytes: int = 0) -> DataFrame:
     """Writes all pages as archives and reads them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Null or empty html: an empty payload. Null url: empty URI. Null page_id: left out. Repeated rows
-    of one page_id: a record each, all responses if they are the first of their payload. Empty table:
-    no archives and no rows.
+    Null or empty html: an empty payload. Null url: empty URI. Null page_id: a record of its own with a null
+    page_id. Repeated rows of one page_id: a record each, all responses if they are the first of their
+    payload. Empty table: no archives and no rows. An own archive that can't be read back raises an error.
     """
     spark = pages.sparkSession
     folder = folder or shared_dir(spark)
-    written = write_archives(revisits(pages, least_bytes), f"{folder}/warc")
-    written.write.parquet(f"{folder}/manifest")
-    if not spark.read.parquet(f"{folder}/manifest").limit(1).count():
-        return spark.createDataFrame([], RECORDS).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-    return read_archives(spark, f"{folder}/warc", with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    write_archives(revisits(pages, least_bytes), f"{folder}/warc").write.parquet(f"{folder}/manifest")
+    found = read_archives(spark.read.parquet(f"{folder}/manifest"), with_payload=False)
+    whole = F.when(F.col("error").isNull(), True).otherwise(F.raise_error(F.concat_ws(": ", "archive", "error")).cast("boolean"))
+    return found.where(whole).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
