@@ -1,79 +1,107 @@
-"""License scans by diagonal voting: word bigrams meet template positions, votes are counted per diagonal."""
+"""License scans by diagonal voting: rolling word k-grams meet template positions, votes are counted per diagonal."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchbook.llm.common import materialize
+from benchbook.llm.license_texts import NOTICES, TEXTS
 
-GRAM = 2
-#: Diagonals up to this far apart belong to one span: words put in or left out.
-NEIGHBOUR = 2
+#: Words of a gram: for phrases and notices of one sentence, and for whole license texts.
+GRAM, TEXT_GRAM = 2, 4
+#: Diagonals up to this far apart belong to one span (words put in or left out), for notices and for whole texts.
+NEIGHBOUR, TEXT_NEIGHBOUR = 2, 8
 #: Share of a template's words that a span must hold, one by one, to give the template's label.
 COVERED = 0.8
 
 # Phrases and labels of the contract.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Public license notices, as words.
-NOTICES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-]
+SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    """Words: runs of digits, letters a-z after lower-casing, and characters beyond ASCII."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
-
+    """Words: runs of digits, letters a-z after A-Z are lower-cased, and characters beyond ASCII, which stay as they are."""
+    text = F.coalesce(text, F.lit(""))
+    low = F.when(F.char_length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(low, SEPARATOR), "")
+
+
+def template_words(text: str) -> list[str]:
+    """What words() gives for a template."""
+    return [w for w in re.split(SEPARATOR, text.translate(str.maketrans(UPPER, LOWER))) if w]
+
+
+def templates(notices: list[tuple[str, str]], texts: list[tuple[str, str]], base: dict[str, str]) -> list[tuple]:
+    """template, label, is_base, k, neighbour, words of all templates, numbered in order."""
+    rows = [(label, True, GRAM, 0, phrase) for phrase, label in base.items()]
+    rows += [(label, False, GRAM, NEIGHBOUR, t) for label, t in notices] + [(label, False, TEXT_GRAM, TEXT_NEIGHBOUR, t) for label, t in texts]
+    return [(i, label, is_base, k, near, template_words(t)) for i, (label, is_base, k, near, t) in enumerate(rows)]
+
+
+def template_grams(spark: SparkSession, known: list[tuple]) -> DataFrame:
+    """template, tk, tpos, tgram: a table as large as the templates, which are a parameter."""
+    flat = [(i, k, p, w[p : p + k]) for i, _, _, k, _, w in known for p in range(len(w) - k + 1)]
+    return spark.createDataFrame(flat, "template int, tk int, tpos int, tgram array<string>")
+
+
+def hits(docs: DataFrame, known: list[tuple], id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_hash, n_words, template, tpos, pos: where a gram of a text is that of a template, and for each row of docs one
+    row more, without template. One pass over the texts, in which each is split once; what it finds is written."""
+    sizes = sorted({k for _, _, _, k, _, _ in known})
+    of = lambda gram, at, k: F.xxhash64(*[F.get(gram, at + i) for i in range(k)])
+    table = template_grams(docs.sparkSession, known)
+    table = table.withColumn("thash", F.coalesce(*[F.when(F.col("tk") == k, of(F.col("tgram"), F.lit(0), k)) for k in sizes]))
+    text, grams = F.col(text_col).cast("string"), F.col("words")
+    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), words(text).alias("words"))
+    rolling = split.select("*", F.size("words").cast("long").alias("n_words"), F.posexplode_outer("words").alias("pos", "word"))
+    # At each place one hash for each size of gram. One that runs over the text's end has too few words to equal a template's.
+    own = [F.struct(F.lit(k).alias("k"), of(grams, F.col("pos"), k).alias("hash")) for k in sizes]
+    document = F.struct(F.lit(0).alias("k"), F.lit(None).cast("long").alias("hash"))
+    both = F.when(F.coalesce("pos", F.lit(0)) == 0, F.array(document, *own)).otherwise(F.array(*own))
+    places = rolling.select("doc_id", "text_hash", "n_words", "words", "pos", F.inline(both))
+    same = (F.col("hash") == F.col("thash")) & (F.col("k") == F.col("tk")) & (F.slice("words", F.col("pos") + 1, F.col("k")) == F.col("tgram"))
+    met = places.join(F.broadcast(table), same, "left").where((F.col("k") == 0) | F.col("template").isNotNull())
+    return materialize(met.select("doc_id", "text_hash", "n_words", "template", "tpos", "pos"))
+
+
+SPANS = ["doc_id", "text_hash", "template", "label", "is_base", "first", "last", "covered"]
+
+
+def spans_of(found: DataFrame, known: list[tuple]) -> DataFrame:
+    """SPANS from the hits. Votes are counted per diagonal (place in the text less place in the template); a phrase
+    of base must stand whole on one diagonal. Of other templates diagonals that are near and whose places
+    overlap are merged, and a span counts if it holds at least COVERED of the template's words."""
+    about = found.sparkSession.createDataFrame([(i, label, is_base, k, near, len(w)) for i, label, is_base, k, near, w in known], "template int, label string, is_base boolean, k int, near int, t_words int")
+    key = ["doc_id", "text_hash", "template"]
+    # On one diagonal a template fits between diagonal and diagonal + t_words, so votes there are one span.
+    votes = found.where("template is not null").groupBy(*key, (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.collect_set("tpos").alias("tpos"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    votes = votes.join(F.broadcast(about), "template").withColumn("last", F.col("last") + F.col("k") - 1)
+    whole = votes.where("is_base and size(tpos) = t_words - k + 1").withColumn("covered", F.lit(1.0))
 
-def template_grams(spark: SparkSession, notices: list[tuple[str, str]], base: dict[str, str]) -> DataFrame:
-    """template, label, is_base, n_words, tpos, gram: a table as large as the templates, which are a parameter."""
-    rows = [(i, label, is_base, text.split()) for i, (label, text, is_base) in enumerate([(v, k, True) for k, v in base.items()] + [(label, t, False) for label, t in notices])]
-    flat = [(i, label, is_base, len(w), p, " ".join(w[p : p + GRAM])) for i, label, is_base, w in rows for p in range(len(w) - GRAM + 1)]
-    return spark.createDataFrame(flat, "template int, label string, is_base boolean, t_words int, tpos int, gram string")
+    line = Window.partitionBy(*key).orderBy("diagonal")
+    goes_on = (F.col("diagonal") - F.lag("diagonal").over(line) <= F.col("near")) & (F.col("first") - F.lag("last").over(line) <= F.col("t_words"))
+    islands = votes.where("not is_base").withColumn("opens", F.when(goes_on, 0).otherwise(1)).withColumn("island", F.sum("opens").over(line))
+    merged = islands.groupBy(*key, "label", "is_base", "t_words", "k", "island").agg(F.flatten(F.collect_list("tpos")).alias("tpos"), F.min("first").alias("first"), F.max("last").alias("last"))
+    places = F.array_distinct(F.flatten(F.transform("tpos", lambda t: F.sequence(t, t + F.col("k") - 1))))
+    spans = merged.withColumn("covered", F.size(places) / F.col("t_words")).where(F.col("covered") >= COVERED)
+    return whole.select(SPANS).union(spans.select(SPANS))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: list[tuple[str, str]] | None = None, base: dict[str, str] | None = None) -> DataFrame:
-    """Spans of license phrases: doc_id, text_hash, template, label, is_base, first, last, covered.
+def scan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: list[tuple[str, str]] | None = None, texts: list[tuple[str, str]] | None = None, base: dict[str, str] | None = None
+) -> DataFrame:
+    """Spans of license phrases, notices and texts: SPANS (first and last: words from 0).
 
-    Every bigram of every text is joined to the template positions (a broadcast table of fixed size) by
-    its hash, and compared word by word in the same join. Votes are counted per diagonal (place in
-    the text less place in the template); diagonals up to NEIGHBOUR apart whose places overlap are
-    merged; a span counts if it holds at least COVERED of the template's words. Phrases of base must
-    stand whole on one diagonal. Repeated rows of one id and text count once.
+    Every gram of every text is joined to the template positions (a broadcast table of fixed size) by its
+    hash, and compared word by word in the same join. Repeated rows of one id and text count once.
     """
-    spark = docs.sparkSession
-    table = template_grams(spark, NOTICES if notices is None else notices, BASE if base is None else base).withColumn("hash", F.xxhash64("gram"))
-    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"), words(F.col(text_col).cast("string")).alias("words"))
-    pairs = F.when(F.size("words") > 1, F.transform(F.slice("words", 1, F.size("words") - 1), lambda w, i: F.concat_ws(" ", w, F.get(F.col("words"), i + 1))))
-    rolling = split.select("doc_id", "text_hash", F.posexplode(pairs).alias("pos", "gram")).withColumn("hash", F.xxhash64("gram"))
-    hits = rolling.join(F.broadcast(table), ["hash", "gram"]).select("doc_id", "text_hash", "template", "label", "is_base", "t_words", "tpos", "pos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
-
-    key = ["doc_id", "text_hash", "template", "label", "is_base", "t_words"]
-    # On one diagonal a template fits between diagonal and diagonal + t_words, so votes there are one span.
-    # Written once: phrases and notices both read it, and exploding all bigrams is the dear part.
-    votes = materialize(hits.groupBy(*key, "diagonal").agg(F.collect_set("tpos").alias("tpos"), F.min("pos").alias("first"), F.max("pos").alias("last")))
-    whole = votes.where("is_base and size(tpos) = t_words - 1").select(*key, "first", F.lit(1.0).alias("covered"), (F.col("last") + 1).alias("last"))
-
-    line = Window.partitionBy(*key).orderBy("diagonal")
-    islands = votes.where("not is_base").withColumn(
-        "opens", F.when((F.col("diagonal") - F.lag("diagonal").over(line) <= NEIGHBOUR) & (F.col("first") - F.lag("last").over(line) <= F.col("t_words")), 0).otherwise(1)
-    ).withColumn("island", F.sum("opens").over(line))
-    covered = F.size(F.array_distinct(F.flatten(F.transform(F.flatten(F.collect_list("tpos")), lambda t: F.array(t, t + 1))))) / F.col("t_words")
-    spans = islands.groupBy(*key, "island").agg(covered.alias("covered"), F.min("first").alias("first"), (F.max("last") + 1).alias("last"))
-    return whole.select(*key, "first", "last", "covered").union(spans.where(F.col("covered") >= COVERED).select(*key, "first", "last", "covered")).drop("t_words")
+    known = templates(NOTICES if notices is None else notices, TEXTS if texts is None else texts, BASE if base is None else base)
+    return spans_of(hits(docs, known, id_col, text_col), known)
 
 
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,16 +112,16 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     coverage. Null or wordless text: zeros, empty strings and nulls. Null id: matched by its text.
     Repeated rows: a row each, each with the same result. Empty table: no rows.
     """
-    found = scan(docs, id_col, text_col)
+    known = templates(NOTICES, TEXTS, BASE)
+    found = hits(docs, known, id_col, text_col)
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     base = F.col("is_base")
-    per = found.groupBy("doc_id", "text_hash").agg(
+    per = spans_of(found, known).groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
         F.count(F.when(base, 1)).alias("n_base"), F.min(F.when(base, F.col("first"))).cast("long").alias("first_word"), F.max(F.when(base, F.col("first"))).cast("long").alias("last_word"),
         joined(F.when(base, F.col("label"))).alias("base_labels"), joined("label").alias("labels"), F.max("covered").alias("score"),
     )
-    per = per.withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t")
-    all_docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"), F.size(words(F.col(text_col).cast("string"))).cast("long").alias("n_words"))
-    return all_docs.join(per, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left").select(
+    rows = found.where("template is null").select("doc_id", "text_hash", "n_words")
+    return rows.join(per, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("text_hash").eqNullSafe(F.col("t")), "left").select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),
     )

@@ -77,6 +77,57 @@ def test_license_base_against_brute_force(spark):
     assert len({tuple(r) for r in twice.where("doc_id = 10").collect()}) == 1 and twice.count() == len(TEXTS) + 1
 
 
+def brute_scan(text):
+    """Labels and score by the same rule, over lists: votes per diagonal, neighbours merged, coverage of the template's words."""
+    w, labels, score = words(text), set(), 0.0
+    for _, label, is_base, k, near, t in licenses.templates(licenses.NOTICES, licenses.TEXTS, licenses.BASE):
+        votes = {}
+        for p in range(len(w) - k + 1):
+            for q in range(len(t) - k + 1):
+                if w[p : p + k] == t[q : q + k]:
+                    votes.setdefault(p - q, set()).add(q)
+        if is_base:
+            if any(len(v) == len(t) - k + 1 for v in votes.values()):
+                labels.add(label)
+                score = 1.0
+            continue
+        islands, before = [], None
+        for d in sorted(votes):
+            first, last = d + min(votes[d]), d + max(votes[d]) + k - 1
+            if before and d - before[0] <= near and first - before[1] <= len(t):
+                islands[-1] |= votes[d]
+            else:
+                islands.append(set(votes[d]))
+            before = (d, last)
+        for found in islands:
+            share = len({q + i for q in found for i in range(k)}) / len(t)
+            if share >= licenses.COVERED:
+                labels.add(label)
+                score = max(score, share)
+    return ",".join(sorted(labels)), score
+
+
+def license_cases():
+    mit, bsd3, gpl = (next(t for label, t in licenses.TEXTS if label == x) for x in ("mit", "bsd-3", "gpl"))
+    some = bsd3.split()
+    return [
+        (101, "x = 1 /* " + mit + " */ y = 2"), (102, mit.replace("Software", "Program")), (103, " ".join(some[:60] + ["Acme", "Corp", "and", "others"] + some[60:])), (104, " ".join(some[: len(some) // 2])),
+        (105, gpl + " middle " + gpl), (106, "LICENSED UNDER CC BY-NC 4.0. Released under the \u212a MIT License; \u0130 mit licens\u00e9"), (107, " ".join(mit.split()[::-1])), (None, "the apache license " + mit), (108, "MIT license " * 9),
+    ]
+
+
+def test_license_labels_and_score_against_brute_force(spark):
+    texts = [*TEXTS, *license_cases()]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r for r in licenses.scan_documents(docs).collect()}
+    assert len(found) == len(texts)
+    for i, t in texts:
+        labels, score = brute_scan(t)
+        assert (found[i]["labels"], found[i]["n_words"]) == (labels, len(words(t))) and abs(found[i]["score"] - score) < 1e-9, i
+    assert found[101]["labels"] == "mit" and found[103]["labels"] == "bsd,bsd-3" and found[105]["labels"] == "gpl" and found[107]["labels"] == ""
+    assert found[106]["base_labels"] == "mit" and found[106]["labels"] == "cc-by-nc,mit"
+
+
 def pages(spark, data):
     return spark.createDataFrame(data, "page_id long, url string, html string, key string, refers_to long")
 
