@@ -97,11 +97,12 @@ def syncmer_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def positional_matches(left: DataFrame, right: DataFrame, least: int = 3) -> DataFrame:
     """Pairs of documents of two anchor tables that share at least so many anchors at one shift: left_id, right_id, shift, n.
 
-    Both sides first lose anchors that the other lacks, by a semi-join on the anchor; then equal anchors
-    meet. Meant for a query set against a corpus; an anchor's rows on either side aren't capped.
+    left is a stated query set, right the corpus. Both sides first lose anchors that the other lacks, by
+    semi-joins on the anchor; an anchor that repeats in a document then counts once per shift. Every pair that
+    shares an anchor is looked at, however frequent the anchor is, so the work follows the query set's size.
     """
-    mine = left.select(F.col("doc_id").alias("left_id"), F.col("position").alias("p"), "anchor")
-    other = right.select(F.col("doc_id").alias("right_id"), F.col("position").alias("q"), "anchor")
+    mine = left.join(right.select("anchor"), "anchor", "left_semi").select(F.col("doc_id").alias("left_id"), F.col("position").alias("p"), "anchor")
+    other = right.join(left.select("anchor"), "anchor", "left_semi").select(F.col("doc_id").alias("right_id"), F.col("position").alias("q"), "anchor")
     return mine.join(other, "anchor").groupBy("left_id", "right_id", (F.col("q") - F.col("p")).alias("shift")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
