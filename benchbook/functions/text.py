@@ -348,31 +348,6 @@ def split_sentences(text: Column) -> Column:
     return F.filter(let(marked, cut), lambda s: ~s.isin("", "."))
 
 
-def outcome(sentence: Column) -> Column:
-    """The first outcome pattern that holds; not for side applications, nor for what a lower forum did."""
-    narration = F.regexp_extract(sentence, v.LOWER_FORUM, 0)
-    own = ~((narration != "") & ~narration.rlike(v.PASSIVE))
-    labels = [F.when(sentence.rlike(p) & own & (~sentence.rlike(v.ANCILLARY) if label == "Disposed" else F.lit(True)), F.lit(label)) for p, label in v.OUTCOMES]
-    return F.coalesce(*labels)
-
-
-def disposition(text: Column) -> Column:
-    """struct(disposition_raw, disposition_category): the last telling sentence of the last 2, 4, 8 paragraphs, or,
-    if there are no numbered ones, of the last 800, 1500, 2500 characters."""
-    kind = "array<struct<disposition_raw:string,disposition_category:string>>"
-
-    def told(window: Column) -> Column:
-        marked = F.transform(F.reverse(split_sentences(squeeze(window))), lambda s: F.struct(s.alias("disposition_raw"), outcome(s).alias("disposition_category")))
-        return F.filter(marked, lambda m: m["disposition_category"].isNotNull()).cast(kind)
-
-    def windows(paragraphs: Column) -> Column:
-        last = lambda n: F.array_join(F.transform(F.slice(paragraphs, F.greatest(F.size(paragraphs) - n + 1, F.lit(1)), n), lambda p: p["text"]), " ")
-        return F.array(*[F.when(F.size(paragraphs) > 0, last(n)).otherwise(F.right(full(text), F.lit(c))) for n, c in ((2, 800), (4, 1500), (8, 2500))])
-
-    found = F.flatten(F.transform(let(split_paragraphs(text), windows), told))
-    return let(found, lambda f: F.struct(F.get(f, F.lit(0))["disposition_raw"].alias("disposition_raw"), F.get(f, F.lit(0))["disposition_category"].alias("disposition_category")))
-
-
 def extract_provisions(text: Column, most: int = 30) -> Column:
     """array of struct(act_name, short_code, act_year, section_number): distinct references that name their act."""
     numbers, acts = (F.regexp_extract_all(full(text), F.lit(v.PROVISION), n) for n in (2, 3))

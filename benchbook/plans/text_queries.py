@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.functions import spans, text
+from benchbook.functions import outcomes, spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.operators import entities
 from benchbook.plans.registry import query
@@ -178,7 +178,7 @@ of_judgments("subject_from_jurisdiction", text.subject_from_jurisdiction)
 of_judgments("judgment_body", text.judgment_body)
 of_judgments("extract_provisions", text.extract_provisions)
 of_spans("provision_paragraphs", spans.provision_paragraphs, v.PROVISION)
-of_judgments("disposition", text.disposition)
+of_judgments("disposition", outcomes.disposition)
 of_judgments("split_sentences", text.split_sentences)
 of_judgments("facts", lambda c: text.section_after(c, v.FACTS_HEADING))
 of_judgments("conclusion", lambda c: text.section_after(c, v.CONCLUSION_HEADING))

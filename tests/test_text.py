@@ -1,11 +1,12 @@
 """Text functions on hand-made cases."""
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from benchbook.functions import spans, text
+from benchbook.functions import outcomes, spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.functions.lexers import PORTABLE, English, match_all, match_phrase
 from benchbook.functions.stemmer import stem
@@ -85,21 +86,40 @@ def test_paragraphs_and_sentences(spark):
     assert got[0] == ["SLP NO. 6 is Mr.  X.", "3 The end.", "Ors. came."] and got[1:] == [[], []]
 
 
-@pytest.mark.parametrize(
-    ("body", "label"),
-    [
-        ("The appeal is partly allowed.", "Partly Allowed"), ("We allow this appeal partly.", "Partly Allowed"), ("The appeal stands allowed. Pending applications, if any, stand disposed of.", "Allowed"),
-        ("The petition is, accordingly, dismissed.", "Dismissed"), ("The High Court allowed the revision and set aside the order.", None), ("The order of the High Court is set aside.", "Set Aside"),
-        ("The matter is remanded to the court.", "Remanded"), ("List on Monday.", None), ("The appeal is disposed of.", "Disposed"), ("The petition was withdrawn.", "Withdrawn"),
-    ],
-)
-def test_disposition(spark, body, label):
-    assert apply(spark, text.disposition, body)[0][1] == label
+OUTCOMES = [
+    ("The appeal is partly allowed.", "Partly Allowed"), ("We allow this appeal partly.", "Partly Allowed"), ("The appeal stands allowed. Pending applications, if any, stand disposed of.", "Allowed"),
+    ("The petition is, accordingly, dismissed.", "Dismissed"), ("The High Court allowed the revision and set aside the order.", None), ("The order of the High Court is set aside.", "Set Aside"),
+    ("The matter is remanded to the court.", "Remanded"), ("List on Monday.", None), ("The appeal is disposed of.", "Disposed"), ("The petition was withdrawn.", "Withdrawn"),
+    ("The appeals are allowed in the aforesaid terms.", "Allowed"), ("Appeal allowed to the above extent.", "Allowed"), ("Allowed as above. No costs.", "Allowed"), ("Appeal allowed.", None),
+    ("The writ petitions stand dismissed with costs.", "Dismissed"), ("The suit dismissed earlier was restored.", None), ("We remand the matter. It is remanded back to the Tribunal.", "Remanded"),
+    ("The proceedings in the FIR are hereby quashed.", "Quashed"), ("The trial court dismissed the suit.", None), ("The Tribunal had in its order of May allowed the claim.", None),
+    ("The judgment of the trial court was set aside.", "Set Aside"), ("Pending I.A.s are disposed of.", None), ("The application and the appeal are disposed of.", "Disposed"),
+    ("All pending applications stand disposed of.", None), ("The petition is disposed-of.", "Disposed"), ("It is a long way from what is said here by anyone to what was ever allowed.", None),
+]
+
+
+@pytest.mark.parametrize(("body", "label"), OUTCOMES)
+def test_disposition(body, label):
+    assert outcomes.decide(body)[1] == label
+
+
+def test_sentences_and_paragraphs_equal_those_of_the_columns(spark):
+    """The search from the end cuts texts as the column functions do."""
+    texts = [PARAGRAPHS, "SLP NO. 6 is Mr. X. 3 The end. Ors. came", "", "1. a\n2. b", "1. One.\n\n2) Two is here.\n3. Three. No. 4 v. Ors. Five.\n7\n4. Four.", *[b for b, _ in OUTCOMES]]
+    assert apply(spark, text.split_sentences, *texts) == [outcomes.sentences(t) if "\n" not in t else apply(spark, text.split_sentences, t)[0] for t in texts]
+    assert [[p for _, p in found] for found in apply(spark, text.split_paragraphs, *texts)] == [outcomes.paragraphs(t) for t in texts]
+
+
+def test_a_long_judgment_is_read_from_its_end():
+    began = time.perf_counter()
+    body = "".join(f"{i}. The High Court allowed the revision and so on and so forth, as is said in No. {i}. It went on. \n" for i in range(1, 3000)) + "3000. The appeal is dismissed."
+    assert len(body) > 290_000 and outcomes.decide(body) == ("The appeal is dismissed.", "Dismissed")
+    assert time.perf_counter() - began < 1
 
 
 def test_disposition_reads_the_last_numbered_paragraphs(spark):
     early = "1. The suit is allowed.\n" + "".join(f"{i}. Nothing here {i}.\n" for i in range(2, 12))
-    assert apply(spark, text.disposition, PARAGRAPHS, early, None) == [("The appeal is dismissed.", "Dismissed"), (None, None), (None, None)]
+    assert apply(spark, outcomes.disposition, PARAGRAPHS, early, None) == [("The appeal is dismissed.", "Dismissed"), (None, None), (None, None)]
 
 
 def test_provisions(spark):
