@@ -14,52 +14,68 @@ from benchbook.sources.domain import Domain
 
 #: Options that a facet of names lists.
 TOP = 30
+NAMED = ("judge", "industry", "ministry")
 ORDER = ("court", "judge", "year", "disposition", "favouring_party", "industry", "ministry", "judgment")
 
 
-def _counted(rows: DataFrame, value: Column, label: Column, top: int | None = None) -> DataFrame:
-    """value, label, n: distinct cases per option, most first, ties by label."""
-    out = rows.groupBy(value.cast("string").alias("value"), label.cast("string").alias("label")).agg(F.countDistinct("case_id").alias("n"))
-    return out.orderBy(F.desc("n"), "label").limit(top) if top else out
-
-
-def _facet_of(d: Domain, cases: DataFrame, key: str) -> DataFrame:
-    c = F.col
-    if key == "court":
-        return _counted(cases.join(F.broadcast(d.courts()), "court_id"), c("court_id"), c("court_name"))
-    if key == "judge":
-        return _counted(members(cases, "bench", d.judges(), "judge_id"), c("full_name"), c("full_name"), TOP)
-    if key == "industry":
-        return _counted(members(cases, "industries", d.industries(), "industry_id"), c("name"), c("name"), TOP)
-    if key == "ministry":
-        return _counted(members(cases, "ministries", d.ministries(), "ministry_id"), c("name"), c("name"), TOP)
-    if key == "year":
-        return _counted(cases.where("judgment_date is not null"), F.year("judgment_date"), F.year("judgment_date"))
-    if key == "judgment":
-        there = c("judgment_status") == "AVAILABLE"
-        return _counted(cases, F.when(there, "available").otherwise("missing"), F.when(there, "Judgment available").otherwise("Judgment missing"))
-    return _counted(cases.where(c(key).isNotNull()), c(key), c(key))
+#: Facets whose options come from a case's lines, and the column there.
+OF_LINES = {"judge": "judge_id", "ministry": "ministry_id"}
+THERE = "available", "Judgment available"
+MISSING = "missing", "Judgment missing"
+
+
+def _names(d: Domain, keys: tuple[str, ...]) -> DataFrame:
+    """facet, id, value, label of options that a dimension names. Only courts show their id; equal names are one option."""
+    dims = {"court": (d.courts(), "court_id", "court_name"), "judge": (d.judges(), "judge_id", "full_name"), "industry": (d.industries(), "industry_id", "name"), "ministry": (d.ministries(), "ministry_id", "name")}
+    made = [
+        dim.select(F.lit(k).alias("facet"), F.col(i).cast("string").alias("id"), F.col(i if k == "court" else name).cast("string").alias("value"), F.col(name).alias("label"))
+        for k, (dim, i, name) in dims.items() if k in keys
+    ]
+    return reduce(DataFrame.union, made)
+
+
+def _options(d: Domain, cases: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """facet, value, label, n of the facets keys over flagged cases (Search.judged): each case counts for a facet if it meets
+    all other facets' clauses. The cases are exploded once into facet and option; all facets are counted by one aggregation."""
+    meets = {k: reduce(lambda a, b: a & b, [F.col(f"meets_{o}") for o in ORDER if o != k]) for k in keys}
+    there = F.col("judgment_status") == "AVAILABLE"
+    own = {
+        "court": F.col("court_id"), "year": F.year("judgment_date"), "disposition": F.col("disposition"), "favouring_party": F.col("favouring_party"), "industry": F.get("industries", F.lit(0)),
+        "judgment": F.when(there, THERE[0]).otherwise(MISSING[0]),
+    }
+    tag = lambda k, x: F.when(meets[k] & x.isNotNull(), F.struct(F.lit(k).alias("facet"), x.cast("string").alias("id")))
+    parts = []
+    if flat := [k for k in keys if k in own]:
+        parts.append(cases.select("case_id", F.explode(F.array_compact(F.array(*[tag(k, own[k]) for k in flat]))).alias("x")).select("case_id", "x.*"))
+    if lined := [k for k in keys if k in OF_LINES]:
+        wanted = cases.select("case_id", *[meets[k].alias(f"counts_{k}") for k in lined]).where(reduce(lambda a, b: a | b, [F.col(f"counts_{k}") for k in lined]))
+        lines = d.lines().select("case_id", *[OF_LINES[k] for k in lined]).join(wanted, "case_id")
+        each = F.array_compact(F.array(*[F.when(F.col(f"counts_{k}"), F.struct(F.lit(k).alias("facet"), F.col(OF_LINES[k]).cast("string").alias("id"))) for k in lined]))
+        parts.append(lines.select("case_id", F.explode(each).alias("x")).select("case_id", "x.*"))
+    tagged = reduce(DataFrame.union, parts)
+    if named := tuple(k for k in keys if k in ("court", "industry", *OF_LINES)):
+        tagged = tagged.join(_names(d, named), ["facet", "id"], "left").where(F.col("label").isNotNull() | ~F.col("facet").isin(*named))
+    else:
+        tagged = tagged.withColumns({"value": F.lit(None).cast("string"), "label": F.lit(None).cast("string")})
+    label = F.when(F.col("facet") != "judgment", F.coalesce("label", "id")).when(F.col("id") == THERE[0], THERE[1]).otherwise(MISSING[1])
+    return tagged.select("facet", "case_id", F.coalesce("value", "id").alias("value"), label.alias("label")).groupBy("facet", "value", "label").agg(F.countDistinct("case_id").alias("n"))
 
 
 def facet(d: Domain, request: SearchRequest, key: str) -> DataFrame:
-    """Options of one facet over what the request matches without the facet's own selections."""
-    return _facet_of(d, Search(d).matched(request, without=key), key)
+    """Options of one facet over what the request matches without the facet's own selections: value, label, n, most first."""
+    out = _options(d, Search(d).judged(request, ORDER), (key,)).select("value", "label", "n")
+    return out.orderBy(F.desc("n"), "label").limit(TOP) if key in NAMED else out
 
 
 def panel(d: Domain, request: SearchRequest) -> DataFrame:
     """All facets: facet, value, label, n. Facets without options have no rows.
 
-    Facets without a selection of their own share one matched plan (Spark reuses its exchanges); the
-    others add one plan each.
+    Cases are matched once, with a flag for each facet's own selection. A facet of names lists its TOP options:
+    a rank within the facet, over options and not over cases.
     """
-    search = Search(d)
-    chosen = {c.key for c in search.clauses(request)}
-    shared = search.matched(request)
-    parts = []
-    for key in ORDER:
-        cases = search.matched(request, without=key) if key in chosen else shared
-        parts.append(_facet_of(d, cases, key).select(F.lit(key).alias("facet"), "value", "label", "n"))
-    return reduce(DataFrame.union, parts)
+    options = _options(d, Search(d).judged(request, ORDER), ORDER)
+    place = F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("n"), "label"))
+    return options.withColumn("place", place).where((F.col("place") <= TOP) | ~F.col("facet").isin(*NAMED)).drop("place")
 
 
 def _tagged(kind: str):

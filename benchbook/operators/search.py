@@ -158,12 +158,13 @@ class Search:
         return out
 
     def matched(self, r: SearchRequest, without: str | None = None) -> DataFrame:
-        """Cases that meet every clause but those of the facet named by without."""
-        text = self.needs_text(r)
-        cases = self.domain.cases(text=text)
-        if text:
-            cases = cases.withColumn("tokens", self.tokens())
+        """Cases that meet every clause but those of the facet named by without, with their id arrays."""
+        return self.domain.with_arrays(self.found(r, without))
+
+    def found(self, r: SearchRequest, without: str | None = None) -> DataFrame:
+        """As matched, without the arrays: what is counted or cut to a page needs none."""
         clauses = [c for c in self.clauses(r) if c.key != without]
+        cases = self.candidates(r)
         for c in clauses:
             if c.column is not None:
                 cases = cases.where(c.column)
@@ -172,17 +173,38 @@ class Search:
                 cases = cases.join(c.ids, "case_id", "left_semi")
         return cases.drop("tokens", "text")
 
+    def candidates(self, r: SearchRequest) -> DataFrame:
+        """All flat cases; with their tokens if the request looks at the text."""
+        text = self.needs_text(r)
+        cases = self.domain.flat(text=text)
+        return cases.withColumn("tokens", self.tokens()) if text else cases
+
+    def judged(self, r: SearchRequest, keys: tuple[str, ...]) -> DataFrame:
+        """Flat cases that meet all clauses but those of keys, with a flag meets_<key> for each of keys, and that fail at most
+        one flag: all that a facet may count which drops one of them."""
+        clauses, cases, flags = self.clauses(r), self.candidates(r), {}
+        for c in (c for c in clauses if c.key not in keys):
+            cases = cases.where(c.column) if c.column is not None else cases.join(c.ids, "case_id", "left_semi")
+        for n, c in enumerate(c for c in clauses if c.key in keys):
+            if c.ids is not None:
+                cases = cases.join(c.ids.withColumn(f"in_{n}", F.lit(True)), "case_id", "left")
+            own = F.coalesce(c.column if c.column is not None else F.col(f"in_{n}"), F.lit(False))
+            flags[c.key] = flags[c.key] & own if c.key in flags else own
+        told = cases.withColumns({f"meets_{k}": flags.get(k, F.lit(True)) for k in keys})
+        failed = reduce(lambda a, b: a + b, [F.when(F.col(f"meets_{k}"), 0).otherwise(1) for k in keys])
+        return told.where(failed <= 1)
+
     def page(self, r: SearchRequest, page: int = 1, limit: int = 20) -> DataFrame:
         """One page, newest (or oldest) first, undated last either way, ties by id. Only its rows get their names."""
         if page < 1 or not 1 <= limit <= 100:
             raise ValueError("page starts at 1, limit is 1 to 100")
         date = F.col("judgment_date")
         order = date.asc_nulls_last() if r.sort_ascending else date.desc_nulls_last()
-        return self.matched(r).orderBy(order, "case_id").offset((page - 1) * limit).limit(limit)
+        return self.domain.with_arrays(self.found(r).orderBy(order, "case_id").offset((page - 1) * limit).limit(limit))
 
     def total(self, r: SearchRequest, limit: int = 20) -> DataFrame:
         """total and pages; no match is one page."""
-        return self.matched(r).agg(F.count(F.lit(1)).alias("total")).select("total", F.greatest(F.ceil(F.col("total") / limit), F.lit(1)).cast("long").alias("pages"))
+        return self.found(r).agg(F.count(F.lit(1)).alias("total")).select("total", F.greatest(F.ceil(F.col("total") / limit), F.lit(1)).cast("long").alias("pages"))
 
 
 def view(domain: Domain, cases: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ JUDGE = "Supplier#00000001"
 
 
 def ids(request: dict | str):
-    return lambda d: Search(d).matched(SearchRequest.of(request)).select("case_id")
+    return lambda d: Search(d).found(SearchRequest.of(request)).select("case_id")
 
 
 def of_cases(where: str) -> str:
@@ -68,7 +68,7 @@ COURT, YEAR = "court_id IN (1, 2, 3)", "year(judgment_date) = 1997"
 
 @query("exclude_filter_keys", of_cases(YEAR))
 def exclude_filter_keys(d: Domain) -> DataFrame:
-    return Search(d).matched(SearchRequest.of(BASE), without="court").select("case_id")
+    return Search(d).found(SearchRequest.of(BASE), without="court").select("case_id")
 
 
 @query("scan_table", "SELECT case_id, court_id, case_number, judgment_date FROM cases")
@@ -125,7 +125,7 @@ def jsonb_agg(d: Domain) -> DataFrame:
 @query("fts_english")
 def fts_english(d: Domain) -> DataFrame:
     """Stems match other forms of a word; stop words are left out of texts and queries."""
-    return Search(d, English()).matched(SearchRequest.of({"any": ["civil appeals", "no such words"]})).select("case_id")
+    return Search(d, English()).found(SearchRequest.of({"any": ["civil appeals", "no such words"]})).select("case_id")
 
 
 query("provisions_json", "SELECT case_id, '[' || string_agg('{\"act_name\":\"' || act_name || '\",\"section\":\"' || section_number || '\"}', ',' ORDER BY act_name, section_number) || ']' provisions FROM (SELECT DISTINCT case_id, act_name, section_number FROM case_sections JOIN sections USING (section_id) JOIN acts USING (act_id)) x GROUP BY case_id")(
@@ -187,7 +187,7 @@ def membership_join(d: Domain) -> DataFrame:
 
 @query("matched_cte_semi", f"SELECT case_id, full_name FROM case_bench JOIN judges USING (judge_id) WHERE case_id IN (SELECT case_id FROM cases WHERE {COURT} AND {YEAR})")
 def matched_cte_semi(d: Domain) -> DataFrame:
-    matched = Search(d).matched(SearchRequest.of(BASE)).select("case_id")
+    matched = Search(d).found(SearchRequest.of(BASE)).select("case_id")
     bench = d.lines().select("case_id", "judge_id").distinct()
     return bench.join(matched, "case_id", "left_semi").join(d.judges(), "judge_id").select("case_id", "full_name")
 

@@ -53,12 +53,21 @@ class Domain:
         lines = self.raw("lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_suppkey").alias("judge_id"), F.col("l_partkey").alias("section_id"))
         return lines.join(sections, "section_id").select("case_id", "judge_id", "section_id", "act_id", "size", "ministry_id")
 
-    def cases(self, text: bool = False) -> DataFrame:
-        """The flat fact table with its id arrays, never null, sorted and distinct. text: with the judgment's text."""
+    def with_arrays(self, cases: DataFrame) -> DataFrame:
+        """cases with their id arrays, never null, sorted and distinct. Only the lines of these cases are gathered."""
         ids = lambda c: F.array_sort(F.collect_set(c))
         arrays = self.lines().groupBy("case_id").agg(
             ids("judge_id").alias("bench"), ids("section_id").alias("sections"), ids(F.when(F.col("size") <= 25, F.col("act_id"))).alias("acts"), ids("ministry_id").alias("ministries")
         )
+        none = F.array().cast("array<bigint>")
+        return cases.join(arrays, "case_id", "left").withColumns({c: F.coalesce(c, none) for c in ("bench", "sections", "acts", "ministries")})
+
+    def cases(self, text: bool = False) -> DataFrame:
+        """The flat fact table with its id arrays, never null, sorted and distinct. text: with the judgment's text."""
+        return self.with_arrays(self.flat(text))
+
+    def flat(self, text: bool = False) -> DataFrame:
+        """The fact table without what has to be gathered from its lines."""
         industry = F.broadcast(self.industries().select(F.col("name").alias("c_mktsegment"), "industry_id"))
         customer = self.raw("customer").join(industry, "c_mktsegment").join(F.broadcast(self.raw("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
         k, year = F.col("o_orderkey"), F.year("o_orderdate").cast("string")
@@ -70,7 +79,7 @@ class Domain:
             .otherwise(F.concat(F.lit("Misc "), s))
         )
         base = (
-            self.raw("orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(arrays, k == F.col("case_id"), "left")
+            self.raw("orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 k.alias("case_id"), F.col("c_nationkey").cast("long").alias("court_id"), F.col("c_name").alias("petitioner"), F.concat(F.lit("State of "), "n_name").alias("respondent"),
                 F.concat("c_name", F.lit(" Vs State of "), "n_name").alias("party_raw"), number.alias("case_number"),
@@ -79,7 +88,7 @@ class Domain:
                 F.element_at(F.create_map(*[F.lit(x) for x in ("1", "Petitioner", "2", "Respondent", "3", "Partly", "4", "Neither")]), F.substring("o_orderpriority", 1, 1)).alias("favouring_party"),
                 F.when(k % 10 == 0, "NOT_PUBLISHED").when(k % 10 == 1, "DOWNLOAD_FAILED").otherwise("AVAILABLE").alias("judgment_status"),
                 F.when(k % 5 != 0, F.concat(year, F.lit(" INSC "), s)).alias("neutral_citation"), F.col("o_orderdate").alias("created_at"),
-                *[F.coalesce(c, F.array().cast("array<bigint>")).alias(c) for c in ("bench", "sections", "acts", "ministries")], F.array("industry_id").alias("industries"),
+                F.array("industry_id").alias("industries"),
             )
         )
         if not text:
