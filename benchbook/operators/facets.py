@@ -102,7 +102,7 @@ def act_picker(d: Domain, term: str, limit: int) -> DataFrame:
     like = f"%{term}%"
     acts = d.acts().where(F.col("act_name").ilike(like) | F.col("short_code").ilike(like))
     per_act = d.cases().select(F.explode("acts").alias("act_id")).groupBy("act_id").agg(F.count(F.lit(1)).alias("n"))
-    named = per_act.join(F.broadcast(acts), "act_id").groupBy("act_name").agg(F.max("short_code").alias("short_code"), F.sum("n").alias("n"))
+    named = per_act.join(acts, "act_id").groupBy("act_name").agg(F.max("short_code").alias("short_code"), F.sum("n").alias("n"))
     return named.orderBy(F.desc("n"), "act_name").limit(limit).select("act_name", "short_code", "n")
 
 
@@ -114,7 +114,7 @@ def natural(number: Column) -> list[Column]:
 def section_picker(d: Domain, act: str, prefix: str) -> DataFrame:
     """Sections of an act that start with the prefix, with case counts and their rank in natural order."""
     acts = d.acts().where(F.col("act_name") == act).select("act_id")
-    wanted = d.sections().join(F.broadcast(acts), "act_id", "left_semi").where(F.col("section_number").ilike(f"{prefix}%")).select("section_id", "section_number")
+    wanted = d.sections().join(acts, "act_id", "left_semi").where(F.col("section_number").ilike(f"{prefix}%")).select("section_id", "section_number")
     counts = members(d.cases(), "sections", wanted, "section_id").groupBy("section_number").agg(F.countDistinct("case_id").alias("n"))
     # One row per section of one act: the ranking's single partition is that small.
     return counts.withColumn("rank", F.row_number().over(Window.orderBy(*natural("section_number"))))
@@ -122,7 +122,7 @@ def section_picker(d: Domain, act: str, prefix: str) -> DataFrame:
 
 def provisions_json(d: Domain, cases: DataFrame) -> DataFrame:
     """case_id, provisions: cited sections with their acts as a JSON array, sorted."""
-    pairs = members(cases, "sections", d.sections(), "section_id").join(F.broadcast(d.acts()), "act_id")
+    pairs = members(cases, "sections", d.sections(), "section_id").join(d.acts(), "act_id")
     return pairs.groupBy("case_id").agg(F.to_json(F.array_sort(F.collect_set(F.struct("act_name", F.col("section_number").alias("section"))))).alias("provisions"))
 
 

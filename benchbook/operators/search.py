@@ -210,18 +210,22 @@ class Search:
 def view(domain: Domain, cases: DataFrame) -> DataFrame:
     """Cases with the names of what their ids stand for: court, sorted names per array, and cited provisions.
 
-    Arrays are exploded and joined to their dimension; unknown ids drop out; no ids give an empty string.
+    All arrays are exploded at once, tagged by what they hold, meet one table of all dimensions' names and come back by one
+    aggregation per case. Unknown ids drop out; no ids give an empty string.
     """
-    joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ";")
-    out = cases.join(F.broadcast(domain.courts()), "court_id")
-    for array, dim, key, name, alias in (
-        ("bench", domain.judges(), "judge_id", "full_name", "bench_names"), ("acts", domain.acts(), "act_id", "act_name", "act_names"),
-        ("ministries", domain.ministries(), "ministry_id", "name", "ministry_names"), ("industries", domain.industries(), "industry_id", "name", "industry_names"),
-    ):
-        out = out.join(members(cases, array, dim, key).groupBy("case_id").agg(joined(name).alias(alias)), "case_id", "left").withColumn(alias, F.coalesce(alias, F.lit("")))
-    pairs = members(cases, "sections", domain.sections(), "section_id").join(F.broadcast(domain.acts()), "act_id")
-    cited = pairs.groupBy("case_id").agg(joined(F.concat_ws(":", "act_name", "section_number")).alias("provisions"))
-    return out.join(cited, "case_id", "left").withColumn("provisions", F.coalesce("provisions", F.lit("")))
+    d = domain
+    cited = d.sections().join(d.acts(), "act_id").select(F.col("section_id").alias("id"), F.concat_ws(":", "act_name", "section_number").alias("name"))
+    held = {
+        "bench_names": ("bench", d.judges().select(F.col("judge_id").alias("id"), F.col("full_name").alias("name"))), "act_names": ("acts", d.acts().select(F.col("act_id").alias("id"), F.col("act_name").alias("name"))),
+        "ministry_names": ("ministries", d.ministries().select(F.col("ministry_id").alias("id"), "name")), "industry_names": ("industries", d.industries().select(F.col("industry_id").alias("id"), "name")), "provisions": ("sections", cited),
+    }
+    names = reduce(DataFrame.union, [dim.select(F.lit(alias).alias("kind"), F.col("id").cast("long").alias("id"), "name") for alias, (_, dim) in held.items()])
+    as_kind = lambda alias: lambda x: F.struct(F.lit(alias).alias("kind"), x.cast("long").alias("id"))
+    tagged = [F.transform(array, as_kind(alias)) for alias, (array, _) in held.items()]
+    found = cases.select("case_id", F.explode(F.concat(*tagged)).alias("x")).select("case_id", "x.*").join(names, ["kind", "id"])
+    per = found.groupBy("case_id").agg(*[F.array_join(F.array_sort(F.collect_set(F.when(F.col("kind") == alias, F.col("name")))), ";").alias(alias) for alias in held])
+    out = cases.join(domain.courts(), "court_id").join(per, "case_id", "left")
+    return out.withColumns({alias: F.coalesce(alias, F.lit("")) for alias in held})
 
 
 def detail(domain: Domain, key: str) -> DataFrame:

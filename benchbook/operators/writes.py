@@ -25,6 +25,19 @@ def numbered(new: DataFrame, order: list[str], start: DataFrame, id_name: str) -
     )
 
 
+def ranked(rows: DataFrame, grain: Column, order: list[Column], name: str = "rank") -> DataFrame:
+    """rows with their place, from 1, in the order of grain (nulls last), then of order.
+
+    A row's place is its place among the rows of its grain plus the sizes of the grains before it. Only the
+    grains' sizes, a row each, pass through one task; so grain takes a bounded number of values, such as days.
+    """
+    marked = rows.withColumn("__grain", grain)
+    before = F.sum("__n").over(Window.orderBy(F.col("__grain").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1))
+    sizes = marked.groupBy("__grain").agg(F.count(F.lit(1)).alias("__n")).select(F.col("__grain").alias("__g"), F.coalesce(before, F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__grain").orderBy(*order))
+    return marked.withColumn("__place", place).join(sizes, F.col("__grain").eqNullSafe(F.col("__g"))).withColumn(name, (F.col("__before") + F.col("__place")).cast("int")).drop("__grain", "__g", "__n", "__before", "__place")
+
+
 def same_key(a: DataFrame, b: DataFrame, key: list[str]) -> Column:
     """Equality on every key column, nulls equal."""
     cond = F.lit(True)
@@ -83,7 +96,7 @@ def assign_sequences(cases: DataFrame, counters: DataFrame, prefix: str = "CASE"
     """
     due = cases.where("external_id is null and judgment_date is not null and court_code is not null")
     nth = F.row_number().over(Window.partitionBy("court_code", "year").orderBy("case_id"))
-    given = due.withColumn("year", F.year("judgment_date")).withColumn("nth", nth).join(F.broadcast(counters), ["court_code", "year"], "left")
+    given = due.withColumn("year", F.year("judgment_date")).withColumn("nth", nth).join(counters, ["court_code", "year"], "left")
     number = F.coalesce("last", F.lit(0)) + F.col("nth")
     named = given.select("case_id", F.concat_ws("/", F.lit(prefix), "court_code", F.format_string("%04d", number), F.col("year").cast("string")).alias("given_id"))
     return cases.join(named, "case_id", "left").withColumn("external_id", F.coalesce("external_id", "given_id")).drop("given_id")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from benchbook.operators import batches as b
 from benchbook.operators import history as h
+from benchbook.operators.writes import ranked
 from benchbook.plans.registry import query
 from benchbook.sources.domain import Domain
 
@@ -66,7 +67,8 @@ query("missing_judgment_filter", f"SELECT case_id, judgment_status FROM cases WH
 
 @query("missing_sort", f"SELECT case_id, CAST(row_number() OVER (ORDER BY judgment_date DESC NULLS LAST, case_id DESC) AS INTEGER) AS \"rank\" FROM cases WHERE {MISSING}")
 def missing_sort(d: Domain) -> DataFrame:
-    return missing(d).select("case_id", F.row_number().over(Window.orderBy(F.col("judgment_date").desc_nulls_last(), F.desc("case_id"))).alias("rank"))
+    latest_first = -F.datediff("judgment_date", F.lit("1970-01-01").cast("date"))
+    return ranked(missing(d), latest_first, [F.desc("case_id")]).select("case_id", "rank")
 
 
 @query("missing_summary", "SELECT court_name, judgment_status, count(*) n FROM cases JOIN courts USING (court_id) WHERE judgment_status <> 'AVAILABLE' GROUP BY ALL")
@@ -266,7 +268,9 @@ def mean_confidence(d: Domain) -> DataFrame:
 @query("batch_sort", f"SELECT batch_id, CAST(row_number() OVER (ORDER BY coalesce(finished_at, {TS}) - requested_at DESC, batch_id) AS INTEGER) AS \"rank\" FROM batches WHERE court_id = 3")
 def batch_sort(d: Domain) -> DataFrame:
     took = F.coalesce(F.col("finished_at"), b.at(NOW)) - F.col("requested_at")
-    return d.batches().where("court_id = 3").select("batch_id", F.row_number().over(Window.orderBy(took.desc(), "batch_id")).alias("rank"))
+    rows = d.batches().where("court_id = 3").select("batch_id", took.alias("took"))
+    hours = F.expr("extract(day from took) * 24 + extract(hour from took)")
+    return ranked(rows, -hours, [F.desc("took"), F.col("batch_id")]).select("batch_id", "rank")
 
 
 @query("cursor_page", "SELECT log_id, kind FROM log_events WHERE kind = 'LOG' AND log_id > 1000 ORDER BY log_id LIMIT 500")

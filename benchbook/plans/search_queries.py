@@ -222,9 +222,9 @@ def page_total(d: Domain) -> DataFrame:
     return Search(d).total(SearchRequest.of(BASE))
 
 
-@query("page_total_empty", "SELECT CAST(0 AS BIGINT) total, CAST(1 AS BIGINT) pages")
+@query("page_total_empty", f"SELECT count(*) total, greatest(CAST(ceil(count(*) / 20) AS BIGINT), 1) pages FROM cases WHERE {COURT} AND case_id IN (SELECT case_id FROM case_bench JOIN judges USING (judge_id) WHERE full_name ILIKE '%No such judge%')")
 def page_total_empty(d: Domain) -> DataFrame:
-    return Search(d).total(SearchRequest.of({"filters": {"disposition": ["No such"]}}))
+    return Search(d).total(SearchRequest.of({"filters": {"court": [1, 2, 3], "judge": ["No such judge"]}}))
 
 
 @query("projection_list", f"SELECT case_id, (CASE WHEN case_id % 3 <> 0 THEN petitioner || '/petitioner;' ELSE '' END) || respondent || '/respondent' parties, coalesce(b.bench, '') bench FROM cases LEFT JOIN (SELECT case_id, string_agg(CAST(judge_id AS VARCHAR), ';' ORDER BY judge_id) bench FROM case_bench GROUP BY case_id) b USING (case_id) WHERE {COURT}")

@@ -80,9 +80,9 @@ def get_or_create(d: Domain) -> DataFrame:
 
 @query("resolve_act_entries", f"SELECT case_id, {IDS.format('act_id')} act_ids, (SELECT 1) one FROM (SELECT DISTINCT case_id, act_id FROM lines) x GROUP BY case_id")
 def resolve_act_entries(d: Domain) -> DataFrame:
-    entries = d.lines().select("case_id", "act_id").distinct().join(F.broadcast(d.acts()), "act_id").select("case_id", "act_name", "act_year")
+    entries = d.lines().select("case_id", "act_id").distinct().join(d.acts(), "act_id").select("case_id", "act_name", "act_year")
     dim = d.acts().select("act_name", F.col("act_year").alias("y"), F.col("act_id").alias("found"))
-    back = entries.join(F.broadcast(dim), (entries["act_name"] == dim["act_name"]) & entries["act_year"].eqNullSafe(dim["y"]))
+    back = entries.join(dim, (entries["act_name"] == dim["act_name"]) & entries["act_year"].eqNullSafe(dim["y"]))
     return back.groupBy("case_id").agg(joined(F.array_sort(F.collect_set("found"))).alias("act_ids")).withColumn("one", F.lit(1))
 
 
@@ -175,9 +175,11 @@ def enrich_merge(d: Domain) -> DataFrame:
     return out.select("case_id", "case_note", "favouring_party", "disposition", joined("industries").alias("industries"), joined("ministries").alias("ministries"), joined("acts").alias("acts"), "attempts")
 
 
-@query("status_write", "SELECT log_id, kind status, substr(details, 1, 5) error, n + 1 attempts FROM log_events WHERE kind = 'FAILED'")
+@query("status_write", "SELECT log_id, kind status, substr(repeat(details || ' ', 60), 1, 500) error, n + 1 attempts FROM log_events WHERE kind = 'FAILED'")
 def status_write(d: Domain) -> DataFrame:
-    return d.events().where("kind = 'FAILED'").select("log_id", F.col("kind").alias("status"), F.substring("details", 1, 5).alias("error"), (F.col("n") + 1).alias("attempts"))
+    # A message of many lines, as a traceback is: at most 500 characters of it are kept.
+    message = F.repeat(F.concat("details", F.lit(" ")), F.lit(60))
+    return d.events().where("kind = 'FAILED'").select("log_id", F.col("kind").alias("status"), F.substring(message, 1, 500).alias("error"), (F.col("n") + 1).alias("attempts"))
 
 
 @query("config_upsert", "SELECT court_id, 'old' config FROM courts WHERE court_id % 2 = 0 AND court_id % 3 <> 0 UNION ALL SELECT court_id, 'new' FROM courts WHERE court_id % 3 = 0")

@@ -174,7 +174,9 @@ def value_of(pairs: Column, label: str) -> Column:
 
 
 def _cell(pairs: Column, label: str) -> Column:
-    return F.get(F.filter(pairs, lambda x: x["label"] == label.lower()), F.lit(0))["cell"]
+    """A label's cell; the last of repeated labels, as in value_of."""
+    hits = F.filter(pairs, lambda x: x["label"] == label.lower())
+    return F.get(hits, F.size(hits) - 1)["cell"]
 
 
 def case_details(pages: DataFrame, key: str) -> DataFrame:

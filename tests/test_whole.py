@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from benchbook.functions import spans, text
 from benchbook.functions import vocabulary as v
-from benchbook.operators import batches, entities
+from benchbook.operators import batches, entities, writes
 from benchbook.plans import QUERIES, text_queries
 from benchbook.plans.source_queries import folded
+from benchbook.sources import html
 from benchbook.sources.domain import Domain
 from benchbook.streaming import logs
 from tests.conftest import DATA
@@ -86,3 +87,20 @@ def test_statutes_of_one_name_meet(spark):
     ]
     spelt = spark.createDataFrame([(1, 0, 0, "STATUTE", "The Police Act"), (1, 1, 0, "STATUTE", "Police Act"), (1, 2, 0, "STATUTE", "Forest Act")], "case_id int, sentence int, start int, label string, text string")
     assert {r["text"]: r["statute"] for r in entities.canonical_statutes(spelt).collect()} == {"The Police Act": "The Police Act", "Police Act": "The Police Act", "Forest Act": "Forest Act"}
+
+
+def test_the_last_of_repeated_labels_counts_for_every_field(spark):
+    row = lambda label, cell: f"<tr><td>{label}</td><td>{cell}</td></tr>"
+    cells = row("Case No.", "WRIT PETITION (WP) 1/2018") + row("Status", "PENDING") + row("Act", "1 - First Act (Section - 1)") + row("Status", "DISPOSED") + row("Act", "2 - Second Act (Section - 2)")
+    page = spark.createDataFrame([(1, f"<table id='case-details-table'>{cells}</table>")], "page_id long, html string")
+    found = html.case_details(page, "page_id").first()
+    assert found["status_line"] == "DISPOSED" and [a["act_name"] for a in found["acts"]] == ["Second Act"]
+
+
+def test_ranks_by_grain_equal_a_global_order(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice([None, *range(9)]), rng.randrange(40)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, day int, x int").repartition(5)
+    found = {r["id"]: r["rank"] for r in writes.ranked(df, -F.col("day"), [F.desc("x"), F.col("id")]).collect()}
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), -r[2], r[0]))
+    assert found == {r[0]: n + 1 for n, r in enumerate(want)}
