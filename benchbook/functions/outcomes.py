@@ -36,6 +36,8 @@ _PARAGRAPH = re.compile(v.PARAGRAPH, re.ASCII)
 _END = re.compile(v.SENTENCE_END, re.ASCII)
 _LAST_WORD = re.compile(r"([A-Za-z']+)\s*\Z")
 _WORD = re.compile(r"[a-z0-9']+")
+#: Without one of these no rule holds; most sentences have none.
+_TELLING = re.compile("allow|dismissed|withdrawn|remand|quashed|aside|disposed", re.IGNORECASE)
 
 
 class Words:
@@ -75,8 +77,10 @@ class Words:
 
 def outcome(sentence: str) -> str | None:
     """The outcome that a sentence tells: the most telling one, in this order."""
+    if not _TELLING.search(sentence):
+        return None
     s = Words(sentence)
-    if not s.words or s.tells_of_a_forum_below():
+    if s.tells_of_a_forum_below():
         return None
     if s.has(("partly", "allowed"), ("party", "allowed")) or s.near("allow", "partly"):
         return "Partly Allowed"
@@ -102,7 +106,7 @@ def sentences(text: str) -> list[str]:
     done, held = [], []
     for part in _END.split(text):
         held.append(part.rstrip(" "))
-        word = _LAST_WORD.search(part)
+        word = _LAST_WORD.search(part.rstrip()[-24:])  # no abbreviation is as long
         if word is None or word[1].lower() not in v.ABBREVIATIONS:
             done.append(". ".join(held).strip(" ") + ".")
             held = []
