@@ -270,9 +270,12 @@ def subject_from_jurisdiction(text: Column) -> Column:
 
 def after_heading(text: Column, heading: str) -> Column:
     """What follows the first match of a heading; null if there is none."""
-    at = F.regexp_instr(text, F.lit(heading))
-    rest = F.substring(text, at, F.length(text))
-    return F.when(at > 0, F.substring(rest, F.length(F.regexp_substr(text, F.lit(heading))) + 1, F.length(text)))
+    return F.get(F.split(text, heading, 2), F.lit(1))
+
+
+def before_match(text: Column, pattern: str) -> Column:
+    """What stands before the first match; all of the text if there is none."""
+    return F.get(F.split(text, pattern, 2), F.lit(0))
 
 
 def judgment_body(text: Column) -> Column:
@@ -282,8 +285,7 @@ def judgment_body(text: Column) -> Column:
 def section_after(text: Column, heading: str, most: int = 3000) -> Column:
     """Text of a section up to the next heading, at most so many characters."""
     rest = F.substring(after_heading(text, heading), 1, most)
-    stop = F.regexp_instr(rest, F.lit(v.SECTION_STOP))
-    return F.nullif(squeeze(F.when(stop > 0, F.substring(rest, F.lit(1), stop - 1)).otherwise(rest)), F.lit(""))
+    return F.nullif(squeeze(before_match(rest, v.SECTION_STOP)), F.lit(""))
 
 
 def strip_ocr_noise(text: Column) -> Column:
@@ -361,9 +363,7 @@ def extract_provisions(text: Column, most: int = 30) -> Column:
 
 def connected_matters(text: Column) -> Column:
     """Distinct matters (by number and year) of the cause title: the first 8000 characters up to the body's heading."""
-    head = F.substring(full(text), 1, 8000)
-    at = F.regexp_instr(head, F.lit(v.BODY_LINE))
-    head = F.when(at > 0, F.substring(head, F.lit(1), at - 1)).otherwise(head)
+    head = before_match(F.substring(full(text), 1, 8000), v.BODY_LINE)
     whole, number, year = (F.regexp_extract_all(head, F.lit(v.MATTER), n) for n in (0, 1, 2))
     found = F.transform(F.arrays_zip(whole.alias("w"), number.alias("n"), year.alias("y")), lambda x: F.struct(F.concat_ws("|", x["n"], x["y"]).alias("key"), squeeze(x["w"]).alias("matter")))
     keys = F.transform(found, lambda x: x["key"])

@@ -142,7 +142,14 @@ def event_timeline(d: Domain) -> DataFrame:
     return b.timeline(d.batches(), d.events())
 
 
-query("state_machine")(lambda d: b.fold_states(d.events()))
+# The same fold in SQL: one event of every batch per round. The cases are those of b.TRANSITIONS that the events reach.
+MACHINE = """WITH RECURSIVE e AS (SELECT batch_id, kind, row_number() OVER (PARTITION BY batch_id ORDER BY "at", log_id) place FROM log_events WHERE kind <> 'LOG'),
+r AS (SELECT batch_id, 0 place, 'NEW' state, 0 applied FROM e GROUP BY batch_id
+UNION ALL SELECT batch_id, place, coalesce(moved, state), applied + CASE WHEN moved IS NULL THEN 0 ELSE 1 END FROM (SELECT r.batch_id, CAST(e.place AS INTEGER) place, state, applied,
+CASE WHEN kind = 'STARTED' AND state IN ('QUEUED', 'NEW') THEN 'RUNNING' WHEN kind = 'COMPLETED' AND state = 'RUNNING' THEN 'COMPLETED' WHEN kind = 'FAILED' AND state IN ('QUEUED', 'RUNNING') THEN 'FAILED' WHEN kind = 'HEARTBEAT' AND state = 'RUNNING' THEN 'RUNNING' END moved
+FROM r JOIN e ON e.batch_id IS NOT DISTINCT FROM r.batch_id AND e.place = r.place + 1) x)
+SELECT batch_id, arg_max(state, place) state, max(applied) applied, max(place) - max(applied) ignored FROM r GROUP BY batch_id"""
+query("state_machine", MACHINE)(lambda d: b.fold_states(d.events()))
 PLACED = "SELECT batch_id, item_key, status, row_number() OVER (PARTITION BY batch_id ORDER BY case_id, \"position\", part_id, status) place FROM items"
 
 

@@ -22,5 +22,5 @@ def with_tables(body: str) -> str:
     if not wanted:
         return body
     ctes = ",\n".join(f"{n} AS ({CTES[n]})" for n in wanted)
-    rest = re.match(r"\s*WITH\s", body)
-    return f"WITH {ctes}, {body[rest.end():]}" if rest else f"WITH {ctes}\n{body}"
+    rest = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", body)
+    return f"WITH {rest[1] or ''}{ctes}, {body[rest.end():]}" if rest else f"WITH {ctes}\n{body}"

@@ -9,7 +9,7 @@ from benchbook.functions import outcomes, spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.operators import entities
 from benchbook.plans.registry import query
-from benchbook.sources.domain import Domain
+from benchbook.sources.domain import CTES, Domain
 
 
 def scalar(name: str, raw: str, make, out: str, extra: str = "") -> None:
@@ -149,19 +149,35 @@ def judgments(d: Domain) -> DataFrame:
     )
     body = F.concat(
         F.lit("\n1. "), F.regexp_replace(F.col("text"), "\n", " "), F.lit(" See (2024) 1 SCC 234 and 2023 INSC "), k.cast("string"), F.lit(".\n2. "),
-        pick("Under Section 302 of the Indian Penal Code and article 21 of the Constitution the claim fails.", "Section 138 of the NI Act, and rule 5 of the said Rules apply."), F.lit("\n7\n3. "),
+        pick("Under Section 302 of the Indian Penal Code and article 21 of the Constitution the claim fails.", "Section 138 of the NI Act, and rule 5 of the said Rules apply."), pick("\n7\n3. ", "\nCONCLUSION:\n3. "),
         pick("The appeal is, accordingly, allowed. Pending applications, if any, stand disposed of.", "The High Court allowed the revision. The petition in SLP (CIVIL) NO. 6 is dismissed.", "List the matter for hearing.", "We allow this appeal partly."),
         F.lit("\nDigitally signed by\nA B\nSignature Not Verified\nConclusion .......... 42\n"),
     )
     return d.cases(text=True).where("text is not null").select("case_id", F.concat(lead, body).alias("text"))
 
 
-def of_judgments(name: str, make) -> None:
+# The same texts in SQL.
+def picked(*xs: str) -> str:
+    return "[" + ", ".join("'" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for x in xs) + f"][CAST(case_id % {len(xs)} AS INTEGER) + 1]"
+
+
+CTES["judgments"] = f"""SELECT case_id, {picked("IN THE SUPREME COURT OF INDIA\n")} || {picked("CIVIL", "CRIMINAL", "CIVIL")} || {picked(" APPELLATE JURISDICTION\nCIVIL APPEAL NO. ")} || case_id || {picked(" OF 2024\nSLP (CRL.) NO. 13988/2025\n")} ||
+    {picked("\nJ U D G M E N T\n", "\nORDER\n", "\n")} || {picked("FACTS OF THE CASE:\nThe suit was filed. ")} || {picked("\n1. ")} || replace(text, chr(10), ' ') || ' See (2024) 1 SCC 234 and 2023 INSC ' || case_id || {picked(".\n2. ")} ||
+    {picked("Under Section 302 of the Indian Penal Code and article 21 of the Constitution the claim fails.", "Section 138 of the NI Act, and rule 5 of the said Rules apply.")} || {picked("\n7\n3. ", "\nCONCLUSION:\n3. ")} ||
+    {picked("The appeal is, accordingly, allowed. Pending applications, if any, stand disposed of.", "The High Court allowed the revision. The petition in SLP (CIVIL) NO. 6 is dismissed.", "List the matter for hearing.", "We allow this appeal partly.")} ||
+    {picked("\nDigitally signed by\nA B\nSignature Not Verified\nConclusion .......... 42\n")} AS text FROM cases JOIN documents ON doc_id = case_id WHERE text IS NOT NULL"""
+
+
+def of_judgments(name: str, make, sql: str | None = None) -> None:
+    """make: text -> a value, a struct or an array of structs; structs become columns, their arrays rows. sql: over judgments."""
+
     def run(d: Domain) -> DataFrame:
         done = judgments(d).select("case_id", make(F.col("text")).alias("result"))
-        return done
+        if sql and done.schema["result"].dataType.typeName() == "array":
+            done = done.select("case_id", F.explode("result").alias("result"))
+        return done.select("case_id", "result.*") if done.schema["result"].dataType.typeName() == "struct" else done
 
-    query(name)(run)
+    query(name, sql)(run)
 
 
 def of_spans(name: str, make, *patterns: str) -> None:
@@ -174,32 +190,133 @@ def of_spans(name: str, make, *patterns: str) -> None:
     query(name)(run)
 
 
-of_judgments("subject_from_jurisdiction", text.subject_from_jurisdiction)
-of_judgments("judgment_body", text.judgment_body)
-of_judgments("extract_provisions", text.extract_provisions)
+def squeezed(x: str) -> str:
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+
+
+def bare(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def titled(x: str) -> str:
+    """Capitals at the start of each run of letters."""
+    parts = f"string_split(regexp_replace({x}, '([^\\p{{L}}])(\\p{{L}})', '\\1' || chr(1) || '\\2', 'g'), chr(1))"
+    return f"array_to_string(list_transform({parts}, lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), '')"
+
+
+def behind(heading: str) -> str:
+    return f"regexp_extract(text, '{rx(heading).replace('(?i)', '(?is)')}(.*)', 1)"
+
+
+def section(heading: str) -> str:
+    rest, stop = f"substr({behind(heading)}, 1, 3000)", rx(v.SECTION_STOP)
+    cut = f"CASE WHEN regexp_matches({rest}, '{stop}') THEN regexp_extract({rest}, '(?s)^(.*?)(?:{stop})', 1) ELSE {rest} END"
+    return f"SELECT case_id, nullif({squeezed(cut)}, '') \"result\" FROM judgments"
+
+
+# Numbered marks become chr(1) mark chr(2) number chr(3); a mark belongs to the run if it has the run's next number.
+PARAGRAPHS = f"""WITH RECURSIVE p AS (SELECT case_id, string_split(regexp_replace(text, '{rx(v.PARAGRAPH)}', chr(1) || '\\0' || chr(2) || '\\1' || chr(3), 'g'), chr(1)) parts FROM judgments),
+u AS (SELECT case_id, i, parts[i] part FROM (SELECT case_id, parts, unnest(generate_series(2, len(parts))) i FROM p) x),
+m AS (SELECT case_id, i, split_part(part, chr(2), 1) mark, CAST(split_part(split_part(part, chr(2), 2), chr(3), 1) AS INTEGER) n, split_part(part, chr(3), 2) piece FROM u),
+r AS (SELECT case_id, 1 n, min(i) i FROM m WHERE n = 1 GROUP BY case_id UNION ALL SELECT r.case_id, r.n + 1, min(m.i) FROM r JOIN m ON m.case_id = r.case_id AND m.n = r.n + 1 AND m.i > r.i GROUP BY r.case_id, r.n),
+o AS (SELECT *, coalesce(lead(i) OVER (PARTITION BY case_id ORDER BY n), 1000000000) upto, count(*) OVER (PARTITION BY case_id) runs FROM r),
+t AS (SELECT o.case_id, o.n "number", {bare("string_agg(CASE WHEN m.i = o.i THEN piece ELSE mark || piece END, '' ORDER BY m.i)")} "text" FROM o JOIN m ON m.case_id = o.case_id AND m.i >= o.i AND m.i < o.upto WHERE runs >= 3 GROUP BY o.case_id, o.n)
+SELECT * FROM t WHERE "text" <> ''"""
+# Fragments end before chr(1); those that end with an abbreviation go on in the next one.
+SHORT = ", ".join(f"'{rx(a)}'" for a in v.ABBREVIATIONS)
+SENTENCES = f"""WITH f AS (SELECT case_id, string_split(regexp_replace(text, '\\.(\\s+(?:\\d{{1,3}}\\s+)?[A-Z]|\\s*$)', chr(1) || '\\1', 'g'), chr(1)) parts FROM judgments),
+u AS (SELECT case_id, i, rtrim(parts[i]) f FROM (SELECT case_id, parts, unnest(generate_series(1, len(parts))) i FROM f) x),
+w AS (SELECT *, lower(regexp_extract(f, '([A-Za-z'']+)\\s*$', 1)) IN ({SHORT}) goes_on FROM u),
+g AS (SELECT *, coalesce(sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY case_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) k FROM w),
+j AS (SELECT case_id, k, trim(string_agg(f, '. ' ORDER BY i)) || CASE WHEN bool_or(NOT goes_on) THEN '.' ELSE '' END sentence FROM g GROUP BY case_id, k)
+SELECT case_id, CAST(row_number() OVER (PARTITION BY case_id ORDER BY k) AS INTEGER) place, sentence FROM j WHERE sentence NOT IN ('', '.')"""
+TIDY = "text"
+for noise in (v.SIGNATURE_BLOCK, v.DOT_LEADER, v.PAGE_LINE):
+    TIDY = f"regexp_replace({TIDY}, '{rx(noise)}', '', 'g')"
+TIDY = bare(f"regexp_replace(regexp_replace({TIDY}, '[ \\t]{{2,}}', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+EXCERPT = f"""WITH c AS (SELECT case_id, {TIDY} x FROM judgments), h AS (SELECT *, substr(x, CAST(ceil(length(x) / 2) AS INTEGER) + 1) half FROM c),
+e AS (SELECT *, CASE WHEN regexp_matches(half, '{rx(v.OPERATIVE)}') THEN string_split(regexp_replace(half, '{rx(v.OPERATIVE)}', chr(1) || '\\0', 'g'), chr(1))[-1] ELSE "right"(x, 24000) END ending FROM h)
+SELECT case_id, CASE WHEN length(x) <= 60000 THEN x ELSE substr(x, 1, 6000) || chr(10) || '[... middle of judgment omitted ...]' || chr(10) || substr(ending, 1, 24000) END excerpt, CASE WHEN length(x) <= 60000 THEN 'full' ELSE 'long' END "mode" FROM e"""
+HEAD = f"regexp_split_to_array(substr(text, 1, 8000), '{rx(v.BODY_LINE)}')[1]"
+FOUND = ", ".join(f"regexp_extract_all({HEAD}, '{rx(v.MATTER)}', {n})" for n in (0, 1, 2))
+MATTERS = f"""WITH x AS (SELECT case_id, list_transform(list_zip({FOUND}), lambda z: {{'matter': {squeezed("z[1]")}, 'key': z[2] || '|' || z[3]}}) found FROM judgments)
+SELECT case_id, array_to_string(list_transform(list_filter(found, lambda f, i: list_position(list_transform(found, lambda g: g.key), f.key) = i), lambda f: f.matter), ';') "result" FROM x"""
+ALIASES = {alias.lower().strip(): (name, code, year) for name, code, year, aliases in v.ACTS for alias in (name, code, *aliases)}
+ALIAS_ROWS = ", ".join(f"({i}, '{rx(a)}', '{rx(n)}', '{c}', {y})" for i, (a, (n, c, y)) in enumerate(ALIASES.items()))
+
+
+def acts_of(rows: str, keys: str) -> str:
+    """rows and further CTEs up to resolved(raw, act_name, short_code, act_year): the distinct acts that the CTE keys names."""
+    return f"""{rows}, alias(i, alias, "name", code, "year") AS (VALUES {ALIAS_ROWS}),
+raws AS (SELECT raw, trim(regexp_replace(trim(raw), '(?i)^(?:of\\s+the|of|under|with|in)\\s+', '')) cleaned FROM (SELECT DISTINCT raw FROM {keys}) x),
+hits AS (SELECT raw, arg_min({{'n': "name", 'c': code, 'y': "year"}}, i + CASE WHEN alias = lower(cleaned) THEN 0 ELSE 1000 END) hit FROM raws JOIN alias ON contains(lower(cleaned), alias) OR contains(alias, lower(cleaned)) WHERE trim(raw) <> '' GROUP BY raw),
+resolved AS (SELECT raws.raw, CASE WHEN trim(raws.raw) = '' THEN 'Unknown Act' ELSE coalesce(hit.n, CASE WHEN length(cleaned) > 2 THEN {titled("cleaned")} ELSE 'Special Act' END) END act_name, hit.c short_code, hit.y act_year FROM raws LEFT JOIN hits ON hits.raw = raws.raw)"""
+
+
+NUMBERS, ACT_NAMES = (f"regexp_extract_all(text, '{rx(v.PROVISION)}', {n})" for n in (2, 3))
+NAMED = f"""z AS (SELECT case_id, unnest(n) section_number, unnest(a) act, unnest(range(len(n))) i FROM (SELECT case_id, {NUMBERS} n, {ACT_NAMES} a FROM judgments) x),
+named AS (SELECT case_id, trim(section_number) section_number, {squeezed("act")} raw, i FROM z WHERE {squeezed("act")} <> '' AND NOT regexp_matches({squeezed("act")}, '{rx(v.GENERIC_ACT)}'))"""
+PROVISIONS = f"""WITH {acts_of(NAMED, "named")}, firsts AS (SELECT case_id, act_name, short_code, act_year, section_number, min(i) i FROM named JOIN resolved USING (raw) GROUP BY ALL)
+SELECT case_id, act_name, short_code, act_year, section_number FROM firsts QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY i) <= 30"""
+SUBJECT = f"string_split({squeezed(first('substr(text, 1, 1000)', v.JURISDICTION, 1))}, ' ')[-1]"
+
+of_judgments("subject_from_jurisdiction", text.subject_from_jurisdiction, f"SELECT case_id, {titled(SUBJECT)} \"result\" FROM judgments")
+of_judgments("judgment_body", text.judgment_body, f"SELECT case_id, nullif({bare(behind(v.BODY_HEADING))}, '') \"result\" FROM judgments")
+of_judgments("extract_provisions", text.extract_provisions, PROVISIONS)
 of_spans("provision_paragraphs", spans.provision_paragraphs, v.PROVISION)
 of_judgments("disposition", outcomes.disposition)
-of_judgments("split_sentences", text.split_sentences)
-of_judgments("facts", lambda c: text.section_after(c, v.FACTS_HEADING))
-of_judgments("conclusion", lambda c: text.section_after(c, v.CONCLUSION_HEADING))
-of_judgments("split_paragraphs", text.split_paragraphs)
-of_judgments("strip_ocr_noise", text.strip_ocr_noise)
+of_judgments("split_sentences", lambda c: F.transform(text.split_sentences(c), lambda s, i: F.struct((i + 1).alias("place"), s.alias("sentence"))), SENTENCES)
+of_judgments("facts", lambda c: text.section_after(c, v.FACTS_HEADING), section(v.FACTS_HEADING))
+of_judgments("conclusion", lambda c: text.section_after(c, v.CONCLUSION_HEADING), section(v.CONCLUSION_HEADING))
+of_judgments("split_paragraphs", text.split_paragraphs, PARAGRAPHS)
+of_judgments("strip_ocr_noise", text.strip_ocr_noise, f"SELECT case_id, {TIDY} \"result\" FROM judgments")
 of_spans("artifact_spans", lambda c, s: spans.artifact_spans(s), *spans.ARTIFACTS.values())
-of_judgments("build_excerpt", text.build_excerpt)
-of_judgments("connected_matters", text.connected_matters)
+of_judgments("build_excerpt", text.build_excerpt, EXCERPT)
+of_judgments("connected_matters", lambda c: F.array_join(text.connected_matters(c), ";"), MATTERS)
 of_spans("citation_candidates", spans.citation_candidates, *spans.CITATIONS)
 
+JUDGES = CLEAN.format(f"trim(regexp_replace(trim({DUCK_JUDGE.format('j')}), '{rx(v.HONORIFICS)}', '', 'g'))", rx(v.JUDGE_EDGES))
+scalar(
+    "parse_bench", "'HON''BLE MRS. JUSTICE ' || replace(petitioner, '#', ' K. ') || ' HON''BLE MR. JUSTICE ' || respondent || (CASE case_id % 3 WHEN 0 THEN ', J. [presiding]' WHEN 1 THEN ' and' ELSE '' END) || ' HON''BLE THE CHIEF JUSTICE'", lambda c: F.array_join(text.parse_bench(c), ";"),
+    f"array_to_string(list_filter(list_transform(string_split(regexp_replace(trim(raw), '(?i)(HON''?BLE)', chr(1) || '\\1', 'g'), chr(1)), lambda j: {JUDGES}), lambda n: length(n) > 3), ';') \"result\"",
+)
+ACT_CELL = "CASE case_id % 5 WHEN 0 THEN 'of the Indian Penal Code' WHEN 1 THEN 'the code of civil procedure' WHEN 2 THEN 'u.p. land act ' || case_id WHEN 3 THEN ' ' ELSE 'under ' || petitioner || ' Motor Vehicles Act' END"
+
+
+@query("resolve_act", f"WITH {acts_of(f'cells AS (SELECT case_id, {ACT_CELL} raw FROM cases)', 'cells')} SELECT case_id, act_name, short_code, act_year FROM cells JOIN resolved USING (raw)")
+def resolve_act(d: Domain) -> DataFrame:
+    return d.cases().select("case_id", text.resolve_act(F.expr(ACT_CELL)).alias("act")).select("case_id", "act.*")
+
+
+scalar(
+    "section_numbers", "'Section ' || (case_id % 400) || '/34 r/w ' || (case_id % 90) || '(2)(r) and (s) of BNS'", lambda c: F.array_join(text.section_numbers(c), ";"),
+    "regexp_replace(raw, '^Section (\\d+)/(\\d+) r/w (\\d+)(\\(\\d\\))(\\(r\\)) and (\\(s\\)) of BNS$', '\\1;\\2;\\3\\4\\5;\\3\\4\\6') \"result\"",
+)
+BRACED = "regexp_extract(raw, '(?s)(\\{.*\\})', 1)"
+ANSWER = f"CASE WHEN json_valid({BRACED}) THEN {BRACED} END"
+scalar(
+    "llm_json_parse", "CASE case_id % 4 WHEN 0 THEN 'no answer' WHEN 1 THEN '{\"case_note\": broken' ELSE '```json {\"case_note\": \"' || petitioner || '\", \"year\": ' || (case_id % 9) || '} ```' END", lambda c: text.llm_json(c, "case_note string, year int"),
+    f"json_extract_string({ANSWER}, '$.case_note') case_note, CAST(json_extract_string({ANSWER}, '$.year') AS INTEGER) \"year\"",
+)
+query("llm_prompt_build", "SELECT case_id, concat_ws(chr(10) || chr(10), petitioner, respondent, nullif(substr(case_number, 1, 40000), '')) \"result\" FROM cases")(
+    lambda d: d.cases().select("case_id", text.prompt(F.col("petitioner"), F.col("respondent"), F.col("case_number")).alias("result"))
+)
+
+
+def told(head: str, **fields: str) -> str:
+    names = ", ".join(f"CASE WHEN {when} THEN '{name}' END" for name, when in fields.items())
+    return f"'{head}: ' || nullif(concat_ws(', ', {names}), '') || '.'"
+
 
-def of_cells(name: str, raw: str, make) -> None:
-    query(name)(lambda d: d.cases().select("case_id", make(F.expr(raw)).alias("result")))
+FILLED = told("Filled", citation="neutral_citation IS NOT NULL", favouring_party="favouring_party IS NOT NULL")
+MISSED = told("Not found", citation="neutral_citation IS NULL", disposition="disposition IS NULL", favouring_party="favouring_party IS NULL")
 
 
-of_cells("parse_bench", "'HON''BLE MRS. JUSTICE ' || petitioner || ' HON''BLE MR. JUSTICE ' || respondent || ' HON''BLE THE CHIEF JUSTICE'", text.parse_bench)
-of_cells("resolve_act", "CASE case_id % 4 WHEN 0 THEN 'of the Indian Penal Code' WHEN 1 THEN 'the code of civil procedure' WHEN 2 THEN 'u.p. land act ' || case_id ELSE ' ' END", text.resolve_act)
-of_cells("section_numbers", "'Section ' || (case_id % 400) || '/34 r/w ' || (case_id % 90) || '(2)(r) and (s) of BNS'", text.section_numbers)
-of_cells("llm_json_parse", "'```json {\"case_note\": \"' || petitioner || '\", \"year\": ' || (case_id % 9) || '} ```'", lambda c: text.llm_json(c, "case_note string, year int"))
-of_cells("llm_prompt_build", "respondent", lambda c: text.prompt(F.col("petitioner"), c, F.col("case_number")))
-of_cells("enrichment_describe", "neutral_citation", lambda c: text.describe({"citation": (F.lit(None), c), "disposition": (F.col("disposition"), F.col("disposition")), "favouring_party": (F.lit(None).cast("string"), F.col("favouring_party"))}))
+@query("enrichment_describe", f"SELECT case_id, concat_ws(' ', {FILLED}, {told('Kept existing', disposition='disposition IS NOT NULL')}, {MISSED}) \"result\" FROM cases")
+def enrichment_describe(d: Domain) -> DataFrame:
+    none, col = F.lit(None).cast("string"), F.col
+    said = text.describe({"citation": (none, col("neutral_citation")), "disposition": (col("disposition"), col("disposition")), "favouring_party": (none, col("favouring_party"))})
+    return d.cases().select("case_id", said.alias("result"))
 
 
 @query("ner_postprocess")

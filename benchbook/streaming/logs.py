@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from benchbook.operators.batches import QUEUED_MINUTES, RUNNING_MINUTES
+from benchbook.operators.batches import QUEUED_MINUTES, RUNNING_MINUTES, TRANSITIONS
 from benchbook.sources.landing import land, shared_folder
 
 
@@ -89,15 +89,10 @@ STATE = "state string, last timestamp"
 OUT = "batch_id long, state string, last_seen timestamp"
 
 
-MOVES = ("STARTED", "COMPLETED", "FAILED")
-
-
 def _advance(state: str, kind: str) -> str:
-    if kind == "STARTED" and state in ("NEW", "QUEUED"):
-        return "RUNNING"
-    if kind in ("COMPLETED", "FAILED") and state in ("QUEUED", "RUNNING"):
-        return kind
-    return state
+    """The state after an event, by the table of the batch fold; events that don't fit change nothing."""
+    come, to = TRANSITIONS[kind]
+    return to if state in come else state
 
 
 def _states(limit_ms: int) -> Callable:
@@ -113,7 +108,7 @@ def _states(limit_ms: int) -> Callable:
         told = []
         for frame in frames:
             last = max(last, frame["at"].max())
-            told.append(frame.loc[frame["kind"].isin(MOVES), ["at", "log_id", "kind"]])
+            told.append(frame.loc[frame["kind"].isin(list(TRANSITIONS)), ["at", "log_id", "kind"]])
         events = pd.concat(told).sort_values(["at", "log_id"])
         for kind in events["kind"]:
             now = _advance(now, kind)
