@@ -264,13 +264,31 @@ def page_count_check(text: Column, pages: Column) -> Column:
 
 
 def subject_from_jurisdiction(text: Column) -> Column:
-    found = group(F.substring(text, 1, 1000), v.JURISDICTION, 1)
-    return title(F.element_at(F.split(squeeze(found), " "), -1))
+    """The word before JURISDICTION in the first 1000 characters, or before the kind of jurisdiction that stands there."""
+    words = F.transform(F.split(F.upper(F.substring(text, 1, 1000)), r"\s+"), lambda w: R(w, r"^[^A-Z]+|[^A-Z]+$", ""))
 
+    def subject(before: Column) -> Column:
+        back = lambda n: F.get(before, F.size(before) - n)
+        passed = F.when((back(1) == "ORIGINAL") & (back(2) == "ORDINARY"), 2).when(back(1).isin(*v.JURISDICTIONS), 1).otherwise(0)
+        return let(passed, lambda n: F.coalesce(back(n + 1), back(n)))
 
-def after_heading(text: Column, heading: str) -> Column:
-    """What follows the first match of a heading; null if there is none."""
-    return F.get(F.split(text, heading, 2), F.lit(1))
+    found = let(words, lambda w: let(F.slice(w, 1, F.greatest(F.array_position(w, "JURISDICTION").cast("int") - 1, F.lit(0))), subject))
+    return title(F.nullif(found, F.lit("")))
+
+
+def _is_title(line: Column, titles: list[str], colon: bool = True) -> Column:
+    return F.upper(R(line, r"\s+|:\s*$" if colon else r"\s+", "")).isin(*[F.lit(t.replace(" ", "")) for t in titles])
+
+
+def after_title(text: Column, titles: list[str], first: int = 1, colon: bool = True) -> Column:
+    """What follows the first line, from line `first` on, that is one of the titles but for blanks (letters may be spaced)
+    and a colon at its end; null if there is none."""
+
+    def rest(lines: Column) -> Column:
+        place = F.array_position(F.transform(lines, lambda line, i: (i >= first - 1) & _is_title(line, titles, colon)), F.lit(True)).cast("int")
+        return let(place, lambda at: F.when(at > 0, F.array_join(F.slice(lines, at + 1, F.size(lines)), "\n")))
+
+    return let(F.split(text, "\n"), rest)
 
 
 def before_match(text: Column, pattern: str) -> Column:
@@ -279,12 +297,13 @@ def before_match(text: Column, pattern: str) -> Column:
 
 
 def judgment_body(text: Column) -> Column:
-    return F.nullif(R(after_heading(text, v.BODY_HEADING), r"^\s+|\s+$", ""), F.lit(""))
+    """What follows the body's title; the first line, the court's name, is none."""
+    return F.nullif(R(after_title(text, v.BODY_TITLES, 2, colon=False), r"^\s+|\s+$", ""), F.lit(""))
 
 
-def section_after(text: Column, heading: str, most: int = 3000) -> Column:
+def section_after(text: Column, titles: list[str], most: int = 3000) -> Column:
     """Text of a section up to the next heading, at most so many characters."""
-    rest = F.substring(after_heading(text, heading), 1, most)
+    rest = F.substring(R(after_title(text, titles), r"^\s*\n", ""), 1, most)
     return F.nullif(squeeze(before_match(rest, v.SECTION_STOP)), F.lit(""))
 
 
@@ -363,7 +382,9 @@ def extract_provisions(text: Column, most: int = 30) -> Column:
 
 def connected_matters(text: Column) -> Column:
     """Distinct matters (by number and year) of the cause title: the first 8000 characters up to the body's heading."""
-    head = before_match(F.substring(full(text), 1, 8000), v.BODY_LINE)
+    lines = F.split(F.substring(full(text), 1, 8000), "\n")
+    body = lambda rows: F.array_position(F.transform(rows, lambda line: _is_title(line, v.BODY_TITLES, colon=False)), F.lit(True)).cast("int")
+    head = let(lines, lambda rows: let(body(rows), lambda at: F.array_join(F.when(at > 0, F.slice(rows, 1, at - 1)).otherwise(rows), "\n")))
     whole, number, year = (F.regexp_extract_all(head, F.lit(v.MATTER), n) for n in (0, 1, 2))
     found = F.transform(F.arrays_zip(whole.alias("w"), number.alias("n"), year.alias("y")), lambda x: F.struct(F.concat_ws("|", x["n"], x["y"]).alias("key"), squeeze(x["w"]).alias("matter")))
     keys = F.transform(found, lambda x: x["key"])
@@ -383,23 +404,6 @@ def build_excerpt(text: Column, whole: int = 60_000, head: int = 6_000, tail: in
     return F.struct(F.when(n <= whole, clean).otherwise(parts).alias("excerpt"), F.when(n <= whole, "full").otherwise("long").alias("mode"))
 
 
-def section_numbers(text: Column) -> Column:
-    """Bare section numbers of a provision's text; `(s)` after `181(2)(r)` goes on at the same level."""
-    clean = R(R(full(text), v.SUBSECTION_OF, "$2($1)"), v.ORDER_RULE, " ")
-    clean = R(R(clean, v.SECTION_WORD, " "), r"\s+\(", "(")
-    tokens = F.flatten(F.transform(F.split(clean, v.SECTION_SEPARATOR), lambda p: F.split(F.trim(R(F.trim(p), v.SECTION_TAIL, "")), r"\s+")))
-
-    def step(found: Column, token: Column) -> Column:
-        t = R(token, v.TOKEN_NOISE, "")
-        opens = F.length(t) - F.length(F.replace(t, F.lit("("), F.lit(""))) > F.length(t) - F.length(F.replace(t, F.lit(")"), F.lit("")))
-        t = F.when(opens, F.concat(t, F.lit(")"))).otherwise(t)
-        before = F.element_at(found, F.size(found))
-        t = F.when(F.startswith(t, F.lit("(")) & (F.size(found) > 0), F.concat(F.regexp_extract(before, r"^(.*)\(", 1), t)).otherwise(t)
-        return F.when(t.rlike(v.SECTION_NUMBER), F.concat(found, F.array(t))).otherwise(found)
-
-    return F.aggregate(F.filter(tokens, lambda t: t != ""), F.array().cast("array<string>"), step)
-
-
 def llm_json(raw: Column, schema: str) -> Column:
     """The outermost braces of an answer, fences or not, as a struct; null if there are none or they aren't JSON."""
     return F.from_json(group(raw, r"(?s)(\{.*\})", 1), schema)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from benchbook.functions.spans import match_spans
-from benchbook.functions.text import section_numbers
+from benchbook.functions.sections import section_numbers
 
 STATUTE = r"\b(?:[A-Z][A-Za-z]+\s+){1,6}(?:Act|Code|Rules|Sanhita|Adhiniyam)\b|\bConstitution\b|\b(?:IPC|CrPC|CPC|NDPS|POCSO)\b"
 PROVISION = r"(?i)\b(?:sections?|articles?|rules?|sec\.)\s*\d+[A-Za-z]?(?:\s*\([0-9A-Za-z]+\))*"

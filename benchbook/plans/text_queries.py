@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.functions import outcomes, spans, text
+from benchbook.functions import outcomes, sections, spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.operators import entities
 from benchbook.plans.registry import query
@@ -204,12 +204,19 @@ def titled(x: str) -> str:
     return f"array_to_string(list_transform({parts}, lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), '')"
 
 
-def behind(heading: str) -> str:
-    return f"regexp_extract(text, '{rx(heading).replace('(?i)', '(?is)')}(.*)', 1)"
+def title_places(lines: str, titles: list[str], colon: str = "|:\\s*$", first: int = 1) -> str:
+    listed = ", ".join(f"'{t.replace(' ', '')}'" for t in titles)
+    return f"list_position(list_transform({lines}, lambda line, i: i >= {first} AND upper(regexp_replace(line, '\\s+{colon}', '', 'g')) IN ({listed})), true)"
 
 
-def section(heading: str) -> str:
-    rest, stop = f"substr({behind(heading)}, 1, 3000)", rx(v.SECTION_STOP)
+def behind(titles: list[str], colon: str = "|:\\s*$", first: int = 1) -> str:
+    lines = "string_split(text, chr(10))"
+    place = title_places(lines, titles, colon, first)
+    return f"CASE WHEN {place} > 0 THEN array_to_string({lines}[{place} + 1:], chr(10)) END"
+
+
+def section(titles: list[str]) -> str:
+    rest, stop = f"substr(regexp_replace({behind(titles)}, '^\\s*\\n', ''), 1, 3000)", rx(v.SECTION_STOP)
     cut = f"CASE WHEN regexp_matches({rest}, '{stop}') THEN regexp_extract({rest}, '(?s)^(.*?)(?:{stop})', 1) ELSE {rest} END"
     return f"SELECT case_id, nullif({squeezed(cut)}, '') \"result\" FROM judgments"
 
@@ -237,7 +244,9 @@ TIDY = bare(f"regexp_replace(regexp_replace({TIDY}, '[ \\t]{{2,}}', ' ', 'g'), '
 EXCERPT = f"""WITH c AS (SELECT case_id, {TIDY} x FROM judgments), h AS (SELECT *, substr(x, CAST(ceil(length(x) / 2) AS INTEGER) + 1) half FROM c),
 e AS (SELECT *, CASE WHEN regexp_matches(half, '{rx(v.OPERATIVE)}') THEN string_split(regexp_replace(half, '{rx(v.OPERATIVE)}', chr(1) || '\\0', 'g'), chr(1))[-1] ELSE "right"(x, 24000) END ending FROM h)
 SELECT case_id, CASE WHEN length(x) <= 60000 THEN x ELSE substr(x, 1, 6000) || chr(10) || '[... middle of judgment omitted ...]' || chr(10) || substr(ending, 1, 24000) END excerpt, CASE WHEN length(x) <= 60000 THEN 'full' ELSE 'long' END "mode" FROM e"""
-HEAD = f"regexp_split_to_array(substr(text, 1, 8000), '{rx(v.BODY_LINE)}')[1]"
+TOP = "string_split(substr(text, 1, 8000), chr(10))"
+AT_BODY = title_places(TOP, v.BODY_TITLES, "")
+HEAD = f"array_to_string(CASE WHEN {AT_BODY} > 0 THEN {TOP}[:{AT_BODY} - 1] ELSE {TOP} END, chr(10))"
 FOUND = ", ".join(f"regexp_extract_all({HEAD}, '{rx(v.MATTER)}', {n})" for n in (0, 1, 2))
 MATTERS = f"""WITH x AS (SELECT case_id, list_transform(list_zip({FOUND}), lambda z: {{'matter': {squeezed("z[1]")}, 'key': z[2] || '|' || z[3]}}) found FROM judgments)
 SELECT case_id, array_to_string(list_transform(list_filter(found, lambda f, i: list_position(list_transform(found, lambda g: g.key), f.key) = i), lambda f: f.matter), ';') "result" FROM x"""
@@ -258,10 +267,11 @@ NAMED = f"""z AS (SELECT case_id, unnest(n) section_number, unnest(a) act, unnes
 named AS (SELECT case_id, trim(section_number) section_number, {squeezed("act")} raw, i FROM z WHERE {squeezed("act")} <> '' AND NOT regexp_matches({squeezed("act")}, '{rx(v.GENERIC_ACT)}'))"""
 PROVISIONS = f"""WITH {acts_of(NAMED, "named")}, firsts AS (SELECT case_id, act_name, short_code, act_year, section_number, min(i) i FROM named JOIN resolved USING (raw) GROUP BY ALL)
 SELECT case_id, act_name, short_code, act_year, section_number FROM firsts QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY i) <= 30"""
-SUBJECT = f"string_split({squeezed(first('substr(text, 1, 1000)', v.JURISDICTION, 1))}, ' ')[-1]"
+BEFORE = "substr(upper(substr(text, 1, 1000)), 1, strpos(upper(substr(text, 1, 1000)), 'JURISDICTION') - 1)"
+SUBJECT = f"regexp_extract(regexp_replace(trim({BEFORE}), ' (APPELLATE|APPEAL|ORDINARY ORIGINAL|ORIGINAL|EXTRAORDINARY)$', ''), '([A-Z]+)$', 1)"
 
 of_judgments("subject_from_jurisdiction", text.subject_from_jurisdiction, f"SELECT case_id, {titled(SUBJECT)} \"result\" FROM judgments")
-of_judgments("judgment_body", text.judgment_body, f"SELECT case_id, nullif({bare(behind(v.BODY_HEADING))}, '') \"result\" FROM judgments")
+of_judgments("judgment_body", text.judgment_body, f"SELECT case_id, nullif({bare(behind(v.BODY_TITLES, "", 2))}, '') \"result\" FROM judgments")
 of_judgments("extract_provisions", text.extract_provisions, PROVISIONS)
 of_spans("provision_paragraphs", spans.provision_paragraphs, v.PROVISION)
 of_judgments("disposition", outcomes.disposition)
@@ -289,7 +299,7 @@ def resolve_act(d: Domain) -> DataFrame:
 
 
 scalar(
-    "section_numbers", "'Section ' || (case_id % 400) || '/34 r/w ' || (case_id % 90) || '(2)(r) and (s) of BNS'", lambda c: F.array_join(text.section_numbers(c), ";"),
+    "section_numbers", "'Section ' || (case_id % 400) || '/34 r/w ' || (case_id % 90) || '(2)(r) and (s) of BNS'", lambda c: F.array_join(sections.section_numbers(c), ";"),
     "regexp_replace(raw, '^Section (\\d+)/(\\d+) r/w (\\d+)(\\(\\d\\))(\\(r\\)) and (\\(s\\)) of BNS$', '\\1;\\2;\\3\\4\\5;\\3\\4\\6') \"result\"",
 )
 BRACED = "regexp_extract(raw, '(?s)(\\{.*\\})', 1)"

@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from benchbook.functions import outcomes, spans, text
+from benchbook.functions import outcomes, sections, spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.functions.lexers import PORTABLE, English, match_all, match_phrase
 from benchbook.functions.stemmer import stem
@@ -68,11 +68,14 @@ SECTIONS = [
     ("Section 11", ["11"]), ("Sections 11, 12 and 13", ["11", "12", "13"]), ("11/12", ["11", "12"]), ("section-11,12", ["11", "12"]), ("11 r/w 12", ["11", "12"]),
     ("sub-section (3) of Section 9", ["9(3)"]), ("18(1)(a) and (b)", ["18(1)(a)", "18(1)(b)"]), ("21 of BNS", ["21"]), ("22CrPC", ["22"]), ("12AA", ["12AA"]), ("1998", []), ("Order XXXIX Rule 1", []), ("IX", []),
     ("4(2)(f)]", ["4(2)(f)"]), ("Article 14 & 21", ["14", "21"]), ("65-B", ["65-B"]), ("s. 7 read with 8", ["7", "8"]), ("", []),
+    ("Section 411", ["411"]), ("Article 19", ["19"]), ("section-17", ["17"]), ("s. 3(1)(b)", ["3(1)(b)"]), ("120,34", ["120", "34"]), ("61/2(4", ["61", "2(4)"]), ("9 alternatively 61/2(4", ["9", "61", "2(4)"]),
+    ("Regulation 9 (b)", ["9(b)"]), ("Regulation 6(2)(a) to (c)]", ["6(2)(a)", "6(2)(c)"]), ("300 Part I/II, or cases of 7 CRA-12-2019", ["300"]), ("376AB", ["376AB"]), ("under section 25(1)", ["25(1)"]), ("18 clause (b)", ["18(b)"]),
+    ("Order XX, Rule 1(2) and 5", ["5"]), ("(a) and 7", ["7"]), ("302-304", []), (None, []),
 ]
 
 
 def test_section_numbers(spark):
-    assert apply(spark, text.section_numbers, *[s for s, _ in SECTIONS]) == [n for _, n in SECTIONS]
+    assert apply(spark, sections.section_numbers, *[s for s, _ in SECTIONS]) == [n for _, n in SECTIONS]
 
 
 PARAGRAPHS = "Head\n1. First one.\n12) not next\n2. Second cites Section 5 of the NI Act.\n3. Third. The appeal is dismissed."
@@ -142,6 +145,11 @@ def test_artifacts(spark):
 def test_headings_and_excerpts(spark):
     assert apply(spark, text.judgment_body, "x\nJ U D G M E N T\n body \n", "x\nOrder\n", "none", None) == ["body", None, None, None]
     assert apply(spark, lambda c: text.section_after(c, v.FACTS_HEADING), "BRIEF FACTS:\nA  b\nREASONING\nc", None) == ["A b", None]
+    emoji = "\U0001f600" * 5
+    assert apply(spark, text.judgment_body, f"x{emoji}\nORDER\nbody {emoji}", "ORDER\nfirst line", "x\nORDER:\nno title") == [f"body {emoji}", None, None]
+    assert apply(spark, lambda c: text.section_after(c, v.FACTS_HEADING), f"{emoji}\nFacts of the case :\n\n {emoji} A\n5. Next", "FACTS\n\n", "The facts\nA") == [f"{emoji} A", None, None]
+    got = apply(spark, text.subject_from_jurisdiction, "CIVIL ORDINARY ORIGINAL JURISDICTION", "CRIMINAL JURISDICTION.", "APPELLATE JURISDICTION", "JURISDICTION", "", None)
+    assert got == ["Civil", "Criminal", "Appellate", None, None, None]
     assert apply(spark, text.subject_from_jurisdiction, "IN THE SUPREME COURT OF INDIA\nCIVIL APPELLATE JURISDICTION", "none") == ["Civil", None]
     long = "s" * 100 + "\nRESULT\nearly\n" + "m" * 300 + "\nOPERATIVE PART\nfinal words"
     short, cut = apply(spark, lambda c: text.build_excerpt(c, 200, 10, 50), "short", long)
