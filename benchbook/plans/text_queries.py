@@ -117,6 +117,7 @@ scalar(
     f"CASE WHEN len(list_distinct(regexp_extract_all(coalesce(raw, ''), '{v.PAGE_MARK}', 2))) = 1 THEN regexp_extract(raw, '{v.PAGE_MARK}', 2) = '3' WHEN len(list_distinct(regexp_extract_all(coalesce(raw, ''), '{v.PAGE_MARK}', 2))) > 1 THEN false END \"result\"",
 )
 scalar("year_from_range", "judgment_date", lambda c: text.year_from_range(c, F.date_add(c, 100)), "CASE WHEN year(raw) = year(raw + 100) THEN CAST(year(raw) AS INTEGER) END \"result\"")
+scalar("year_required", "judgment_date", lambda c: F.when(c.isNotNull(), text.require_one_year(c, F.least(F.date_add(c, 100), F.last_day(F.add_months(F.trunc(c, "year"), 11))))), "CAST(year(raw) AS INTEGER) \"result\"")
 
 
 @query(

@@ -197,3 +197,10 @@ def test_english_search(spark):
     assert ids(match_phrase(F.col("w"), lexer.words("dismissed court"))) == []
     assert ids(match_all(F.col("w"), lexer.lexemes("the of"))) == [] and ids(~match_all(F.col("w"), lexer.lexemes("the of"))) == [1, 2, 3]
     assert PORTABLE.words("A-b  c") == ["a", "b", "c"]
+
+
+def test_both_dates_must_be_in_one_year(spark):
+    rows = lambda last: spark.createDataFrame([("2020-01-02", last)], ["a", "z"]).select(text.require_one_year(F.to_date("a"), F.to_date("z")).alias("y"))
+    assert rows("2020-12-31").first()["y"] == 2020
+    with pytest.raises(Exception, match="one year"):
+        rows("2021-01-01").collect()
