@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchbook.llm import byte_bpe, exact_dedup, fingerprints, language, licenses, packing, sharding, simhash, token_counts, warc
+from benchbook.llm import byte_bpe, divergence, exact_dedup, fingerprints, language, licenses, packing, sharding, simhash, token_counts, vector_codes, warc
 from benchbook.llm.common import table
 
 
@@ -48,11 +48,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_packing, op3_byte_bpe, op4_simhash, op5_sharding,
         op6_licenses, op7_warc, op8_fingerprints, op9_language, op10_token_counts,
+        op12_divergence, op13_vector_codes,
     )
 }
-ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op12_divergence": divergence.ORACLE_SQL}
