@@ -177,14 +177,14 @@ WITH d AS (
 ), g AS (SELECT DISTINCT lang, source FROM d), w AS (SELECT k, lang, source, unnest(ts) AS term FROM d),
 kept AS (SELECT lang, term, count(*) AS ln FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 3),
 c AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
-l AS (SELECT lang, count(*) AS V, sum(ln) AS LN FROM kept GROUP BY lang),
-t AS (SELECT lang, source, sum(n) AS N FROM c GROUP BY lang, source),
+l AS (SELECT lang, count(*) AS v, sum(ln) AS all_n FROM kept GROUP BY lang),
+t AS (SELECT lang, source, sum(n) AS own_n FROM c GROUP BY lang, source),
 p AS (
-  SELECT g.lang, g.source, term, coalesce(c.n, 0) AS n, ln, CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(t.N, 0) + V) AS HUGEINT) AS p,
-         CAST(1 + (1000000000::HUGEINT * (ln + 1)) // (LN + V) AS HUGEINT) AS q
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(own_n, 0) + v) AS HUGEINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (ln + 1)) // (all_n + v) AS HUGEINT) AS q
   FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
 ), pairs AS (
-  SELECT x.lang, x.source, y.source AS item, coalesce((SELECT CAST(1 AS HUGEINT)) * s, 0) AS value
+  SELECT x.lang, x.source, y.source AS item, coalesce(s, 0) AS value
   FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
   LEFT JOIN (SELECT a.lang, a.source AS sa, b.source AS sb, sum((a.p - b.p) * (a.p - b.p) // b.p) AS s FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL) z
     ON z.lang = x.lang AND sa = x.source AND sb = y.source
