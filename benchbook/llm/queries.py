@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchbook.llm import byte_bpe, divergence, exact_dedup, fingerprints, language, licenses, packing, sharding, simhash, token_counts, vector_codes, warc
+from benchbook.llm import byte_bpe, divergence, exact_dedup, fingerprints, jaccard_join, language, licenses, packing, sharding, simhash, token_counts, vector_codes, warc
 from benchbook.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ QUERIES = {
     for f in (
         op1_exact_dedup, op2_packing, op3_byte_bpe, op4_simhash, op5_sharding,
         op6_licenses, op7_warc, op8_fingerprints, op9_language, op10_token_counts,
-        op12_divergence, op13_vector_codes,
+        op11_jaccard_join, op12_divergence, op13_vector_codes,
     )
 }
 ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op12_divergence": divergence.ORACLE_SQL}
