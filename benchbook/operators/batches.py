@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from benchbook.operators.ordered import places, runs, two_best
+
 # States, their groups, and thresholds in minutes and days.
 ACTIVE = ("QUEUED", "RUNNING")
 GROUPS = {
@@ -47,13 +49,17 @@ def batch_filter(batches: DataFrame, courts: DataFrame, now: str, court_ids: tup
 def overlapping_active(batches: DataFrame) -> DataFrame:
     """batch_id of batches whose date range meets that of another active batch of their court.
 
-    Ranges are cut at months: both sides list the months that they touch, so the join is on court and
-    month, and a busy court doesn't pair all its batches; the closed ranges are compared after it.
+    A sweep per court: active batches stand at their first day, every batch asks at its last day. Of the active ones that
+    began by then it's enough to know the latest end, and the latest of another batch, as a batch doesn't meet itself. Rows
+    are sorted once, and a court with a third of all batches lies over many tasks. Without a court or a day nothing meets.
     """
-    months = lambda a, b: F.explode(F.sequence(F.trunc(a, "month"), F.trunc(b, "month"), F.expr("interval 1 month")))
-    mine = batches.select("batch_id", "court_id", "from_date", "to_date", months("from_date", "to_date").alias("month"))
-    busy = batches.where(F.col("status").isin(*ACTIVE)).select(F.col("batch_id").alias("other"), "court_id", F.col("from_date").alias("a"), F.col("to_date").alias("b"), months("from_date", "to_date").alias("month"))
-    return mine.join(busy, ["court_id", "month"]).where("other <> batch_id and a <= to_date and b >= from_date").select("batch_id").distinct()
+    known = batches.where("court_id is not null and from_date is not null and to_date is not null")
+    ends = F.struct(F.col("to_date").alias("until"), F.col("batch_id").alias("of"))
+    active = known.where(F.col("status").isin(*ACTIVE)).select("court_id", F.col("from_date").alias("day"), F.lit(0).alias("asks"), "batch_id", ends.alias("value"), F.lit(None).cast("date").alias("since"))
+    asking = known.select("court_id", F.col("to_date").alias("day"), F.lit(1).alias("asks"), "batch_id", F.lit(None).cast(active.schema["value"].dataType).alias("value"), F.col("from_date").alias("since"))
+    swept = two_best(active.unionByName(asking), ["court_id"], ["day", "asks", "batch_id"], F.col("value")).where("asks = 1")
+    other = F.when(F.col("best.of") == F.col("batch_id"), F.col("second.until")).otherwise(F.col("best.until"))
+    return swept.where(other >= F.col("since")).select("batch_id").distinct()
 
 
 def resumable(batches: DataFrame, items: DataFrame, adapter_resumable: Column) -> DataFrame:
@@ -105,8 +111,7 @@ def timeline(batches: DataFrame, events: DataFrame) -> DataFrame:
     own = events.where("kind <> 'LOG'").select("batch_id", F.col("kind").alias("event"), "at", "log_id")
     bare = batches.join(own.select("batch_id").distinct(), "batch_id", "left_anti")
     made = bare.select("batch_id", F.explode(F.array(F.struct(F.lit("STARTED").alias("event"), F.col("requested_at").alias("at"), F.lit(0).cast("long").alias("log_id")), F.struct(F.col("status").alias("event"), F.col("finished_at").alias("at"), F.lit(1).cast("long").alias("log_id")))).alias("e")).select("batch_id", "e.*").where("at is not null")
-    line = Window.partitionBy("batch_id").orderBy("at", "log_id")
-    return own.union(made).withColumn("place", F.row_number().over(line)).select("batch_id", "event", "at", "place")
+    return places(own.union(made), ["batch_id"], ["at", "log_id"]).select("batch_id", "event", "at", F.col("place").cast("int").alias("place"))
 
 
 # The state machine: event -> states it may come from -> new state.
@@ -179,12 +184,10 @@ def fold_states(events: DataFrame) -> DataFrame:
 def failure_stop(items: DataFrame, run: int = FAILURE_RUN) -> DataFrame:
     """batch_id, stopped_at: the place of the item with which the run-th failure in a row happened, if it did.
 
-    items: batch_id, place, status. Failures between two other outcomes share the count of other outcomes before them.
+    items: batch_id, place, status. Runs are counted in sorted pieces and carried over their ends, so a batch with many
+    items lies over many tasks.
     """
-    line = Window.partitionBy("batch_id").orderBy("place")
-    island = items.withColumn("island", F.sum(F.when(F.col("status") == "FAILED", 0).otherwise(1)).over(line)).where("status = 'FAILED'")
-    nth = island.withColumn("nth", F.row_number().over(Window.partitionBy("batch_id", "island").orderBy("place")))
-    return nth.where(F.col("nth") == run).groupBy("batch_id").agg(F.min("place").alias("stopped_at"))
+    return runs(items.select("batch_id", "place", "status"), ["batch_id"], ["place"], F.col("status") == "FAILED").where(F.col("nth") == run).groupBy("batch_id").agg(F.min("place").alias("stopped_at"))
 
 
 def route(missing: Column, saves_metadata: Column, save_failed: Column, duplicate: Column, crashed: Column, case_id: Column, final: Column) -> Column:

@@ -8,21 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from benchbook.operators.ordered import places
 
-def numbered(new: DataFrame, order: list[str], start: DataFrame, id_name: str) -> DataFrame:
-    """new with ids that go on from the one value of start (column top), gapless and stable in the given order.
 
-    Rows are sorted into ranges; a row's number is its place in its range plus the sizes of the
-    ranges before it, so no task holds all rows.
-    """
-    ranged = new.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
-    local = ranged.withColumn("__place", F.row_number().over(Window.partitionBy("__range").orderBy(*order)))
-    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__range", "__before")
-    return (
-        local.withColumn("__one", F.lit(1)).join(F.broadcast(before), "__range").join(F.broadcast(start.select(F.lit(1).alias("__one"), F.col("top").alias("__top"))), "__one")
-        .withColumn(id_name, F.coalesce("__top", F.lit(0)) + F.col("__before") + F.col("__place")).drop("__one", "__range", "__place", "__before", "__top")
-    )
+def numbered(new: DataFrame, order: list[str], start: DataFrame, id_name: str) -> DataFrame:
+    """new with ids that go on from the one value of start (column top), gapless and in the given order."""
+    top = F.broadcast(start.select(F.coalesce("top", F.lit(0)).alias("__top")))  # one row
+    return places(new, [], order, "__place").join(top, F.lit(True)).withColumn(id_name, F.col("__top") + F.col("__place")).drop("__top", "__place")
 
 
 def ranked(rows: DataFrame, grain: Column, order: list[Column], name: str = "rank") -> DataFrame:
@@ -94,9 +86,8 @@ def assign_sequences(cases: DataFrame, counters: DataFrame, prefix: str = "CASE"
     counters: court_code, year, last. Numbers go on per court and year in the order of the case id; rows
     that get none use none up.
     """
-    due = cases.where("external_id is null and judgment_date is not null and court_code is not null")
-    nth = F.row_number().over(Window.partitionBy("court_code", "year").orderBy("case_id"))
-    given = due.withColumn("year", F.year("judgment_date")).withColumn("nth", nth).join(counters, ["court_code", "year"], "left")
+    due = cases.where("external_id is null and judgment_date is not null and court_code is not null").select("case_id", "court_code", F.year("judgment_date").alias("year"))
+    given = places(due, ["court_code", "year"], ["case_id"], "nth").join(counters, ["court_code", "year"], "left")
     number = F.coalesce("last", F.lit(0)) + F.col("nth")
     named = given.select("case_id", F.concat_ws("/", F.lit(prefix), "court_code", F.format_string("%04d", number), F.col("year").cast("string")).alias("given_id"))
     return cases.join(named, "case_id", "left").withColumn("external_id", F.coalesce("external_id", "given_id")).drop("given_id")
@@ -104,8 +95,8 @@ def assign_sequences(cases: DataFrame, counters: DataFrame, prefix: str = "CASE"
 
 def survivors(rows: DataFrame, id_name: str, key: list[str]) -> DataFrame:
     """duplicate, survivor: rows whose key (nulls equal) has a smaller id."""
-    least = F.min(id_name).over(Window.partitionBy(*key))
-    return rows.select(F.col(id_name).alias("duplicate"), least.alias("survivor")).where("duplicate <> survivor")
+    least = rows.groupBy(*key).agg(F.min(id_name).alias("survivor"))
+    return rows.join(least, same_key(rows, least, key)).select(rows[id_name].alias("duplicate"), "survivor").where("duplicate <> survivor")
 
 
 def remap(rows: DataFrame, column: str, plan: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from benchbook.operators import batches as b
 from benchbook.operators import history as h
+from benchbook.operators.ordered import places
 from benchbook.operators.writes import ranked
 from benchbook.plans.registry import query
 from benchbook.sources.domain import Domain
@@ -154,7 +155,8 @@ PLACED = "SELECT batch_id, item_key, status, row_number() OVER (PARTITION BY bat
 
 
 def placed(d: Domain) -> DataFrame:
-    return d.items().select("batch_id", "item_key", "status", "flag", F.row_number().over(Window.partitionBy("batch_id").orderBy("case_id", "position", "part_id", "status")).alias("place"))
+    """Items with their place in their batch; a batch may hold a third of all items."""
+    return places(d.items().select("batch_id", "item_key", "status", "flag", "case_id", "position", "part_id"), ["batch_id"], ["case_id", "position", "part_id", "status"]).withColumn("place", F.col("place").cast("int"))
 
 
 @query("failure_run_stop", f"""WITH p AS ({PLACED}), i AS (SELECT *, sum(CASE WHEN status = 'FAILED' THEN 0 ELSE 1 END) OVER (PARTITION BY batch_id ORDER BY place) island FROM p),

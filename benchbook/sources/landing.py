@@ -20,6 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/landing-{uuid.uuid4().hex}"
 
 
+def written(rows: DataFrame) -> DataFrame:
+    """rows, written once to the shared folder and read back: later steps see the same rows, whatever executor is lost."""
+    spark = rows.sparkSession
+    folder = shared_folder(spark)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def land(records: DataFrame, folder: str) -> None:
     """Appends discovered records; files appear whole or not at all."""
     records.write.mode("append").parquet(folder)
