@@ -78,21 +78,12 @@ def panel(d: Domain, request: SearchRequest) -> DataFrame:
     return options.withColumn("place", place).where((F.col("place") <= TOP) | ~F.col("facet").isin(*NAMED)).drop("place")
 
 
-def _tagged(kind: str):
-    return lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("id"))
-
-
 def corpus_stats(d: Domain) -> DataFrame:
-    """One row: cases, courts, judges, acts, industries. Arrays are exploded once each; distinct counts combine map-side."""
-    cases = d.cases().select("case_id", "court_id", "bench", "acts", "industries")
-    tagged = cases.select(
-        F.explode(
-            F.concat(
-                F.array(F.struct(F.lit("cases").alias("kind"), F.col("case_id").alias("id")), F.struct(F.lit("courts").alias("kind"), F.col("court_id").alias("id"))),
-                *[F.transform(a, _tagged(k)) for k, a in (("judges", "bench"), ("acts", "acts"), ("industries", "industries"))],
-            )
-        ).alias("x")
-    ).select("x.*")
+    """One row: cases, courts, judges, acts, industries, from cases and lines; distinct counts combine map-side."""
+    pair = lambda k, c: F.struct(F.lit(k).alias("kind"), F.col(c).cast("long").alias("id"))
+    cases = d.flat().select("case_id", "court_id", F.element_at("industries", 1).alias("industry_id")).select(F.explode(F.array(pair("cases", "case_id"), pair("courts", "court_id"), pair("industries", "industry_id"))).alias("x"))
+    lines = d.named_lines().join(d.flat().select("case_id"), "case_id", "left_semi").select(F.explode(F.array(pair("judges", "judge_id"), pair("acts", "named_act"))).alias("x"))
+    tagged = cases.union(lines).select("x.*").where("id is not null")
     kinds = ("cases", "courts", "judges", "acts", "industries")
     return tagged.distinct().agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in kinds])
 
@@ -101,7 +92,8 @@ def act_picker(d: Domain, term: str, limit: int) -> DataFrame:
     """Acts whose name or short code contains the term, by how often cases name them; year variants of a name add up."""
     like = f"%{term}%"
     acts = d.acts().where(F.col("act_name").ilike(like) | F.col("short_code").ilike(like))
-    per_act = d.cases().select(F.explode("acts").alias("act_id")).groupBy("act_id").agg(F.count(F.lit(1)).alias("n"))
+    cited = d.named_lines().where("named_act is not null").join(d.flat().select("case_id"), "case_id", "left_semi")
+    per_act = cited.select("case_id", F.col("named_act").alias("act_id")).distinct().groupBy("act_id").agg(F.count(F.lit(1)).alias("n"))
     named = per_act.join(acts, "act_id").groupBy("act_name").agg(F.max("short_code").alias("short_code"), F.sum("n").alias("n"))
     return named.orderBy(F.desc("n"), "act_name").limit(limit).select("act_name", "short_code", "n")
 

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.functions.lexers import PORTABLE, Lexer, match_all, match_phrase
+from benchbook.functions.lexers import PORTABLE, Lexer
+from benchbook.operators.postings import Postings, kept
 from benchbook.sources.domain import Domain
 
 # Names under which a facet's filter may come in.
@@ -56,11 +57,31 @@ class SearchRequest:
 
 @dataclass(frozen=True)
 class Clause:
-    """A condition on the case's own columns, or a set of case ids that it must be in."""
+    """A condition on the case's own columns, or a set of case ids that it must be in (or mustn't); of both, either will do."""
 
     key: str
     column: Column | None = None
     ids: DataFrame | None = None
+    out: bool = False
+
+
+def meeting(cases: DataFrame, c: Clause, told: str) -> tuple[DataFrame, Column]:
+    """cases and the condition that says whether they meet a clause; ids that it needs are joined on as a flag."""
+    if c.ids is None:
+        return cases, F.coalesce(c.column, F.lit(False))
+    cases = cases.join(c.ids.distinct().withColumn(told, F.lit(True)), "case_id", "left")
+    among = F.col(told).isNotNull()
+    return cases, ~among if c.out else among if c.column is None else among | F.coalesce(c.column, F.lit(False))
+
+
+def keep(cases: DataFrame, c: Clause) -> DataFrame:
+    """The cases that meet a clause: a filter, a semi- or an anti-join where one will do."""
+    if c.ids is None:
+        return cases.where(c.column)
+    if c.column is None:
+        return cases.join(c.ids, "case_id", "left_anti" if c.out else "left_semi")
+    cases, met = meeting(cases, c, "__told")
+    return cases.where(met).drop("__told")
 
 
 def _any(columns: list[Column]) -> Column:
@@ -83,17 +104,15 @@ class Search:
     def __init__(self, domain: Domain, lexer: Lexer = PORTABLE):
         self.domain, self.lexer = domain, lexer
 
-    def tokens(self) -> Column:
-        parts = [F.coalesce(c, F.lit("")) for c in ("case_number", "petitioner", "respondent", "text")]
-        return self.lexer.column(F.concat_ws(" ", *parts))
-
-    def needs_text(self, request: SearchRequest) -> bool:
-        return bool(request.text or request.all_terms or request.any_terms or request.exact_phrase or request.none_terms)
+    def postings(self) -> Postings:
+        d = self.domain
+        return kept(d.spark, d.sf_dir, self.lexer, lambda: d.flat(text=True).select("case_id", "case_number", "petitioner", "respondent", "text"))
 
-    def names(self, array: str, dim: DataFrame, dim_id: str, values: list) -> DataFrame:
-        """Ids of cases one of whose names contains one of the values: the dimension is filtered first."""
+    def names(self, line: str, dim: DataFrame, dim_id: str, values: list) -> DataFrame:
+        """Ids of cases one of whose lines names one of the values: the dimension is filtered first, arrays aren't built."""
         name = "full_name" if "full_name" in dim.columns else "act_name" if "act_name" in dim.columns else "name"
-        return members(self.domain.cases(), array, dim.where(like_any(F.col(name), values)).select(dim_id), dim_id).select("case_id").distinct()
+        wanted = dim.where(like_any(F.col(name), values)).select(F.col(dim_id).alias(line))
+        return self.domain.named_lines().join(wanted, line, "left_semi").select("case_id").distinct()
 
     def provision(self, p: Provision) -> DataFrame:
         """Ids of cases that cite the act's sections; without sections, the act itself or any of its sections."""
@@ -102,24 +121,26 @@ class Search:
         sections = d.sections().join(acts, "act_id", "left_semi")
         if p.sections:
             sections = sections.where(F.col("section_number").isin(*p.sections))
-        cited = members(d.cases(), "sections", sections.select("section_id"), "section_id").select("case_id")
+        lines = d.named_lines()
+        cited = lines.join(sections.select("section_id"), "section_id", "left_semi").select("case_id")
         if not p.sections:
-            cited = cited.union(members(d.cases(), "acts", acts, "act_id").select("case_id"))
+            cited = cited.union(lines.join(acts.withColumnRenamed("act_id", "named_act"), "named_act", "left_semi").select("case_id"))
         return cited.distinct()
 
     def clauses(self, r: SearchRequest) -> list[Clause]:
-        d, lex, tokens = self.domain, self.lexer, F.col("tokens")
+        d, lex = self.domain, self.lexer
         out: list[Clause] = []
+        having = lambda query: self.postings().all_of(lex.lexemes(query))
         if r.text:
             like = f"%{r.text}%"
-            out.append(Clause("text", match_all(tokens, lex.lexemes(r.text)) | F.coalesce(F.col("case_number").ilike(like), F.lit(False)) | F.coalesce(F.col("neutral_citation").ilike(like), F.lit(False))))
+            out.append(Clause("text", F.col("case_number").ilike(like) | F.coalesce(F.col("neutral_citation").ilike(like), F.lit(False)), having(r.text)))
         if r.exact_phrase:
-            out.append(Clause("exact", match_phrase(tokens, lex.words(r.exact_phrase))))
+            out.append(Clause("exact", ids=self.postings().phrase(lex.words(r.exact_phrase))))
         if r.all_terms:
-            out.append(Clause("all", match_all(tokens, lex.lexemes(" ".join(r.all_terms)))))
+            out.append(Clause("all", ids=having(" ".join(r.all_terms))))
         if r.any_terms:
-            out.append(Clause("any", _any([match_all(tokens, lex.lexemes(t)) for t in r.any_terms])))
-        out += [Clause("none", ~match_all(tokens, lex.lexemes(t))) for t in r.none_terms]
+            out.append(Clause("any", ids=reduce(DataFrame.union, [having(t) for t in r.any_terms])))
+        out += [Clause("none", ids=having(t), out=True) for t in r.none_terms]
         for name, values in r.filters.items():
             values = [v for v in (values if isinstance(values, (list, tuple)) else [values]) if str(v).strip()]
             key = KEY_OF.get(name)
@@ -134,13 +155,13 @@ class Search:
                 if years:  # date ranges rather than year(), so that row groups can be skipped
                     out.append(Clause(key, _any([F.col("judgment_date").between(F.lit(f"{y}-01-01").cast("date"), F.lit(f"{y}-12-31").cast("date")) for y in years])))
             elif key == "judge":
-                out.append(Clause(key, ids=self.names("bench", d.judges(), "judge_id", values)))
+                out.append(Clause(key, ids=self.names("judge_id", d.judges(), "judge_id", values)))
             elif key == "act":
-                out.append(Clause(key, ids=self.names("acts", d.acts(), "act_id", values)))
+                out.append(Clause(key, ids=self.names("named_act", d.acts(), "act_id", values)))
             elif key == "industry":
-                out.append(Clause(key, ids=self.names("industries", d.industries(), "industry_id", values)))
+                out.append(Clause(key, ids=members(d.flat(), "industries", d.industries().where(like_any(F.col("name"), values)).select("industry_id"), "industry_id").select("case_id")))
             elif key == "ministry":
-                out.append(Clause(key, ids=self.names("ministries", d.ministries(), "ministry_id", values)))
+                out.append(Clause(key, ids=self.names("ministry_id", d.ministries(), "ministry_id", values)))
             elif key in ("disposition", "favouring_party"):
                 out.append(Clause(key, F.col(key).isin(*values)))
             elif key == "judgment" and set(values) in ({"available"}, {"missing"}):
@@ -164,31 +185,19 @@ class Search:
     def found(self, r: SearchRequest, without: str | None = None) -> DataFrame:
         """As matched, without the arrays: what is counted or cut to a page needs none."""
         clauses = [c for c in self.clauses(r) if c.key != without]
-        cases = self.candidates(r)
-        for c in clauses:
-            if c.column is not None:
-                cases = cases.where(c.column)
-        for c in clauses:
-            if c.ids is not None:
-                cases = cases.join(c.ids, "case_id", "left_semi")
-        return cases.drop("tokens", "text")
-
-    def candidates(self, r: SearchRequest) -> DataFrame:
-        """All flat cases; with their tokens if the request looks at the text."""
-        text = self.needs_text(r)
-        cases = self.domain.flat(text=text)
-        return cases.withColumn("tokens", self.tokens()) if text else cases
+        cases = self.domain.flat()
+        for c in sorted(clauses, key=lambda c: c.ids is not None):  # columns first: they reach the scan
+            cases = keep(cases, c)
+        return cases
 
     def judged(self, r: SearchRequest, keys: tuple[str, ...]) -> DataFrame:
         """Flat cases that meet all clauses but those of keys, with a flag meets_<key> for each of keys, and that fail at most
         one flag: all that a facet may count which drops one of them."""
-        clauses, cases, flags = self.clauses(r), self.candidates(r), {}
-        for c in (c for c in clauses if c.key not in keys):
-            cases = cases.where(c.column) if c.column is not None else cases.join(c.ids, "case_id", "left_semi")
+        clauses, cases, flags = self.clauses(r), self.domain.flat(), {}
+        for c in sorted((c for c in clauses if c.key not in keys), key=lambda c: c.ids is not None):
+            cases = keep(cases, c)
         for n, c in enumerate(c for c in clauses if c.key in keys):
-            if c.ids is not None:
-                cases = cases.join(c.ids.withColumn(f"in_{n}", F.lit(True)), "case_id", "left")
-            own = F.coalesce(c.column if c.column is not None else F.col(f"in_{n}"), F.lit(False))
+            cases, own = meeting(cases, c, f"in_{n}")
             flags[c.key] = flags[c.key] & own if c.key in flags else own
         told = cases.withColumns({f"meets_{k}": flags.get(k, F.lit(True)) for k in keys})
         failed = reduce(lambda a, b: a + b, [F.when(F.col(f"meets_{k}"), 0).otherwise(1) for k in keys])
