@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch, so that a batch of very long texts still fits a Python worker.
 BATCH_ROWS = 512
+#: A-Z to small letters, other bytes as they are.
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,59 +23,28 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from benchbook.llm.cells import EPS, LINKED, TINY, measured, settled, shingle_hashes
 from benchbook.llm.common import NO_ID, arrow_rows, ids_and_texts, materialize, with_null_ids, within, without
 from benchbook.llm.components import connected_components
-from benchbook.llm.simhash import LOWER
 
-WORDS = 5
-#: Documents link when 5 * intersection >= 4 * union.
-EPS = 0.2
-TINY = 1e-9
 #: First pivots, about; a pivot has so many shingles at most. Both bound what the driver gets and tasks hold.
 PIVOTS = 512
 PIVOT_SHINGLES = 4_096
 #: Frequent shingles that the order puts last: at most so many, each of at least so many documents.
 FREQUENT = 1 << 16
 LEAST_FREQUENT = 32
+#: Documents of about four million shingles in a row that must share one before a task takes note of it.
+LEAST_IN_TASK = 4
 #: Documents of a cell that are compared with each other at once.
 SMALL = 8
-_FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
+#: First shingles by which documents are looked at before all others.
+AHEAD = 4
 _BITS = np.uint64(42)
 
 
-class _Words(dict):
-    """Hashes of words, as they're met."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 42)
-        return found
-
-
-_WORDS = _Words()
-
-
-def shingle_hashes(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; of fewer words the whole sequence; without words none."""
-    parts = (text or "").encode("utf-8", "replace").translate(LOWER).split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    words = np.fromiter(map(_WORDS.__getitem__, parts), np.uint64, len(parts))
-    k = min(len(parts), WORDS)
-    with np.errstate(over="ignore"):
-        h = np.full(len(words) - k + 1, np.uint64(k), np.uint64)
-        for i in range(k):
-            h += (words[i : len(words) - k + 1 + i] ^ (words[i : len(words) - k + 1 + i] >> np.uint64(31))) * _FACTORS[i]
-        h = (h ^ (h >> np.uint64(33))) * _FACTORS[4]
-        return np.unique(h ^ (h >> np.uint64(29)))
-
-
 def prefix_length(n: int) -> int:
     """So many first shingles of n hold the first one in common with any linked document: n - ceil(0.8 n) + 1."""
     return n - (4 * n + 4) // 5 + 1
@@ -154,8 +123,10 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> tuple[Lookup, np.ndarra
         keys, counts, held, n = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
         def merged():
-            new, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-            new, times = new[times > 1], times[times > 1]
+            flat = np.concatenate([np.zeros(0, np.uint64), *held])
+            slot = (flat >> _BITS).astype(np.int64)  # a shingle is no more frequent than its slot
+            new, times = np.unique(flat[np.bincount(slot, minlength=1 << 22)[slot] >= LEAST_IN_TASK], return_counts=True)
+            new, times = new[times >= LEAST_IN_TASK], times[times >= LEAST_IN_TASK]
             both, back = np.unique(np.r_[keys, new], return_inverse=True)
             sums = np.bincount(back, np.r_[counts, times], len(both)).astype(np.int64)
             most = np.argsort(-sums, kind="stable")[: 1 << 19]
@@ -223,8 +194,8 @@ def placed(docs: DataFrame, pivots: Pivots, frequent: Lookup, weights: np.ndarra
                 hi, lo = (int.from_bytes(digest[k : k + 8], "big", signed=True) for k in (0, 8))
                 home = dist = None
                 also, near, far = [], [], []
-                if len(s):
-                    both, union = pivots.overlaps(s)
+                both, union = pivots.overlaps(s)
+                if both.any():
                     linked = np.flatnonzero(5 * both >= 4 * union)
                     if len(linked):
                         share = both[linked] / union[linked]
@@ -257,119 +228,80 @@ def _may_link(n: np.ndarray, m: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
     return 9 * np.minimum(n - i, m - j) >= 4 * (n + m)
 
 
-def _cells(small: int):
-    """Of rows key, node, n, pos, sorted by key: pairs a, b of cells up to `small` rows that may link; of larger cells the rows themselves (a and the rest)."""
-
-    def emit(key, node, n, pos, starts, sizes, long_key):
-        out_a, out_b = [], []
-        repeats = sizes
-        sizes = np.where(key[starts] == long_key, small + 1, sizes) if long_key is not None else sizes
-        for size in range(2, small + 1):
-            at = starts[sizes == size]
-            for i in range(size):
-                for j in range(i + 1, size):
-                    may = at[_may_link(n[at + i], n[at + j], pos[at + i], pos[at + j])]
-                    out_a.append(node[may + i])
-                    out_b.append(node[may + j])
-        a, b = np.concatenate([np.zeros(0, np.int64), *out_a]), np.concatenate([np.zeros(0, np.int64), *out_b])
-        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates().astype("Int64")
-        large = np.repeat(sizes > small, repeats)
-        rows = pd.DataFrame({"a": pd.array(node[large], "Int64"), "key": key[large], "n": n[large], "pos": pos[large]}).astype("Int64")
-        return pd.concat([pairs, rows], ignore_index=True)[["a", "b", "key", "n", "pos"]].astype("Int64")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        long_key = None
-        for batch in batches:
-            data = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            held = None
-            if not len(data):
-                continue
-            key = data["key"].to_numpy()
-            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            sizes = np.diff(np.r_[starts, len(key)])
-            last = key[-1]
-            if sizes[-1] <= small and last != long_key:  # may go on in the next batch
-                held = data.iloc[starts[-1] :]
-                data, starts, sizes = data.iloc[: starts[-1]], starts[:-1], sizes[:-1]
-            if len(data):
-                key, node, n, pos = (data[c].to_numpy() for c in ("key", "node", "n", "pos"))
-                yield emit(key, node, n, pos, starts, sizes, long_key)
-            if held is None:
-                long_key = last
-        if held is not None and len(held) > 1:
-            key, node, n, pos = (held[c].to_numpy() for c in ("key", "node", "n", "pos"))
-            yield emit(key, node, n, pos, np.zeros(1, np.int64), np.array([len(held)]), long_key)
-
-    return run
-
-
-def measured(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """edges (a, b) with both, whole: the sizes of their sets' intersection and union. texts: id, text."""
-
-    @F.pandas_udf("both long, whole long")
-    def sizes(one: pd.Series, other: pd.Series) -> pd.DataFrame:
-        known: dict[str, np.ndarray] = {}
-
-        def of(text: str) -> np.ndarray:
-            if text not in known:
-                if len(known) > 64:
-                    known.clear()
-                known[text] = shingle_hashes(text)
-            return known[text]
-
-        out = []
-        for x, y in zip(one, other, strict=True):
-            x, y = of(x), of(y)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append((both, len(x) + len(y) - both))
-        return pd.DataFrame(out, columns=["both", "whole"], dtype="int64")
-
-    first = edges.join(texts.select(F.col("id").alias("a"), F.col("text").alias("one")), "a")
-    both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("other")), "b")
-    return both.select("a", "b", sizes("one", "other").alias("m")).select("a", "b", "m.both", "m.whole")
+def _runs(batches: Iterator[pd.DataFrame], names: tuple[str, ...], small: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows sorted by key in pieces: columns, where their runs of one key begin, sizes, which runs are longer than `small`, and
+    which may have other pieces.
 
+    A run that may go on in the next batch waits; once it's longer than `small`, its rows are handed on as they come.
+    """
+    held: pd.DataFrame | None = None
+    long_key = None
+    for batch in batches:
+        data = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        held = None
+        if not len(data):
+            continue
+        key = data["key"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[starts, len(key)])
+        long = sizes > small
+        cut = np.zeros(len(starts), bool)
+        cut[0] = long_key is not None and key[0] == long_key
+        long |= cut
+        if not long[-1]:
+            held = data.iloc[starts[-1] :]
+            data, starts, sizes, long, cut = data.iloc[: starts[-1]], starts[:-1], sizes[:-1], long[:-1], cut[:-1]
+        else:
+            long_key, cut[-1] = key[-1], True
+        if len(data):
+            yield [data[c].to_numpy() for c in names], starts, sizes, long, cut
+    if held is not None:
+        yield [held[c].to_numpy() for c in names], np.zeros(1, np.int64), np.array([len(held)]), np.zeros(1, bool), np.zeros(1, bool)
+
+
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows key, n, node, sorted so: pairs of each row with the first of its key and with the one before it, if their sizes allow a link."""
+    last = None  # key, first node and its n, last node and its n
+    for batch in batches:
+        key, n, node = (batch[c].to_numpy() for c in ("key", "n", "node"))
+        if not len(key):
+            continue
+        if last is not None:
+            key, n, node = np.r_[last[0], key], np.r_[last[1], n], np.r_[last[2], node]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        first = np.repeat(starts, np.diff(np.r_[starts, len(key)]))
+        here = np.arange(len(key))
+        before = np.maximum(here - 1, first)
+        a, b = np.r_[node[first], node[before]], np.r_[node, node]
+        fits = (5 * np.r_[n[first], n[before]] >= 4 * np.r_[n, n]) & (a != b)
+        yield pd.DataFrame({"a": np.minimum(a, b)[fits], "b": np.maximum(a, b)[fits]}).drop_duplicates()
+        keep = [first[-1], len(key) - 1] if first[-1] < len(key) - 1 else [len(key) - 1]
+        last = key[keep], n[keep], node[keep]
 
-LINKED = "5 * both >= 4 * whole"
 
+def _cells(small: int):
+    """Of rows key, node, part, n, pos, sorted by key: pairs a, b of cells up to `small` rows that may link and aren't in one
+    part yet; of larger cells with more than one part the rows themselves (a and the rest)."""
+    columns = ("key", "node", "part", "n", "pos")
 
-def _settled(cells: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
-    """All links (between labels), those of cells included. cells: kind, key, node, label, n, pos, dist.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (key, node, part, n, pos), starts, sizes, long, cut in _runs(batches, columns, small):
+            out_a, out_b = [], []
+            for size in range(2, small + 1):
+                at = starts[(sizes == size) & ~long]
+                for i in range(size):
+                    for j in range(i + 1, size):
+                        may = at[(part[at + i] != part[at + j]) & _may_link(n[at + i], n[at + j], pos[at + i], pos[at + j])]
+                        out_a.append(node[may + i])
+                        out_b.append(node[may + j])
+            a, b = np.concatenate([np.zeros(0, np.int64), *out_a]), np.concatenate([np.zeros(0, np.int64), *out_b])
+            pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates().astype("Int64")
+            mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
+            large = np.repeat(long & (mixed | cut), sizes)  # a piece of one part counts too, if other pieces may hold others
+            rows = pd.DataFrame({"a": node[large], "key": key[large], "n": n[large], "pos": pos[large]}).astype("Int64")
+            yield pd.concat([pairs, rows], ignore_index=True)[["a", "b", "key", "n", "pos"]].astype("Int64")
 
-    kind 0: cells of a shingle; kind 1: regions of a first pivot, dist the distance to it. A cell is settled when its
-    documents are one component. Else pivots are drawn among those outside its largest component, four times as many each
-    round, and compared with all documents of other components that sizes, places and windows allow; then they leave the cell.
-    """
-    cell = ["kind", "key"]
-    pivots = 1
-    while True:
-        parts = connected_components(links)
-        labelled = cells.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("part", F.coalesce("component", "label")).drop("component")
-        largest = labelled.groupBy(*cell, "part").agg(F.count(F.lit(1)).alias("size")).groupBy(*cell).agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
-        cells = materialize(labelled.join(largest, cell))
-        if cells.isEmpty():
-            return links
-        turn = F.row_number().over(Window.partitionBy(*cell).orderBy(F.xxhash64("node"), "node"))
-        drawn = materialize(cells.where("part <> main").withColumn("turn", turn).where(F.col("turn") <= pivots).select(*cell, *[F.col(c).alias(f"p_{c}") for c in ("node", "label", "n", "pos", "dist", "part", "turn")]))
-        met = cells.join(drawn, cell).where(
-            (F.col("node") != F.col("p_node")) & (F.col("part") != F.col("p_part"))
-            & (5 * F.least("n", "p_n") >= 4 * F.greatest("n", "p_n"))
-            & F.coalesce(9 * F.least(F.col("n") - F.col("pos"), F.col("p_n") - F.col("p_pos")) >= 4 * (F.col("n") + F.col("p_n")), F.lit(True))
-            & ((F.col("kind") == 0) | (F.col("label") == F.col("key")) | (F.col("p_label") == F.col("key")))  # two of a shell meet elsewhere
-            & F.coalesce(F.abs(F.col("dist") - F.col("p_dist")) <= EPS + TINY, F.lit(True))
-        )
-        pairs = met.select("node", "label", "p_node", "p_label")
-        found = materialize(measured(pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct(), texts))
-        new = found.where(LINKED).select("a", "b")
-        named = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.col("label").alias("x"), F.col("p_label").alias("y")).join(new, ["a", "b"], "left_semi")
-        links = materialize(links.union(named.select("x", "y")).distinct())
-        rest = cells.join(drawn.select(*cell, F.col("p_node").alias("node")), [*cell, "node"], "left_anti")
-        if pivots == 1:  # the first pivot of a cell gives its documents a distance, hence windows
-            far = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"), (1 - F.col("both") / F.col("whole")).alias("far")).select(F.col("e.a").alias("p_node"), F.col("e.b").alias("node"), "far")
-            seen = rest.where("kind = 0").join(drawn.select(*cell, "p_node"), cell, "left").join(far, ["p_node", "node"], "left")
-            rest = rest.where("kind = 1").unionByName(seen.drop("dist", "p_node").withColumnRenamed("far", "dist"))
-        cells = materialize(rest.drop("part", "main"))
-        pivots *= 4
+    return run
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pivots: int = PIVOTS, small: int = SMALL) -> DataFrame:
@@ -392,8 +324,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = whole.select("doc_id", "hi", "lo").join(sets.where("copies > 1").select("hi", "lo", "node"), ["hi", "lo"]).where("doc_id <> node")
     singles = without(whole, copies.join(again, "doc_id", "left_anti").select(F.col("doc_id").alias("id")), "doc_id")
 
-    # Cells: pairs of the small ones, rows of the large ones.
-    index = singles.where("home is null").select(F.col("doc_id").alias("node"), "n", F.posexplode("prefix").alias("pos", "key")).select("key", "node", "n", "pos")
+    # A first look: documents that share one of their first shingles, each with one or two others. What links here needs no comparing later.
+    own = singles.where("home is null")
+    ahead = own.select(F.col("doc_id").alias("node"), "n", F.explode(F.slice("prefix", 1, AHEAD)).alias("key"))
+    with arrow_rows(spark, 1 << 16):
+        stars = materialize(ahead.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node").mapInPandas(_stars, "a long, b long").distinct())
+    texts = materialize(within(named, stars.select(F.explode(F.array("a", "b")).alias("id")), "id"))
+    linked = materialize(measured(stars, texts).where(LINKED).select("a", "b"))
+    early = connected_components(linked).withColumnRenamed("component", "part")
+
+    # Cells: pairs of the small ones, rows of the large ones, of documents that aren't in one part yet.
+    parted = own.select(F.col("doc_id").alias("node"), "n", "prefix").join(early, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    index = parted.select("node", "part", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "node", "part", "n", "pos")
     with arrow_rows(spark, 1 << 16):
         met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_cells(small), "a long, b long, key long, n long, pos long"))
     pairs = materialize(met.where("b is not null").select("a", "b").distinct())
@@ -402,7 +344,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = rows.select(F.col("home").alias("a"), F.explode("also").alias("b"))
     # An id that repeats stands for all its texts: a chain over their labels.
     chained = same.groupBy("doc_id").agg(F.min("label").alias("a")).join(same, "doc_id").select("a", F.col("label").alias("b"))
-    links = materialize(measured(pairs, texts).where(LINKED).select("a", "b").union(known).union(shared).union(chained).where("a <> b").distinct())
+    links = materialize(measured(pairs, texts).where(LINKED).select("a", "b").union(linked).union(known).union(shared).union(chained).where("a <> b").distinct())
 
     # Large cells, and regions whose shell holds documents of other components.
     parts = connected_components(links)
@@ -417,7 +359,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cells = materialize(large.unionByName(regions))
     if not cells.isEmpty():
         texts = materialize(within(named, cells.select(F.col("node").alias("id")), "id"))
-        parts = connected_components(_settled(cells, links, texts))
+        parts = connected_components(settled(cells, links, texts))
 
     # Labels to components, components to their smallest id, sets to rows.
     roots = materialize(sets.select("hi", "lo", "node", label.alias("label")).join(parts.withColumnRenamed("node", "label"), "label", "left").select("hi", "lo", "node", F.coalesce("component", "label").alias("root")))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import ids_and_texts, materialize, with_null_ids, within, without
+from benchbook.llm.common import LOWER, ids_and_texts, materialize, with_null_ids, within, without
 from benchbook.llm.components import connected_components
 
 SHINGLE = 3
@@ -26,7 +26,6 @@ PRINT_WORDS = 2
 SEGMENTS = 6
 LEAST_WIDTH = 21
 MOST_SHARE = 0.18
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 MASK32 = np.uint64(0xFFFFFFFF)
 ONE = np.uint64(1)
 

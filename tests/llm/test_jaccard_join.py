@@ -99,7 +99,7 @@ def test_prefix_is_long_enough_and_not_longer():
 
 def test_cells_over_batches():
     key = np.array([1, 1, 2, 3, 3, 3, 4] + [5] * 40 + [6, 6])
-    data = pd.DataFrame({"key": key, "node": np.arange(len(key)), "n": 10, "pos": 0})
+    data = pd.DataFrame({"key": key, "node": np.arange(len(key)), "part": np.arange(len(key)), "n": 10, "pos": 0})
     for step in (1, 3, 7, 100):
         out = pd.concat(jj._cells(3)(iter([data.iloc[i : i + step].reset_index(drop=True) for i in range(0, len(data), step)])))
         pairs = sorted((int(a), int(b)) for a, b in zip(out["a"], out["b"], strict=True) if b is not pd.NA)
