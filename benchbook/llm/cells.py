@@ -16,6 +16,8 @@ WORDS = 5
 #: Documents link when 5 * intersection >= 4 * union.
 EPS = 0.2
 TINY = 1e-9
+#: Pivots of a cell in its first round.
+FIRST_PIVOTS = 4
 LINKED = "5 * both >= 4 * whole"
 _FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 #: A byte's share of its word's hash, and what a place in the word multiplies it with; odd, so it has an inverse.
@@ -110,21 +112,22 @@ def measured(edges: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def settled(cells: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
-    """All links (between labels), those of cells included. cells: kind, key, node, label, n, pos, dist.
+    """node, component over all links (between labels), those of cells included. cells: kind, key, node, label, n, pos, dist.
 
     kind 0: cells of a shingle; kind 1: regions of a first pivot, dist the distance to it. A cell is settled when its
-    documents are one component. Else pivots are drawn among those outside its largest component, four times as many each
+    documents are one component. Else pivots are drawn among those outside its largest component, eight times as many each
     round, and compared with all documents of other components that sizes, places and windows allow; then they leave the cell.
+    The first pivot of a cell also gives its documents a distance, hence windows for those that follow.
     """
     cell = ["kind", "key"]
-    pivots = 1
+    pivots, known = FIRST_PIVOTS, False
     while True:
         parts = connected_components(links)
         labelled = cells.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("part", F.coalesce("component", "label")).drop("component")
         largest = labelled.groupBy(*cell, "part").agg(F.count(F.lit(1)).alias("size")).groupBy(*cell).agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
         cells = materialize(labelled.join(largest, cell))
         if cells.isEmpty():
-            return links
+            return parts
         turn = F.row_number().over(Window.partitionBy(*cell).orderBy(F.xxhash64("node"), "node"))
         drawn = materialize(cells.where("part <> main").withColumn("turn", turn).where(F.col("turn") <= pivots).select(*cell, *[F.col(c).alias(f"p_{c}") for c in ("node", "label", "n", "pos", "dist", "part", "turn")]))
         met = cells.join(drawn, cell).where(
@@ -140,9 +143,9 @@ def settled(cells: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
         named = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.col("label").alias("x"), F.col("p_label").alias("y")).join(new, ["a", "b"], "left_semi")
         links = materialize(links.union(named.select("x", "y")).distinct())
         rest = cells.join(drawn.select(*cell, F.col("p_node").alias("node")), [*cell, "node"], "left_anti")
-        if pivots == 1:  # the first pivot of a cell gives its documents a distance, hence windows
+        if not known:
             far = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"), (1 - F.col("both") / F.col("whole")).alias("far")).select(F.col("e.a").alias("p_node"), F.col("e.b").alias("node"), "far")
-            seen = rest.where("kind = 0").join(drawn.select(*cell, "p_node"), cell, "left").join(far, ["p_node", "node"], "left")
+            seen = rest.where("kind = 0").join(drawn.where("p_turn = 1").select(*cell, "p_node"), cell, "left").join(far, ["p_node", "node"], "left")
             rest = rest.where("kind = 1").unionByName(seen.drop("dist", "p_node").withColumnRenamed("far", "dist"))
         cells = materialize(rest.drop("part", "main"))
-        pivots *= 4
+        pivots, known = 8 * pivots, True

@@ -36,7 +36,7 @@ PIVOT_SHINGLES = 4_096
 #: Frequent shingles that the order puts last: at most so many, each of at least so many documents.
 FREQUENT = 1 << 16
 LEAST_FREQUENT = 32
-#: Documents of about four million shingles in a row that must share one before a task takes note of it.
+#: Documents of about two million shingles in a row that must share one before a task takes note of it.
 LEAST_IN_TASK = 4
 #: Documents of a cell that are compared with each other at once.
 SMALL = 8
@@ -137,7 +137,7 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> tuple[Lookup, np.ndarra
             for text in batch["text"]:
                 held.append(shingle_hashes(text))
                 n += len(held[-1])
-                if n > 1 << 22:
+                if n > 1 << 21:
                     keys, counts = merged()
                     held, n = [], 0
         keys, counts = merged()
@@ -359,7 +359,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cells = materialize(large.unionByName(regions))
     if not cells.isEmpty():
         texts = materialize(within(named, cells.select(F.col("node").alias("id")), "id"))
-        parts = connected_components(settled(cells, links, texts))
+        parts = settled(cells, links, texts)
 
     # Labels to components, components to their smallest id, sets to rows.
     roots = materialize(sets.select("hi", "lo", "node", label.alias("label")).join(parts.withColumnRenamed("node", "label"), "label", "left").select("hi", "lo", "node", F.coalesce("component", "label").alias("root")))
