@@ -422,3 +422,11 @@ def describe(fields: dict[str, tuple[Column, Column]]) -> Column:
 
 def any_of(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, columns)
+
+
+LEAST_LAYER = 20
+
+
+def layer_route(layer: Column) -> Column:
+    """text_layer where a file's own text has at least 20 characters besides outer blanks, else ocr."""
+    return F.when(F.length(F.trim(F.coalesce(layer, F.lit("")))) < LEAST_LAYER, "ocr").otherwise("text_layer")

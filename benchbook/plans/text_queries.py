@@ -336,7 +336,54 @@ def ner_postprocess(d: Domain) -> DataFrame:
     return entities.paired_provisions(entities.entity_spans(found))
 
 
-@query("pdf_text_layer", "SELECT doc_id, CASE WHEN length(trim(substr(text, 1, doc_id % 60))) < 20 THEN 'ocr' ELSE 'text_layer' END route FROM (SELECT doc_id, CAST(doc_id AS INTEGER) n, text FROM documents) x")
+# A recogniser's spans, as lines of cases would give them: parties with slips, citations, mentions without parties, and (supra).
+SLIP = "CASE WHEN {n} % 2 = 0 THEN substr({t}, 2) ELSE {t} END"
+CITE = "' (1999) ' || (l_partkey % 3) || ' SCC ' || (l_partkey % 4)"
+SPANS = f"""SELECT DISTINCT l_orderkey case_id, 'PRECEDENT' label, CAST(l_linenumber * 1000 + l_partkey % 500 AS INTEGER) "start", CAST(l_linenumber * 1000 + l_partkey % 500 + 40 AS INTEGER) "end",
+CASE WHEN l_partkey % 5 = 0 THEN 'In' ELSE {SLIP.format(n='l_partkey', t='s_name')} || ' v. ' || {SLIP.format(n='l_linenumber', t='p_name')} END || CASE WHEN l_partkey % 5 = 0 OR l_partkey % 4 = 1 THEN {CITE} ELSE '' END "text"
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey"""
+
+
+def recognised(d: Domain) -> DataFrame:
+    slip = lambda n, t: F.when(F.col(n) % 2 == 0, F.substring(t, 2, 1000)).otherwise(F.col(t))
+    part = F.col("l_partkey")
+    lines = d.raw("lineitem").join(d.raw("part").select("p_partkey", "p_name"), F.col("p_partkey") == part).join(d.raw("supplier").select("s_suppkey", "s_name"), F.col("s_suppkey") == F.col("l_suppkey"))
+    cite = F.concat(F.lit(" (1999) "), (part % 3).cast("string"), F.lit(" SCC "), (part % 4).cast("string"))
+    named = F.when(part % 5 == 0, "In").otherwise(F.concat(slip("l_partkey", "s_name"), F.lit(" v. "), slip("l_linenumber", "p_name")))
+    start = (F.col("l_linenumber") * 1000 + part % 500).cast("int")
+    return lines.select(
+        F.col("l_orderkey").alias("case_id"), F.lit("PRECEDENT").alias("label"), start.alias("start"), (start + 40).alias("end"), F.concat(named, F.when((part % 5 == 0) | (part % 4 == 1), cite).otherwise("")).alias("text"), "l_linenumber", "p_name"
+    ).distinct()
+
+
+CLUSTERS = rf"""m AS (SELECT *, regexp_extract("text", '[(\[]?\d+[)\]]?(?:\s*[(\[]?\d+[)\]]?)?\s*[A-Z][A-Z.]*(?:\s*[(\[]?\d+[)\]]?)*') c FROM ({SPANS}) s),
+n AS (SELECT case_id, "start", "text", nullif(c, '') c, CASE WHEN "text" LIKE '% v. %' THEN trim(split_part("text", ' v. ', 1)) END p,
+CASE WHEN "text" LIKE '% v. %' THEN trim(CASE WHEN c = '' THEN split_part("text", ' v. ', 2) ELSE split_part(split_part("text", ' v. ', 2), c, 1) END) END r FROM m),
+reach AS (SELECT case_id, "start" s, "text" t, "start" s0, "text" t0 FROM n UNION SELECT reach.case_id, s, t, b."start", b."text" FROM reach JOIN n a ON a.case_id = reach.case_id AND a."start" = s0 AND a."text" = t0 JOIN n b ON b.case_id = a.case_id
+AND (a."text" = b."text" OR (a.p IS NOT NULL AND b.p IS NOT NULL AND levenshtein(lower(a.p), lower(b.p)) < 5 AND levenshtein(lower(a.r), lower(b.r)) < 5) OR ((a.p IS NULL OR b.p IS NULL) AND a.c = b.c))),
+clusters AS (SELECT case_id, s "start", t "text", min(s0) "cluster" FROM reach GROUP BY ALL)"""
+
+
+@query("precedent_clusters", f"WITH RECURSIVE {CLUSTERS} SELECT * FROM clusters")
+def precedent_clusters(d: Domain) -> DataFrame:
+    return entities.precedent_clusters(recognised(d).drop("l_linenumber", "p_name").distinct())
+
+
+@query("supra_matches", f"""WITH RECURSIVE {CLUSTERS}, q AS (SELECT DISTINCT l_orderkey case_id, CAST(l_linenumber * 1000 + 900 AS INTEGER) "start", '  ' || upper(p_name) || ' (Supra)' "text", p_name part FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber > 1)
+SELECT q.case_id, q."start", q."text", max_by(c."text", (c."start", c."text")) precedent, max_by("cluster", (c."start", c."text")) "cluster" FROM q JOIN clusters c ON c.case_id = q.case_id AND c."start" <= q."start" + 8 AND contains(lower(replace(c."text", ' ', '')), replace(lower(part), ' ', '')) GROUP BY ALL""")
+def supra_matches(d: Domain) -> DataFrame:
+    found = recognised(d)
+    start = (F.col("l_linenumber") * 1000 + 900).cast("int")
+    supra = found.where("l_linenumber > 1").select("case_id", F.lit("SUPRA").alias("label"), start.alias("start"), (start + 8).alias("end"), F.concat(F.lit("  "), F.upper("p_name"), F.lit(" (Supra)")).alias("text")).distinct()
+    return entities.supra_matches(found.drop("l_linenumber", "p_name").distinct().unionByName(supra))
+
+
+LAYER = r"regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')"
+
+
+@query("pdf_text_layer", f"SELECT page_id, length(trim({LAYER})) n_chars, CASE WHEN length(trim({LAYER})) < 20 THEN 'ocr' ELSE 'text_layer' END route FROM pages UNION ALL SELECT -1 - doc_id, length(trim(coalesce(\"text\", ''), ' ')), CASE WHEN length(trim(coalesce(\"text\", ''), ' ')) < 20 THEN 'ocr' ELSE 'text_layer' END FROM documents")
 def pdf_text_layer(d: Domain) -> DataFrame:
-    layer = F.substring("text", F.lit(1), (F.col("doc_id") % 60).cast("int"))
-    return d.raw("documents").select("doc_id", F.when(F.length(F.trim(layer)) < 20, "ocr").otherwise("text_layer").alias("route"))
+    """A file's whole text layer tells its way: pages without their marks, and documents (ids below zero) as they are."""
+    pages = d.raw("pages").select("page_id", F.regexp_replace(F.regexp_replace("html", "<[^>]*>", " "), r"[ \t\n\f\r]+", " ").alias("layer"))
+    files = pages.union(d.raw("documents").select(-1 - F.col("doc_id"), "text"))
+    return files.select("page_id", F.length(F.trim(F.coalesce("layer", F.lit("")))).cast("long").alias("n_chars"), text.layer_route(F.col("layer")).alias("route"))
