@@ -9,7 +9,7 @@ from benchbook.llm.common import materialize, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: null texts and texts without a letter."""
+    """Keeps documents whose predicted language is a learned one, and fills in languages that are null; rejects what has none."""
     return language.keep_known(docs)
 
 
@@ -19,7 +19,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by a five-word similarity of 0.8 or more, found through SimHash segments, the smallest id stays."""
+    """Of each group of documents linked by a five-word similarity of 0.8 or more, found by SimHash fingerprints, the smallest id stays."""
     return simhash.keep_one(docs)
 
 
