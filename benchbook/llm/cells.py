@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -13,12 +14,20 @@ from benchbook.llm.common import LOWER, materialize, within
 from benchbook.llm.components import connected_components
 
 WORDS = 5
-#: Documents link when 5 * intersection >= 4 * union.
-EPS = 0.2
+#: Documents link when 100 * intersection >= PERCENT * union.
+PERCENT = 80
+EPS = 1 - PERCENT / 100
 TINY = 1e-9
+#: Shingles and characters of sets that a task keeps while it compares.
+HELD = 4_000_000
 #: Pivots of a cell in its first round.
 FIRST_PIVOTS = 4
-LINKED = "5 * both >= 4 * whole"
+
+
+def linked(percent: int = PERCENT) -> str:
+    return f"100 * both >= {int(percent)} * whole"
+
+
 _FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 #: A byte's share of its word's hash, and what a place in the word multiplies it with; odd, so it has an inverse.
 _BYTES = np.random.default_rng(42).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,42 +77,79 @@ def word_hashes(text: str | None) -> np.ndarray:
     return out
 
 
-def shingle_hashes(text: str | None) -> np.ndarray:
+def shingle_hashes(text: str | None, size: int = WORDS) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; of fewer words the whole sequence; without words none."""
     words = word_hashes(text)
     if not len(words):
         return words
-    k = min(len(words), WORDS)
+    k = min(len(words), size)
     with np.errstate(over="ignore"):
         h = np.full(len(words) - k + 1, np.uint64(k), np.uint64)
         for i in range(k):
-            h += words[i : len(words) - k + 1 + i] * _FACTORS[i]
+            h += words[i : len(words) - k + 1 + i] * _FACTORS[i % 5]
+            h = (h << np.uint64(7)) | (h >> np.uint64(57))
         h = (h ^ (h >> np.uint64(33))) * _FACTORS[4]
         h ^= h >> np.uint64(29)
     h.sort()
     return h[np.r_[True, h[1:] != h[:-1]]]
 
 
-def measured(edges: DataFrame, texts: DataFrame) -> DataFrame:
+def runs(batches: Iterator[pd.DataFrame], names: tuple[str, ...], small: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows sorted by key in pieces: columns, where their runs of one key begin, sizes, which runs are longer than `small`, and
+    which may have other pieces.
+
+    A run that may go on in the next batch waits; once it's longer than `small`, its rows are handed on as they come.
+    """
+    held: pd.DataFrame | None = None
+    long_key = None
+    for batch in batches:
+        data = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        held = None
+        if not len(data):
+            continue
+        key = data["key"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[starts, len(key)])
+        long = sizes > small
+        cut = np.zeros(len(starts), bool)
+        cut[0] = long_key is not None and key[0] == long_key
+        long |= cut
+        if not long[-1]:
+            held = data.iloc[starts[-1] :]
+            data, starts, sizes, long, cut = data.iloc[: starts[-1]], starts[:-1], sizes[:-1], long[:-1], cut[:-1]
+        else:
+            long_key, cut[-1] = key[-1], True
+        if len(data):
+            yield [data[c].to_numpy() for c in names], starts, sizes, long, cut
+    if held is not None:
+        yield [held[c].to_numpy() for c in names], np.zeros(1, np.int64), np.array([len(held)]), np.zeros(1, bool), np.zeros(1, bool)
+
+
+def measured(edges: DataFrame, texts: DataFrame, size: int = WORDS) -> DataFrame:
     """edges (a, b) with both, whole: the sizes of their sets' intersection and union. texts: id, text, of which only those of edges travel."""
 
     @F.pandas_udf("both long, whole long")
-    def sizes(one: pd.Series, other: pd.Series) -> pd.DataFrame:
+    def sizes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         known: dict[str, np.ndarray] = {}
+        held = 0
 
         def of(text: str) -> np.ndarray:
+            nonlocal held
             if text not in known:
-                if len(known) > 64:
+                if held > HELD:
                     known.clear()
-                known[text] = shingle_hashes(text)
+                    held = 0
+                known[text] = shingle_hashes(text, size)
+                held += len(known[text]) + len(text or "")
             return known[text]
 
-        out = []
-        for x, y in zip(one, other, strict=True):
-            x, y = of(x), of(y)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append((both, len(x) + len(y) - both))
-        return pd.DataFrame(out, columns=["both", "whole"], dtype="int64")
+        for one, other in batches:
+            out = []
+            for x, y in zip(one, other, strict=True):
+                x, y = sorted((of(x), of(y)), key=len)
+                both = int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)) if len(y) else 0
+                out.append((both, len(x) + len(y) - both))
+            yield pd.DataFrame(out, columns=["both", "whole"], dtype="int64")
 
     texts = within(texts, edges.select(F.explode(F.array("a", "b")).alias("id")), "id")
     first = edges.join(texts.select(F.col("id").alias("a"), F.col("text").alias("one")), "a")
@@ -111,15 +157,49 @@ def measured(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", sizes("one", "other").alias("m")).select("a", "b", "m.both", "m.whole")
 
 
-def settled(cells: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
-    """node, component over all links (between labels), those of cells included. cells: kind, key, node, label, n, pos, dist.
+def merged(cells: DataFrame) -> DataFrame:
+    """node, key of rows node, key: cells with the same leader become one, named by it.
+
+    Copies share most of their cells, which differ by a few documents each. The leader of a cell is its document of least
+    hash, so nearly all cells of such a group have one leader: what was a row per document and cell becomes about one per
+    document. No pair is lost, as a merged cell holds every pair of its parts.
+    """
+    leaders = cells.groupBy("key").agg(F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("leader"))
+    return cells.join(leaders, "key").select("node", F.col("leader").alias("key")).distinct()
+
+
+def shared_sizes(texts: DataFrame, size: int = WORDS) -> DataFrame:
+    """node, n, c of texts (id, text): the size of a text's set, and how many of its shingles another of these texts has too.
+
+    Two texts can have no more in common than either shares with anything, so c bounds every similarity from above, where
+    distances to pivots can't: texts that differ from one base in places of their own. Ids that repeat are left out.
+    """
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_hashes(t, size) for t in batch["text"]]
+            yield pd.DataFrame({"node": np.repeat(batch["id"].to_numpy(np.int64), [len(s) for s in sets]), "h": np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)})
+
+    flat = texts.mapInPandas(counted, "node long, h long")
+    # A shingle of one text only is told by that text; all others by none.
+    alone = flat.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("u"))
+    length = F.pandas_udf(lambda ts: pd.Series([len(shingle_hashes(t, size)) for t in ts], dtype="int64"), "long")
+    sizes = texts.select(F.col("id").alias("node"), length("text").alias("n")).groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n")).where("k = 1").drop("k")
+    return sizes.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c"))
+
+
+def settled(cells: DataFrame, links: DataFrame, texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """node, component over all links (between labels), those of cells included. cells: kind, key, node, label, dist.
 
-    kind 0: cells of a shingle; kind 1: regions of a first pivot, dist the distance to it. A cell is settled when its
+    kind 0: cells of a shingle or another key; kind 1: regions of a first pivot, dist the distance to it. A cell is settled when its
     documents are one component. Else pivots are drawn among those outside its largest component, eight times as many each
-    round, and compared with all documents of other components that sizes, places and windows allow; then they leave the cell.
-    The first pivot of a cell also gives its documents a distance, hence windows for those that follow.
+    round, and compared with all documents of other components that these bounds and windows allow; then they leave the cell.
+    The first pivot of a cell also gives its documents a distance, hence windows for those that follow. What documents share with
+    any other (shared_sizes) bounds what two of them share; those that share too little with all others are settled at once.
     """
     cell = ["kind", "key"]
+    bounds = shared_sizes(texts, size)
+    cells = materialize(cells.join(bounds, "node", "left").where(F.coalesce(100 * F.col("c") >= percent * F.col("n"), F.lit(True))))
     pivots, known = FIRST_PIVOTS, False
     while True:
         parts = connected_components(links)
@@ -129,22 +209,21 @@ def settled(cells: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
         if cells.isEmpty():
             return parts
         turn = F.row_number().over(Window.partitionBy(*cell).orderBy(F.xxhash64("node"), "node"))
-        drawn = materialize(cells.where("part <> main").withColumn("turn", turn).where(F.col("turn") <= pivots).select(*cell, *[F.col(c).alias(f"p_{c}") for c in ("node", "label", "n", "pos", "dist", "part", "turn")]))
+        drawn = materialize(cells.where("part <> main").withColumn("turn", turn).where(F.col("turn") <= pivots).select(*cell, *[F.col(c).alias(f"p_{c}") for c in ("node", "label", "n", "c", "dist", "part", "turn")]))
         met = cells.join(drawn, cell).where(
             (F.col("node") != F.col("p_node")) & (F.col("part") != F.col("p_part"))
-            & (5 * F.least("n", "p_n") >= 4 * F.greatest("n", "p_n"))
-            & F.coalesce(9 * F.least(F.col("n") - F.col("pos"), F.col("p_n") - F.col("p_pos")) >= 4 * (F.col("n") + F.col("p_n")), F.lit(True))
+            & F.coalesce((100 + percent) * F.least("c", "p_c") >= percent * (F.col("n") + F.col("p_n")), F.lit(True))
             & ((F.col("kind") == 0) | (F.col("label") == F.col("key")) | (F.col("p_label") == F.col("key")))  # two of a shell meet elsewhere
-            & F.coalesce(F.abs(F.col("dist") - F.col("p_dist")) <= EPS + TINY, F.lit(True))
+            & F.coalesce(F.abs(F.col("dist") - F.col("p_dist")) <= 1 - percent / 100 + TINY, F.lit(True))
         )
         pairs = met.select("node", "label", "p_node", "p_label")
-        found = materialize(measured(pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct(), texts))
-        new = found.where(LINKED).select("a", "b")
+        found = materialize(measured(pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct(), texts, size))
+        new = found.where(linked(percent)).select("a", "b")
         named = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.col("label").alias("x"), F.col("p_label").alias("y")).join(new, ["a", "b"], "left_semi")
         links = materialize(links.union(named.select("x", "y")).distinct())
         rest = cells.join(drawn.select(*cell, F.col("p_node").alias("node")), [*cell, "node"], "left_anti")
         if not known:
-            far = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"), (1 - F.col("both") / F.col("whole")).alias("far")).select(F.col("e.a").alias("p_node"), F.col("e.b").alias("node"), "far")
+            far = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"), F.coalesce(1 - F.try_divide("both", "whole"), F.lit(0.0)).alias("far")).select(F.col("e.a").alias("p_node"), F.col("e.b").alias("node"), "far")
             seen = rest.where("kind = 0").join(drawn.where("p_turn = 1").select(*cell, "p_node"), cell, "left").join(far, ["p_node", "node"], "left")
             rest = rest.where("kind = 1").unionByName(seen.drop("dist", "p_node").withColumnRenamed("far", "dist"))
         cells = materialize(rest.drop("part", "main"))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.cells import EPS, LINKED, TINY, measured, settled, shingle_hashes
+from benchbook.llm.cells import EPS, TINY, linked, measured, merged, runs, settled, shingle_hashes
 from benchbook.llm.common import NO_ID, arrow_rows, ids_and_texts, materialize, with_null_ids, within, without
 from benchbook.llm.components import connected_components
 
@@ -196,12 +196,12 @@ def placed(docs: DataFrame, pivots: Pivots, frequent: Lookup, weights: np.ndarra
                 also, near, far = [], [], []
                 both, union = pivots.overlaps(s)
                 if both.any():
-                    linked = np.flatnonzero(5 * both >= 4 * union)
-                    if len(linked):
-                        share = both[linked] / union[linked]
-                        best = linked[share.argmax()]
+                    close = np.flatnonzero(5 * both >= 4 * union)
+                    if len(close):
+                        share = both[close] / union[close]
+                        best = close[share.argmax()]
                         home, dist = int(pivots.ids[best]), float(1 - share.max())
-                        new = {(home, int(p)) for p in pivots.ids[linked] if p != home and i != NO_ID} - told
+                        new = {(home, int(p)) for p in pivots.ids[close] if p != home and i != NO_ID} - told
                         told |= new
                         also = [p for _, p in new]
                     shell = np.flatnonzero((5 * both < 4 * union) & (1 - both / np.maximum(union, 1) <= 2 * EPS + TINY))
@@ -228,37 +228,6 @@ def _may_link(n: np.ndarray, m: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
     return 9 * np.minimum(n - i, m - j) >= 4 * (n + m)
 
 
-def _runs(batches: Iterator[pd.DataFrame], names: tuple[str, ...], small: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows sorted by key in pieces: columns, where their runs of one key begin, sizes, which runs are longer than `small`, and
-    which may have other pieces.
-
-    A run that may go on in the next batch waits; once it's longer than `small`, its rows are handed on as they come.
-    """
-    held: pd.DataFrame | None = None
-    long_key = None
-    for batch in batches:
-        data = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        held = None
-        if not len(data):
-            continue
-        key = data["key"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sizes = np.diff(np.r_[starts, len(key)])
-        long = sizes > small
-        cut = np.zeros(len(starts), bool)
-        cut[0] = long_key is not None and key[0] == long_key
-        long |= cut
-        if not long[-1]:
-            held = data.iloc[starts[-1] :]
-            data, starts, sizes, long, cut = data.iloc[: starts[-1]], starts[:-1], sizes[:-1], long[:-1], cut[:-1]
-        else:
-            long_key, cut[-1] = key[-1], True
-        if len(data):
-            yield [data[c].to_numpy() for c in names], starts, sizes, long, cut
-    if held is not None:
-        yield [held[c].to_numpy() for c in names], np.zeros(1, np.int64), np.array([len(held)]), np.zeros(1, bool), np.zeros(1, bool)
-
-
 def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of rows key, n, node, sorted so: pairs of each row with the first of its key and with the one before it, if their sizes allow a link."""
     last = None  # key, first node and its n, last node and its n
@@ -285,7 +254,7 @@ def _cells(small: int):
     columns = ("key", "node", "part", "n", "pos")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (key, node, part, n, pos), starts, sizes, long, cut in _runs(batches, columns, small):
+        for (key, node, part, n, pos), starts, sizes, long, cut in runs(batches, columns, small):
             out_a, out_b = [], []
             for size in range(2, small + 1):
                 at = starts[(sizes == size) & ~long]
@@ -298,8 +267,8 @@ def _cells(small: int):
             pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates().astype("Int64")
             mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
             large = np.repeat(long & (mixed | cut), sizes)  # a piece of one part counts too, if other pieces may hold others
-            rows = pd.DataFrame({"a": node[large], "key": key[large], "n": n[large], "pos": pos[large]}).astype("Int64")
-            yield pd.concat([pairs, rows], ignore_index=True)[["a", "b", "key", "n", "pos"]].astype("Int64")
+            rows = pd.DataFrame({"a": node[large], "key": key[large]}).astype("Int64")
+            yield pd.concat([pairs, rows], ignore_index=True)[["a", "b", "key"]].astype("Int64")
 
     return run
 
@@ -330,21 +299,21 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with arrow_rows(spark, 1 << 16):
         stars = materialize(ahead.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node").mapInPandas(_stars, "a long, b long").distinct())
     texts = materialize(within(named, stars.select(F.explode(F.array("a", "b")).alias("id")), "id"))
-    linked = materialize(measured(stars, texts).where(LINKED).select("a", "b"))
-    early = connected_components(linked).withColumnRenamed("component", "part")
+    copied = materialize(measured(stars, texts).where(linked()).select("a", "b"))
+    early = connected_components(copied).withColumnRenamed("component", "part")
 
     # Cells: pairs of the small ones, rows of the large ones, of documents that aren't in one part yet.
     parted = own.select(F.col("doc_id").alias("node"), "n", "prefix").join(early, "node", "left").withColumn("part", F.coalesce("part", "node"))
     index = parted.select("node", "part", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "node", "part", "n", "pos")
     with arrow_rows(spark, 1 << 16):
-        met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_cells(small), "a long, b long, key long, n long, pos long"))
+        met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_cells(small), "a long, b long, key long"))
     pairs = materialize(met.where("b is not null").select("a", "b").distinct())
     texts = materialize(within(named, pairs.select(F.explode(F.array("a", "b")).alias("id")), "id"))
     known = spark.createDataFrame([*first.links, (None, None)], "a long, b long").where("a is not null")
     shared = rows.select(F.col("home").alias("a"), F.explode("also").alias("b"))
     # An id that repeats stands for all its texts: a chain over their labels.
     chained = same.groupBy("doc_id").agg(F.min("label").alias("a")).join(same, "doc_id").select("a", F.col("label").alias("b"))
-    links = materialize(measured(pairs, texts).where(LINKED).select("a", "b").union(linked).union(known).union(shared).union(chained).where("a <> b").distinct())
+    links = materialize(measured(pairs, texts).where(linked()).select("a", "b").union(copied).union(known).union(shared).union(chained).where("a <> b").distinct())
 
     # Large cells, and regions whose shell holds documents of other components.
     parts = connected_components(links)
@@ -353,9 +322,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shell = materialize(part(part(shell, "label", "one"), "pivot", "two").where("one <> two").select("node", "n", "label", "pivot", "dist"))
     least = shell.groupBy("pivot").agg(F.min("dist").alias("least"))  # a row for each first pivot at most
     core = singles.select(F.col("doc_id").alias("node"), "n", F.col("home").alias("label"), F.col("home").alias("pivot"), "dist").join(F.broadcast(least), "pivot").where(F.col("dist") >= F.col("least") - EPS - TINY)
-    none = F.lit(None)
-    regions = shell.unionByName(core.drop("least")).select(F.lit(1).alias("kind"), F.col("pivot").alias("key"), "node", "label", "n", none.cast("long").alias("pos"), "dist")
-    large = met.where("key is not null").select(F.lit(0).alias("kind"), "key", F.col("a").alias("node"), F.col("a").alias("label"), "n", "pos", none.cast("double").alias("dist"))
+    regions = shell.unionByName(core.drop("least")).select(F.lit(1).alias("kind"), F.col("pivot").alias("key"), "node", "label", "dist")
+    large = merged(met.where("key is not null").select(F.col("a").alias("node"), "key"))
+    large = large.select(F.lit(0).alias("kind"), "key", "node", F.col("node").alias("label"), F.lit(None).cast("double").alias("dist"))
     cells = materialize(large.unionByName(regions))
     if not cells.isEmpty():
         texts = materialize(within(named, cells.select(F.col("node").alias("id")), "id"))

@@ -169,17 +169,25 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows of docs with a letter whose language has a score of at least least; by default only null texts and texts
-    without a letter are rejected. A text of unknown n-grams has a language (the most frequent one) with score 0.
+def keep_known(docs: DataFrame, wanted: tuple[str, ...] | None = None, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Rows of docs whose predicted language is one of `wanted` (none given: any that the model knows) with a score of at least
+    `least`; their language, where it is null, becomes the predicted one.
 
-    The filter is a column, so rows with all their columns stay where they are: no shuffle.
+    `und` (null texts, texts without a letter) is rejected. A text of unknown n-grams has the most frequent language, score 0.
+    A model without any language, where no row has a label, rejects no text with a letter.
+    What the model says is a column, so rows with all their columns stay where they are: no shuffle.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out(F.col(id_col))), text_col, lang_col, id_col))
 
-    @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("lang string, score double")
+    def told(texts: pd.Series) -> pd.DataFrame:
         found = [model.value.predict(t) for t in texts]
-        return pd.Series([has_letter(t) and score >= least for t, (_, score) in zip(texts, found, strict=True)], dtype=bool)
-
-    return docs.where(known(F.col(text_col).cast("string")))
+        found = [f if f[0] != UNKNOWN or model.value.languages or not has_letter(t) else (None, 0.0) for f, t in zip(found, texts, strict=True)]
+        return pd.DataFrame({"lang": pd.Series([f[0] for f in found], dtype=object), "score": pd.Series([f[1] for f in found], dtype=float)})
+
+    name = "__told"
+    said = docs.withColumn(name, told(F.col(text_col).cast("string")))
+    kept = said.where(~F.col(f"{name}.lang").eqNullSafe(UNKNOWN) & (F.col(f"{name}.score") >= least))
+    if wanted is not None:
+        kept = kept.where(F.col(f"{name}.lang").isin(*wanted))
+    return kept.withColumn(lang_col, F.coalesce(F.col(lang_col), F.col(f"{name}.lang").cast(docs.schema[lang_col].dataType))).drop(name)

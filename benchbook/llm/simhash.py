@@ -3,25 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import LOWER, ids_and_texts, materialize, with_null_ids, within, without
+from benchbook.llm.cells import linked, measured, merged, runs, settled
+from benchbook.llm.common import LOWER, arrow_rows, ids_and_texts, materialize, with_null_ids, within, without
 from benchbook.llm.components import connected_components
 
 SHINGLE = 3
 SEED = 42
 #: Fingerprints under one key that are compared pairwise; larger groups are linked through midpoints.
 PAIRWISE = 48
-#: Shingles and similarity by which the corpus stage judges, and the fingerprints that find its candidates:
+#: Shingles and similarity (percent) by which the corpus stage judges, and the fingerprints that find its candidates:
 #: words of their shingles (fewer words, so that an edit changes fewer of them), segments, least bits of each, and the
 #: share of all bits in which candidates may differ.
 SIMILAR_WORDS = 5
-SIMILARITY = 0.8
+SIMILARITY = 80
 PRINT_WORDS = 2
 SEGMENTS = 6
 LEAST_WIDTH = 21
@@ -197,156 +197,93 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def _spanning(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Edges of a least spanning forest over all pairs that differ in at most `most` bits (Prim's way)."""
-    near, parent, left = np.full(len(fps), 1 << 30), np.zeros(len(fps), np.int64), np.ones(len(fps), bool)
-    now, edges = 0, []
-    for _ in range(len(fps) - 1):
-        left[now] = False
-        far = _distance(fps, fps[now])
-        closer = left & (far < near)
-        near[closer], parent[closer] = far[closer], now
-        now = int(np.argmin(np.where(left, near, 1 << 31)))
-        if near[now] <= most:
-            edges.append((int(parent[now]), now))
-    return edges
-
-
-def _linked_run(fps: np.ndarray, nodes: np.ndarray, most: int, block: int) -> Iterator[tuple[int, int]]:
-    """Candidate links of the rows of one key. Up to block rows: a least spanning forest. Beyond, block after block:
-    each row also meets one row, that with most links, of every tree that stood apart from all before; none is left out."""
-    if len(fps) <= block:
-        yield from ((int(nodes[i]), int(nodes[j])) for i, j in _spanning(fps, most))
-        return
-    heads = np.zeros(0, np.int64)
-    for at in range(0, len(fps), block):
-        mine = np.arange(at, min(len(fps), at + block))
-        met = np.zeros(len(mine), bool)
-        for some in np.array_split(heads, -(-len(heads) // 256)) if len(heads) else ():
-            far = _distance(fps[mine][:, None], fps[some][None])
-            best, near = far.argmin(axis=1), far.min(axis=1) <= most
-            met |= near
-            yield from zip(nodes[some[best[near]]].tolist(), nodes[mine[near]].tolist(), strict=True)
-        edges = _spanning(fps[mine], most)
-        degree = np.bincount(np.array(edges, np.int64).reshape(-1), minlength=len(mine))
-        root = np.arange(len(mine))
-        for i, j in edges:  # an edge's first end was reached before its second
-            root[j] = root[i]
-        order = np.lexsort((-degree, root))
-        heads_here = order[np.r_[True, root[order][1:] != root[order][:-1]]]
-        heads = np.r_[heads, mine[heads_here[~np.isin(root[heads_here], root[met])]]]
-        yield from ((int(nodes[at + i]), int(nodes[at + j])) for i, j in edges)
-
-
-#: Rows of one key that are held and spanned at a time.
-BLOCK = 2_048
-#: Runs up to this long are compared in bulk, all pairs.
-SHORT = 6
-
-
-def _candidates(words: int, most: int, block: int = BLOCK):
-    """Candidate links a < b among rows key, node, f0, f1, ... sorted by key and node."""
-    names = [f"f{i}" for i in range(words)]
+#: Rows of a key that are compared with each other at once; larger keys become cells, which are settled round after round.
+SMALL = 6
 
-    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Whole runs, some ten thousand rows at a time."""
-        held, n = [], 0
-        for batch in batches:
-            held.append(batch)
-            n += len(batch)
-            if n < 65_536 or batch["key"].iloc[0] == batch["key"].iloc[-1]:
-                continue
-            data = pd.concat(held, ignore_index=True)
-            whole = int(np.searchsorted(data["key"].to_numpy(), data["key"].iloc[-1]))
-            yield arrays(data.iloc[:whole])
-            held, n = [data.iloc[whole:]], len(data) - whole
-        if n:
-            yield arrays(pd.concat(held, ignore_index=True))
-
-    def arrays(data: pd.DataFrame):
-        return data["key"].to_numpy(), data["node"].to_numpy(), data[names].to_numpy().view(np.uint64)
+
+def _wide_cells(words: int, most: int, small: int = SMALL):
+    """Of rows key, node, f0, f1, ... sorted by key and node: candidate pairs a < b. Keys of up to `small` rows give all pairs
+    that differ in at most `most` bits. Of larger keys each row is paired with the first and with the one before it, and the rows
+    themselves are handed on (a, key), so that no pair is lost; they're handed on as they come, however many there are."""
+    names = [f"f{i}" for i in range(words)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for keys, nodes, fps in chunks(batches):
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            sizes = np.diff(np.r_[starts, len(keys)])
+        first = None  # of the long run that may go on: node and fingerprint of its first row, then of its last
+        for columns, starts, sizes, long, cut in runs(batches, ("key", "node", *names), small):
+            keys, nodes = columns[0], columns[1]
+            fps = np.stack(columns[2:], axis=1).view(np.uint64)
             a, b = [], []
-            for size in range(2, SHORT + 1):
-                at = starts[sizes == size]
+            for size in range(2, small + 1):
+                at = starts[(sizes == size) & ~long]
                 for i in range(size):
                     for j in range(i + 1, size):
                         near = at[_distance(fps[at + i], fps[at + j]) <= most]
                         a.append(nodes[near + i])
                         b.append(nodes[near + j])
-            for at, size in zip(starts[sizes > SHORT], sizes[sizes > SHORT], strict=True):
-                found = np.array(list(_linked_run(fps[at : at + size], nodes[at : at + size], most, block)), np.int64).reshape(-1, 2)
-                a.append(found[:, 0])
-                b.append(found[:, 1])
-            a, b = np.concatenate(a), np.concatenate(b)
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates()
+            rows = np.repeat(long, sizes)
+            for at, size, goes_on in zip(starts[long], sizes[long], cut[long], strict=True):
+                mine, prints = nodes[at : at + size], fps[at : at + size]
+                if goes_on and first is not None and first[0] == keys[at]:
+                    mine, prints = np.r_[first[1], mine], np.concatenate([first[2], prints])
+                for other in (np.zeros(len(mine), np.int64), np.maximum(np.arange(len(mine)) - 1, 0)):
+                    near = _distance(prints, prints[other]) <= most
+                    a.append(mine[near])
+                    b.append(mine[other[near]])
+                first = keys[at], mine[[0, -1]], prints[[0, -1]]
+            a, b = np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
+            pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates().astype("Int64")
+            yield pd.concat([pairs, pd.DataFrame({"a": nodes[rows], "key": keys[rows]}).astype("Int64")], ignore_index=True)[["a", "b", "key"]].astype("Int64")
 
     return run
 
 
-def candidate_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segments: int = SEGMENTS, width: int | None = None, share: float = MOST_SHARE) -> DataFrame:
-    """Candidate links a < b between ids: fingerprints of segments * width bits that agree in a segment but for one bit, and in
-    all but `share` of all bits.
-
-    Each segment is indexed with each of its bits as a wildcard. A segment has three bits more than the
-    rows' number has (21 at least), so that unrelated fingerprints seldom meet, whatever the table's size.
-    """
-    width = width or max(LEAST_WIDTH, (docs.count() + 1).bit_length() + 3)
-    words = -(-segments * width // 63)
-    prints = materialize(wide_fingerprints(docs, segments, width, id_col, text_col))
-    # The fingerprint once more, as few longs: segments one after another, 63 bits in each.
-    whole = F.array_join(F.transform("segments", lambda s: F.lpad(F.bin(s), width, "0")), "")
-    packed = prints.select("doc_id", "segments", whole.alias("bits")).select(
-        F.col("doc_id").alias("node"), "segments", *[F.conv(F.substring("bits", 63 * i + 1, 63), 2, 10).cast("long").alias(f"f{i}") for i in range(words)]
-    )
-    slots = packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(segments * width - 1))).alias("slot"))
-    segment = F.element_at("segments", F.expr(f"cast(slot div {width} as int) + 1")).bitwiseAND(F.expr(f"~shiftleft(1L, cast(slot % {width} as int))"))
-    index = slots.select((F.shiftleft(F.col("slot").cast("long"), width)).bitwiseOR(segment).alias("key"), "node", *[f"f{i}" for i in range(words)])
-    return index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_candidates(words, int(share * segments * width)), "a long, b long").distinct()
-
+def _whole(prints: DataFrame, width: int, words: int) -> DataFrame:
+    """prints with the fingerprint once more, as few longs f0, f1, ...: segments one after another, 63 bits in each."""
+    bits = F.array_join(F.transform("segments", lambda s: F.lpad(F.bin(s), width, "0")), "")
+    return prints.withColumn("bits", bits).select("doc_id", "segments", *[F.conv(F.substring("bits", 63 * i + 1, 63), 2, 10).cast("long").alias(f"f{i}") for i in range(words)])
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two sorted sets; two empty ones are alike."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, percent: int = SIMILARITY, segments: int = SEGMENTS, width: int | None = None, share: float = MOST_SHARE) -> DataFrame:
+    """node, component: documents that are connected by links, with the least id of those.
 
-def shingle_set(text: str | None, words: int = SIMILAR_WORDS) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles of a text."""
-    import xxhash
-
-    parts = [np.array([xxhash.xxh64_intdigest(p, SEED) for p in part], np.uint64) for part in _shingles(text, words)]
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]))
-
-
-def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, least: float = SIMILARITY, **how) -> DataFrame:
-    """Candidate links whose texts' shingle sets have a Jaccard similarity of at least `least`: a, b.
-
-    Only the texts of candidates travel: they are picked by their ids and written once, then join the links.
+    A link is a Jaccard similarity of at least `percent` of the sets of shingles of so many words, between documents that meet:
+    by equal fingerprints of segments * width bits, or by fingerprints that agree in a segment but for one bit. Documents
+    of one fingerprint are settled first (cells.settled) and then stand in the index once per component, so a template
+    behind many documents is one row there. Every segment is indexed with each of its bits as a wildcard. A segment has three
+    bits more than the rows' number has (21 at least), so that unrelated fingerprints seldom meet, whatever the table's size.
+    Keys of a few rows give all pairs within `share` of the bits; larger keys are cells, of which no pair is left out
+    unless it is connected already. Texts of candidates only travel: picked by their ids and written once.
     """
-    links = materialize(candidate_links(docs, id_col, text_col, **how))
+    width = width or max(LEAST_WIDTH, (docs.count() + 1).bit_length() + 3)
+    longs = -(-segments * width // 63)
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    texts = materialize(within(named, links.select(F.explode(F.array("a", "b")).alias("id")), "id"))
-    first = links.join(texts.select(F.col("id").alias("a"), F.col("text").alias("one")), "a")
-    both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("other")), "b")
-
-    @F.pandas_udf("boolean")
-    def alike(one: pd.Series, other: pd.Series) -> pd.Series:
-        known = lru_cache(maxsize=64)(lambda t: shingle_set(t, words))  # rows come sorted by one of the two
-        return pd.Series([jaccard(known(x), known(y)) >= least for x, y in zip(one, other, strict=True)], dtype=bool)
-
-    return both.where(alike("one", "other")).select("a", "b").distinct()
+    f = [f"f{i}" for i in range(longs)]
+    prints = materialize(_whole(wide_fingerprints(docs, segments, width, id_col, text_col), width, longs))
+    as_cells = lambda df: df.select(F.lit(0).alias("kind"), "key", "node", F.col("node").alias("label"), F.lit(None).cast("double").alias("dist"))
+    texts_of = lambda ids: materialize(within(named, ids.select(F.col("node").alias("id")), "id"))
+    pair = "a long, b long"
+    many = prints.groupBy(*f).agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    equal = materialize(as_cells(prints.join(many, f).select(F.xxhash64(*f).alias("key"), F.col("doc_id").alias("node")).distinct()))
+    first = docs.sparkSession.createDataFrame([], pair) if equal.isEmpty() else settled(equal, docs.sparkSession.createDataFrame([], pair), texts_of(equal), words, percent).select(F.col("node").alias("a"), F.col("component").alias("b"))
+    first = materialize(first.where("a <> b"))
+    placed = prints.join(first.select(F.col("a").alias("doc_id"), F.col("b").alias("part")), "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    nodes = placed.groupBy(*f, "part").agg(F.min("doc_id").alias("node"), F.first("segments").alias("segments"))
+    slots = nodes.select("node", "segments", *f, F.explode(F.sequence(F.lit(0), F.lit(segments * width - 1))).alias("slot"))
+    segment = F.element_at("segments", F.expr(f"cast(slot div {width} as int) + 1")).bitwiseAND(F.expr(f"~shiftleft(1L, cast(slot % {width} as int))"))
+    index = slots.select((F.shiftleft(F.col("slot").cast("long"), width)).bitwiseOR(segment).alias("key"), "node", *f)
+    with arrow_rows(docs.sparkSession, 1 << 15):
+        met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_wide_cells(longs, int(share * segments * width)), "a long, b long, key long"))
+    pairs = materialize(met.where("b is not null").select("a", "b").distinct())
+    links = materialize(measured(pairs, texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node"))), words).where(linked(percent)).select("a", "b").union(first))
+    cells = materialize(as_cells(merged(met.where("key is not null").select("key", F.col("a").alias("node")))))
+    return connected_components(links) if cells.isEmpty() else settled(cells, links, texts_of(cells), words, percent)
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, least: float = SIMILARITY, **how) -> DataFrame:
-    """Of each group of documents that similar_links connects the one with the smallest id, with all its columns.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, percent: int = SIMILARITY, **how) -> DataFrame:
+    """Of each group of documents that similar_components connects the one with the smallest id, with all its columns.
 
     Null and wordless texts: alike. Rows without id stay; rows that repeat an id stay or go together.
     Empty table: no rows.
     """
-    parts = connected_components(similar_links(docs, id_col, text_col, words, least, **how))
+    parts = similar_components(docs, id_col, text_col, words, percent, **how)
     return without(docs, parts.where("node <> component").select(F.col("node").alias("id")), id_col)

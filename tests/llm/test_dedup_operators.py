@@ -179,25 +179,54 @@ def test_keep_one_against_brute_force(spark):
     assert simhash.keep_one(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("block", [4, 64, 1000])
-def test_runs_of_any_length_are_spanned(block):
-    rng = np.random.default_rng(1)
-    centres = rng.integers(0, 2**62, size=(5, 2))
-    fps, nodes = [], []
-    for n in range(300):
-        f = centres[n % 5].copy()
-        for _ in range(n % 4):
-            f[rng.integers(2)] ^= np.int64(1) << np.int64(rng.integers(62))
-        fps.append(f)
-        nodes.append(n)
-    fps = np.array(fps).view(np.uint64)
-    links = list(simhash._linked_run(fps, np.array(nodes), 8, block))
-    assert all(i % 5 == j % 5 for i, j in links) and 295 <= len(links) < 2 * 300
-    root = list(range(300))
-    for _ in root:
-        for i, j in links:
-            root[i] = root[j] = min(root[i], root[j])
-    assert len(set(root)) == 5
+def _rows_of_key(prints, key=7):
+    import pandas as pd
+
+    return pd.DataFrame({"key": key, "node": range(len(prints)), "f0": np.array(prints, np.int64), "f1": 0})
+
+
+def _met(rows, small, most=2, step=50):
+    import pandas as pd
+
+    out = pd.concat(simhash._wide_cells(2, most, small)(iter([rows.iloc[i : i + step].reset_index(drop=True) for i in range(0, len(rows), step)])))
+    pairs = {(int(a), int(b)) for a, b in zip(out["a"], out["b"], strict=True) if b is not pd.NA}
+    return pairs, sorted(int(a) for a, b in zip(out["a"], out["b"], strict=True) if b is pd.NA)
+
+
+@pytest.mark.parametrize("more", [0, 3, 4, 40, 5000])
+def test_no_pair_of_a_key_is_lost_by_its_size(more):
+    # A-C and B-C differ in 1 bit, A-B in 2: all three pairs count, however many other rows the key has.
+    pairs, rows = _met(_rows_of_key([0b01, 0b10, 0b00, *[1 << 40 | n << 8 for n in range(more)]]), small=6, step=512)
+    assert rows == list(range(3 + more)) if 3 + more > 6 else {(0, 1), (0, 2), (1, 2)} <= pairs and not rows
+
+
+def test_rows_of_a_long_key_come_as_they_are_read():
+    batches = (_rows_of_key([3] * 10_000) for _ in range(60))
+    n = read = 0
+    for out in simhash._wide_cells(2, 2, 6)(batches):
+        n += len(out)
+        read += 1
+        assert len(out) <= 3 * 10_000 + 3
+    assert read == 60 and n >= 600_000
+
+
+def test_similar_documents_meet_in_keys_of_any_size(spark):
+    # One template with many slots: all share segments, only some are similar.
+    rng = random.Random(8)
+    base = [f"t{i}" for i in range(150)]
+    texts = {}
+    for i in range(60):
+        words = list(base)
+        for k in range(0, 150, 25):
+            if rng.random() < 0.3 + (i % 3) / 4:
+                words[k] = f"v{rng.randrange(3)}"
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3)
+    roots = brute_similar(texts)
+    found = {r["node"]: r["component"] for r in simhash.similar_components(docs, width=21, segments=6).collect()}
+    assert all(roots[i] == roots[found.get(i, i)] for i in texts)  # nothing is linked that isn't
+    want = {i for i in texts if roots[i] != i}
+    assert len(want) > 20 and len(want - {i for i, c in found.items() if i != c}) <= 0.1 * len(want)
 
 
 def test_wide_fingerprint_against_brute_force():

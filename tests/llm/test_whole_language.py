@@ -59,3 +59,17 @@ def test_the_stage_keeps_documents_of_unknown_grams(spark):
     assert kept == {*range(20), 100, 101}
     bare = spark.createDataFrame([(1, "words", None), (2, None, None)], "doc_id long, text string, lang string")
     assert [r["doc_id"] for r in language.keep_known(bare).collect()] == [1]
+
+
+def test_the_prediction_decides(spark, monkeypatch):
+    rows = [(i, f"the house and the garden of the king number {'x' * (i % 5)}", "en") for i in range(40)] + [(100 + i, f"das haus und der garten des schoenen hofes {'y' * (i % 5)}", "de") for i in range(40)]
+    rows += [(200, "the garden and the house", None), (201, "der garten und das haus", None), (202, None, "en"), (203, "123 !", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"]: r["lang"] for r in language.keep_known(docs).collect()}
+    assert kept == {i: lang or ("en" if i == 200 else "de") for i, t, lang in rows if i < 202}
+    only = {r["doc_id"] for r in language.keep_known(docs, wanted=("de",)).collect()}
+    assert only == {*range(100, 140), 201}
+    model = language.fit(docs)
+    swapped = language.Filter(model.languages[::-1], model.slots, model.rates, model.default)
+    monkeypatch.setattr(language, "fit", lambda *a, **k: swapped)
+    assert {r["doc_id"] for r in language.keep_known(docs, wanted=("de",)).collect()} == {*range(40), 200}
