@@ -18,19 +18,63 @@ LEAF = 256
 #: First reach of the window on either side of a seam, in characters; it doubles until it suffices.
 REACH = 16
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
-#: No match of the split pattern spans a place between a non-blank and a blank, and no look-ahead
-#: of a match that ends there passes it. So what stands before and after is encoded independently
+#: Letters of scripts that need no blanks, and their marks; letters on which all regex engines agree.
+_LETTERS = "\u4e00-\u9fff\uac00-\ud7a3\u3041-\u3096\u30a1-\u30fa"
+_MARKS = "\u3001\u3002\uff01\uff08\uff09\uff0c\uff1a\uff1b\uff1f\u300c-\u300f"
+#: No match of the split pattern spans a place between a non-blank and a blank, nor one between such a letter and such a
+#: mark, and no look-ahead of a match that ends there passes it. So what stands before and after is encoded independently
 #: of the other side. ASCII blanks only: all regex engines agree on them.
-SEAM = re.compile(r"(?<=[!-~])(?=[\t\n\r ])")
+SEAM = re.compile(rf"(?<=[!-~])(?=[\t\n\r ])|(?<=[{_LETTERS}])(?=[{_MARKS}])|(?<=[{_MARKS}])(?=[{_LETTERS}])")
+#: Letters only. A match of the pattern may end between two letters only behind an apostrophe and up to two letters.
+RUN = re.compile(rf"[A-Za-z{_LETTERS}]*")
+
+
+def _edges(ids: list[int], encoding, start: int) -> list[int]:
+    """Where tokens end that begin one after another at start, in bytes; the start itself comes first."""
+    out = [start]
+    for token in encoding.decode_tokens_bytes(ids):
+        out.append(out[-1] + len(token))
+    return out
+
+
+def join_in_run(text: str, left: list[int], middle: int, right: list[int], encoding, start: int, end: int, reach: int) -> list[int] | None:
+    """As join, where middle lies inside a run of letters, which is one match of the pattern; None where that isn't so.
+
+    Inside one match a row of tokens is its encoding exactly if each two neighbours are what the encoder makes of their
+    bytes; so a token that the window and a side have in the same place is a proven edge: what stands beyond it stays, and
+    the window's tokens follow. The window grows until there is such a token on both sides.
+    """
+    while True:
+        lo, hi = middle - reach, middle + reach
+        if lo - 2 < start or hi > end or not RUN.fullmatch(text, lo - 2, hi):
+            return None
+        # Each token has a byte at least, so 4 * reach tokens of a side reach as far as the window.
+        tail, head = left[max(0, len(left) - 4 * reach) :], right[: 4 * reach]
+        before = len(text[lo:middle].encode())
+        window = encoding._encode_single_piece(text[lo:hi].encode())
+        inner = _edges(window, encoding, -before)
+        spans = {(inner[k], inner[k + 1]): k for k in range(len(window))}
+        sizes = _edges(tail, encoding, 0)
+        lefts = [(k, spans[at]) for k in range(len(tail)) if (at := (sizes[k] - sizes[-1], sizes[k + 1] - sizes[-1])) in spans and at[0] > -before]
+        edges = _edges(head, encoding, 0)
+        rights = [(k, spans[at]) for k in range(len(head)) if (at := (edges[k], edges[k + 1])) in spans and at[1] < inner[-1]]
+        if lefts and rights:
+            (i, at), (j, to) = lefts[-1], rights[0]
+            return left[: len(left) - len(tail) + i + 1] + window[at + 1 : to] + right[j:]
+        reach *= 2
 
 
 def join(text: str, left: list[int], middle: int, right: list[int], encoding, start: int, end: int, reach: int = REACH) -> list[int]:
     """Ids of text[start:end] from those of its two parts at middle.
 
     The window reaches from the last safe seam before middle to the first after it, and grows until
-    both exist or a side is used up. Ids outside it can't change; those inside are encoded anew.
-    A text without any blank has no seams: it is encoded again at each of its log n levels.
+    both exist or a side is used up. Ids outside it can't change; those inside are encoded anew. Inside a long run of
+    letters without seams, as in scripts without blanks, tokens themselves prove the window's edges (join_in_run).
     """
+    if not SEAM.search(text, max(start, middle - reach), middle) or not SEAM.search(text, middle, min(end, middle + reach)):
+        found = join_in_run(text, left, middle, right, encoding, start, end, reach)
+        if found is not None:
+            return found
     lo = hi = middle
     while True:
         lo, hi = max(start, middle - reach), min(end, middle + reach)

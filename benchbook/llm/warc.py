@@ -181,11 +181,26 @@ def read(source: bytes | BinaryIO) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
+#: Names that Hadoop's file systems have for stores which the Arrow library knows by another one.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs", "gcs": "gs"}
+
+
+def shared_uri(uri: str) -> str:
+    """A place in the cluster's shared storage as the Arrow library names it. Schemes that it knows stay as they are."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return uri
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def _filesystem(uri: str):
-    """File system and path of a place in the cluster's shared storage, as an executor reaches it."""
+    """File system and path of a place in the cluster's shared storage, as an executor reaches it: file, s3 (s3a, s3n), gs, abfs(s)
+    and hdfs, which needs Hadoop's native client on the executors. Credentials are those of the executors' environment."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+    return fs.FileSystem.from_uri(shared_uri(uri))
 
 
 WRITTEN = "archive string, records long, bytes long"
