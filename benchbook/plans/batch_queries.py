@@ -114,7 +114,10 @@ def coalesce_json_path(d: Domain) -> DataFrame:
     return d.events().select("log_id", F.coalesce(F.get_json_object(payload, "$.k"), F.concat(F.lit("batch "), F.col("batch_id").cast("string"))).alias("value"))
 
 
-@query("stale_sweep", f"SELECT batch_id, status, CASE WHEN cancel_requested THEN 'CANCELLED' ELSE 'FAILED' END new_status, 'INTERRUPTED' \"event\" FROM batches WHERE (status = 'QUEUED' AND requested_at < {TS} - INTERVAL 15 MINUTE) OR (status = 'RUNNING' AND coalesce(heartbeat_at, requested_at) < {TS} - INTERVAL 5 MINUTE)")
+SWEEP = f"SELECT batch_id, status, CASE WHEN cancel_requested THEN 'CANCELLED' ELSE 'FAILED' END new_status, 'INTERRUPTED' \"event\" FROM batches WHERE (status = 'QUEUED' AND requested_at < {TS} - INTERVAL 15 MINUTE) OR (status = 'RUNNING' AND coalesce(heartbeat_at, requested_at) < {TS} - INTERVAL 5 MINUTE)"
+
+
+@query("stale_sweep", SWEEP)
 def stale_sweep(d: Domain) -> DataFrame:
     return b.stale_sweep(d.batches(), NOW)
 

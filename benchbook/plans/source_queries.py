@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchbook.operators.batches import fold_states
+from benchbook.plans.batch_queries import NOW, SWEEP
 from benchbook.plans.registry import query
 from benchbook.sources import html, landing
 from benchbook.sources.domain import Domain
-from benchbook.streaming import logs
+from benchbook.streaming import logs, sweep
 
 S = "cast(case_id as string)"
 
@@ -78,8 +81,20 @@ def scraped_source_stream(d: Domain) -> DataFrame:
 
 @query("log_tail", "SELECT log_id, batch_id, kind FROM log_events WHERE log_id > 1000 AND kind = 'LOG'")
 def log_tail(d: Domain) -> DataFrame:
-    lines = logs.tail(logs.events_stream(d.spark, d.sf_dir), 1000).where("event_type = 'click'")
-    return logs.run_available(lines.select("log_id", "batch_id", F.lit("LOG").alias("kind"))).drop("batch")
+    """Followed to its end: the events' batches are finished, so the second look brings nothing."""
+    lines = lambda: logs.tail(logs.events_stream(d.spark, d.sf_dir), 1000).where("event_type = 'click'").select("log_id", "batch_id", F.lit("LOG").alias("kind"))
+    return reduce(DataFrame.union, logs.follow(lines, lambda: True, landing.shared_folder(d.spark)))
+
+
+@query("stale_sweep_stream", SWEEP)
+def stale_sweep_stream(d: Domain) -> DataFrame:
+    """The sweep's timers over all batches, with a clock that stands where the batch twin's does."""
+    folder = landing.shared_folder(d.spark)
+    batches = d.batches().select("batch_id", "status", "requested_at", "heartbeat_at", "cancel_requested")
+    landing.land(batches, folder)
+    now = d.spark.range(1).select(F.unix_millis(F.lit(NOW).cast("timestamp")), F.unix_millis(F.current_timestamp())).first()
+    with sweep.stateful(d.spark):
+        return logs.run_available(sweep.sweep(landing.landed_stream(d.spark, folder, batches.schema), now[1] - now[0]), once=True).drop("batch")
 
 
 @query("log_sink", "SELECT batch_id, count(*) n FROM log_events GROUP BY batch_id")

@@ -14,9 +14,9 @@ from benchbook.operators.batches import QUEUED_MINUTES, RUNNING_MINUTES, TRANSIT
 from benchbook.sources.landing import land, shared_folder
 
 
-def run_available(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+def run_available(stream: DataFrame, mode: str = "append", folder: str | None = None, once: bool = False) -> DataFrame:
     """Runs a stream over everything that is there now; the rows that it wrote to the shared folder. With the folder of a
-    run before it goes on from there."""
+    run before it goes on from there. once: in a single micro-batch, for streams with timers, which always have a next one."""
     spark = stream.sparkSession
     folder = folder or shared_folder(spark)
 
@@ -24,7 +24,7 @@ def run_available(stream: DataFrame, mode: str = "append", folder: str | None =
         # A batch that is run again after a failure overwrites its own folder.
         batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(**({"once": True} if once else {"availableNow": True})).foreachBatch(write).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema.add("batch", "long")).parquet(f"{folder}/rows")
 
@@ -77,6 +77,27 @@ def tail(lines: DataFrame, cursor: int = -1) -> DataFrame:
     return lines.where(F.col("log_id") > cursor)
 
 
+def follow(lines: Callable[[], DataFrame], finished: Callable[[], bool], folder: str, pause: Callable[[], None] = lambda: None) -> Iterator[DataFrame]:
+    """The new lines of each look at a log, until it's over: lines() is the log's stream, finished() tells its batch's state.
+
+    The state is read before the lines. Lines that were written before the batch was finished are therefore seen in the same
+    look at the latest; the log is over after a look that began with a finished batch and brought nothing. The folder keeps
+    the cursor, so a follower that starts again goes on where it was.
+    """
+    last = -1
+    while True:
+        done = finished()
+        seen = run_available(lines(), folder=folder)
+        new = seen.where(F.col("batch") > last)
+        top = new.agg(F.max("batch")).first()[0]
+        if top is not None:
+            last = top
+            yield new.drop("batch")
+        elif done:
+            return
+        pause()
+
+
 def daily(lines: DataFrame, late: str | None = None) -> DataFrame:
     """day, n: lines per day in India, in a tumbling window. Every line counts, however late, and the state is one row
     per day; with a bound (late) days behind it are closed and lines that come after that are lost."""
@@ -127,4 +148,4 @@ def batch_states(events: DataFrame, late: str = "1 hour", minutes: int = RUNNING
     return marked.groupBy("batch_id").applyInPandasWithState(_states(minutes * 60_000), OUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
-__all__ = ["QUEUED_MINUTES", "batch_states", "daily", "events_stream", "final", "log_lines", "replay", "run_available", "tail"]
+__all__ = ["QUEUED_MINUTES", "batch_states", "daily", "events_stream", "final", "follow", "log_lines", "replay", "run_available", "tail"]
