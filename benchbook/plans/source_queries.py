@@ -83,7 +83,8 @@ def scraped_source_stream(d: Domain) -> DataFrame:
 def log_tail(d: Domain) -> DataFrame:
     """Followed to its end: the events' batches are finished, so the second look brings nothing."""
     lines = lambda: logs.tail(logs.events_stream(d.spark, d.sf_dir), 1000).where("event_type = 'click'").select("log_id", "batch_id", F.lit("LOG").alias("kind"))
-    return reduce(DataFrame.union, logs.follow(lines, lambda: True, landing.shared_folder(d.spark)))
+    none = d.spark.createDataFrame([], "log_id long, batch_id long, kind string")
+    return reduce(DataFrame.union, logs.follow(lines, lambda: True, landing.shared_folder(d.spark)), none)
 
 
 @query("stale_sweep_stream", SWEEP)
