@@ -19,7 +19,7 @@ PERCENT = 80
 EPS = 1 - PERCENT / 100
 TINY = 1e-9
 #: Shingles and characters of sets that a task keeps while it compares.
-HELD = 4_000_000
+HELD = 1_000_000
 #: Pivots of a cell in its first round.
 FIRST_PIVOTS = 4
 
@@ -33,7 +33,7 @@ _FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165
 _BYTES = np.random.default_rng(42).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9FB21C651E98DF25
 #: Bytes of words that are hashed at once; a longer word is hashed by itself.
-_STRETCH = 1 << 20
+_STRETCH = 1 << 16
 _BLANKS = bytes(32 if 9 <= b <= 13 else b for b in LOWER)
 
 

@@ -296,7 +296,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # A first look: documents that share one of their first shingles, each with one or two others. What links here needs no comparing later.
     own = singles.where("home is null")
     ahead = own.select(F.col("doc_id").alias("node"), "n", F.explode(F.slice("prefix", 1, AHEAD)).alias("key"))
-    with arrow_rows(spark, 1 << 16):
+    with arrow_rows(spark, 1 << 14):
         stars = materialize(ahead.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node").mapInPandas(_stars, "a long, b long").distinct())
     texts = materialize(within(named, stars.select(F.explode(F.array("a", "b")).alias("id")), "id"))
     copied = materialize(measured(stars, texts).where(linked()).select("a", "b"))
@@ -305,7 +305,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Cells: pairs of the small ones, rows of the large ones, of documents that aren't in one part yet.
     parted = own.select(F.col("doc_id").alias("node"), "n", "prefix").join(early, "node", "left").withColumn("part", F.coalesce("part", "node"))
     index = parted.select("node", "part", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "node", "part", "n", "pos")
-    with arrow_rows(spark, 1 << 16):
+    with arrow_rows(spark, 1 << 14):
         met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_cells(small), "a long, b long, key long"))
     pairs = materialize(met.where("b is not null").select("a", "b").distinct())
     texts = materialize(within(named, pairs.select(F.explode(F.array("a", "b")).alias("id")), "id"))

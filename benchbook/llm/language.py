@@ -186,7 +186,8 @@ def keep_known(docs: DataFrame, wanted: tuple[str, ...] | None = None, least: fl
         return pd.DataFrame({"lang": pd.Series([f[0] for f in found], dtype=object), "score": pd.Series([f[1] for f in found], dtype=float)})
 
     name = "__told"
-    said = docs.withColumn(name, told(F.col(text_col).cast("string")))
+    # Not to be repeated: else the filter would predict once more for itself.
+    said = docs.withColumn(name, told.asNondeterministic()(F.col(text_col).cast("string")))
     kept = said.where(~F.col(f"{name}.lang").eqNullSafe(UNKNOWN) & (F.col(f"{name}.score") >= least))
     if wanted is not None:
         kept = kept.where(F.col(f"{name}.lang").isin(*wanted))

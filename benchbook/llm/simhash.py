@@ -271,7 +271,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     slots = nodes.select("node", "segments", *f, F.explode(F.sequence(F.lit(0), F.lit(segments * width - 1))).alias("slot"))
     segment = F.element_at("segments", F.expr(f"cast(slot div {width} as int) + 1")).bitwiseAND(F.expr(f"~shiftleft(1L, cast(slot % {width} as int))"))
     index = slots.select((F.shiftleft(F.col("slot").cast("long"), width)).bitwiseOR(segment).alias("key"), "node", *f)
-    with arrow_rows(docs.sparkSession, 1 << 15):
+    with arrow_rows(docs.sparkSession, 1 << 14):
         met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_wide_cells(longs, int(share * segments * width)), "a long, b long, key long"))
     pairs = materialize(met.where("b is not null").select("a", "b").distinct())
     links = materialize(measured(pairs, texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node"))), words).where(linked(percent)).select("a", "b").union(first))
