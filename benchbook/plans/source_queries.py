@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from benchbook.operators.batches import fold_states
 from benchbook.plans.batch_queries import NOW, SWEEP
 from benchbook.plans.registry import query
-from benchbook.sources import html, landing
+from benchbook.sources import html, landing, resumable
 from benchbook.sources.domain import Domain
+from benchbook.streaming import log_sink as sink
 from benchbook.streaming import logs, sweep
 
 S = "cast(case_id as string)"
@@ -79,6 +80,28 @@ def scraped_source_stream(d: Domain) -> DataFrame:
     return logs.run_available(landing.landed_stream(d.spark, folder, found.schema)).drop("batch")
 
 
+WINDOW_DAYS = 30
+OUTCOMES = f"""WITH d AS (SELECT min(CAST("at" AS DATE)) f FROM items), x AS (SELECT CAST(f + CAST(datediff('day', f, CAST("at" AS DATE)) // {WINDOW_DAYS} * {WINDOW_DAYS} AS INTEGER) AS DATE) first_day,
+item_key, status s, '{{"part_id":' || part_id || ',"status":"' || status || '"}}' payload, CASE WHEN "position" = 7 THEN 'known' END known FROM items, d)
+SELECT first_day, item_key, 'DONE' status, coalesce(known, CASE s WHEN 'PENDING' THEN 'not listed yet' WHEN 'FAILED' THEN 'NOT_PUBLISHED' END) reason, CASE WHEN known IS NULL AND s <> 'PENDING' THEN payload END record
+FROM x QUALIFY row_number() OVER (PARTITION BY first_day, item_key ORDER BY payload) = 1"""
+
+
+@query("resumable_source", OUTCOMES)
+def resumable_source(d: Domain) -> DataFrame:
+    """All items as a site lists them by days, worked through by the resumable source; what its ledger holds then."""
+    folder = landing.shared_folder(d.spark)
+    payload = F.to_json(F.struct("part_id", "status"))
+    listed = d.items().select(F.to_date("at").alias("day"), "item_key", payload.alias("payload"), F.when(F.col("position") == 7, "known").alias("done_reason"))
+    first, last = listed.agg(F.min("day"), F.max("day")).first()
+    if first is None:
+        return d.spark.createDataFrame([], resumable.SCHEMA)
+    resumable.land_site(listed, f"{folder}/site", first, WINDOW_DAYS)
+    options = {"adapter": "benchbook.sources.resumable:Listing", "site": f"{folder}/site", "ledger": f"{folder}/ledger", "days": str(WINDOW_DAYS), "flushRows": "20000", "flushSeconds": "60"}
+    resumable.run(d.spark, **options, **{"from": str(first), "to": str(last)})
+    return resumable.ledger(d.spark, f"{folder}/ledger")
+
+
 @query("log_tail", "SELECT log_id, batch_id, kind FROM log_events WHERE log_id > 1000 AND kind = 'LOG'")
 def log_tail(d: Domain) -> DataFrame:
     """Followed to its end: the events' batches are finished, so the second look brings nothing."""
@@ -100,8 +123,10 @@ def stale_sweep_stream(d: Domain) -> DataFrame:
 
 @query("log_sink", "SELECT batch_id, count(*) n FROM log_events GROUP BY batch_id")
 def log_sink(d: Domain) -> DataFrame:
-    written = logs.run_available(logs.events_stream(d.spark, d.sf_dir).select("batch_id", "log_id"))
-    return written.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    folder = landing.shared_folder(d.spark)
+    lines = logs.events_stream(d.spark, d.sf_dir).select("batch_id", "log_id")
+    sink.write(lines, f"{folder}/sink", f"{folder}/checkpoint", flushRows="20000").awaitTermination()
+    return sink.committed(d.spark, f"{folder}/sink", lines.schema).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("cases_daily_stream", "SELECT CAST(\"at\" + INTERVAL 330 MINUTE AS DATE) \"day\", count(*) n FROM log_events GROUP BY 1")
