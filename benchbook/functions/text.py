@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from benchbook.functions import persons
 from benchbook.functions import vocabulary as v
 
 R = F.regexp_replace
@@ -60,16 +61,16 @@ def parse_advocates(raw: Column) -> Column:
 
 def clean_judge_name(raw: Column) -> Column:
     name = F.trim(R(full(raw), r"\[.*?\]|\(.*?\)", ""))
-    name = F.trim(R(F.trim(R(name, v.JUDGE_SUFFIX, "")), v.HONORIFICS, ""))
-    return F.upper(squeeze(R(name, v.JUDGE_EDGES, "")))
+    name = persons.without(persons.without_ending(name, persons.JUDGE_ENDINGS), persons.JUDGE_TITLES)
+    return F.upper(squeeze(strip_chars(name, persons.EDGES)))
 
 
 def clean_advocate_name(raw: Column) -> Column:
-    return F.upper(squeeze(R(R(full(raw), v.DESIGNATIONS, ""), v.ADVOCATE_EDGES, "")))
+    return F.upper(squeeze(strip_chars(persons.without(full(raw), persons.ADVOCATE_TITLES), persons.EDGES + "_")))
 
 
 def clean_party_name(raw: Column) -> Column:
-    return F.upper(squeeze(R(R(full(raw), v.PARTY_HEAD, ""), v.PARTY_TAIL, "")))
+    return F.upper(squeeze(persons.before_tail(persons.without_lead(full(raw), persons.PARTY_LEADS), persons.PARTY_TAILS)))
 
 
 def parse_bench(raw: Column) -> Column:
@@ -372,7 +373,7 @@ def split_sentences(text: Column) -> Column:
 def extract_provisions(text: Column, most: int = 30) -> Column:
     """array of struct(act_name, short_code, act_year, section_number): distinct references that name their act."""
     numbers, acts = (F.regexp_extract_all(full(text), F.lit(v.PROVISION), n) for n in (2, 3))
-    named = F.filter(F.arrays_zip(numbers.alias("number"), F.transform(acts, squeeze).alias("act")), lambda x: (x["act"] != "") & ~x["act"].rlike(v.GENERIC_ACT))
+    named = F.filter(F.arrays_zip(numbers.alias("number"), F.transform(acts, squeeze).alias("act")), lambda x: (x["act"] != "") & ~persons.is_pointer(x["act"]))
 
     def entry(x: Column) -> Column:
         return let(resolve_act(x["act"]), lambda act: F.struct(act["act_name"].alias("act_name"), act["short_code"].alias("short_code"), act["act_year"].alias("act_year"), F.trim(x["number"]).alias("section_number")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.functions import outcomes, sections, spans, text
+from benchbook.functions import outcomes, persons, sections, spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.operators import entities
 from benchbook.plans.registry import query
@@ -48,19 +48,34 @@ scalar(
     f"{first('raw', v.JUDGMENT_DATE, 1)} decision_date_raw, {first('raw', v.JUDGMENT_CITATION, 1)} neutral_citation_raw, "
     + (lambda l: f"upper(substr({l}, 1, 1)) || lower(substr({l}, 2)) \"language\"")(f"coalesce({first('raw', v.JUDGMENT_CITATION, 2)}, {first('raw', v.JUDGMENT_DATE, 2)})"),
 )
-DUCK_JUDGE = "regexp_replace(trim(regexp_replace({0}, '\\[.*?\\]|\\(.*?\\)', '', 'g')), '" + rx(v.JUDGE_SUFFIX) + "', '', 'g')"
-CLEAN = "upper(trim(regexp_replace(regexp_replace({0}, '{1}', '', 'g'), '\\s+', ' ', 'g')))"
+
+
+def worded(listed: list[persons.Phrase]) -> str:
+    """Phrases as alternatives of a pattern, longer ones first."""
+    return "|".join("[.\\s]+".join(p) for p in sorted(listed, key=len, reverse=True)).replace("'", "''")
+
+
+def bounded(c: str, edges: str = "") -> str:
+    return f"upper(trim(regexp_replace(regexp_replace({c}, '^[{persons.EDGES}{edges}]+|[{persons.EDGES}{edges}]+$', '', 'g'), '\\s+', ' ', 'g')))"
+
+
+def judge_named(c: str) -> str:
+    endings = "|".join(e.replace(".", "\\.") for e in persons.JUDGE_ENDINGS)
+    plain = f"trim(regexp_replace({c}, '\\[.*?\\]|\\(.*?\\)', '', 'g'))"
+    return bounded(f"regexp_replace(regexp_replace({plain}, '(?i)[,\\s]+({endings})$', ''), '(?i)\\b({worded(persons.JUDGE_TITLES)})\\b', '', 'g')")
+
+
 scalar(
     "clean_judge_name", "(CASE case_id % 4 WHEN 0 THEN 'HON''BLE MR. JUSTICE ' WHEN 1 THEN 'Smt. ' WHEN 2 THEN 'Dr. Justice (Retd) ' ELSE '' END) || replace(petitioner, '#', ' K.  ') || (CASE case_id % 3 WHEN 0 THEN ', J.' WHEN 1 THEN ' [presiding]' ELSE ' JJ.' END)", text.clean_judge_name,
-    CLEAN.format(f"trim(regexp_replace(trim({DUCK_JUDGE.format('raw')}), '{rx(v.HONORIFICS)}', '', 'g'))", rx(v.JUDGE_EDGES)) + " \"result\"",
+    judge_named("raw") + " \"result\"",
 )
 scalar(
     "clean_advocate_name", "(CASE case_id % 3 WHEN 0 THEN 'Mr. ' WHEN 1 THEN '_ ' ELSE '' END) || petitioner || (CASE case_id % 4 WHEN 0 THEN ', Sr. Adv.' WHEN 1 THEN ' (AOR)' WHEN 2 THEN ' senior advocate' ELSE '' END)", text.clean_advocate_name,
-    CLEAN.format(f"regexp_replace(raw, '{rx(v.DESIGNATIONS)}', '', 'g')", rx(v.ADVOCATE_EDGES)) + " \"result\"",
+    bounded(f"regexp_replace(raw, '(?i)\\b({worded(persons.ADVOCATE_TITLES)})\\b', '', 'g')", "_") + " \"result\"",
 )
 scalar(
     "clean_party_name", "(CASE case_id % 3 WHEN 0 THEN 'In the matter of ' WHEN 1 THEN 'between: ' ELSE '' END) || petitioner || (CASE case_id % 4 WHEN 0 THEN ' through its Secretary' WHEN 1 THEN ' represented by x' ELSE '  and  Co' END)", text.clean_party_name,
-    f"upper(trim(regexp_replace(regexp_replace(regexp_replace(raw, '{v.PARTY_HEAD}', ''), '{v.PARTY_TAIL}', '', 'g'), '\\s+', ' ', 'g'))) \"result\"",
+    f"upper(trim(regexp_replace(regexp_replace(regexp_replace(raw, '(?i)^({worded(persons.PARTY_LEADS)}):?', ''), '(?i)\\b({worded(persons.PARTY_TAILS)})\\b.*', ''), '\\s+', ' ', 'g'))) \"result\"",
 )
 scalar(
     "filing_year", "case_number", text.filing_year,
@@ -264,8 +279,11 @@ resolved AS (SELECT raws.raw, CASE WHEN trim(raws.raw) = '' THEN 'Unknown Act' E
 
 
 NUMBERS, ACT_NAMES = (f"regexp_extract_all(text, '{rx(v.PROVISION)}', {n})" for n in (2, 3))
+NOUNS, POINTERS = (", ".join(f"'{w}'" for w in listed) for listed in (persons.ACT_NOUNS, persons.ACT_POINTERS))
+ACT_WORDS = f"string_split_regex(lower(regexp_replace({squeezed('act')}, '\\.$', '')), '[\\s\\-]+')"
+POINTER = f"({ACT_WORDS}[-1] IN ({NOUNS}) AND len(list_filter({ACT_WORDS}[:-2], lambda w: w NOT IN ({POINTERS}))) = 0)"
 NAMED = f"""z AS (SELECT case_id, unnest(n) section_number, unnest(a) act, unnest(range(len(n))) i FROM (SELECT case_id, {NUMBERS} n, {ACT_NAMES} a FROM judgments) x),
-named AS (SELECT case_id, trim(section_number) section_number, {squeezed("act")} raw, i FROM z WHERE {squeezed("act")} <> '' AND NOT regexp_matches({squeezed("act")}, '{rx(v.GENERIC_ACT)}'))"""
+named AS (SELECT case_id, trim(section_number) section_number, {squeezed("act")} raw, i FROM z WHERE {squeezed("act")} <> '' AND NOT {POINTER})"""
 PROVISIONS = f"""WITH {acts_of(NAMED, "named")}, firsts AS (SELECT case_id, act_name, short_code, act_year, section_number, min(i) i FROM named JOIN resolved USING (raw) GROUP BY ALL)
 SELECT case_id, act_name, short_code, act_year, section_number FROM firsts QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY i) <= 30"""
 BEFORE = "substr(upper(substr(text, 1, 1000)), 1, strpos(upper(substr(text, 1, 1000)), 'JURISDICTION') - 1)"
@@ -286,10 +304,9 @@ of_judgments("build_excerpt", text.build_excerpt, EXCERPT)
 of_judgments("connected_matters", lambda c: F.array_join(text.connected_matters(c), ";"), MATTERS)
 of_spans("citation_candidates", spans.citation_candidates, *spans.CITATIONS)
 
-JUDGES = CLEAN.format(f"trim(regexp_replace(trim({DUCK_JUDGE.format('j')}), '{rx(v.HONORIFICS)}', '', 'g'))", rx(v.JUDGE_EDGES))
 scalar(
     "parse_bench", "'HON''BLE MRS. JUSTICE ' || replace(petitioner, '#', ' K. ') || ' HON''BLE MR. JUSTICE ' || respondent || (CASE case_id % 3 WHEN 0 THEN ', J. [presiding]' WHEN 1 THEN ' and' ELSE '' END) || ' HON''BLE THE CHIEF JUSTICE'", lambda c: F.array_join(text.parse_bench(c), ";"),
-    f"array_to_string(list_filter(list_transform(string_split(regexp_replace(trim(raw), '(?i)(HON''?BLE)', chr(1) || '\\1', 'g'), chr(1)), lambda j: {JUDGES}), lambda n: length(n) > 3), ';') \"result\"",
+    f"array_to_string(list_filter(list_transform(string_split(regexp_replace(trim(raw), '(?i)(HON''?BLE)', chr(1) || '\\1', 'g'), chr(1)), lambda j: {judge_named("j")}), lambda n: length(n) > 3), ';') \"result\"",
 )
 ACT_CELL = "CASE case_id % 5 WHEN 0 THEN 'of the Indian Penal Code' WHEN 1 THEN 'the code of civil procedure' WHEN 2 THEN 'u.p. land act ' || case_id WHEN 3 THEN ' ' ELSE 'under ' || petitioner || ' Motor Vehicles Act' END"
 

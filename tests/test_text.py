@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from benchbook.functions import outcomes, sections, spans, text
+from benchbook.functions import outcomes, persons, sections, spans, text
 from benchbook.functions import vocabulary as v
 from benchbook.functions.lexers import PORTABLE, English, match_all, match_phrase
 from benchbook.functions.stemmer import stem
@@ -37,6 +37,17 @@ def test_judges(spark):
     assert apply(spark, text.bracketed_judges, "10-11-2025 [ HON'BLE SHRI JUSTICE A BCD ]", "none") == [["A BCD"], []]
 
 
+def test_titles_go_by_their_place(spark):
+    judges = {"Dr.B Smt. Kumar, JJ.": "B . KUMAR", "X CHIEF  JUSTICE": "X", "CHIEF A.K. Sikri": "CHIEF A.K. SIKRI", "X, J. PRESIDING": "X, J", "J.": "J", "Mrs.Justice-A": "A", "JUSTICEX": "JUSTICEX", "PRESIDING": "PRESIDING"}
+    assert apply(spark, text.clean_judge_name, *judges) == list(judges.values())
+    advocates = {"Sr.Adv A, Amicus Curiae": "A", "Sr. K Advocates": "SR. K ADVOCATES", "A (AOR) and B Senior  Advocate": "A () AND B", "_": ""}
+    assert apply(spark, text.clean_advocate_name, *advocates) == list(advocates.values())
+    parties = {"between: A @ B": "A @ B", "X@Y": "X", "IN THE MATTER A": "IN THE MATTER A", "In  the matter of: A": ": A", "The Secretary, A": "THE", "Secretaryship of A": "SECRETARYSHIP OF A", "A Auth. Signatory B": "A", "": ""}
+    assert apply(spark, text.clean_party_name, *parties) == list(parties.values())
+    acts = {"the said Act": True, "above-said Rules.": True, "Act": True, "NI Act": False, "the said": False, "": False}
+    assert apply(spark, persons.is_pointer, *acts) == list(acts.values())
+
+
 def test_judgment_cell_and_dates(spark):
     got = apply(spark, text.parse_judgment_cell, "06-01-2026(english) 2026 INSC 15(HINDI)", "06-01-2026(English)", "x", None)
     assert got == [("06-01-2026", "2026 INSC 15", "Hindi"), ("06-01-2026", None, "English"), (None, None, None), (None, None, None)]
