@@ -78,6 +78,21 @@ def panel(d: Domain, request: SearchRequest) -> DataFrame:
     return options.withColumn("place", place).where((F.col("place") <= TOP) | ~F.col("facet").isin(*NAMED)).drop("place")
 
 
+def defined(d: Domain, request: SearchRequest, definitions: DataFrame, static: DataFrame, inactive: bool = False) -> DataFrame:
+    """The panel as it's configured: key, title, display_order, value, label, n, a row per option.
+
+    definitions: filter_id, key, title, data_source, is_active, display_order; static: filter_id, value, label, is_active.
+    A facet of data source `database` has the panel's options and goes without any; others show their configured options,
+    uncounted and whatever the search, or one row of nulls if they have none. inactive: with definitions and options that are off.
+    """
+    shown = definitions if inactive else definitions.where("is_active")
+    offered = (static if inactive else static.where("is_active")).select("filter_id", "value", "label")
+    told = ("key", "title", "display_order", "value", "label", "n")
+    counted = shown.where("data_source = 'database'").join(panel(d, request).withColumnRenamed("facet", "key"), "key").select(*told)
+    fixed = shown.where("data_source <> 'database'").join(offered, "filter_id", "left").withColumn("n", F.lit(None).cast("long")).select(*told)
+    return counted.union(fixed)
+
+
 def corpus_stats(d: Domain) -> DataFrame:
     """One row: cases, courts, judges, acts, industries, from cases and lines; distinct counts combine map-side."""
     pair = lambda k, c: F.struct(F.lit(k).alias("kind"), F.col(c).cast("long").alias("id"))

@@ -258,6 +258,20 @@ FACETS_SQL = {
 for _key, _sql in FACETS_SQL.items():
     query(f"facet_{_key}", _sql)(lambda d, key=_key: facets.facet(d, SearchRequest.of(BASE), key))
 query("facet_panel", " UNION ALL ".join(f"SELECT '{k}' facet, \"value\", label, n FROM ({s}) {k}_x" for k, s in FACETS_SQL.items()))(lambda d: facets.panel(d, SearchRequest.of(BASE)))
+DEFINED = [(1, "court", "Court", "database", True, 30), (2, "year", "Year", "database", True, 10), (3, "region", "Region", "static", True, 20), (4, "judge", "Judge", "database", False, 5), (5, "other", "Other", "database", True, 40), (6, "empty", "Empty", "static", True, 50)]
+DEFINED_SQL = f"""WITH f(filter_id, "key", title, data_source, is_active, display_order) AS (VALUES {", ".join(str(r) for r in DEFINED)}), o AS ({" UNION ALL ".join(f"SELECT '{k}' \"key\", \"value\", label, n FROM ({FACETS_SQL[k]}) {k}_x" for k in ("court", "year"))})
+SELECT "key", title, display_order, "value", label, n FROM f JOIN o USING ("key") WHERE is_active AND data_source = 'database'
+UNION ALL SELECT "key", title, display_order, CAST(r_regionkey AS VARCHAR), r_name, CAST(NULL AS BIGINT) FROM f LEFT JOIN region ON filter_id = 3 AND r_regionkey <> 1 WHERE is_active AND data_source = 'static'"""
+
+
+@query("facet_definitions", DEFINED_SQL)
+def facet_definitions(d: Domain) -> DataFrame:
+    """Configured facets over a search; regions are options of a static one, one of them off."""
+    definitions = d.spark.createDataFrame(DEFINED, "filter_id int, key string, title string, data_source string, is_active boolean, display_order int")
+    static = d.raw("region").select(F.lit(3).alias("filter_id"), F.col("r_regionkey").cast("string").alias("value"), F.col("r_name").alias("label"), (F.col("r_regionkey") != 1).alias("is_active"))
+    return facets.defined(d, SearchRequest.of(BASE), definitions, static)
+
+
 query("topk_facets", FACET.format(v="full_name", l="full_name", t="case_bench JOIN judges USING (judge_id)", k=30))(lambda d: facets.facet(d, SearchRequest(), "judge"))
 
 
