@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from benchbook.sources.shared_files import FLUSH_ROWS, FLUSH_SECONDS, Buffer, names, put_rows, rows_of
+from benchbook.sources.shared_files import FLUSH_ROWS, FLUSH_SECONDS, Buffer, names, put_rows, rows_of, ship
 
 # States of items, and why a case has no judgment.
 DONE, FAILED = "DONE", "FAILED"
@@ -206,6 +206,7 @@ class ResumableSource(DataSource):
 
 def run(spark: SparkSession, **options: str) -> None:
     """Works through all windows; what the ledger calls DONE isn't touched."""
+    ship(spark)
     spark.dataSource.register(ResumableSource)
     spark.read.format("resumable_cases").options(**options).load().write.format("noop").mode("overwrite").save()
 

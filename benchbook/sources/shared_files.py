@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import json
+import shutil
+import tempfile
+import threading
 import time
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 #: A buffer is written at so many rows or after so many seconds.
 FLUSH_ROWS, FLUSH_SECONDS = 200, 1.0
@@ -61,6 +66,20 @@ def put_json(folder: str, name: str, value: dict) -> None:
     put(folder, name, json.dumps(value).encode())
 
 
+_shipped: set[str] = set()
+_shipping = threading.Lock()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the workers, once per application: they load data sources by name. To be called before one is registered."""
+    context = spark.sparkContext
+    with _shipping:
+        if context.applicationId not in _shipped:
+            package = Path(__file__).resolve().parents[1]
+            context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name))
+            _shipped.add(context.applicationId)
+
+
 class Buffer:
     """Rows that go to use() together: at so many of them, or when the oldest has waited for so long and another comes."""
 

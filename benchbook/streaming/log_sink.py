@@ -16,7 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, WriterCom
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from benchbook.sources.shared_files import FLUSH_ROWS, FLUSH_SECONDS, Buffer, opened, put_json
+from benchbook.sources.shared_files import FLUSH_ROWS, FLUSH_SECONDS, Buffer, opened, put_json, ship
 
 logger = logging.getLogger(__name__)
 
@@ -108,6 +108,7 @@ class LogSink(DataSource):
 
 def write(lines: DataFrame, folder: str, checkpoint: str, **options: str):
     """Starts a stream of lines into the sink over what is there now; the running query."""
+    ship(lines.sparkSession)
     lines.sparkSession.dataSource.register(LogSink)
     return lines.writeStream.format("batch_log").options(path=folder, **options).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
