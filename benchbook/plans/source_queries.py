@@ -19,8 +19,10 @@ S = "cast(case_id as string)"
 
 
 def made_pages(d: Domain, template: str) -> DataFrame:
-    """A page per case: the template with its columns, as a site would show them."""
-    return d.cases().select("case_id", F.expr(template).alias("html"))
+    """A page per case: the template with its columns, as a site would show them. Cases are few bytes and pages much work, so
+    cases are dealt over as many tasks as a shuffle has, and pages are made there."""
+    cases = d.flat().select("case_id", "petitioner", "respondent", "party_raw")
+    return cases.repartition(int(d.spark.conf.get("spark.sql.shuffle.partitions"))).select("case_id", F.expr(template).alias("html"))
 
 
 MP = f"""concat('<table class="table case-details-table"><tr><td>Case No. :</td><td>CRIMINAL APPEAL (CRA) ', {S}, '/2024 Registered On 30-05-2024 CNR: MP', {S}, '</td></tr><tr><td>Status</td><td>Pending</td></tr>',

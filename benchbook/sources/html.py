@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,8 @@ class Cells(HTMLParser):
             tab[4] += 1
             self.cell = {"tab": tab[0], "key": tab[1], "heading": tab[2], "row": max(tab[3], 0), "col": tab[4], "lines": [""], "groups": [], "bold": [], "href": None}
             self.out.append(self.cell)
+            # What was left open in another cell doesn't reach into this one.
+            self.group_depth, self.bold = None, False
         elif self.cell is not None:
             if tag in ("br", "div", "p", "li"):
                 self.cell["lines"].append("")
@@ -126,29 +131,83 @@ class Marks(HTMLParser):
         return self.out
 
 
+# A tag as most pages write them, or the text up to the next one.
+PLAIN = re.compile(r'''<(/?)([A-Za-z][A-Za-z0-9]*)((?:[ \t\n\r\f]+[A-Za-z][A-Za-z0-9_-]*(?:="[^"<>]*")?)*)[ \t\n\r\f]*(/?)>|([^<]+)''')
+ATTRIBUTE = re.compile(r'''([A-Za-z][A-Za-z0-9_-]*)(?:="([^"]*)")?''')
+# Elements whose content isn't read as tags.
+RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "noscript", "xmp", "plaintext"}
+
+
+def _events(html: str) -> list[tuple] | None:
+    """What the library's parser would tell of a page of plain tags only; None for any other page. Attributes without a value have an empty one."""
+    if PLAIN.sub("", html):
+        return None
+    out = []
+    for ends, tag, attrs, closed, data in PLAIN.findall(html):
+        if data:
+            out.append((None, unescape(data) if "&" in data else data, False))
+            continue
+        tag = tag.lower()
+        if tag in RAW or (ends and (attrs or closed)):
+            return None
+        if ends:
+            out.append((tag, None, False))
+        else:
+            out.append((tag, [(k.lower(), unescape(v) if "&" in v else v) for k, v in ATTRIBUTE.findall(attrs)] if attrs else [], bool(closed)))
+    return out
+
+
 def _parsed(parser, html: str | None) -> list[dict]:
     p = parser()
-    p.feed(html or "")
-    p.close()
+    events = _events(html or "")
+    if events is None:
+        p.feed(html or "")
+        p.close()
+        return p.found()
+    for tag, told, closed in events:
+        if tag is None:
+            p.handle_data(told)
+        elif told is None:
+            p.handle_endtag(tag)
+        else:
+            p.handle_starttag(tag, told)
+            if closed:
+                p.handle_endtag(tag)
     return p.found()
 
 
-def cells(html: Column) -> Column:
-    @F.pandas_udf(CELL)
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: _parsed(Cells, h))
+#: Pages parsed at once, so that what is found of few pages only is held as Python objects.
+AT_ONCE = 256
 
-    return run(html)
 
+def _listed(html: Column, parser, shape: str) -> Column:
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import _parse_datatype_string
 
-def marks(html: Column) -> Column:
-    @F.pandas_udf(MARK)
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: _parsed(Marks, h))
+    kind = to_arrow_type(_parse_datatype_string(shape))
+    fields = list(kind.value_type)
+
+    def found(pages: list) -> pa.Array:
+        lists = [_parsed(parser, h) for h in pages]
+        rows = [x for one in lists for x in one]
+        return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, lists))], pa.int32()), pa.StructArray.from_arrays([pa.array([x[f.name] for x in rows], f.type) for f in fields], fields=fields), type=kind)
+
+    @F.arrow_udf(shape)
+    def run(pages: pa.Array) -> pa.Array:
+        parts = [found(pages.slice(i, AT_ONCE).to_pylist()) for i in range(0, len(pages), AT_ONCE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return run(html)
 
 
+def cells(html: Column) -> Column:
+    return _listed(html, Cells, CELL)
+
+
+def marks(html: Column) -> Column:
+    return _listed(html, Marks, MARK)
+
+
 def settled(rows: DataFrame, *columns: str) -> DataFrame:
     """rows whose given columns are computed once: an explode of one element keeps Catalyst from repeating them per use."""
     others = [c for c in rows.columns if c not in columns]
@@ -159,39 +218,37 @@ def first(items: Column, cond) -> Column:
     return F.get(F.filter(items, cond), F.lit(0))
 
 
-def labelled(found: Column, keep) -> Column:
+def labelled(own: Column) -> Column:
     """The value cell behind the label cell of the same row, as array of struct(label, cell)."""
-    own = F.filter(found, keep)
     even = F.filter(own, lambda c: c["col"] % 2 == 0)
     pair = lambda c: F.struct(F.lower(F.regexp_replace(c["text"], "^[: ]+|[: ]+$", "")).alias("label"), first(own, lambda v: (v["tab"] == c["tab"]) & (v["row"] == c["row"]) & (v["col"] == c["col"] + 1)).alias("cell"))
     return F.filter(F.transform(even, pair), lambda x: (x["label"] != "") & x["cell"].isNotNull())
 
 
 def value_of(pairs: Column, label: str) -> Column:
-    """Text of a label's cell; the last of repeated labels; null if absent or empty."""
-    hits = F.filter(pairs, lambda x: x["label"] == label.lower())
-    return F.nullif(F.element_at(F.transform(hits, lambda x: x["cell"]["text"]), F.when(F.size(hits) > 0, F.lit(-1))), F.lit(""))
+    """A label's cell; the last of repeated labels; null if absent."""
+    return F.try_element_at(F.filter(pairs, lambda x: x["label"] == label.lower()), F.lit(-1))["cell"]
 
 
-def _cell(pairs: Column, label: str) -> Column:
-    """A label's cell; the last of repeated labels, as in value_of."""
-    hits = F.filter(pairs, lambda x: x["label"] == label.lower())
-    return F.get(hits, F.size(hits) - 1)["cell"]
+def filled(cell: str) -> Column:
+    """Text of a cell; null if absent or empty."""
+    return F.nullif(F.col(f"{cell}.text"), F.lit(""))
 
 
 def case_details(pages: DataFrame, key: str) -> DataFrame:
     """Case status pages of the second court: key and fields, parties, advocates, acts. Pages without the table: no row."""
     listed = settled(pages.select(key, cells(F.col("html")).alias("cells")), "cells")
-    rows = settled(listed.select(key, labelled(F.col("cells"), lambda c: F.contains(c["key"], F.lit("case-details-table"))).alias("pairs")), "pairs").where("size(pairs) > 0")
-    p = F.col("pairs")
-    people = lambda label: F.transform(F.coalesce(_cell(p, label)["groups"], F.array().cast("array<array<string>>")), lambda g: F.struct(F.get(g, F.lit(0)).alias("name"), F.get(g, F.lit(1)).alias("relation"), F.get(g, F.lit(2)).alias("address")))
-    advocates = lambda label: F.filter(F.transform(F.coalesce(_cell(p, label)["bold"], F.array().cast("array<string>")), t.parse_advocate_cell), lambda a: a.isNotNull())
-    number = t.parse_case_no_cell(value_of(p, "case no."))
+    own = settled(listed.select(key, F.filter("cells", lambda c: F.contains(c["key"], F.lit("case-details-table"))).alias("own")), "own")
+    rows = settled(own.select(key, labelled(F.col("own")).alias("pairs")), "pairs").where("size(pairs) > 0")
+    labels = {"number": "case no.", "status": "status", "disposal": "disp.type", "category": "category", "listed": "last listed on", "act": "act", "p": "petitioner(s)", "r": "respondent(s)", "pa": "petitioner advocate(s)", "ra": "respondent. advocate(s)"}
+    rows = settled(rows.select(key, *[value_of(F.col("pairs"), label).alias(n) for n, label in labels.items()]), *labels)
+    rows = settled(rows.select(key, *labels, t.parse_case_no_cell(filled("number")).alias("no"), F.transform("act.lines", t.parse_act_line).alias("acts"), *[F.transform(f"{c}.bold", t.parse_advocate_cell).alias(f"{c}_told") for c in ("pa", "ra")]), *labels, "no", "acts", "pa_told", "ra_told")
+    there = lambda c: F.coalesce(F.array_compact(c), F.array())
+    people = lambda cell: F.coalesce(F.transform(f"{cell}.groups", lambda g: F.struct(F.get(g, F.lit(0)).alias("name"), F.get(g, F.lit(1)).alias("relation"), F.get(g, F.lit(2)).alias("address"))), F.array())
     return rows.select(
-        key, value_of(p, "case no.").alias("case_no_line"), number["case_type_name"].alias("case_type_name"), number["case_type_code"].alias("case_type_code"), number["registered_on"].alias("registered_on"), number["cnr"].alias("cnr"),
-        value_of(p, "status").alias("status_line"), value_of(p, "disp.type").alias("disposition_type"), t.category_subject(value_of(p, "category")).alias("subject_category"), t.bracketed_judges(value_of(p, "last listed on")).alias("judges"),
-        F.array_distinct(F.filter(F.transform(F.coalesce(_cell(p, "act")["lines"], F.array().cast("array<string>")), t.parse_act_line), lambda a: a.isNotNull())).alias("acts"),
-        people("petitioner(s)").alias("petitioners"), people("respondent(s)").alias("respondents"), advocates("petitioner advocate(s)").alias("petitioner_advocates"), advocates("respondent. advocate(s)").alias("respondent_advocates"),
+        key, filled("number").alias("case_no_line"), "no.case_type_name", "no.case_type_code", "no.registered_on", "no.cnr",
+        filled("status").alias("status_line"), filled("disposal").alias("disposition_type"), t.category_subject(filled("category")).alias("subject_category"), t.bracketed_judges(filled("listed")).alias("judges"),
+        F.array_distinct(there("acts")).alias("acts"), people("p").alias("petitioners"), people("r").alias("respondents"), there("pa_told").alias("petitioner_advocates"), there("ra_told").alias("respondent_advocates"),
     )
 
 
@@ -219,23 +276,24 @@ def detail_pane(pages: DataFrame, key: str) -> DataFrame:
 def status_page(pages: DataFrame, key: str) -> DataFrame:
     """Status pages of the third court: primary fields, category, and arrays of parties, applications and orders."""
     c = F.col("c")
-    under = lambda title: lambda x: F.upper(x["heading"]) == title
-    rows = settled(pages.select(key, cells(F.col("html")).alias("c")), "c")
-    rows = settled(rows.select(key, "c", labelled(c, under("PRIMARY DETAILS")).alias("p"), labelled(c, under("CATEGORY")).alias("q")), "p", "q")
-    primary, category = F.col("p"), F.col("q")
+    under = lambda title: F.filter(c, lambda x: F.upper(x["heading"]) == title)
+    kept = {"primary": "PRIMARY DETAILS", "category_cells": "CATEGORY", "ia": "IA DETAILS", "order_cells": "ORDERS", "asking": "PETITIONER(S)", "asked": "RESPONDENT(S)"}
+    rows = settled(pages.select(key, cells(F.col("html")).alias("c")), "c").where("size(c) > 0")
+    rows = settled(rows.select(key, *[under(title).alias(n) for n, title in kept.items()]), *kept)
+    rows = settled(rows.select(key, *kept, labelled(F.col("primary")).alias("p"), labelled(F.col("category_cells")).alias("q")), *kept, "p", "q")
 
-    def table(title: str, names: tuple[str, ...], skip: int) -> Column:
-        own = F.filter(c, under(title))
+    def table(own: str, names: tuple[str, ...], skip: int) -> Column:
         starts = F.filter(own, lambda x: (x["col"] == 0) & (x["row"] >= skip))
-        at = lambda s, i: first(own, lambda x: (x["row"] == s["row"]) & (x["col"] == i))
-        made = F.transform(starts, lambda s: F.struct(*[at(s, i)["text"].alias(n) for i, n in enumerate(names)], at(s, len(names))["href"].alias("href")))
+        at = lambda line, i: first(line, lambda x: x["col"] == i)
+        made = F.transform(F.transform(starts, lambda s: F.filter(own, lambda x: x["row"] == s["row"])), lambda line: F.struct(*[at(line, i)["text"].alias(n) for i, n in enumerate(names)], at(line, len(names))["href"].alias("href")))
         return F.filter(made, lambda r: r[names[-1]].isNotNull())
 
-    people = lambda title: F.transform(F.filter(c, lambda x: (F.upper(x["heading"]) == title) & (x["col"] == 1) & (F.size(x["lines"]) > 0)), lambda x: F.struct(F.get(x["lines"], F.lit(0)).alias("name"), F.array_join(F.slice(x["lines"], 2, 100), " ").alias("details")))
-    fields = [("main_number", "Main Number"), ("sr_number", "SR Number"), ("cnr_no", "CNR No."), ("petitioner", "Petitioner"), ("respondent", "Respondent"), ("case_status", "Case Status"), ("filing_date", "Filing Date"), ("disposal_type", "Type")]
-    return rows.where("size(c) > 0").select(
-        key, *[value_of(primary, label).alias(n) for n, label in fields], value_of(category, "Category").alias("category"), people("PETITIONER(S)").alias("petitioners"), people("RESPONDENT(S)").alias("respondents"),
-        table("IA DETAILS", ("ia_number", "filing_date", "advocate", "misc_type", "status", "prayer", "order_date"), 1).alias("applications"), table("ORDERS", ("order_on", "judge_name", "date", "order_type"), 1).alias("orders"),
+    people = lambda own: F.transform(F.filter(own, lambda x: (x["col"] == 1) & (F.size(x["lines"]) > 0)), lambda x: F.struct(F.get(x["lines"], F.lit(0)).alias("name"), F.array_join(F.slice(x["lines"], 2, 100), " ").alias("details")))
+    fields = {"main_number": "Main Number", "sr_number": "SR Number", "cnr_no": "CNR No.", "petitioner": "Petitioner", "respondent": "Respondent", "case_status": "Case Status", "filing_date": "Filing Date", "disposal_type": "Type"}
+    told = settled(rows.select(key, *kept, *[value_of(F.col("p"), label).alias(n) for n, label in fields.items()], value_of(F.col("q"), "Category").alias("category")), *kept, *fields, "category")
+    return told.select(
+        key, *[filled(n).alias(n) for n in (*fields, "category")], people("asking").alias("petitioners"), people("asked").alias("respondents"),
+        table("ia", ("ia_number", "filing_date", "advocate", "misc_type", "status", "prayer", "order_date"), 1).alias("applications"), table("order_cells", ("order_on", "judge_name", "date", "order_type"), 1).alias("orders"),
     )
 
 

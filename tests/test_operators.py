@@ -1,5 +1,6 @@
 """Properties of search, facets, writes, batches, sources and streams; the layout of the package."""
 
+import random
 import re
 from pathlib import Path
 
@@ -151,3 +152,24 @@ def test_driver_contract(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries()) and set(QUERIES) <= set(e.queries())
     assert e.entry(spark).count() > 0
+
+
+def test_plain_pages_are_read_as_the_library_reads_them():
+    """Pages of plain tags take a short way; whatever else a page has, the library's parser reads it."""
+    rng = random.Random(3)
+    bits = ["<table>", "<TABLE id=\"a&amp;b\" class='x'>", '<table class="case-details-table big" hidden>', "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th >", "</th>", "a &amp; b", "&lt;", "&am", "x < y", "<br/>", "<br>", "<div class=\"d-flex\">", "</div>", "<span class=\"fw-semibold\">", "</span>", "<a href=\"/o?a=1&amp;b\">", "</a>", "<!-- c -->", "<script>if (a<b)</script>", "<title>T<b></title>", "<h3>", "</h3>", "\n  ", "é", "<p/>", "</p x>", "<p", "&#39;"]
+    for n in range(3000):
+        page = "".join(rng.choice(bits[:4] + bits) for _ in range(rng.randrange(12)))
+        for parser in (html.Cells, html.Marks):
+            want = parser()
+            want.feed(page)
+            want.close()
+            assert html._parsed(parser, page) == want.found(), page
+
+
+def test_pages_are_made_in_many_tasks(spark, sf_dir):
+    from benchbook.plans import source_queries
+    from benchbook.sources.domain import Domain
+
+    made = source_queries.made_pages(Domain(spark, sf_dir), source_queries.MP)
+    assert made.rdd.getNumPartitions() == 4 and made.rdd.glom().filter(len).count() == 4
