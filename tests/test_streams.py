@@ -46,3 +46,18 @@ def test_lines_behind_the_status_are_told(spark):
     line(6)
     again = [sorted(r["log_id"] for r in new.collect()) for new in logs.follow(lambda: landing.landed_stream(spark, source, "log_id long"), lambda: True, folder)]
     assert [6] in again or again == [[1, 2, 3, 4, 5, 6]]
+
+
+def test_batches_of_one_bucket_share_a_list_and_a_timer(spark):
+    """With a single bucket: all batches in one list, later words and wishes to cancel per batch, and one timer, at the first due time."""
+    source, folder, now = landing.shared_folder(spark), landing.shared_folder(spark), time.time()
+    many = [(i, "RUNNING", now - 900, now - 300 + (25 if i % 2 else 3000), i % 3 == 0) for i in range(10, 40)]
+    landing.land(batch(spark, *many, (1, "QUEUED", now - 5000, None, False), (2, "COMPLETED", now - 5000, None, True)), source)
+    run = lambda: sorted((r["batch_id"], r["new_status"]) for r in logs.run_available(sweep.sweep(landing.landed_stream(spark, source, BATCH), buckets=1), folder=folder, once=True).collect())
+    with sweep.stateful(spark):
+        assert run() == [(1, "FAILED")]
+        landing.land(batch(spark, (11, "FAILED", now - 900, None, False), (13, "COMPLETED", now + 1, None, False), (15, "RUNNING", now - 900, now + 3000, False)), source)
+        time.sleep(max(0, now + 26 - time.time()))
+        # 11's word is older than its heartbeat, 13 has ended, 15 is heard of again.
+        due = [i for i in range(11, 40, 2) if i not in (13, 15)]
+        assert run() == [(1, "FAILED")] + [(i, "CANCELLED" if i % 3 == 0 else "FAILED") for i in due]
