@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from benchbook.functions.lexers import English
 from benchbook.operators import facets, read_model
-from benchbook.operators.search import Search, SearchRequest, detail, view
+from benchbook.operators.search import Search, SearchRequest, detail, view, whole_view
 from benchbook.plans.registry import query
 from benchbook.sources.domain import Domain
 from benchbook.sources.landing import shared_folder
@@ -108,13 +108,13 @@ def search_view_kept(d: Domain) -> DataFrame:
 
 def _dim(name: str, table: str, key: str, dim: str, column: str, array: str):
     sql = f"SELECT case_id, coalesce({name}, '') {name} FROM cases {names_of(table, key, dim, column, name)}"
-    query(name, sql)(lambda d: view(d, d.cases()).select("case_id", name))
+    query(name, sql)(lambda d: whole_view(d, (name,)).select("case_id", name))
 
 
 _dim("bench_names", "case_bench", "judge_id", "judges", "full_name", "bench")
 _dim("act_names", "case_acts", "act_id", "acts", "act_name", "acts")
 _dim("ministry_names", "case_ministries", "ministry_id", "ministries", "name", "ministries")
-query("industry_names", "SELECT case_id, name industry_names FROM cases JOIN industries USING (industry_id)")(lambda d: view(d, d.cases()).select("case_id", "industry_names"))
+query("industry_names", "SELECT case_id, name industry_names FROM cases JOIN industries USING (industry_id)")(lambda d: whole_view(d, ()).select("case_id", "industry_names"))
 @query("category_names", "SELECT case_id, coalesce(CASE case_id % 4 WHEN 0 THEN 'Civil Appeal' WHEN 1 THEN 'Criminal Appeal' WHEN 2 THEN 'Special Leave Petition (Civil)' END, '') category_names FROM cases")
 def category_names(d: Domain) -> DataFrame:
     """Categories are a dimension made of the case numbers; cases hold its ids."""

@@ -48,14 +48,14 @@ class Domain:
         return self._numbered(self.raw("part"), "p_type", "ministry_id")
 
     def lines(self) -> DataFrame:
-        """One row per case and order line: judge, section, its act and ministry."""
+        """One row per case and order line: judge, section with its number, its act and ministry."""
         sections = self.sections().join(F.broadcast(self.ministries().withColumnRenamed("name", "kind")), "kind")
         lines = self.raw("lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_suppkey").alias("judge_id"), F.col("l_partkey").alias("section_id"))
-        return lines.join(sections, "section_id").select("case_id", "judge_id", "section_id", "act_id", "size", "ministry_id")
+        return lines.join(sections, "section_id").select("case_id", "judge_id", "section_id", "act_id", "size", "ministry_id", "section_number")
 
     def named_lines(self) -> DataFrame:
         """What the id arrays of a case are gathered from, a row per line: judge, section, its ministry, and the act where the case names it itself."""
-        return self.lines().select("case_id", "judge_id", "section_id", "ministry_id", "act_id", F.when(F.col("size") <= 25, F.col("act_id")).alias("named_act"))
+        return self.lines().select("case_id", "judge_id", "section_id", "ministry_id", "act_id", "section_number", F.when(F.col("size") <= 25, F.col("act_id")).alias("named_act"))
 
     def with_arrays(self, cases: DataFrame) -> DataFrame:
         """cases with their id arrays, never null, sorted and distinct. Only the lines of these cases are gathered."""

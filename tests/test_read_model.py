@@ -72,3 +72,18 @@ def test_a_lookup_opens_its_buckets_only(spark, kept):
     folder, _ = kept
     found = read_model.lookup(spark, folder, [3])
     assert found.select(F.input_file_name()).distinct().count() == 1 and len(found.inputFiles()) < len(read_model.read(spark, folder).inputFiles())
+
+
+def test_view_of_all_cases_needs_no_arrays(spark, sf_dir):
+    """The whole view equals the view by arrays, and neither explodes nor joins by kinds; a single name reads no other."""
+    from benchbook.operators.search import view, whole_view
+    from benchbook.plans import QUERIES
+    from benchbook.sources.domain import Domain
+
+    d = Domain(spark, sf_dir)
+    names = ["bench_names", "act_names", "ministry_names", "industry_names", "provisions"]
+    js = lambda x: sorted(tuple(r) for r in x.select("case_id", "court_name", *names).collect())
+    assert js(whole_view(d)) == js(view(d, d.cases()))
+    plan = lambda name: QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Generate explode(concat" in plan(n) for n in names[:4])
+    assert "l_orderkey" not in plan("industry_names") and "s_name" not in plan("act_names")
