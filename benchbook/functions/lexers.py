@@ -10,6 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD_BREAK = r"[^a-z0-9]+"
+#: UTF-8 bytes of a lower-cased text: all but those of words become blanks.
+_WORDS = bytes(b if chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for b in range(256))
+
+
+def raw_words(text: str) -> list[bytes]:
+    """Words of a text inside a task, as WORD_BREAK would give them."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_WORDS).split()
 
 
 @dataclass(frozen=True)
@@ -28,6 +35,10 @@ class Lexer:
     def stem(self, word: str) -> str:
         return word
 
+    def lexeme(self, word: str) -> str:
+        """What a text's word counts as; empty for a stop word."""
+        return "" if word in self.stop else self.stem(word)
+
     def column(self, text: Column) -> Column:
         """Array of the text's words in order; stop words keep their places as empty strings, null text is an empty array."""
         words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_BREAK), lambda w: w != "")

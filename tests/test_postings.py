@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from benchbook.functions.lexers import PORTABLE, English, match_all, match_phrase
-from benchbook.operators.postings import Postings
+from benchbook.operators import postings
+from benchbook.operators.postings import Postings, vectors
 from benchbook.operators.search import Search, SearchRequest
 from benchbook.sources.domain import Domain
 from tests.conftest import DATA
@@ -65,3 +66,29 @@ def test_a_request_reads_only_the_buckets_of_its_terms_and_no_text(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "text" not in plan and "documents" not in plan
     assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket#" in plan and " IN (" in plan
+
+
+def test_building_shuffles_no_words(spark, cases):
+    """Words outnumber texts by far; only the texts may be dealt out, and a table of few blocks has few rows per term."""
+    plan = vectors(cases, PORTABLE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == cases._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    table = Postings.build(cases)
+    kept = spark.read.parquet(f"{table.folder}/rows").where("term = 'court'")
+    assert kept.count() <= 3 and table.rows(["court"]).count() > 50
+
+
+def test_blocks_of_few_words_give_the_same_rows(spark, cases, monkeypatch):
+    whole = Postings.build(cases, English())
+    monkeypatch.setattr(postings, "BLOCK", 7)
+    rows = lambda t: sorted((r["term"], r["case_id"], r["places"], r["classes"]) for r in t.rows(["court", "appeal", "dismiss", "12", "the"]).collect())
+    assert rows(Postings.build(cases, English())) == rows(whole)
+
+
+def test_odd_texts(spark):
+    one = spark.createDataFrame([(1, None), (2, ""), (3, "\u0130stanbul \u212a9 x\u0000y \U0001f600z"), (4, "..."), (5, "a a")], "case_id long, text string")
+    table = Postings.build(one)
+    tokens = {r["case_id"]: r["w"] for r in one.select("case_id", PORTABLE.column(F.col("text")).alias("w")).collect()}
+    want = sorted((w, i, [k for k, v in enumerate(ws) if v == w], "D") for i, ws in tokens.items() for w in set(ws))
+    assert sorted(map(tuple, table.rows(sorted({w for w, *_ in want})).collect())) == want
+    assert ids(table.phrase(["a", "a"])) == [5] and ids(table.phrase(["a", None, "a"])) == []
+    assert ids(Postings.build(one.where("case_id < 0")).phrase(["a"])) == []
