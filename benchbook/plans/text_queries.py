@@ -151,7 +151,7 @@ def content_checksum(d: Domain) -> DataFrame:
 
 @query("acts_sections_group", "SELECT case_id, act_name, string_agg(section_number, ';' ORDER BY section_id) sections FROM (SELECT case_id, act_name, section_number, min(section_id) section_id FROM case_sections JOIN sections USING (section_id) JOIN acts USING (act_id) GROUP BY ALL) x GROUP BY case_id, act_name")
 def acts_sections_group(d: Domain) -> DataFrame:
-    pairs = d.lines().select("case_id", "section_id").distinct().join(d.sections().select("section_id", "act_id", "section_number"), "section_id").join(F.broadcast(d.acts()), "act_id")
+    pairs = d.lines().join(F.broadcast(d.acts()), "act_id")
     return entities.sections_by_act(pairs.select("case_id", "act_name", "section_number", F.col("section_id").alias("place"))).select("case_id", "act_name", F.array_join("sections", ";").alias("sections"))
 
 
