@@ -58,8 +58,7 @@ def json_case_read(d: Domain) -> DataFrame:
 @query("page_titles", "SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>([^<&]*)</title>', 1), '\\s+', ' ', 'g')) title FROM pages WHERE regexp_matches(html, '<title>[^<&]*</title>')")
 def page_titles(d: Domain) -> DataFrame:
     pages = d.raw("pages").where(F.col("html").rlike("<title>[^<&]*</title>"))
-    found = pages.select("page_id", html.marks(F.col("html")).alias("m"))
-    return found.select("page_id", F.coalesce(html.first(F.col("m"), lambda x: x["tag"] == "title")["text"], F.lit("")).alias("title"))
+    return pages.select("page_id", html.title(F.col("html")).alias("title"))
 
 
 ITEMS = "SELECT batch_id, item_key, part_id, status FROM items"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from benchbook.functions import text as t
 
 CELL = "array<struct<tab:int,key:string,heading:string,row:int,col:int,text:string,lines:array<string>,groups:array<array<string>>,bold:array<string>,href:string>>"
+ROW = "array<struct<row:int,fields:map<string,string>,href:string>>"
 MARK = "array<struct<tag:string,cls:string,inside:string,text:string>>"
 VOID = {"br", "img", "input", "hr", "meta", "link"}
 
@@ -97,6 +98,30 @@ class Cells(HTMLParser):
         return self.out
 
 
+class Report(Cells):
+    """Rows below a table's first one, from heading to text (of repeated headings the last counts), with their first link; rows
+    without a case number go, of equal numbers the first stays."""
+
+    def found(self) -> list[dict]:
+        lines: dict[tuple, list[tuple]] = {}
+        for c in super().found():
+            lines.setdefault((c["tab"], c["row"]), []).append((c["col"], c["text"], c["href"] is not None, c["href"] or ""))
+        out, told = [], set()
+        for tab, row in sorted(lines):
+            if not row or (tab, 0) not in lines:
+                continue
+            mine = sorted(lines[tab, row])
+            fields: dict[str, str] = {}
+            for (_, head, *_), (_, text, *_) in zip(sorted(lines[tab, 0]), mine, strict=False):
+                fields.pop(head, None)  # it stands where its last one does
+                fields[head] = text
+            number = fields.get("Case Number", "").upper()
+            if number and number not in told:
+                told.add(number)
+                out.append({"row": row, "fields": list(fields.items()), "href": next((href for _, _, there, href in mine if there), None)})
+        return out
+
+
 class Marks(HTMLParser):
     """p, span and title elements with their classes and those of the elements around them."""
 
@@ -131,6 +156,31 @@ class Marks(HTMLParser):
         return self.out
 
 
+class _Told(Exception):
+    """What was asked for has been read."""
+
+
+class Titles(Marks):
+    """The first title only, as Marks has it; what follows it isn't read."""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "title" and not self.out:
+            super().handle_starttag(tag, attrs)
+        elif tag not in VOID:
+            self.open.append((tag, "", None))
+
+    def handle_endtag(self, tag):
+        super().handle_endtag(tag)
+        if self.out and not any(mark for *_, mark in self.open):
+            raise _Told
+
+    def feed(self, data):
+        try:
+            super().feed(data)
+        except _Told:
+            self.rawdata = ""  # nothing is left for close()
+
+
 # A tag as most pages write them, or the text up to the next one.
 PLAIN = re.compile(r'''<(/?)([A-Za-z][A-Za-z0-9]*)((?:[ \t\n\r\f]+[A-Za-z][A-Za-z0-9_-]*(?:="[^"<>]*")?)*)[ \t\n\r\f]*(/?)>|([^<]+)''')
 ATTRIBUTE = re.compile(r'''([A-Za-z][A-Za-z0-9_-]*)(?:="([^"]*)")?''')
@@ -159,7 +209,7 @@ def _events(html: str) -> list[tuple] | None:
 
 def _parsed(parser, html: str | None) -> list[dict]:
     p = parser()
-    events = _events(html or "")
+    events = None if parser is Titles else _events(html or "")
     if events is None:
         p.feed(html or "")
         p.close()
@@ -208,6 +258,11 @@ def marks(html: Column) -> Column:
     return _listed(html, Marks, MARK)
 
 
+def title(html: Column) -> Column:
+    """Text of the first title; empty if there is none. Nothing else of a page comes back from Python."""
+    return F.coalesce(F.get(_listed(html, Titles, "array<struct<text:string>>"), F.lit(0))["text"], F.lit(""))
+
+
 def settled(rows: DataFrame, *columns: str) -> DataFrame:
     """rows whose given columns are computed once: an explode of one element keeps Catalyst from repeating them per use."""
     others = [c for c in rows.columns if c not in columns]
@@ -299,16 +354,7 @@ def status_page(pages: DataFrame, key: str) -> DataFrame:
 
 def report_rows(pages: DataFrame, key: str) -> DataFrame:
     """Rows of report tables as maps from heading to text, with the link; rows without a case number go, of equal numbers the first stays."""
-    flat = pages.select(key, F.explode(cells(F.col("html"))).alias("c")).select(key, "c.*")
-    line = flat.groupBy(key, "tab", "row").agg(F.array_sort(F.collect_list(F.struct("col", "text", "href"))).alias("cells"))
-    heads = line.where("row = 0").select(key, "tab", F.transform("cells", lambda x: x["text"]).alias("heads"))
-    rows = line.where("row > 0").join(heads, [key, "tab"])
-    texts = F.transform("cells", lambda x: x["text"])
-    n = F.least(F.size("heads"), F.size("cells"))
-    made = rows.select(key, "tab", "row", read_row(F.slice("heads", F.lit(1), n), F.slice(texts, F.lit(1), n)).alias("fields"), F.get(F.filter(F.transform("cells", lambda x: x["href"]), lambda h: h.isNotNull()), F.lit(0)).alias("href"))
-    number = F.upper(F.col("fields")["Case Number"])
-    nth = F.row_number().over(Window.partitionBy(key, number).orderBy("tab", "row"))
-    return made.where(F.coalesce(number, F.lit("")) != "").withColumn("nth", nth).where("nth = 1").drop("nth", "tab")
+    return pages.select(key, F.explode(_listed(F.col("html"), Report, ROW)).alias("r")).select(key, "r.*")
 
 
 def read_row(headers: Column, values: Column) -> Column:
