@@ -93,7 +93,7 @@ VIEW_FROM = f"JOIN courts USING (court_id) JOIN industries USING (industry_id) {
 
 @query("search_view", f"SELECT {SHOWN} FROM cases {VIEW_FROM}")
 def search_view(d: Domain) -> DataFrame:
-    return view(d, d.cases()).select(*VIEW_COLUMNS)
+    return whole_view(d).select(*VIEW_COLUMNS)
 
 
 @query("search_view_kept", f"SELECT {SHOWN} FROM cases {VIEW_FROM}")
