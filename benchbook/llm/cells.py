@@ -22,6 +22,9 @@ TINY = 1e-9
 HELD = 1_000_000
 #: Pivots of a cell in its first round.
 FIRST_PIVOTS = 4
+#: Cells of more rows are crowded; among their texts a shingle of so many texts at most is rare.
+CROWDED = 64
+RARE = 64
 
 
 def linked(percent: int = PERCENT) -> str:
@@ -125,8 +128,9 @@ def runs(batches: Iterator[pd.DataFrame], names: tuple[str, ...], small: int) ->
         yield [held[c].to_numpy() for c in names], np.zeros(1, np.int64), np.array([len(held)]), np.zeros(1, bool), np.zeros(1, bool)
 
 
-def measured(edges: DataFrame, texts: DataFrame, size: int = WORDS) -> DataFrame:
-    """edges (a, b) with both, whole: the sizes of their sets' intersection and union. texts: id, text, of which only those of edges travel."""
+def measured(edges: DataFrame, texts: DataFrame, size: int = WORDS, picked: bool = False) -> DataFrame:
+    """edges (a, b) with both, whole: the sizes of their sets' intersection and union. texts: id, text, of which only those of
+    edges travel; picked: they are just those."""
 
     @F.pandas_udf("both long, whole long")
     def sizes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -151,36 +155,47 @@ def measured(edges: DataFrame, texts: DataFrame, size: int = WORDS) -> DataFrame
                 out.append((both, len(x) + len(y) - both))
             yield pd.DataFrame(out, columns=["both", "whole"], dtype="int64")
 
-    texts = within(texts, edges.select(F.explode(F.array("a", "b")).alias("id")), "id")
+    if not picked:
+        texts = within(texts, edges.select(F.explode(F.array("a", "b")).alias("id")), "id")
     first = edges.join(texts.select(F.col("id").alias("a"), F.col("text").alias("one")), "a")
     both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("other")), "b")
     return both.select("a", "b", sizes("one", "other").alias("m")).select("a", "b", "m.both", "m.whole")
 
 
-def merged(cells: DataFrame) -> DataFrame:
-    """node, key of rows node, key: cells with the same leader become one, named by it.
+def leaders(keys: np.ndarray, firsts: np.ndarray, cut: np.ndarray, last: tuple[int, int] | None) -> tuple[np.ndarray, tuple[int, int] | None]:
+    """Of pieces of long runs (their keys, first nodes, whether they may have other pieces) the leaders, and key and leader of the
+    last run. last: what the call for the pieces before gave. A run's leader is its first node; cells with one leader are one.
 
-    Copies share most of their cells, which differ by a few documents each. The leader of a cell is its document of least
-    hash, so nearly all cells of such a group have one leader: what was a row per document and cell becomes about one per
-    document. No pair is lost, as a merged cell holds every pair of its parts.
+    Copies share most of their keys, which differ by a few documents each. With rows of a key in the order of a hash of their
+    nodes, nearly all cells of such a group have one leader: what was a row per document and key becomes about one per
+    document. No pair is lost, as a cell of one leader holds every pair of its parts.
     """
-    leaders = cells.groupBy("key").agg(F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("leader"))
-    return cells.join(leaders, "key").select("node", F.col("leader").alias("key")).distinct()
+    if not len(keys):
+        return firsts, last
+    found = firsts.copy()
+    if cut[0] and last is not None and last[0] == keys[0]:
+        found[0] = last[1]
+    return found, (keys[-1], found[-1])
 
 
-def shared_sizes(texts: DataFrame, size: int = WORDS) -> DataFrame:
-    """node, n, c of texts (id, text): the size of a text's set, and how many of its shingles another of these texts has too.
-
-    Two texts can have no more in common than either shares with anything, so c bounds every similarity from above, where
-    distances to pivots can't: texts that differ from one base in places of their own. Ids that repeat are left out.
-    """
+def flat_shingles(texts: DataFrame, size: int = WORDS) -> DataFrame:
+    """node, h: a row for each shingle of the texts (id, text)."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_hashes(t, size) for t in batch["text"]]
             yield pd.DataFrame({"node": np.repeat(batch["id"].to_numpy(np.int64), [len(s) for s in sets]), "h": np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)})
 
-    flat = texts.mapInPandas(counted, "node long, h long")
+    return texts.mapInPandas(counted, "node long, h long")
+
+
+def shared_sizes(texts: DataFrame, size: int = WORDS) -> DataFrame:
+    """node, n, c of texts (id, text): the size of a text's set, and how many of its shingles another of these texts has too.
+
+    Two texts can have no more in common than either shares with anything, so c bounds every similarity from above, where
+    distances to pivots can't: texts that differ from one base in places of their own. Ids that repeat are left out.
+    """
+    flat = flat_shingles(texts, size)
     # A shingle of one text only is told by that text; all others by none.
     alone = flat.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("u"))
     length = F.pandas_udf(lambda ts: pd.Series([len(shingle_hashes(t, size)) for t in ts], dtype="int64"), "long")
@@ -188,43 +203,117 @@ def shared_sizes(texts: DataFrame, size: int = WORDS) -> DataFrame:
     return sizes.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c"))
 
 
+def _told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows key (a shingle), node, sorted by key: node, h, k for each shingle of 2 to RARE rows; node, null, k for k that have more."""
+    for (key, node), _, sizes, long, _ in runs(batches, ("key", "node"), RARE):
+        k, often = np.repeat(sizes, sizes), np.repeat(long, sizes)
+        rare = ~often & (k > 1)
+        yield pd.DataFrame({"node": node[rare], "h": key[rare], "k": k[rare]}).astype("Int64")
+        nodes, times = np.unique(node[often], return_counts=True)
+        yield pd.DataFrame({"node": nodes, "h": pd.array([None] * len(nodes), dtype="Int64"), "k": times}).astype({"node": "Int64", "k": "Int64"})
+
+
+def _sharing(percent: int):
+    """Of rows key, node, label, n, c, f, r, pos, sorted by key: node, label, p_node, p_label for rows of one key that may link and
+    need a rare shingle in common for that. n 0: nothing is known of its size."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (key, node, label, n, c, f, left), _, sizes, _, _ in runs(batches, ("key", "node", "label", "n", "c", "f", "left"), RARE):
+            found = []
+            for step in range(1, sizes.max(initial=1)):
+                i = np.flatnonzero(key[step:] == key[:-step])
+                j = i + step
+                needed, frequent = percent * (n[i] + n[j]), np.minimum(f[i], f[j])
+                may = ((100 + percent) * np.minimum(c[i], c[j]) >= needed) & ((100 + percent) * (frequent + np.minimum(left[i], left[j])) >= needed) & ((100 + percent) * frequent < needed)
+                may = (may | (n[i] == 0) | (n[j] == 0)) & (node[i] != node[j]) & (label[i] != label[j])
+                found.append(np.stack([node[i], label[i], node[j], label[j]])[:, may])
+            pairs = np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)
+            yield pd.DataFrame(dict(zip(("node", "label", "p_node", "p_label"), pairs, strict=True))).drop_duplicates()
+
+    return run
+
+
+def by_rare(members: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (node, label, p_node, p_label) of members that may link and share a rare shingle, and node, f: how many frequent ones a
+    member has. members: node, label, n, c (n and c null for ids that repeat), a row each; texts: id, text, those of members at least.
+
+    Two sets that link have percent / (100 + percent) of n + m in common, of which frequent shingles can be as many as the one that
+    has less of them has. So they share a rare one as well, or both are frequent enough: the pairs of the second kind are left
+    to the caller. A shingle is rare if RARE texts at most have it, so the pairs of the first kind are no more than RARE for each
+    rare shingle of a text; of a text's rare shingles, rarest first, so many come last that any partner must share another one.
+    """
+    flat = flat_shingles(within(texts, members.select(F.col("node").alias("id")), "id"), size).select("node", F.col("h").alias("key"))
+    told = materialize(flat.repartition("key").sortWithinPartitions("key").mapInPandas(_told, "node long, h long, k long"))
+    often = told.where("h is null").groupBy("node").agg(F.sum("k").alias("f"))
+    known = materialize(members.join(often, "node", "left").withColumn("f", F.when(F.col("n").isNotNull(), F.coalesce("f", F.lit(0)))))
+    order = Window.partitionBy("node").orderBy("k", "h")
+    ranked = told.where("h is not null").select("node", F.col("h").alias("key"), "k", F.row_number().over(order).alias("pos"), F.count(F.lit(1)).over(Window.partitionBy("node")).alias("r"))
+    least = F.greatest(F.ceil(percent * F.col("n") / 100 - TINY) - F.col("f"), F.lit(1))
+    held = ranked.join(known, "node").where(F.coalesce(F.col("pos") <= F.col("r") - least + 1, F.lit(True)))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    index = held.select("key", "node", "label", zero("n"), zero("c"), zero("f"), (F.col("r") - F.col("pos") + 1).cast("long").alias("left"))
+    pairs = index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_sharing(percent), "node long, label long, p_node long, p_label long")
+    return pairs.distinct(), known.select("node", "f")
+
+
 def settled(cells: DataFrame, links: DataFrame, texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """node, component over all links (between labels), those of cells included. cells: kind, key, node, label, dist.
 
     kind 0: cells of a shingle or another key; kind 1: regions of a first pivot, dist the distance to it. A cell is settled when its
     documents are one component. Else pivots are drawn among those outside its largest component, eight times as many each
-    round, and compared with all documents of other components that these bounds and windows allow; then they leave the cell.
-    The first pivot of a cell also gives its documents a distance, hence windows for those that follow. What documents share with
-    any other (shared_sizes) bounds what two of them share; those that share too little with all others are settled at once.
+    round (64 times after a round of few pairs), and compared with all documents of other components that these bounds and windows
+    allow; then they leave the cell. The first pivot of a cell also gives its documents a distance, hence windows for those that
+    follow. What documents share with any other (shared_sizes) bounds what two of them share; those that share too little with all
+    others are settled at once. In crowded cells documents that need a rare shingle in common meet by those (by_rare), and pivots
+    are left for those whose frequent shingles alone may be enough: of a group of near copies, those nearest to what all have.
     """
     cell = ["kind", "key"]
     bounds = shared_sizes(texts, size)
     cells = materialize(cells.join(bounds, "node", "left").where(F.coalesce(100 * F.col("c") >= percent * F.col("n"), F.lit(True))))
+    parts = connected_components(links)
+
+    def compared(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Sizes of pairs (node, label, p_node, p_label), and the links between labels that they give."""
+        ordered = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.col("label").alias("x"), F.col("p_label").alias("y"))
+        found = materialize(measured(ordered.select("a", "b").distinct(), texts, size))
+        return found, materialize(ordered.join(found.where(linked(percent)).select("a", "b"), ["a", "b"], "left_semi").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+
+    crowded = materialize(cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CROWDED).drop("rows"))
+    if crowded.isEmpty():
+        cells = cells.withColumn("f", F.lit(None).cast("long"))
+    else:
+        members = materialize(cells.join(crowded, cell, "left_semi").select("node", "label", "n", "c").distinct())
+        pairs, frequent = by_rare(members, texts, size, percent)
+        _, new = compared(materialize(pairs))
+        if not new.isEmpty():
+            links = links.union(new)
+            parts = connected_components(links)
+        marked = cells.join(crowded.withColumn("crowded", F.lit(True)), cell, "left").join(frequent, "node", "left")
+        cells = marked.withColumn("f", F.when(F.col("crowded"), F.col("f"))).drop("crowded").where(F.coalesce(100 * F.col("f") >= percent * F.col("n"), F.lit(True)))
     pivots, known = FIRST_PIVOTS, False
     while True:
-        parts = connected_components(links)
         labelled = cells.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("part", F.coalesce("component", "label")).drop("component")
         largest = labelled.groupBy(*cell, "part").agg(F.count(F.lit(1)).alias("size")).groupBy(*cell).agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
         cells = materialize(labelled.join(largest, cell))
         if cells.isEmpty():
             return parts
         turn = F.row_number().over(Window.partitionBy(*cell).orderBy(F.xxhash64("node"), "node"))
-        drawn = materialize(cells.where("part <> main").withColumn("turn", turn).where(F.col("turn") <= pivots).select(*cell, *[F.col(c).alias(f"p_{c}") for c in ("node", "label", "n", "c", "dist", "part", "turn")]))
+        drawn = materialize(cells.where("part <> main").withColumn("turn", turn).where(F.col("turn") <= pivots).select(*cell, *[F.col(c).alias(f"p_{c}") for c in ("node", "label", "n", "c", "f", "dist", "part", "turn")]))
+        enough = lambda c: F.coalesce((100 + percent) * F.least(c, f"p_{c}") >= percent * (F.col("n") + F.col("p_n")), F.lit(True))
         met = cells.join(drawn, cell).where(
-            (F.col("node") != F.col("p_node")) & (F.col("part") != F.col("p_part"))
-            & F.coalesce((100 + percent) * F.least("c", "p_c") >= percent * (F.col("n") + F.col("p_n")), F.lit(True))
+            (F.col("node") != F.col("p_node")) & (F.col("part") != F.col("p_part")) & enough("c") & enough("f")
             & ((F.col("kind") == 0) | (F.col("label") == F.col("key")) | (F.col("p_label") == F.col("key")))  # two of a shell meet elsewhere
             & F.coalesce(F.abs(F.col("dist") - F.col("p_dist")) <= 1 - percent / 100 + TINY, F.lit(True))
         )
-        pairs = met.select("node", "label", "p_node", "p_label")
-        found = materialize(measured(pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct(), texts, size))
-        new = found.where(linked(percent)).select("a", "b")
-        named = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.col("label").alias("x"), F.col("p_label").alias("y")).join(new, ["a", "b"], "left_semi")
-        links = materialize(links.union(named.select("x", "y")).distinct())
+        found, new = compared(met.select("node", "label", "p_node", "p_label"))
         rest = cells.join(drawn.select(*cell, F.col("p_node").alias("node")), [*cell, "node"], "left_anti")
         if not known:
             far = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"), F.coalesce(1 - F.try_divide("both", "whole"), F.lit(0.0)).alias("far")).select(F.col("e.a").alias("p_node"), F.col("e.b").alias("node"), "far")
             seen = rest.where("kind = 0").join(drawn.where("p_turn = 1").select(*cell, "p_node"), cell, "left").join(far, ["p_node", "node"], "left")
             rest = rest.where("kind = 1").unionByName(seen.drop("dist", "p_node").withColumnRenamed("far", "dist"))
+        few = found.count() < cells.count()
         cells = materialize(rest.drop("part", "main"))
-        pivots, known = 8 * pivots, True
+        pivots, known = (64 if few else 8) * pivots, True
+        if not new.isEmpty():
+            links = links.union(new)
+            parts = connected_components(links)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.cells import EPS, TINY, linked, measured, merged, runs, settled, shingle_hashes
+from benchbook.llm.cells import EPS, TINY, leaders, linked, measured, runs, settled, shingle_hashes
 from benchbook.llm.common import NO_ID, arrow_rows, ids_and_texts, materialize, with_null_ids, within, without
 from benchbook.llm.components import connected_components
 
@@ -249,11 +249,12 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _cells(small: int):
-    """Of rows key, node, part, n, pos, sorted by key: pairs a, b of cells up to `small` rows that may link and aren't in one
-    part yet; of larger cells with more than one part the rows themselves (a and the rest)."""
+    """Of rows key, node, part, n, pos, sorted by key and a hash of the node: pairs a, b of cells up to `small` rows that may link
+    and aren't in one part yet; of larger cells with more than one part the nodes (a) and the cell's leader."""
     columns = ("key", "node", "part", "n", "pos")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
         for (key, node, part, n, pos), starts, sizes, long, cut in runs(batches, columns, small):
             out_a, out_b = [], []
             for size in range(2, small + 1):
@@ -266,9 +267,10 @@ def _cells(small: int):
             a, b = np.concatenate([np.zeros(0, np.int64), *out_a]), np.concatenate([np.zeros(0, np.int64), *out_b])
             pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates().astype("Int64")
             mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
-            large = np.repeat(long & (mixed | cut), sizes)  # a piece of one part counts too, if other pieces may hold others
-            rows = pd.DataFrame({"a": node[large], "key": key[large]}).astype("Int64")
-            yield pd.concat([pairs, rows], ignore_index=True)[["a", "b", "key"]].astype("Int64")
+            large = long & (mixed | cut)  # a piece of one part counts too, if other pieces may hold others
+            heads, last = leaders(key[starts[large]], node[starts[large]], cut[large], last)
+            rows = pd.DataFrame({"a": node[np.repeat(large, sizes)], "leader": np.repeat(heads, sizes[large])}).drop_duplicates().astype("Int64")
+            yield pd.concat([pairs, rows], ignore_index=True)[["a", "b", "leader"]].astype("Int64")
 
     return run
 
@@ -299,21 +301,21 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with arrow_rows(spark, 1 << 14):
         stars = materialize(ahead.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node").mapInPandas(_stars, "a long, b long").distinct())
     texts = materialize(within(named, stars.select(F.explode(F.array("a", "b")).alias("id")), "id"))
-    copied = materialize(measured(stars, texts).where(linked()).select("a", "b"))
+    copied = materialize(measured(stars, texts, picked=True).where(linked()).select("a", "b"))
     early = connected_components(copied).withColumnRenamed("component", "part")
 
     # Cells: pairs of the small ones, rows of the large ones, of documents that aren't in one part yet.
     parted = own.select(F.col("doc_id").alias("node"), "n", "prefix").join(early, "node", "left").withColumn("part", F.coalesce("part", "node"))
     index = parted.select("node", "part", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "node", "part", "n", "pos")
     with arrow_rows(spark, 1 << 14):
-        met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_cells(small), "a long, b long, key long"))
+        met = materialize(index.repartition("key").sortWithinPartitions("key", F.xxhash64("node"), "node").mapInPandas(_cells(small), "a long, b long, leader long"))
     pairs = materialize(met.where("b is not null").select("a", "b").distinct())
     texts = materialize(within(named, pairs.select(F.explode(F.array("a", "b")).alias("id")), "id"))
     known = spark.createDataFrame([*first.links, (None, None)], "a long, b long").where("a is not null")
     shared = rows.select(F.col("home").alias("a"), F.explode("also").alias("b"))
     # An id that repeats stands for all its texts: a chain over their labels.
     chained = same.groupBy("doc_id").agg(F.min("label").alias("a")).join(same, "doc_id").select("a", F.col("label").alias("b"))
-    links = materialize(measured(pairs, texts).where(linked()).select("a", "b").union(copied).union(known).union(shared).union(chained).where("a <> b").distinct())
+    links = materialize(measured(pairs, texts, picked=True).where(linked()).select("a", "b").union(copied).union(known).union(shared).union(chained).where("a <> b").distinct())
 
     # Large cells, and regions whose shell holds documents of other components.
     parts = connected_components(links)
@@ -323,7 +325,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     least = shell.groupBy("pivot").agg(F.min("dist").alias("least"))  # a row for each first pivot at most
     core = singles.select(F.col("doc_id").alias("node"), "n", F.col("home").alias("label"), F.col("home").alias("pivot"), "dist").join(F.broadcast(least), "pivot").where(F.col("dist") >= F.col("least") - EPS - TINY)
     regions = shell.unionByName(core.drop("least")).select(F.lit(1).alias("kind"), F.col("pivot").alias("key"), "node", "label", "dist")
-    large = merged(met.where("key is not null").select(F.col("a").alias("node"), "key"))
+    large = met.where("leader is not null").select(F.col("a").alias("node"), F.col("leader").alias("key")).distinct()
     large = large.select(F.lit(0).alias("kind"), "key", "node", F.col("node").alias("label"), F.lit(None).cast("double").alias("dist"))
     cells = materialize(large.unionByName(regions))
     if not cells.isEmpty():

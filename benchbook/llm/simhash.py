@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.cells import linked, measured, merged, runs, settled
+from benchbook.llm.cells import leaders, linked, measured, runs, settled
 from benchbook.llm.common import LOWER, arrow_rows, ids_and_texts, materialize, with_null_ids, within, without
 from benchbook.llm.components import connected_components
 
@@ -202,13 +202,15 @@ SMALL = 6
 
 
 def _wide_cells(words: int, most: int, small: int = SMALL):
-    """Of rows key, node, f0, f1, ... sorted by key and node: candidate pairs a < b. Keys of up to `small` rows give all pairs
+    """Of rows key, node, f0, f1, ... sorted by key and a hash of the node: candidate pairs a < b. Keys of up to `small` rows give all pairs
     that differ in at most `most` bits. Of larger keys each row is paired with the first and with the one before it, and the rows
-    themselves are handed on (a, key), so that no pair is lost; they're handed on as they come, however many there are."""
+    themselves are handed on (a, and the key's leader), so that no pair is lost; they're handed on as they come, however many
+    there are."""
     names = [f"f{i}" for i in range(words)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = None  # of the long run that may go on: node and fingerprint of its first row, then of its last
+        last = None
         for columns, starts, sizes, long, cut in runs(batches, ("key", "node", *names), small):
             keys, nodes = columns[0], columns[1]
             fps = np.stack(columns[2:], axis=1).view(np.uint64)
@@ -232,7 +234,9 @@ def _wide_cells(words: int, most: int, small: int = SMALL):
                 first = keys[at], mine[[0, -1]], prints[[0, -1]]
             a, b = np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
             pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates().astype("Int64")
-            yield pd.concat([pairs, pd.DataFrame({"a": nodes[rows], "key": keys[rows]}).astype("Int64")], ignore_index=True)[["a", "b", "key"]].astype("Int64")
+            heads, last = leaders(keys[starts[long]], nodes[starts[long]], cut[long], last)
+            held = pd.DataFrame({"a": nodes[rows], "leader": np.repeat(heads, sizes[long])}).drop_duplicates().astype("Int64")
+            yield pd.concat([pairs, held], ignore_index=True)[["a", "b", "leader"]].astype("Int64")
 
     return run
 
@@ -272,10 +276,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     segment = F.element_at("segments", F.expr(f"cast(slot div {width} as int) + 1")).bitwiseAND(F.expr(f"~shiftleft(1L, cast(slot % {width} as int))"))
     index = slots.select((F.shiftleft(F.col("slot").cast("long"), width)).bitwiseOR(segment).alias("key"), "node", *f)
     with arrow_rows(docs.sparkSession, 1 << 14):
-        met = materialize(index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_wide_cells(longs, int(share * segments * width)), "a long, b long, key long"))
+        met = materialize(index.repartition("key").sortWithinPartitions("key", F.xxhash64("node"), "node").mapInPandas(_wide_cells(longs, int(share * segments * width)), "a long, b long, leader long"))
     pairs = materialize(met.where("b is not null").select("a", "b").distinct())
-    links = materialize(measured(pairs, texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node"))), words).where(linked(percent)).select("a", "b").union(first))
-    cells = materialize(as_cells(merged(met.where("key is not null").select("key", F.col("a").alias("node")))))
+    links = materialize(measured(pairs, texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node"))), words, picked=True).where(linked(percent)).select("a", "b").union(first))
+    cells = materialize(as_cells(met.where("leader is not null").select(F.col("leader").alias("key"), F.col("a").alias("node")).distinct()))
     return connected_components(links) if cells.isEmpty() else settled(cells, links, texts_of(cells), words, percent)
 
 
