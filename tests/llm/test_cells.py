@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from benchbook.llm import cells
+from benchbook.llm import cells, components
 from benchbook.llm.jaccard_join import _cells
 from benchbook.llm.simhash import _wide_cells
 from pyspark.sql import functions as F
@@ -61,3 +61,25 @@ def test_a_long_key_has_one_leader_over_batches(step):
         out = pd.concat(made(iter([data.iloc[i : i + step].reset_index(drop=True) for i in range(0, len(data), step)])))
         rows = out[out["leader"].notna()]
         assert sorted(zip(rows["a"], rows["leader"], strict=True)) == [(i, 3 if i < 43 else 43) for i in range(3, 73)]
+
+
+def test_components_need_no_round_where_a_task_holds_them(spark, monkeypatch):
+    def star(*_):
+        raise AssertionError("a round of stars")
+
+    monkeypatch.setattr(components, "_star", star)
+    path = spark.createDataFrame([*[(i, i + 1) for i in range(50)], (100, 90), (None, 3), (7, 7)], "a long, b long").coalesce(1)
+    assert sorted(map(tuple, components.connected_components(path).collect())) == [*[(i, 0) for i in range(51)], (90, 90), (100, 90)]
+
+
+@pytest.mark.parametrize("held", [1, 1000])
+def test_components_over_many_tasks(spark, monkeypatch, held):
+    monkeypatch.setattr(components, "HELD", held)
+    rng = random.Random(3)
+    edges = [*[(i, i + 1) for i in range(1000, 1040)], *[(rng.randrange(300), rng.randrange(300)) for _ in range(170)]]
+    root = {i: i for e in edges for i in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    made = spark.createDataFrame(rng.sample(edges, len(edges)), "a long, b long").repartition(7)
+    assert {r["node"]: r["component"] for r in components.connected_components(made).collect()} == {i: root[i] for a, b in edges if a != b for i in (a, b)}
