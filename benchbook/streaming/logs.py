@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from benchbook.operators.batches import QUEUED_MINUTES, RUNNING_MINUTES, TRANSITIONS
 from benchbook.sources.landing import land, shared_folder
@@ -36,7 +37,7 @@ REPLAY_ROWS = 2_000_000
 def replay(events: DataFrame, use: Callable[[DataFrame], DataFrame], mode: str = "update", rows: int = REPLAY_ROWS) -> DataFrame:
     """Runs use() as a stream over a whole table in the order of `at`, however its files are cut; the rows that it wrote.
 
-    The table is cut at quantiles of the time. A piece lands only when the stream has taken the one before, so each
+    The table is cut at quantiles of the time and written by pieces once. A piece lands only when the stream has taken the one before, so each
     piece is one micro-batch, and none holds a row older than the piece before. Rows without a time come first.
     """
     spark = events.sparkSession
@@ -44,14 +45,14 @@ def replay(events: DataFrame, use: Callable[[DataFrame], DataFrame], mode: str =
     pieces = max(1, -(-events.count() // rows))
     micros = F.unix_micros(F.col("at").cast("timestamp"))
     cuts = sorted(set(events.agg(F.percentile_approx(micros, [i / pieces for i in range(1, pieces)], 100 * pieces)).first()[0] or [])) if pieces > 1 else []
+    # The table is read once more, to be written by pieces: landing one then reads no other.
+    piece = sum((F.coalesce(micros > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    cut = shared_folder(spark)
+    events.withColumn("piece", piece).repartition("piece").write.partitionBy("piece").parquet(f"{cut}/pieces")
+    held = spark.read.schema(StructType([*events.schema, StructField("piece", IntegerType())])).parquet(f"{cut}/pieces")
     out = None
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        inside = micros.isNull() if low is None else micros > low
-        if low is None:
-            inside = inside | (micros <= high if high is not None else F.lit(True))
-        elif high is not None:
-            inside = inside & (micros <= high)
-        land(events.where(inside), source)
+    for k in range(len(cuts) + 1):
+        land(held.where(F.col("piece") == k).drop("piece"), source)
         out = run_available(use(spark.readStream.schema(events.schema).parquet(source)), mode, folder)
     return out
 
