@@ -179,46 +179,65 @@ def leaders(keys: np.ndarray, firsts: np.ndarray, cut: np.ndarray, last: tuple[i
 
 
 def flat_shingles(texts: DataFrame, size: int = WORDS) -> DataFrame:
-    """node, h: a row for each shingle of the texts (id, text)."""
+    """node, low, high, h: a row for each shingle of the texts (id, text, low, high)."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_hashes(t, size) for t in batch["text"]]
-            yield pd.DataFrame({"node": np.repeat(batch["id"].to_numpy(np.int64), [len(s) for s in sets]), "h": np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)})
+            told = {to: np.repeat(batch[c].to_numpy(np.int64), [len(s) for s in sets]) for to, c in (("node", "id"), ("low", "low"), ("high", "high"))}
+            yield pd.DataFrame({**told, "h": np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)})
 
-    return texts.mapInPandas(counted, "node long, h long")
+    return texts.select("id", "text", "low", "high").mapInPandas(counted, "node long, low long, high long, h long")
 
 
-def shared_sizes(texts: DataFrame, size: int = WORDS) -> DataFrame:
+def _sized(size: int, half: bool):
+    """Of texts (id, text) node, h, marks: a row for each shingle (marks 0), or for about one in two, and a row with the size of a
+    text's set (h the node, marks one more than the size)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            node, sets = batch["id"].to_numpy(np.int64), [shingle_hashes(t, size) for t in batch["text"]]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            sets = [s[s & np.uint64(1) == 0] for s in sets] if half else sets
+            n = [len(s) for s in sets]
+            flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+            yield pd.DataFrame({"node": np.r_[np.repeat(node, n), node], "h": np.r_[flat, node], "marks": np.r_[np.zeros(len(flat), np.int64), sizes + 1]})
+
+    return run
+
+
+def shared_sizes(texts: DataFrame, size: int = WORDS, half: bool = False) -> DataFrame:
     """node, n, c of texts (id, text): the size of a text's set, and how many of its shingles another of these texts has too.
 
     Two texts can have no more in common than either shares with anything, so c bounds every similarity from above, where
     distances to pivots can't: texts that differ from one base in places of their own. Ids that repeat are left out.
+    half: only every other shingle is looked at, all others count as shared; that's a bound too, at half the rows.
     """
-    flat = flat_shingles(texts, size)
+    flat = texts.select("id", "text").mapInPandas(_sized(size, half), "node long, h long, marks long")
     # A shingle of one text only is told by that text; all others by none.
-    alone = flat.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("u"))
-    length = F.pandas_udf(lambda ts: pd.Series([len(shingle_hashes(t, size)) for t in ts], dtype="int64"), "long")
-    sizes = texts.select(F.col("id").alias("node"), length("text").alias("n")).groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n")).where("k = 1").drop("k")
-    return sizes.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c"))
+    each = flat.groupBy("h", "marks").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("node")).where("k = 1 or marks > 0")
+    told = each.groupBy("node").agg(F.sum(F.when(F.col("marks") > 0, F.col("k")).otherwise(0)).alias("texts"), (F.max("marks") - 1).alias("n"), F.count(F.when(F.col("marks") == 0, 1)).alias("u"))
+    return told.where("texts = 1").select("node", "n", (F.col("n") - F.col("u")).alias("c"))
 
 
 def _told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows key (a shingle), node, sorted by key: node, h, k for each shingle of 2 to RARE rows; node, null, k for k that have more."""
-    for (key, node), _, sizes, long, _ in runs(batches, ("key", "node"), RARE):
+    """Of rows key (a shingle), node, low, high, sorted by key: node, h, k for each shingle of up to RARE rows in more than one part;
+    node, null, k for k that have no more rows and lie in one part. Frequent shingles tell nothing: they're the rest of a set."""
+    for (key, node, low, high), starts, sizes, long, _ in runs(batches, ("key", "node", "low", "high"), RARE):
         k, often = np.repeat(sizes, sizes), np.repeat(long, sizes)
-        rare = ~often & (k > 1)
-        yield pd.DataFrame({"node": node[rare], "h": key[rare], "k": k[rare]}).astype("Int64")
-        nodes, times = np.unique(node[often], return_counts=True)
-        yield pd.DataFrame({"node": nodes, "h": pd.array([None] * len(nodes), dtype="Int64"), "k": times}).astype({"node": "Int64", "k": "Int64"})
+        mixed = np.repeat(np.minimum.reduceat(low, starts) != np.maximum.reduceat(high, starts), sizes)
+        rare = ~often & mixed & (k > 1)
+        nodes, times = np.unique(node[~often & ~rare], return_counts=True)
+        none = pd.array([None] * len(nodes), dtype="Int64")
+        yield pd.concat([pd.DataFrame({"node": node[rare], "h": key[rare], "k": k[rare]}).astype("Int64"), pd.DataFrame({"node": nodes, "h": none, "k": times}).astype("Int64")], ignore_index=True)
 
 
 def _sharing(percent: int):
-    """Of rows key, node, label, n, c, f, r, pos, sorted by key: node, label, p_node, p_label for rows of one key that may link and
-    need a rare shingle in common for that. n 0: nothing is known of its size."""
+    """Of rows key, node, label, n, c, f, left, low, high, sorted by key: node, label, p_node, p_label for rows of one key that may
+    link, aren't of one part and need a rare shingle in common for that. n 0: nothing is known of its size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (key, node, label, n, c, f, left), _, sizes, _, _ in runs(batches, ("key", "node", "label", "n", "c", "f", "left"), RARE):
+        for (key, node, label, n, c, f, left, low, high), _, sizes, _, _ in runs(batches, ("key", "node", "label", "n", "c", "f", "left", "low", "high"), RARE):
             found = []
             for step in range(1, sizes.max(initial=1)):
                 i = np.flatnonzero(key[step:] == key[:-step])
@@ -226,6 +245,7 @@ def _sharing(percent: int):
                 needed, frequent = percent * (n[i] + n[j]), np.minimum(f[i], f[j])
                 may = ((100 + percent) * np.minimum(c[i], c[j]) >= needed) & ((100 + percent) * (frequent + np.minimum(left[i], left[j])) >= needed) & ((100 + percent) * frequent < needed)
                 may = (may | (n[i] == 0) | (n[j] == 0)) & (node[i] != node[j]) & (label[i] != label[j])
+                may &= np.minimum(low[i], low[j]) != np.maximum(high[i], high[j])
                 found.append(np.stack([node[i], label[i], node[j], label[j]])[:, may])
             pairs = np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)
             yield pd.DataFrame(dict(zip(("node", "label", "p_node", "p_label"), pairs, strict=True))).drop_duplicates()
@@ -235,23 +255,26 @@ def _sharing(percent: int):
 
 def by_rare(members: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (node, label, p_node, p_label) of members that may link and share a rare shingle, and node, f: how many frequent ones a
-    member has. members: node, label, n, c (n and c null for ids that repeat), a row each; texts: id, text, those of members at least.
+    member has. members: node, label, part, n, c (n and c null for ids that repeat), a row each; texts: id, text, those of members
+    at least.
 
     Two sets that link have percent / (100 + percent) of n + m in common, of which frequent shingles can be as many as the one that
     has less of them has. So they share a rare one as well, or both are frequent enough: the pairs of the second kind are left
     to the caller. A shingle is rare if RARE texts at most have it, so the pairs of the first kind are no more than RARE for each
     rare shingle of a text; of a text's rare shingles, rarest first, so many come last that any partner must share another one.
+    Rare shingles of one part only are no partner's; they count neither as rare nor as frequent.
     """
-    flat = flat_shingles(within(texts, members.select(F.col("node").alias("id")), "id"), size).select("node", F.col("h").alias("key"))
-    told = materialize(flat.repartition("key").sortWithinPartitions("key").mapInPandas(_told, "node long, h long, k long"))
-    often = told.where("h is null").groupBy("node").agg(F.sum("k").alias("f"))
-    known = materialize(members.join(often, "node", "left").withColumn("f", F.when(F.col("n").isNotNull(), F.coalesce("f", F.lit(0)))))
+    spans = materialize(members.groupBy("node").agg(F.min("part").alias("low"), F.max("part").alias("high")))
+    flat = flat_shingles(within(texts, spans.select(F.col("node").alias("id")), "id").join(spans.withColumnRenamed("node", "id"), "id"), size).select("node", "low", "high", F.col("h").alias("key"))
+    told = materialize(flat.repartition("key").sortWithinPartitions("key").select("key", "node", "low", "high").mapInPandas(_told, "node long, h long, k long"))
+    spent = told.groupBy("node").agg(F.sum(F.when(F.col("h").isNull(), F.col("k")).otherwise(1)).alias("spent"))
+    known = materialize(members.drop("part").join(spans, "node").join(spent, "node", "left").withColumn("f", F.col("n") - F.coalesce("spent", F.lit(0))).drop("spent"))
     order = Window.partitionBy("node").orderBy("k", "h")
     ranked = told.where("h is not null").select("node", F.col("h").alias("key"), "k", F.row_number().over(order).alias("pos"), F.count(F.lit(1)).over(Window.partitionBy("node")).alias("r"))
     least = F.greatest(F.ceil(percent * F.col("n") / 100 - TINY) - F.col("f"), F.lit(1))
     held = ranked.join(known, "node").where(F.coalesce(F.col("pos") <= F.col("r") - least + 1, F.lit(True)))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    index = held.select("key", "node", "label", zero("n"), zero("c"), zero("f"), (F.col("r") - F.col("pos") + 1).cast("long").alias("left"))
+    index = held.select("key", "node", "label", zero("n"), zero("c"), zero("f"), (F.col("r") - F.col("pos") + 1).cast("long").alias("left"), "low", "high")
     pairs = index.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_sharing(percent), "node long, label long, p_node long, p_label long")
     return pairs.distinct(), known.select("node", "f")
 
@@ -268,10 +291,22 @@ def settled(cells: DataFrame, links: DataFrame, texts: DataFrame, size: int = WO
     are left for those whose frequent shingles alone may be enough: of a group of near copies, those nearest to what all have.
     """
     cell = ["kind", "key"]
-    bounds = shared_sizes(texts, size)
-    cells = materialize(cells.join(bounds, "node", "left").where(F.coalesce(100 * F.col("c") >= percent * F.col("n"), F.lit(True))))
     parts = connected_components(links)
 
+    def mixed(cells: DataFrame) -> DataFrame:
+        """Rows of cells with more than one part, with part, and main: the part that most of the cell's rows have."""
+        labelled = cells.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("part", F.coalesce("component", "label")).drop("component")
+        largest = labelled.groupBy(*cell, "part").agg(F.count(F.lit(1)).alias("size")).groupBy(*cell).agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
+        return materialize(labelled.join(largest, cell))
+
+    cells = mixed(cells).drop("part", "main")
+    if cells.isEmpty():
+        return parts
+    for half in (True, False):  # half of the shingles rule out most; the others' sizes are then told by all
+        sizes = shared_sizes(within(texts, cells.select(F.col("node").alias("id")), "id"), size, half)
+        told = cells.join(sizes, "node", "left").where(F.coalesce(100 * F.col("c") >= percent * F.col("n"), F.lit(True)))
+        cells = materialize(told.drop("n", "c") if half else told)
+
     def compared(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Sizes of pairs (node, label, p_node, p_label), and the links between labels that they give."""
         ordered = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.col("label").alias("x"), F.col("p_label").alias("y"))
@@ -282,7 +317,7 @@ def settled(cells: DataFrame, links: DataFrame, texts: DataFrame, size: int = WO
     if crowded.isEmpty():
         cells = cells.withColumn("f", F.lit(None).cast("long"))
     else:
-        members = materialize(cells.join(crowded, cell, "left_semi").select("node", "label", "n", "c").distinct())
+        members = materialize(mixed(cells).join(crowded, cell, "left_semi").select("node", "label", "part", "n", "c").distinct())
         pairs, frequent = by_rare(members, texts, size, percent)
         _, new = compared(materialize(pairs))
         if not new.isEmpty():
@@ -292,9 +327,7 @@ def settled(cells: DataFrame, links: DataFrame, texts: DataFrame, size: int = WO
         cells = marked.withColumn("f", F.when(F.col("crowded"), F.col("f"))).drop("crowded").where(F.coalesce(100 * F.col("f") >= percent * F.col("n"), F.lit(True)))
     pivots, known = FIRST_PIVOTS, False
     while True:
-        labelled = cells.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("part", F.coalesce("component", "label")).drop("component")
-        largest = labelled.groupBy(*cell, "part").agg(F.count(F.lit(1)).alias("size")).groupBy(*cell).agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
-        cells = materialize(labelled.join(largest, cell))
+        cells = mixed(cells)
         if cells.isEmpty():
             return parts
         turn = F.row_number().over(Window.partitionBy(*cell).orderBy(F.xxhash64("node"), "node"))

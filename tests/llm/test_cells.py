@@ -83,3 +83,20 @@ def test_components_over_many_tasks(spark, monkeypatch, held):
             root[a] = root[b] = min(root[a], root[b])
     made = spark.createDataFrame(rng.sample(edges, len(edges)), "a long, b long").repartition(7)
     assert {r["node"]: r["component"] for r in components.connected_components(made).collect()} == {i: root[i] for a, b in edges if a != b for i in (a, b)}
+
+
+def test_only_rare_shingles_of_several_parts_are_told():
+    key = np.repeat([1, 2, 3, 4], [500, 3, 3, 1])
+    low = np.r_[np.arange(500), [7, 7, 7], [7, 7, 8], [9]]
+    data = pd.DataFrame({"key": key, "node": np.r_[np.arange(500), 0, 1, 2, 0, 1, 2, 0], "low": low, "high": low})
+    out = pd.concat(cells._told(iter([data])))
+    assert [tuple(r) for r in out[out["h"].notna()].to_numpy()] == [(0, 3, 3), (1, 3, 3), (2, 3, 3)]
+    assert {int(n): int(k) for n, k in out[out["h"].isna()].groupby("node")["k"].sum().items()} == {0: 2, 1: 1, 2: 1}
+
+
+def test_half_of_the_shingles_give_a_bound(spark):
+    texts = spark.createDataFrame([*crowd(60, 60, 2), (0, "another text of that id")], "id long, text string")
+    whole = {r["node"]: (r["n"], r["c"]) for r in cells.shared_sizes(texts).collect()}
+    half = {r["node"]: (r["n"], r["c"]) for r in cells.shared_sizes(texts, half=True).collect()}
+    assert whole.keys() == half.keys() == {r["id"] for r in texts.collect()} - {0}
+    assert all(whole[i][0] == half[i][0] >= half[i][1] >= whole[i][1] for i in whole)
