@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import materialize
+from benchbook.llm.common import arrow_rows, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -49,18 +49,22 @@ def reached(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def _contracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of a task's edges u, v, HELD at a time: each node hung on the least one that it reaches over them."""
-    u, v, n = [], [], 0
-    for batch in batches:
-        u.append(batch["u"].to_numpy(np.int64))
-        v.append(batch["v"].to_numpy(np.int64))
-        n += len(batch)
-        if n > HELD:
+def _contracted(held: int):
+    """Of a task's edges u, v, so many at a time: each node hung on the least one that it reaches over them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        u, v, n = [], [], 0
+        for batch in batches:
+            u.append(batch["u"].to_numpy(np.int64))
+            v.append(batch["v"].to_numpy(np.int64))
+            n += len(batch)
+            if n > held:
+                yield pd.DataFrame(dict(zip("uv", reached(np.concatenate(u), np.concatenate(v)), strict=True)))
+                u, v, n = [], [], 0
+        if n:
             yield pd.DataFrame(dict(zip("uv", reached(np.concatenate(u), np.concatenate(v)), strict=True)))
-            u, v, n = [], [], 0
-    if n:
-        yield pd.DataFrame(dict(zip("uv", reached(np.concatenate(u), np.concatenate(v)), strict=True)))
+
+    return run
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -69,22 +73,27 @@ def _settled(edges: DataFrame) -> bool:
     return ends.groupBy("id").agg(F.sum("low").alias("over"), F.min("low").alias("least")).where("over > 1 or (over = 1 and least = 0)").isEmpty()
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, most_rounds: int = 60, held: int | None = None) -> DataFrame:
     """edges: columns a, b (any integer ids). Returns node, component (least id reachable), for nodes with an edge.
 
-    Tasks contract the edges that they read, so that a table of few files is done without a round. Rounds are logarithmic in the
-    longest path. Each writes its edges to the shared folder, which cuts lineage; nothing of the edges reaches the driver. Joins on
+    Tasks contract the edges that they read; before a round what they left is read anew by as few tasks as hold it, `held` edges (HELD)
+    each, so that a group whose edges lay in many tasks is contracted again, and up to `held` edges are done without a round.
+    Rounds are logarithmic in the longest path. Each writes its edges to the shared folder, which cuts lineage; nothing of the edges reaches the driver. Joins on
     a hub's id are plain equality joins whose larger side Spark can split. Null ids and loops: ignored. No edges: no rows.
     """
-    contracted = lambda df: df.mapInPandas(_contracted, "u long, v long")
     edges = edges.where("a is not null and b is not null and a <> b").select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v"))
-    edges = materialize(contracted(edges))
-    for _ in range(most_rounds):
-        if _settled(edges):
-            break
-        edges = materialize(contracted(materialize(_star(_star(edges, True), False))))
-    else:
-        raise RuntimeError("components didn't settle")
+    held = held or HELD
+    with arrow_rows(edges.sparkSession, 1 << 14):
+        contracted = lambda df: materialize(df.mapInPandas(_contracted(held), "u long, v long"))
+        edges = contracted(edges)
+        for _ in range(most_rounds):
+            n = edges.count()
+            edges = contracted(edges.coalesce(max(1, -(-n // held))))
+            if n <= held or _settled(edges):
+                break
+            edges = contracted(materialize(_star(_star(edges, True), False)))
+        else:
+            raise RuntimeError("components didn't settle")
     edges = edges.distinct()
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -85,6 +85,15 @@ def test_components_over_many_tasks(spark, monkeypatch, held):
     assert {r["node"]: r["component"] for r in components.connected_components(made).collect()} == {i: root[i] for a, b in edges if a != b for i in (a, b)}
 
 
+def test_edges_of_a_group_in_many_tasks_need_no_round(spark, monkeypatch):
+    def star(*_):
+        raise AssertionError("a round of stars")
+
+    monkeypatch.setattr(components, "_star", star)
+    made = spark.createDataFrame([(i, j) for i in range(1, 60) for j in (i - 1, 0, 59)], "a long, b long").repartition(16)
+    assert sorted(map(tuple, components.connected_components(made).collect())) == [(i, 0) for i in range(60)]
+
+
 def test_only_rare_shingles_of_several_parts_are_told():
     key = np.repeat([1, 2, 3, 4], [500, 3, 3, 1])
     low = np.r_[np.arange(500), [7, 7, 7], [7, 7, 8], [9]]
