@@ -52,13 +52,20 @@ def _options(d: Domain, cases: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         lines = d.lines().select("case_id", *[OF_LINES[k] for k in lined]).join(wanted, "case_id")
         each = F.array_compact(F.array(*[F.when(F.col(f"counts_{k}"), F.struct(F.lit(k).alias("facet"), F.col(OF_LINES[k]).cast("string").alias("id"))) for k in lined]))
         parts.append(lines.select("case_id", F.explode(each).alias("x")).select("case_id", "x.*"))
-    tagged = reduce(DataFrame.union, parts)
-    if named := tuple(k for k in keys if k in ("court", "industry", *OF_LINES)):
-        tagged = tagged.join(_names(d, named), ["facet", "id"], "left").where(F.col("label").isNotNull() | ~F.col("facet").isin(*named))
-    else:
-        tagged = tagged.withColumns({"value": F.lit(None).cast("string"), "label": F.lit(None).cast("string")})
-    label = F.when(F.col("facet") != "judgment", F.coalesce("label", "id")).when(F.col("id") == THERE[0], THERE[1]).otherwise(MISSING[1])
-    return tagged.select("facet", "case_id", F.coalesce("value", "id").alias("value"), label.alias("label")).groupBy("facet", "value", "label").agg(F.countDistinct("case_id").alias("n"))
+    tagged, label = reduce(DataFrame.union, parts), F.when(F.col("facet") == "judgment", F.when(F.col("id") == THERE[0], THERE[1]).otherwise(MISSING[1])).otherwise(F.col("id"))
+    named = tuple(k for k in keys if k in ("court", "industry", *OF_LINES))
+    if named:
+        # Equal names are one option: the least of their ids stands for it, and names are put to what has been counted.
+        names = _names(d, named)
+        least = names.groupBy("facet", "value", "label").agg(F.min("id").alias("option"))
+        first = names.join(least, ["facet", "value", "label"]).select("facet", "id", "option").distinct()
+        tagged = tagged.join(first, ["facet", "id"], "left").where(F.col("option").isNotNull() | ~F.col("facet").isin(*named)).select("case_id", "facet", F.coalesce("option", "id").alias("id"))
+    # A case's rows lie together where its lines were joined to it, so what repeats in it goes without one more shuffle.
+    counted = tagged.select("case_id", "facet", "id").distinct().groupBy("facet", "id").agg(F.count("case_id").alias("n"))
+    if not named:
+        return counted.select("facet", F.col("id").alias("value"), label.alias("label"), "n")
+    told = counted.join(least.withColumnRenamed("option", "id").withColumnRenamed("label", "name"), ["facet", "id"], "left")
+    return told.select("facet", F.coalesce("value", "id").alias("value"), F.coalesce("name", label).alias("label"), "n")
 
 
 def facet(d: Domain, request: SearchRequest, key: str) -> DataFrame:

@@ -27,6 +27,12 @@ def rows(df, *names):
     return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
 
 
+def test_a_facet_of_names_deals_cases_without_names(domain):
+    plan = facets.facet(domain, SearchRequest(), "judge")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "case_id" in line]
+    assert dealt and not any("label" in line.split("ENSURE")[0] or "value" in line.split("ENSURE")[0] for line in dealt)
+
+
 def test_a_facet_ignores_its_own_selection(domain):
     chosen = SearchRequest.of({"filters": {"court_id": [1], "disposition": ["Allowed"]}})
     free = SearchRequest.of({"filters": {"disposition": ["Allowed"]}})
