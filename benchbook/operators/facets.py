@@ -60,7 +60,7 @@ def _options(d: Domain, cases: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         least = names.groupBy("facet", "value", "label").agg(F.min("id").alias("option"))
         first = names.join(least, ["facet", "value", "label"]).select("facet", "id", "option").distinct()
         tagged = tagged.join(first, ["facet", "id"], "left").where(F.col("option").isNotNull() | ~F.col("facet").isin(*named)).select("case_id", "facet", F.coalesce("option", "id").alias("id"))
-    # A case's rows lie together where its lines were joined to it, so what repeats in it goes without one more shuffle.
+    # What repeats in a case goes by ids alone, so that tasks hold no names for it.
     counted = tagged.select("case_id", "facet", "id").distinct().groupBy("facet", "id").agg(F.count("case_id").alias("n"))
     if not named:
         return counted.select("facet", F.col("id").alias("value"), label.alias("label"), "n")
